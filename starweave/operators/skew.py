@@ -113,11 +113,13 @@ def lookup_join(
 
     A right side within the session's broadcast threshold is broadcast: the left
     side is then not shuffled at all. Beyond it both sides are shuffled, with
-    heavy keys salted unless the whole left side fits in one task.
+    heavy keys salted unless the whole left side fits in one task. A stream
+    cannot be sampled: pass a table of the same rows as ``sample_from``.
     """
     if scan_bytes(right) <= broadcast_limit(right):
         return left.join(F.broadcast(right), F.col(left_key) == F.col(right_key), how)
-    if policy is None or scan_bytes(left) <= policy.one_task_bytes:
+    unsampled = left.isStreaming and sample_from is None
+    if policy is None or unsampled or scan_bytes(left) <= policy.one_task_bytes:
         return left.join(right, F.col(left_key) == F.col(right_key), how)
     return salted_join(left, right, left_key, right_key, how, ids, policy, sample_from)
 

@@ -43,14 +43,16 @@ def order_lines(lineitem: DataFrame) -> DataFrame:
     )
 
 
-def with_customer(lines: DataFrame, orders: DataFrame, unique: bool) -> DataFrame:
+def with_customer(
+    lines: DataFrame, orders: DataFrame, unique: bool, sample_from: DataFrame | None = None
+) -> DataFrame:
     """Attach each order's customer. ``unique``: one line per order, so no order is heavy."""
     owners = orders.select(
         F.col("o_orderkey").alias("__order"), F.col("o_custkey").cast("string").alias("customer_id")
     )
     policy = None if unique else skew.DEFAULT
     return skew.lookup_join(
-        lines, owners, "order_id", "__order", "inner", ["order_id", "version"], policy
+        lines, owners, "order_id", "__order", "inner", ["order_id", "version"], policy, sample_from
     ).drop("__order")
 
 
