@@ -83,7 +83,8 @@ def with_previous(
 
     position = F.struct(*[c.alias(f"v{i}") for i, c in enumerate(order)])
     located = df.withColumn("__pos", position)
-    points = skew.split_points(located, key, F.col("__pos"), [key, "__pos"], policy)
+    drawn = skew.draw(located, [key, "__pos"], skew.rows_per_share([df], policy))
+    points = skew.split_points(drawn, key, F.col("__pos"))
     rows = skew.with_segments(located, key, F.col("__pos"), points)
     ends = (
         rows.where("__is_heavy")

@@ -32,7 +32,7 @@ def lookup(
     on_miss: OnMiss | None = None,
     joiner: Joiner | None = None,
     policy: skew.SkewPolicy | None = skew.DEFAULT,
-    sample_from: DataFrame | None = None,
+    sample_from: skew.Sample = None,
     lookup_by: str | None = None,
 ) -> DataFrame:
     """Add the sub-document of one dimension to every fact row.
@@ -63,13 +63,17 @@ def star_join(
     star: StarSpec,
     on_miss: OnMiss | None = None,
     policy: skew.SkewPolicy | None = skew.DEFAULT,
-    sample_from: DataFrame | None = None,
+    samples: Mapping[str, skew.Sample] | None = None,
 ) -> DataFrame:
-    """Full documents: the fact columns plus one sub-document per dimension."""
+    """Full documents: the fact columns plus one sub-document per dimension.
+
+    ``samples`` gives, per dimension, a cheap table to find heavy keys in.
+    """
     ids = [star.fact.key]
     docs = fact
     for dim in star.dims:
-        docs = lookup(docs, tables[dim.name], dim, ids, on_miss, None, policy, sample_from)
+        sample = (samples or {}).get(dim.name)
+        docs = lookup(docs, tables[dim.name], dim, ids, on_miss, None, policy, sample)
     return docs.select(*star.columns, *[d.name for d in star.dims])
 
 
@@ -98,6 +102,7 @@ def affected_facts(
     changed_dims: Sequence[tuple[Dimension, DataFrame]],
     key: str,
     policy: skew.SkewPolicy | None = skew.DEFAULT,
+    samples: Mapping[str, skew.Sample] | None = None,
 ) -> DataFrame:
     """Keys of the facts whose document may change: changed themselves, or
     referencing a changed dimension row."""
@@ -105,9 +110,9 @@ def affected_facts(
     for dim, changed in changed_dims:
         keys = changed.select(F.col(dim.table.key).alias("__key")).distinct()
         narrow = facts.select(key, dim.fk).where(F.col(dim.fk).isNotNull())
-        legs.append(
-            skew.lookup_join(narrow, keys, dim.fk, "__key", "left_semi", [key], policy).select(key)
-        )
+        sample = (samples or {}).get(dim.name)
+        hit = skew.lookup_join(narrow, keys, dim.fk, "__key", "left_semi", [key], policy, sample)
+        legs.append(hit.select(key))
     if not legs:
         return facts.select(key).limit(0)
     merged = legs[0]

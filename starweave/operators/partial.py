@@ -34,7 +34,7 @@ def dimension_leg(
     key: str,
     keep: Sequence[str] = (),
     policy: skew.SkewPolicy | None = skew.DEFAULT,
-    sample_from: DataFrame | None = None,
+    sample_from: skew.Sample = None,
 ) -> DataFrame:
     """One sub-document per fact row, null on a miss; only the key goes along."""
     narrow = fact.select(key, *keep, dim.fk)

@@ -12,7 +12,7 @@ more than a ``1 / parts`` share.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -34,6 +34,10 @@ class SkewPolicy:
 
 DEFAULT = SkewPolicy()
 
+Sample = DataFrame | Callable[[], DataFrame] | None
+"""A cheap table in which keys are about as frequent as in the rows at hand; a
+callable is only asked for it when it is needed."""
+
 
 def scan_bytes(df: DataFrame) -> int:
     """Bytes behind the leaves of a plan; huge for inputs of unknown size."""
@@ -46,18 +50,28 @@ def broadcast_limit(df: DataFrame) -> int:
     return int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
 
 
-def _share(rows: DataFrame, policy: SkewPolicy) -> Column:
-    """Rows in one share: a scalar subquery, so nothing runs while planning."""
-    total = rows.agg(F.count(F.lit(1)).alias("n")).scalar()
+def rows_per_share(counted: Sequence[DataFrame], policy: SkewPolicy) -> Column:
+    """Rows in one share of the tables together: scalar subqueries, so nothing
+    runs while planning, and counting a stored table reads no columns."""
+    totals = [df.agg(F.count(F.lit(1)).alias("n")).scalar() for df in counted]
+    total = totals[0]
+    for more in totals[1:]:
+        total = total + more
     return F.greatest(F.lit(policy.min_rows), F.ceil(total / policy.parts))
 
 
+def draw(rows: DataFrame, ids: Sequence[str], step: Column) -> DataFrame:
+    """One row in ``step``. Filters on the ids alone, so it reaches the scan that
+    holds them, below any joins."""
+    return rows.where(F.pmod(F.xxhash64(*ids), step) == 0)
+
+
 def heavy_keys(
     rows: DataFrame, key: str, ids: Sequence[str], policy: SkewPolicy = DEFAULT
 ) -> DataFrame:
     """``(__heavy, __salts)``: each key over one share, and how many pieces it needs."""
-    step = F.greatest(F.lit(1), F.floor(_share(rows, policy) / _SAMPLES_PER_SHARE))
-    drawn = rows.where(F.col(key).isNotNull() & (F.pmod(F.xxhash64(*ids), step) == 0))
+    step = F.greatest(F.lit(1), F.floor(rows_per_share([rows], policy) / _SAMPLES_PER_SHARE))
+    drawn = draw(rows.where(F.col(key).isNotNull()), [c for c in ids if c in rows.columns], step)
     return (
         drawn.groupBy(F.col(key).alias("__heavy"))
         .agg(F.ceil(F.count(F.lit(1)) / _SAMPLES_PER_SHARE).cast("int").alias("__salts"))
@@ -73,7 +87,7 @@ def salted_join(
     how: str,
     ids: Sequence[str],
     policy: SkewPolicy = DEFAULT,
-    sample_from: DataFrame | None = None,
+    sample_from: Sample = None,
 ) -> DataFrame:
     """Equi-join where heavy left keys are spread over several tasks.
 
@@ -81,7 +95,8 @@ def salted_join(
     ``inner``, ``left`` and ``left_semi`` keep their meaning. Null keys cannot
     match and are spread freely.
     """
-    heavy = heavy_keys(left if sample_from is None else sample_from, left_key, ids, policy)
+    sample = sample_from() if callable(sample_from) else sample_from
+    heavy = heavy_keys(left if sample is None else sample, left_key, ids, policy)
     piece = F.when(F.col(left_key).isNull(), F.lit(policy.parts)).otherwise(
         F.coalesce("__salts", F.lit(1))
     )
@@ -107,7 +122,7 @@ def lookup_join(
     how: str,
     ids: Sequence[str],
     policy: SkewPolicy | None = DEFAULT,
-    sample_from: DataFrame | None = None,
+    sample_from: Sample = None,
 ) -> DataFrame:
     """Join a large left side to a lookup side, choosing by checked size.
 
@@ -124,19 +139,16 @@ def lookup_join(
     return salted_join(left, right, left_key, right_key, how, ids, policy, sample_from)
 
 
-def split_points(
-    rows: DataFrame, key: str, order: Column, ids: Sequence[str], policy: SkewPolicy = DEFAULT
-) -> DataFrame:
+def split_points(drawn: DataFrame, key: str, order: Column) -> DataFrame:
     """``(__heavy, __points)``: where to cut the ordered rows of each heavy key.
 
-    ``__points`` is a sorted array of ``(at, n)``; ``n`` counts how often the
-    position was drawn, which exceeds 1 where many rows share one position.
+    ``drawn`` holds one row per share. ``__points`` is a sorted array of
+    ``(at, n)``; ``n`` counts how often the position was drawn, which exceeds 1
+    where many rows share one position.
     """
-    drawn = rows.where(
-        F.col(key).isNotNull() & (F.pmod(F.xxhash64(*ids), _share(rows, policy)) == 0)
-    )
     return (
-        drawn.groupBy(F.col(key).alias("__heavy"), order.alias("at"))
+        drawn.where(F.col(key).isNotNull())
+        .groupBy(F.col(key).alias("__heavy"), order.alias("at"))
         .agg(F.count(F.lit(1)).cast("int").alias("n"))
         .groupBy("__heavy")
         .agg(F.sort_array(F.collect_list(F.struct("at", "n"))).alias("__points"), F.sum("n").alias("drawn"))

@@ -29,17 +29,19 @@ def update_matching(
     version: str | Sequence[str],
     value: Column,
     policy: skew.SkewPolicy | None = skew.DEFAULT,
+    sample_from: skew.Sample = None,
 ) -> DataFrame:
     """Set ``field`` in every document whose ``match`` equals a changed key.
 
     Only the newest change per key counts. Changes without a document insert
-    nothing. ``match`` may be a nested field such as ``customer.id``.
+    nothing. ``match`` may be a nested field such as ``customer.id``;
+    ``sample_from`` holds the same values in a column ``__match``.
     """
     newest = latest_by_key(changes, change_key, version).select(
         F.col(change_key).alias("__changed"), value.alias("__value")
     )
     keyed = docs.withColumn("__match", F.col(match))
-    joined = skew.lookup_join(keyed, newest, "__match", "__changed", "left", [key], policy)
+    joined = skew.lookup_join(keyed, newest, "__match", "__changed", "left", [key], policy, sample_from)
     return joined.withColumn(field, F.coalesce("__value", field)).drop(
         "__match", "__changed", "__value"
     )

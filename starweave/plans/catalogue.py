@@ -12,7 +12,7 @@ from starweave.functions.records import strip_null_entries, strip_nulls, text_ma
 from starweave.operators import asof, changelog, enrich, partial, transforms, upsert
 from starweave.plans import sqltables
 from starweave.sources import tables as t
-from starweave.specs import Dimension, TableSpec
+from starweave.specs import Dimension, StarSpec
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -101,13 +101,18 @@ def rekey_by_fk(spark, d):
 @query
 def enrich_orders_customer(spark, d):
     orders = t.orders_latest(spark, d)
-    docs = enrich.lookup(orders, t.customer_dim(spark, d), t.CUSTOMER, ["order_id"])
+    docs = enrich.lookup(
+        orders, t.customer_dim(spark, d), t.CUSTOMER, ["order_id"],
+        sample_from=t.samples(spark, d)["customer"],
+    )
     return docs.select("order_id", "product_id", *_customer(), "ts")
 
 
 def flagship(spark: SparkSession, d: str) -> DataFrame:
     """Current orders with both sub-documents, blanks on a miss."""
-    return enrich.star_join(t.orders_latest(spark, d), _dims(spark, d), t.STAR)
+    return enrich.star_join(
+        t.orders_latest(spark, d), _dims(spark, d), t.STAR, samples=t.samples(spark, d)
+    )
 
 
 @query
@@ -117,7 +122,9 @@ def enrich_orders_left(spark, d):
 
 @query
 def enrich_orders_tombstones(spark, d):
-    docs = enrich.star_join(t.orders_latest(spark, d, deletes=True), _dims(spark, d, True), t.STAR)
+    docs = enrich.star_join(
+        t.orders_latest(spark, d, deletes=True), _dims(spark, d, True), t.STAR, samples=t.samples(spark, d)
+    )
     return docs.select("order_id", *_customer(), *_product(), "ts")
 
 
@@ -143,6 +150,7 @@ def stream_table_left_asof(spark, d):
         t.customer_log(spark, d),
         "customer_id", "ts", "customer_id", "ts", ["version"], ["acctbal"], "at_ts",
         ["order_id", "version"],
+        count_from=t.read(spark, d, "lineitem"),
     )
     return found.select(
         "order_id", "customer_id", "ts", "product_id", F.col("at_ts.acctbal").alias("acctbal_at_ts")
@@ -202,7 +210,7 @@ def three_leg_union(spark, d):
 def affected_orders(spark, d):
     changed = t.customer_updates(spark, d).select("customer_id")
     return enrich.affected_facts(
-        t.orders_latest(spark, d), None, [(t.CUSTOMER, changed)], "order_id"
+        t.orders_latest(spark, d), None, [(t.CUSTOMER, changed)], "order_id", samples=t.samples(spark, d)
     )
 
 
@@ -238,10 +246,15 @@ PARTIAL_PRODUCT = Dimension("product", t.PRODUCTS, "product_id", ("product_id",
 
 
 def partial_legs(spark: SparkSession, d: str, orders: DataFrame, keep: tuple[str, ...] = ()) -> list[DataFrame]:
+    tables, samples = _dims(spark, d), t.samples(spark, d)
     return [
         partial.main_leg(orders, "order_id", ["ts"], keep),
-        partial.dimension_leg(orders, t.customer_dim(spark, d), PARTIAL_CUSTOMER, "order_id", keep),
-        partial.dimension_leg(orders, t.product_dim(spark, d), PARTIAL_PRODUCT, "order_id", keep),
+        *[
+            partial.dimension_leg(
+                orders, tables[dim.name], dim, "order_id", keep, sample_from=samples[dim.name]
+            )
+            for dim in (PARTIAL_CUSTOMER, PARTIAL_PRODUCT)
+        ],
     ]
 
 
@@ -332,11 +345,13 @@ def contract_violations(spark, d):
 @query
 def replace_one_converged(spark, d):
     """Every version is enriched and written; the last one wins with its nulls."""
-    log = t.order_log(spark, d)
-    docs = log
-    for dim, rows in ((PARTIAL_CUSTOMER, t.customer_dim(spark, d)), (PARTIAL_PRODUCT, t.product_dim(spark, d))):
-        docs = enrich.lookup(docs, rows, dim, ["order_id", "version"])
-    stored = upsert.replace_documents(docs.select("order_id", "customer", "product", "ts", "version"), "order_id", "version")
+    docs, tables, samples = t.order_log(spark, d), _dims(spark, d), t.samples(spark, d)
+    for dim in (PARTIAL_CUSTOMER, PARTIAL_PRODUCT):
+        docs = enrich.lookup(
+            docs, tables[dim.name], dim, ["order_id", "version"], sample_from=samples[dim.name]
+        )
+    written = docs.select("order_id", "customer", "product", "ts", "version")
+    stored = upsert.replace_documents(written, "order_id", "version")
     return stored.select(
         "order_id",
         "customer.customer_id",
@@ -363,6 +378,7 @@ def update_many_dimension(spark, d):
         t.customer_dim(spark, d),
         Dimension("customer", t.CUSTOMERS, "customer_id", ("customer_id", "name", "acctbal"), "default"),
         ["order_id"],
+        sample_from=t.samples(spark, d)["customer"],
     ).select("order_id", "customer", "ts")
     changed = upsert.update_matching(
         docs,
@@ -373,6 +389,7 @@ def update_many_dimension(spark, d):
         "customer_id",
         "version",
         F.struct("customer_id", "name", "acctbal"),
+        sample_from=t.samples(spark, d)["customer"],
     )
     return changed.select(
         "order_id",
@@ -438,8 +455,11 @@ def document_projection(spark, d):
         {"first_name": F.get(halves, F.lit(0)), "last_name": F.get(halves, F.lit(1))}
     )
     dim = Dimension("customer", t.CUSTOMERS, "customer_id", ("customer_id", "first_name", "last_name", "segment"))
-    docs = enrich.lookup(t.orders_latest(spark, d), people, dim, ["order_id"])
-    docs = enrich.lookup(docs, t.product_dim(spark, d), t.PRODUCT, ["order_id"])
+    star = StarSpec(t.ORDERS, (dim, t.PRODUCT), ("order_id", "ts"))
+    docs = enrich.star_join(
+        t.orders_latest(spark, d), {"customer": people, "product": t.product_dim(spark, d)}, star,
+        samples=t.samples(spark, d),
+    )
     stored = transforms.document(docs.select("order_id", "customer", "product", "ts"), "order_id")
     return stored.select(
         "_id",

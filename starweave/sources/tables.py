@@ -27,8 +27,23 @@ PRODUCT = Dimension(
 STAR = StarSpec(ORDERS, (CUSTOMER, PRODUCT), ("order_id", "ts"))
 
 
+# Columns and types of the tables, so that no job infers them.
+SCHEMAS = {
+    "lineitem": """l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT,
+        l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE,
+        l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ""",
+    "orders": """o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE,
+        o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING""",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "part": """p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT,
+        p_retailprice DOUBLE""",
+    "events": """event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE,
+        props STRING""",
+}
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def order_lines(lineitem: DataFrame) -> DataFrame:
@@ -44,7 +59,7 @@ def order_lines(lineitem: DataFrame) -> DataFrame:
 
 
 def with_customer(
-    lines: DataFrame, orders: DataFrame, unique: bool, sample_from: DataFrame | None = None
+    lines: DataFrame, orders: DataFrame, unique: bool, sample_from: skew.Sample = None
 ) -> DataFrame:
     """Attach each order's customer. ``unique``: one line per order, so no order is heavy."""
     owners = orders.select(
@@ -70,6 +85,22 @@ def orders_latest(spark: SparkSession, sf_dir: str, deletes: bool = False) -> Da
     return with_customer(current, read(spark, sf_dir, "orders"), unique=True)
 
 
+def samples(spark: SparkSession, sf_dir: str) -> dict[str, skew.Sample]:
+    """Where to look for heavy foreign keys: the stored tables that hold them."""
+
+    def owners() -> DataFrame:
+        orders = read(spark, sf_dir, "orders")
+        customer = F.col("o_custkey").cast("string")
+        return orders.select(
+            F.col("o_orderkey").alias("order_id"), customer.alias("customer_id"), customer.alias("__match")
+        )
+
+    return {
+        "customer": owners,
+        "product": lambda: order_lines(read(spark, sf_dir, "lineitem")).select("order_id", "product_id", "version"),
+    }
+
+
 def customer_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = read(spark, sf_dir, "customer")
     events = read(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")

@@ -78,7 +78,8 @@ def test_previous_version_across_segments(spark, lines):
 
 def test_segments_cut_the_heavy_key(spark, lines):
     located = lines.withColumn("pos", F.struct("ts", "line"))
-    points = skew.split_points(located, "order_id", F.col("pos"), ["uid"], TINY)
+    drawn = skew.draw(located, ["uid"], skew.rows_per_share([located], TINY))
+    points = skew.split_points(drawn, "order_id", F.col("pos"))
     cut = skew.with_segments(located, "order_id", F.col("pos"), points)
     sizes = [r["count"] for r in cut.where("order_id = 7").groupBy("__seg").count().collect()]
     assert len(sizes) > 5 and max(sizes) < sum(sizes) / 3
@@ -114,7 +115,7 @@ def test_star_join_without_broadcast(spark, no_broadcast):
     skewed = orders.withColumn("customer_id", F.when(F.col("order_id") % 3 == 0, "9").otherwise(F.col("customer_id")))
     tables = {"customer": t.customer_dim(spark, SF), "product": t.product_dim(spark, SF)}
     plain = enrich.star_join(skewed, tables, t.STAR, policy=None)
-    salted = enrich.star_join(skewed, tables, t.STAR, policy=TINY, sample_from=t.order_log(spark, SF))
+    salted = enrich.star_join(skewed, tables, t.STAR, policy=TINY, samples={"customer": lambda: skewed})
     show = ["order_id", "customer.*", "product.brand", "ts"]
     assert difference(salted.select(*show).toPandas(), plain.select(*show).toPandas()) is None
 
