@@ -1,0 +1,130 @@
+from datetime import timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from starweave.operators import asof, changelog, enrich
+from starweave.plans import sqltables
+from starweave.schemas import ORDER_DOCUMENT, required_fields, to_millis
+from starweave.specs import Dimension, TableSpec
+from tests import shop
+
+
+def _tables(spark, customers, products):
+    return {
+        "customer": changelog.table(shop.rows(spark, shop.CUSTOMERS, *customers), shop.CUSTOMERS),
+        "product": changelog.table(shop.rows(spark, shop.PRODUCTS, *products), shop.PRODUCTS),
+    }
+
+
+def _doc(spark, orders, customers, products, on_miss=None):
+    facts = changelog.table(shop.rows(spark, shop.ORDERS, *orders), shop.ORDERS)
+    return enrich.star_join(facts, _tables(spark, customers, products), shop.STAR, on_miss).collect()
+
+
+def test_hit(spark):
+    [doc] = _doc(spark, [shop.order(1, "p1", "c1", 1)], [shop.customer("c1", "John", 1)], [shop.product("p1", "shoe", 1)])
+    assert doc.order_id == 1 and doc.ts == shop.TS
+    assert (doc.customer.first_name, doc.customer.last_name) == ("John", "Doe")
+    assert (doc.product.brand, doc.product.sale_price, doc.product.rating) == ("nike", 100, 4.5)
+
+
+def test_miss_gives_blank_records(spark):
+    [doc] = _doc(spark, [shop.order(1, "px", "cx", 1)], [], [])
+    assert doc.customer.id == "cx" and set(doc.customer[1:]) == {""}
+    assert tuple(doc.product) == ("px", "", "", 0, 0.0)
+
+
+def test_miss_gives_null_or_drops(spark):
+    args = ([shop.order(1, "px", "c1", 1)], [shop.customer("c1", "John", 1)], [])
+    [doc] = _doc(spark, *args, on_miss="null")
+    assert doc.product is None and doc.customer.first_name == "John"
+    assert _doc(spark, *args, on_miss="drop") == []
+
+
+def test_null_inside_a_matched_row_survives(spark):
+    [doc] = _doc(spark, [shop.order(1, "p1", "c1", 1)], [shop.customer("c1", "John", 1, email=None)], [])
+    assert doc.customer.email is None and doc.customer.first_name == "John"
+
+
+def test_deleted_dimension_row_is_a_miss(spark):
+    [doc] = _doc(
+        spark, [shop.order(1, "p1", "c1", 1)],
+        [shop.customer("c1", "John", 1), shop.customer("c1", None, 2, "delete")], [],
+    )
+    assert doc.customer.id == "c1" and doc.customer.first_name == ""
+
+
+def test_only_the_current_reference_is_followed(spark):
+    [doc] = _doc(
+        spark, [shop.order(1, "p1", "A", 1), shop.order(1, "p1", "B", 2)],
+        [shop.customer("A", "Ann", 1), shop.customer("B", "Bob", 1)], [],
+    )
+    assert doc.customer.first_name == "Bob"
+
+
+def test_own_joiner(spark):
+    facts = shop.rows(spark, shop.ORDERS, shop.order(1, "p1", "c1", 1), shop.order(2, "p1", "cx", 1))
+    rows = shop.rows(spark, shop.CUSTOMERS, shop.customer("c1", "John", 1))
+    greet = lambda match, fk: F.coalesce(match["first_name"], F.concat(F.lit("unknown "), fk))
+    got = enrich.lookup(facts, rows, shop.STAR.dims[0], ["order_id"], "null", greet)
+    assert {r.order_id: r.customer for r in got.collect()} == {1: "John", 2: "unknown cx"}
+
+
+def test_dimension_led_takes_one_order_and_drops_the_unreferenced(spark):
+    facts = changelog.table(
+        shop.rows(spark, shop.ORDERS, shop.order(1, "p1", "c1", 1), shop.order(2, "p1", "c1", 2)), shop.ORDERS
+    )
+    people = changelog.table(
+        shop.rows(spark, shop.CUSTOMERS, shop.customer("c1", "John", 1), shop.customer("c2", "Jane", 1)), shop.CUSTOMERS
+    )
+    led = enrich.dimension_led(people, facts, shop.STAR.dims[0], ["version", "order_id"]).collect()
+    assert [(r.customer.first_name, r.order_id) for r in led] == [("John", 2)]
+
+
+def test_asof_tie_takes_the_dimension_first_and_early_facts_miss(spark):
+    at = lambda s: shop.TS + timedelta(seconds=s)
+    facts = shop.rows(spark, shop.ORDERS, shop.order(1, "p", "c1", 1, ts=at(0)), shop.order(2, "p", "c1", 1, ts=at(5)),
+                      shop.order(3, "p", "c1", 1, ts=at(9)), shop.order(4, "p", None, 1, ts=at(9)))
+    people = shop.rows(spark, shop.CUSTOMERS, shop.customer("c1", "old", 1), shop.customer("c1", "new", 2)).withColumn(
+        "since", F.when(F.col("version") == 1, F.lit(at(5))).otherwise(F.lit(at(9))).cast("timestamp_ntz")
+    )
+    got = asof.asof_lookup(facts, people, "customer_id", "ts", "id", "since", ["version"], ["first_name"], "c", ["order_id"])
+    assert {r.order_id: r.c and r.c.first_name for r in got.collect()} == {1: None, 2: "old", 3: "new", 4: None}
+
+
+def test_sql_insert_matches_columns_by_position(spark):
+    wide = shop.rows(spark, shop.CUSTOMERS, shop.customer("c1", "John", 1))
+    from starweave.schemas import _record
+    from pyspark.sql import types as T
+
+    narrow = TableSpec("customers", "customer_id", (), _record(customer_id=T.StringType(), given=T.StringType()))
+    got = sqltables.insert_select(spark, "people", narrow, "SELECT id, first_name FROM {src}", src=wide)
+    assert [tuple(r) for r in got.collect()] == [("c1", "John")]
+    assert spark.table("people").columns == ["customer_id", "given"]
+    with pytest.raises(ValueError):
+        sqltables.insert_select(spark, "people", narrow, "SELECT id FROM {src}", src=wide)
+
+
+def test_create_table_registers_current_rows(spark):
+    log = shop.rows(spark, shop.PRODUCTS, shop.product("p1", "old", 1), shop.product("p1", "new", 2))
+    sqltables.create_table(log, shop.PRODUCTS, "products_now")
+    assert [r.name for r in spark.sql("SELECT name FROM products_now").collect()] == ["new"]
+
+
+def test_timestamps_are_cut_to_milliseconds(spark):
+    row = spark.sql("SELECT TIMESTAMP_NTZ '2024-01-01 00:00:00.123456' AS ts")
+    cut = to_millis(row, "ts")
+    assert cut.schema["ts"].dataType.simpleString() == "timestamp_ntz"
+    assert cut.collect()[0].ts.microsecond == 123000
+
+
+def test_required_fields_reach_into_records():
+    names = required_fields(ORDER_DOCUMENT)
+    assert "customer.email" in names and "ts" in names
+
+
+def test_unknown_column_is_reported(spark):
+    rows = shop.rows(spark, shop.CUSTOMERS)
+    with pytest.raises(ValueError, match="nope"):
+        enrich.lookup(shop.rows(spark, shop.ORDERS), rows, Dimension("c", shop.CUSTOMERS, "customer_id", ("id", "nope")), ["order_id"])

@@ -1,0 +1,121 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from starweave.functions import records
+from starweave.operators import transforms as tr
+from starweave.sources import streams
+
+ROW = """SELECT 1 AS order_id, named_struct('id', 'p1', 'name', CAST(NULL AS STRING)) AS product,
+                CAST(NULL AS STRUCT<id: STRING>) AS customer, CAST(NULL AS TIMESTAMP_NTZ) AS ts"""
+
+
+def _value(df):
+    return df.collect()[0].value
+
+
+def test_single_sink_chain(spark):
+    config = {
+        "transforms": "copyIdToKey, replaceFieldInKey,removeNullFields",
+        "transforms.copyIdToKey.type": "org.example.ValueToKey",
+        "transforms.copyIdToKey.fields": "order_id",
+        "transforms.replaceFieldInKey.type": "org.example.ReplaceField$Key",
+        "transforms.replaceFieldInKey.renames": "order_id:_id",
+        "transforms.removeNullFields.type": "org.example.RemoveNullFields",
+    }
+    got = tr.chain(tr.as_records(spark.sql(ROW)), tr.chain_from_config(config)).collect()[0]
+    assert got.key.asDict() == {"_id": 1}
+    assert json.loads(got.value) == {"order_id": 1, "product": {"id": "p1"}}
+
+
+def test_filtered_sink_chain(spark):
+    config = {
+        "transforms": "present,noTs,noCustomer",
+        "transforms.present.type": "Filter$Value",
+        "transforms.present.filter.condition": "$.[?(@.product)]",
+        "transforms.present.filter.type": "include",
+        "transforms.noTs.type": "ReplaceField$Value",
+        "transforms.noTs.exclude": "ts",
+        "transforms.noCustomer.type": "ReplaceField$Value",
+        "transforms.noCustomer.exclude": "customer,unknown",
+    }
+    got = tr.chain(tr.as_records(spark.sql(ROW)), tr.chain_from_config(config))
+    assert got.schema["value"].dataType.names == ["order_id", "product"] and got.count() == 1
+    config["transforms.present.filter.condition"] = "$.[?(@.ts)]"
+    assert tr.chain(tr.as_records(spark.sql(ROW)), tr.chain_from_config(config)).count() == 0
+
+
+def test_order_of_steps_matters(spark):
+    rows = tr.as_records(spark.sql(ROW))
+    late = tr.chain(rows, [tr.exclude(["order_id"]), tr.rename_value({"product": "item"})])
+    assert late.schema["value"].dataType.names == ["item", "customer", "ts"]
+
+
+def test_unknown_transform_is_reported():
+    with pytest.raises(ValueError, match="unknown type"):
+        tr.chain_from_config({"transforms": "x", "transforms.x.type": "Nope"})
+
+
+def test_empty_sub_document_is_kept(spark):
+    row = spark.sql("SELECT 1 AS id, named_struct('a', CAST(NULL AS STRING)) AS product")
+    assert _value(tr.remove_nulls()(tr.as_records(row))) == '{"id":1,"product":{}}'
+
+
+def test_null_stripping_is_deep_for_structs_and_shallow_for_maps(spark):
+    deep = spark.sql("SELECT named_struct('x', named_struct('y', named_struct('z', CAST(NULL AS INT), 'k', 0))) AS v")
+    assert deep.select(records.strip_nulls(F.col("v"))).collect()[0][0] == '{"x":{"y":{"k":0}}}'
+    flat = spark.sql("SELECT map('a', '1', 'b', CAST(NULL AS STRING)) AS v")
+    assert flat.select(records.strip_null_entries(F.col("v"))).collect()[0][0] == {"a": "1"}
+
+
+def test_tombstone_passes_through(spark):
+    gone = tr.as_records(spark.sql(ROW)).withColumn("value", F.when(F.lit(False), F.col("value")))
+    assert _value(tr.remove_nulls()(gone)) is None
+    assert _value(tr.flatten_value()(gone)) is None
+
+
+def test_flatten_value(spark):
+    flat = tr.flatten_value("_")(tr.as_records(spark.sql(ROW)))
+    assert flat.schema["value"].dataType.names == ["order_id", "product_id", "product_name", "customer_id", "ts"]
+
+
+def test_flatten_columns(spark):
+    assert records.flatten(spark.sql(ROW)).columns == ["order_id", "product.id", "product.name", "customer.id", "ts"]
+
+
+def test_unknown_record_type_fails(spark):
+    rows = spark.sql("SELECT * FROM VALUES ('customer'), ('other') AS t(kind)")
+    routes = {"customer": "c", "product": "p"}
+    assert rows.where("kind = 'customer'").select(tr.route(F.col("kind"), routes)).collect()[0][0] == "c"
+    with pytest.raises(Exception, match="no route for record type other"):
+        rows.select(tr.route(F.col("kind"), routes)).collect()
+    with pytest.raises(Exception, match="null"):
+        spark.sql("SELECT CAST(NULL AS STRING) AS kind").select(tr.route(F.col("kind"), routes)).collect()
+
+
+def test_contract(spark):
+    rows = spark.sql("SELECT * FROM VALUES (1, 'x', NULL), (2, 'y', 'z') AS t(id, a, b)")
+    assert [tuple(r) for r in tr.contract_violations(rows, "id", ["a", "b"]).collect()] == [(1, "b")]
+    assert tr.enforce_contract(rows, ["a"]).count() == 2
+    with pytest.raises(Exception, match="required field b is null"):
+        tr.enforce_contract(rows, ["a", "b"]).collect()
+
+
+def test_document_renames(spark):
+    rows = spark.sql("SELECT 7 AS order_id, named_struct('id', 'c', 'first_name', 'J', 'last_name', 'D', 'email', 'e') AS customer")
+    doc = tr.document(rows, "order_id").collect()[0]
+    assert doc._id == 7 and doc.order_id == 7
+    assert doc.customer.asDict() == {"id": "c", "firstName": "J", "lastName": "D", "email": "e"}
+
+
+def test_messages_are_decoded(spark):
+    raw = spark.sql(
+        """SELECT CAST(k AS BINARY) AS key, CAST(v AS BINARY) AS value, current_timestamp() AS timestamp,
+                  0 AS partition, o AS offset
+           FROM VALUES ('1', '{"order_id": 1, "product_id": "p"}', 0L), ('1', NULL, 1L), ('2', 'junk', 2L) AS t(k, v, o)"""
+    )
+    decoded = streams.decode_json(F.col("value").cast("string"), "order_id INT, product_id STRING")
+    got = streams.keyed_messages(raw, decoded).orderBy("version.offset").collect()
+    assert [(r.key, r.op) for r in got] == [("1", "upsert"), ("1", "delete"), ("2", "upsert")]
+    assert got[0].value.product_id == "p" and got[1].value is None
