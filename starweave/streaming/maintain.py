@@ -13,22 +13,27 @@ Each step writes to the directory of its batch id and reads nothing newer, so a
 replayed batch gives the same rows. Small intermediate results are written and
 read back, so that Spark knows their size when it plans the next join and
 broadcasts only what is small.
+
+The cost of a batch follows its changes: facts are found by key, and by foreign
+key through an index, in the hash directories the changes fall in, plus the
+batches since the last compaction.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starweave.operators import changelog, enrich, partial, skew
 from starweave.sources.logs import BATCH, LogTable
-from starweave.sources.streams import untag
-from starweave.specs import Dimension, StarSpec
+from starweave.sources.streams import TABLE, untag
+from starweave.specs import Dimension, StarSpec, TableSpec
 
 Tap = Callable[[DataFrame, int], None]
 
@@ -47,6 +52,9 @@ class Maintainer:
     mode: str = "full"
     """``full`` writes whole documents, ``partial`` one row per leg."""
     compact_every: int = 20
+    buckets: int = 16
+    """Hash directories per compacted input. Size it so that one directory is a
+    few GB: some ten thousand for 100 TB."""
     tap: Tap | None = None
     """Called with each batch's output rows; may see a batch again after a failure."""
     policy: skew.SkewPolicy | None = skew.DEFAULT
@@ -56,8 +64,12 @@ class Maintainer:
     def __post_init__(self) -> None:
         if self.mode not in ("full", "partial"):
             raise ValueError(f"unknown mode {self.mode!r}")
+        fks = tuple(dict.fromkeys(d.fk for d in self.star.dims))
         self.inputs = {
-            s.name: LogTable(self.spark, f"{self.root}/in/{s.name}", self.schemas[s.name])
+            s.name: LogTable(
+                self.spark, f"{self.root}/in/{s.name}", self.schemas[s.name], s.key, self.buckets,
+                fks if s is self.star.fact else (),
+            )
             for s in self.star.tables()
         }
         fact = self.schemas[self.star.fact.name]
@@ -86,50 +98,74 @@ class Maintainer:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         if not self.output.committed(batch_id):
-            self._append_inputs(batch, batch_id)
-            changed = {n: log.read_batch(batch_id) for n, log in self.inputs.items()}
-            self._find_affected(changed, batch_id)
-            rows = self._full(batch_id) if self.mode == "full" else self._partial(changed, batch_id)
+            changed = self._append_inputs(batch, batch_id)
+            affected = self._find_affected(changed, batch_id)
+            facts = self._current_facts(affected, batch_id)
+            rows = (
+                self._full(facts, batch_id)
+                if self.mode == "full"
+                else self._partial(facts, changed.get(self.star.fact.name), batch_id)
+            )
             self.output.write(rows, batch_id)
         if self.tap is not None:
             self.tap(self.output.read_batch(batch_id), batch_id)
         if (batch_id + 1) % self.compact_every == 0:
             self.compact(batch_id)
 
-    def _append_inputs(self, batch: DataFrame, batch_id: int) -> None:
-        """Only the newest change per key is kept, except where older ones matter:
+    def _append_inputs(self, batch: DataFrame, batch_id: int) -> dict[str, DataFrame]:
+        """Store the batch, table by table, and return the changes of those that have any.
+
+        Only the newest change per key is kept, except where older ones matter:
         for as-of history, and for partial facts, whose older versions may set
-        fields the newest leaves null."""
+        fields the newest leaves null.
+        """
         rows = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            for spec in self.star.tables():
+            present = {r[TABLE] for r in rows.select(TABLE).distinct().collect()}
+            specs = [s for s in self.star.tables() if s.name in present]
+
+            def append(spec: TableSpec) -> None:
                 changes = untag(rows, spec.name)
                 whole = spec.history or (self.mode == "partial" and spec is self.star.fact)
                 if not whole:
                     changes = changelog.latest_by_key(changes, spec.key, spec.version)
                 self.inputs[spec.name].write(changes, batch_id)
+
+            # Independent writes to different tables: let their jobs overlap.
+            with ThreadPoolExecutor(max(1, len(specs))) as pool:
+                list(pool.map(inheritable_thread_target(self.spark)(append), specs))
         finally:
             rows.unpersist()
+        return {s.name: self.inputs[s.name].read_batch(batch_id) for s in specs}
 
-    def _find_affected(self, changed: Mapping[str, DataFrame], batch_id: int) -> None:
-        """References in outdated fact versions are included: recomputing a
-        document needlessly is harmless, and it saves compacting the log first."""
-        star = self.star
-        facts = self.inputs[star.fact.name].read(batch_id)
-        dims = [
-            (d, changed[d.table.name]) for d in star.dims if not changed[d.table.name].isEmpty()
-        ]
-        keys = enrich.affected_facts(
-            facts, changed[star.fact.name], dims, star.fact.key, self.policy
-        )
-        self._affected.write(keys, batch_id)
+    def _find_affected(self, changed: Mapping[str, DataFrame], batch_id: int) -> DataFrame:
+        """Keys of the facts to recompute.
+
+        References in outdated fact versions are included: recomputing a
+        document needlessly is harmless, and it saves compacting the log first.
+        """
+        fact = self.star.fact
+        legs = [changed[fact.name].select(fact.key)] if fact.name in changed else []
+        for dim in self.star.dims:
+            if dim.table.name in changed:
+                keys = changed[dim.table.name].select(dim.table.key)
+                facts = self.inputs[fact.name].read_keys(dim.fk, batch_id, keys)
+                legs.append(enrich.affected_facts(facts, None, [(dim, keys)], fact.key, self.policy))
+        if len(legs) == 1 and fact.name in changed:
+            return legs[0].distinct() if self.mode == "partial" else legs[0]
+        found = partial.union_legs(*legs).distinct() if legs else self._nothing()
+        self._affected.write(found, batch_id)
+        return self._affected.read_batch(batch_id).select(fact.key)
+
+    def _nothing(self) -> DataFrame:
+        return self.spark.createDataFrame([], self._affected.schema)
 
-    def _current_facts(self, batch_id: int) -> DataFrame:
+    def _current_facts(self, affected: DataFrame, batch_id: int) -> DataFrame:
         """Newest row of every affected fact, deletes included."""
         fact = self.star.fact
-        affected = self._affected.read_batch(batch_id).select(F.col(fact.key).alias("__key"))
-        log = self.inputs[fact.name].read(batch_id)
-        hit = skew.lookup_join(log, affected, fact.key, "__key", "left_semi", [fact.key, BATCH], self.policy)
+        keys = affected.select(F.col(fact.key).alias("__key"))
+        log = self.inputs[fact.name].read(batch_id, near=keys)
+        hit = skew.lookup_join(log, keys, fact.key, "__key", "left_semi", [fact.key, BATCH], self.policy)
         current = changelog.latest_by_key(hit, fact.key, [*fact.version, BATCH])
         self._touched.write(current, batch_id)
         return self._touched.read_batch(batch_id)
@@ -138,7 +174,7 @@ class Maintainer:
         """Current dimension rows that these facts reference."""
         spec = dim.table
         wanted = facts.select(F.col(dim.fk).alias("__fk")).where("__fk IS NOT NULL").distinct()
-        log = self.inputs[spec.name].read(batch_id)
+        log = self.inputs[spec.name].read(batch_id, near=wanted)
         narrow = log.select(*self._dimension_columns(dim), BATCH)
         hit = skew.lookup_join(narrow, wanted, spec.key, "__fk", "left_semi", [spec.key, BATCH], self.policy)
         return changelog.latest_by_key(hit, spec.key, [*spec.version, BATCH], spec.op)
@@ -166,9 +202,8 @@ class Maintainer:
             ]
         )
 
-    def _full(self, batch_id: int) -> DataFrame:
+    def _full(self, facts: DataFrame, batch_id: int) -> DataFrame:
         star = self.star
-        facts = self._current_facts(batch_id)
         live, dead = self._split(facts)
         tables = {d.name: self._needed(d, facts, batch_id) for d in star.dims}
         docs = self._conform(enrich.star_join(live, tables, star, policy=self.policy), changelog.UPSERT)
@@ -181,13 +216,11 @@ class Maintainer:
             docs = docs.unionByName(self._conform(lost, changelog.DELETE))
         return docs
 
-    def _partial(self, changed: Mapping[str, DataFrame], batch_id: int) -> DataFrame:
+    def _partial(self, current: DataFrame, arrived: DataFrame | None, batch_id: int) -> DataFrame:
         """One row per leg: for every fact version in the batch, and for the
         current version of facts whose dimension row changed."""
         star, fact = self.star, self.star.fact
-        arrived = changed[fact.name]
-        current = self._current_facts(batch_id)
-        every = current.unionByName(arrived).drop(BATCH)
+        every = (current if arrived is None else current.unionByName(arrived)).drop(BATCH)
         every = every.dropDuplicates([fact.key, *fact.version])
         live, dead = self._split(every)
         keep = list(fact.version)
