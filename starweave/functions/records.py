@@ -29,16 +29,6 @@ def blank(kind: T.DataType) -> Column:
     return F.lit(None).cast(kind)
 
 
-def blank_record(kind: T.StructType, key_field: str, key_value: Column) -> Column:
-    """A record that carries only its key, every other field blank."""
-    return F.struct(
-        *[
-            (key_value.cast(f.dataType) if f.name == key_field else blank(f.dataType)).alias(f.name)
-            for f in kind.fields
-        ]
-    )
-
-
 def strip_nulls(value: Column) -> Column:
     """JSON text of a struct without null fields, at any depth; ``{}`` is kept.
 

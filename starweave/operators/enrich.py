@@ -6,8 +6,9 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from starweave.functions.records import blank_record, record
+from starweave.functions.records import blank, record
 from starweave.operators import skew
 from starweave.operators.changelog import latest_per_group
 from starweave.specs import Dimension, OnMiss, StarSpec
@@ -45,18 +46,46 @@ def lookup(
     """
     miss = on_miss or dim.on_miss
     how = "inner" if miss == "drop" else "left"
+    by = lookup_by or dim.fk
+    if miss == "default" and joiner is None:
+        flat, kind = _flat_lookup(rows, dim)
+        found = skew.lookup_join(fact, flat, by, "__key", how, ids, policy, sample_from)
+        filled = _filled(kind, dim)
+        return found.withColumn(dim.name, filled).drop("__key", *[f"__{f}" for f in kind.names])
     found = skew.lookup_join(
-        fact, _as_lookup(rows, dim), lookup_by or dim.fk, "__key", how, ids, policy, sample_from
+        fact, _as_lookup(rows, dim), by, "__key", how, ids, policy, sample_from
     ).drop("__key")
     if joiner is not None:
         return found.withColumn(dim.name, joiner(F.col(dim.name), F.col(dim.fk)))
-    if miss == "default":
-        kind = found.schema[dim.name].dataType
-        empty = blank_record(kind, dim.rename_key or dim.table.key, F.col(dim.fk))
-        return found.withColumn(dim.name, F.coalesce(dim.name, empty))
     return found
 
 
+def _flat_lookup(rows: DataFrame, dim: Dimension) -> tuple[DataFrame, T.StructType]:
+    """The sub-document's fields as plain columns, so that fields nobody reads
+    are pruned down to the scan of the dimension."""
+    key = dim.table.key
+    names = [dim.rename_key if c == key and dim.rename_key else c for c in dim.columns]
+    record(rows.schema, dim.columns)
+    flat = rows.select(F.col(key).alias("__key"), *[F.col(c).alias(f"__{n}") for c, n in zip(dim.columns, names)])
+    kinds = [rows.schema[c].dataType for c in dim.columns]
+    return flat, T.StructType([T.StructField(n, k) for n, k in zip(names, kinds)])
+
+
+def _filled(kind: T.StructType, dim: Dimension) -> Column:
+    """The matched row, or a blank record. The choice is made for the row as a
+    whole, so nulls inside a matched row survive."""
+    hit = F.col("__key").isNotNull()
+    key = dim.rename_key or dim.table.key
+    return F.struct(
+        *[
+            F.when(hit, F.col(f"__{f.name}"))
+            .otherwise(F.col(dim.fk).cast(f.dataType) if f.name == key else blank(f.dataType))
+            .alias(f.name)
+            for f in kind.fields
+        ]
+    )
+
+
 def star_join(
     fact: DataFrame,
     tables: Mapping[str, DataFrame],

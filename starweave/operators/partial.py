@@ -8,7 +8,7 @@ idempotent: batches may be split, reordered or replayed freely.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,6 +50,40 @@ def union_legs(*legs: DataFrame) -> DataFrame:
     return merged
 
 
+def wide_rows(
+    fact: DataFrame,
+    tables: Mapping[str, DataFrame],
+    dims: Sequence[Dimension],
+    key: str,
+    columns: Sequence[str],
+    keep: Sequence[str] = (),
+    policy: skew.SkewPolicy | None = skew.DEFAULT,
+    samples: Mapping[str, skew.Sample] | None = None,
+) -> DataFrame:
+    """All legs of a fact row side by side: one scan of the facts for all of them.
+
+    Legs fill disjoint fields at the same version, so merging this row by field
+    gives what merging the separate legs gives.
+    """
+    rows = fact.select(key, *keep, *columns, *dict.fromkeys(d.fk for d in dims))
+    for dim in dims:
+        sample = (samples or {}).get(dim.name)
+        rows = lookup(rows, tables[dim.name], dim, [key, *keep], "null", None, policy, sample)
+    return rows.select(key, *keep, *columns, *[d.name for d in dims])
+
+
+def stacked_legs(rows: DataFrame, key: str, legs: Sequence[Sequence[str]], keep: Sequence[str] = ()) -> DataFrame:
+    """Wide rows as one row per leg, each with only its own fields set."""
+    fields = [f for leg in legs for f in leg]
+    kinds = {f: rows.schema[f].dataType for f in fields}
+
+    def only(leg: Sequence[str]) -> Column:
+        return F.struct(*[(F.col(f) if f in leg else F.lit(None).cast(kinds[f])).alias(f) for f in fields])
+
+    stacked = rows.select(key, *keep, F.explode(F.array(*[only(leg) for leg in legs])).alias("__leg"))
+    return stacked.select(key, *keep, "__leg.*")
+
+
 def stamp(
     df: DataFrame,
     key: str,

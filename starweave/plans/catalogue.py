@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from starweave.functions.records import strip_null_entries, strip_nulls, text_map
 from starweave.operators import asof, changelog, enrich, partial, transforms, upsert
 from starweave.plans import sqltables
+from starweave.session import stage
 from starweave.sources import tables as t
 from starweave.specs import Dimension, StarSpec
 
@@ -108,11 +109,10 @@ def enrich_orders_customer(spark, d):
     return docs.select("order_id", "product_id", *_customer(), "ts")
 
 
-def flagship(spark: SparkSession, d: str) -> DataFrame:
+def flagship(spark: SparkSession, d: str, orders: DataFrame | None = None) -> DataFrame:
     """Current orders with both sub-documents, blanks on a miss."""
-    return enrich.star_join(
-        t.orders_latest(spark, d), _dims(spark, d), t.STAR, samples=t.samples(spark, d)
-    )
+    facts = t.orders_latest(spark, d) if orders is None else orders
+    return enrich.star_join(facts, _dims(spark, d), t.STAR, samples=t.samples(spark, d))
 
 
 @query
@@ -157,50 +157,54 @@ def stream_table_left_asof(spark, d):
     )
 
 
-@query
-def customer_led_enrichment(spark, d):
-    led = enrich.dimension_led(
-        changelog.table(t.customer_log(spark, d), t.CUSTOMERS),
-        t.orders_latest(spark, d),
-        t.CUSTOMER,
-        ["version", "order_id"],
+def _customer_led(spark: SparkSession, d: str, orders: DataFrame) -> DataFrame:
+    people = changelog.table(t.customer_log(spark, d), t.CUSTOMERS)
+    led = enrich.dimension_led(people, orders, t.CUSTOMER, ["version", "order_id"])
+    return enrich.lookup(
+        led, t.product_dim(spark, d), t.PRODUCT, ["order_id"], sample_from=t.samples(spark, d)["product"]
     )
-    docs = enrich.lookup(led, t.product_dim(spark, d), t.PRODUCT, ["order_id"])
-    return docs.select("order_id", *_customer(), *_product(), "ts")
 
 
-def _product_led(spark: SparkSession, d: str, lookup_by: str | None) -> DataFrame:
-    led = enrich.dimension_led(
-        changelog.table(t.product_log(spark, d), t.PRODUCTS),
-        t.orders_latest(spark, d),
-        t.PRODUCT,
-        ["version", "order_id"],
-    )
+def _product_led(spark: SparkSession, d: str, orders: DataFrame, lookup_by: str | None = None) -> DataFrame:
+    goods = changelog.table(t.product_log(spark, d), t.PRODUCTS)
+    led = enrich.dimension_led(goods, orders, t.PRODUCT, ["version", "order_id"])
+    sample = t.samples(spark, d)["customer"] if lookup_by is None else None
     return enrich.lookup(
-        led, t.customer_dim(spark, d), t.CUSTOMER, ["order_id"], lookup_by=lookup_by
-    ).select("order_id", *_customer(), *_product(), "ts")
+        led, t.customer_dim(spark, d), t.CUSTOMER, ["order_id"], sample_from=sample, lookup_by=lookup_by
+    )
+
+
+@query
+def customer_led_enrichment(spark, d):
+    docs = _customer_led(spark, d, t.orders_latest(spark, d))
+    return docs.select("order_id", *_customer(), *_product(), "ts")
 
 
 @query
 def product_led_enrichment(spark, d):
-    return _product_led(spark, d, None)
+    docs = _product_led(spark, d, t.orders_latest(spark, d))
+    return docs.select("order_id", *_customer(), *_product(), "ts")
 
 
 @query
 def product_led_as_written(spark, d):
     """The literal form of the leg: the customer is looked up by product id."""
-    return _product_led(spark, d, "product_id")
+    docs = _product_led(spark, d, t.orders_latest(spark, d), "product_id")
+    return docs.select("order_id", *_customer(), *_product(), "ts")
 
 
 @query
 def three_leg_union(spark, d):
+    """Each leg needs the current orders, so they are compacted once, to a table."""
+    current = t.orders_latest(spark, d).select("order_id", "product_id", "customer_id", "ts", "version")
+    orders = stage(current, "orders")
     legs = {
-        "orders": enrich_orders_left(spark, d),
-        "customers": customer_led_enrichment(spark, d),
-        "products": product_led_enrichment(spark, d),
+        "orders": flagship(spark, d, orders),
+        "customers": _customer_led(spark, d, orders),
+        "products": _product_led(spark, d, orders),
     }
     tagged = [
-        leg.select(F.lit(name).alias("leg"), "order_id", "customer_id", "product_id")
+        leg.select(F.lit(name).alias("leg"), "order_id", "customer.customer_id", "product.product_id")
         for name, leg in legs.items()
     ]
     return partial.union_legs(*tagged)
@@ -245,37 +249,44 @@ PARTIAL_CUSTOMER = Dimension("customer", t.CUSTOMERS, "customer_id", CUSTOMER_FI
 PARTIAL_PRODUCT = Dimension("product", t.PRODUCTS, "product_id", ("product_id", "brand", "name"), "null")
 
 
-def partial_legs(spark: SparkSession, d: str, orders: DataFrame, keep: tuple[str, ...] = ()) -> list[DataFrame]:
-    tables, samples = _dims(spark, d), t.samples(spark, d)
+PARTIAL_DIMS = (PARTIAL_CUSTOMER, PARTIAL_PRODUCT)
+
+
+def partial_legs(spark: SparkSession, d: str) -> list[DataFrame]:
+    """The three legs as separate plans; what one sink filters out is never computed."""
+    orders, tables, samples = t.orders_latest(spark, d), _dims(spark, d), t.samples(spark, d)
     return [
-        partial.main_leg(orders, "order_id", ["ts"], keep),
+        partial.main_leg(orders, "order_id", ["ts"]),
         *[
-            partial.dimension_leg(
-                orders, tables[dim.name], dim, "order_id", keep, sample_from=samples[dim.name]
-            )
-            for dim in (PARTIAL_CUSTOMER, PARTIAL_PRODUCT)
+            partial.dimension_leg(orders, tables[dim.name], dim, "order_id", sample_from=samples[dim.name])
+            for dim in PARTIAL_DIMS
         ],
     ]
 
 
 def _nested_partials(spark: SparkSession, d: str) -> DataFrame:
-    return partial.union_legs(*partial_legs(spark, d, t.orders_latest(spark, d)))
+    """All three legs, from one pass over the orders."""
+    wide = partial.wide_rows(
+        t.orders_latest(spark, d), _dims(spark, d), PARTIAL_DIMS, "order_id", ["ts"],
+        samples=t.samples(spark, d),
+    )
+    return partial.stacked_legs(wide, "order_id", [["ts"], ["customer"], ["product"]])
 
 
 @query
 def partial_orders_main(spark, d):
-    return partial_legs(spark, d, t.orders_latest(spark, d))[0]
+    return partial_legs(spark, d)[0]
 
 
 @query
 def partial_orders_customer(spark, d):
-    leg = partial_legs(spark, d, t.orders_latest(spark, d))[1]
+    leg = partial_legs(spark, d)[1]
     return leg.select("order_id", "customer.customer_id", F.col("customer.name").alias("customer_name"))
 
 
 @query
 def partial_orders_product(spark, d):
-    leg = partial_legs(spark, d, t.orders_latest(spark, d))[2]
+    leg = partial_legs(spark, d)[2]
     return leg.select("order_id", "product.product_id", F.col("product.name").alias("product_name"))
 
 
@@ -286,24 +297,26 @@ def partial_union(spark, d):
 
 @query
 def sink_ts_only(spark, d):
-    return upsert.only_present(_nested_partials(spark, d), "ts", ["product", "customer"])
+    return upsert.only_present(partial.union_legs(*partial_legs(spark, d)), "ts", ["product", "customer"])
 
 
 @query
 def sink_product_only(spark, d):
-    rows = upsert.only_present(_nested_partials(spark, d), "product", ["ts", "customer"])
+    rows = upsert.only_present(partial.union_legs(*partial_legs(spark, d)), "product", ["ts", "customer"])
     return rows.select("order_id", "product.product_id", F.col("product.name").alias("product_name"))
 
 
 @query
 def sink_customer_only(spark, d):
-    rows = upsert.only_present(_nested_partials(spark, d), "customer", ["ts", "product"])
+    rows = upsert.only_present(partial.union_legs(*partial_legs(spark, d)), "customer", ["ts", "product"])
     return rows.select("order_id", "customer.customer_id", F.col("customer.name").alias("customer_name"))
 
 
 def _merged_legs(spark: SparkSession, d: str, flat: bool) -> DataFrame:
-    legs = partial_legs(spark, d, t.order_log(spark, d), ("version",))
-    rows = partial.union_legs(*legs)
+    rows = partial.wide_rows(
+        t.order_log(spark, d), _dims(spark, d), PARTIAL_DIMS, "order_id", ["ts"], ["version"],
+        samples=t.samples(spark, d),
+    )
     return partial.merge_fields(rows, "order_id", "version", ["customer", "product", "ts"], flat=flat)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "starweave", cores: int | str = "*", **conf: str) -> SparkSession:
@@ -35,3 +35,14 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     base = shared.rstrip("/") if shared else tempfile.mkdtemp(prefix="starweave-")
     return f"{base}/{label}-{uuid.uuid4().hex}"
+
+
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """Write a result that several branches of a plan use, and read it back.
+
+    Column pruning differs between the branches, so Spark would otherwise
+    compute it once for each. The copy survives lost executors.
+    """
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

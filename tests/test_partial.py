@@ -5,7 +5,6 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from starweave.operators import partial, upsert
-from starweave.plans.catalogue import partial_legs  # noqa: F401  (import check)
 from tests import shop
 
 SCHEMA = "id INT, a STRING, b STRING, version INT, op STRING"
@@ -81,3 +80,18 @@ def test_batches_may_be_split_and_reordered(spark, data, seed, parts):
         stamped = partial.merge_stamped(stamped, "id", FIELDS)
         merged = stamped if merged is None else partial.merge_stamped(merged.unionByName(stamped), "id", FIELDS)
     assert _docs(partial.unstamp(merged, "id", FIELDS)) == want
+
+
+def test_stacked_legs_equal_separate_legs(spark):
+    orders = shop.rows(spark, shop.ORDERS, shop.order(1, "p1", "A", 1), shop.order(2, "px", "A", 1))
+    tables = {
+        "customer": shop.rows(spark, shop.CUSTOMERS, shop.customer("A", "Ann", 1)),
+        "product": shop.rows(spark, shop.PRODUCTS, shop.product("p1", "shoe", 1)),
+    }
+    dims = shop.STAR.dims
+    legs = [partial.main_leg(orders, "order_id", ["ts"])]
+    legs += [partial.dimension_leg(orders, tables[d.name], d, "order_id") for d in dims]
+    wide = partial.wide_rows(orders, tables, dims, "order_id", ["ts"])
+    stacked = partial.stacked_legs(wide, "order_id", [["ts"], ["customer"], ["product"]])
+    separate = partial.union_legs(*legs).select(*stacked.columns)
+    assert sorted(map(repr, stacked.collect())) == sorted(map(repr, separate.collect()))
