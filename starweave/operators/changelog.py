@@ -38,8 +38,10 @@ def latest_by_key(
 
     The rank filter lets Spark keep one row per key in each map task before the
     shuffle, so a hot key costs one row per task. Deletes must take part in the
-    ranking: removing them first would bring back the value they deleted.
+    ranking: removing them first would bring back the value they deleted. Rows
+    without a key belong to no table.
     """
+    df = df.dropna(how="any", subset=as_list(key))
     newest_first = [c.desc() for c in version_columns(df, version)]
     ranked = Window.partitionBy(*as_list(key)).orderBy(*newest_first)
     latest = df.withColumn("__rank", F.row_number().over(ranked)).where("__rank = 1").drop("__rank")
@@ -59,7 +61,7 @@ def latest_per_group(
     Grouping current rows means a row that moved to another group is not left
     behind in the old one.
     """
-    return latest_by_key(rows.where(F.col(group).isNotNull()), group, order)
+    return latest_by_key(rows, group, order)
 
 
 def with_previous(

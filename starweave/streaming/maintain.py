@@ -51,6 +51,10 @@ class Maintainer:
     """Row schema of each input table, by table name."""
     mode: str = "full"
     """``full`` writes whole documents, ``partial`` one row per leg."""
+    refresh: str = "all"
+    """Which facts a dimension change reaches: ``all`` that reference it, only the
+    ``latest`` one per dimension key, or ``none`` (facts look up the dimensions
+    as they are when the fact arrives; see ``sinks.UpdateMatching``)."""
     compact_every: int = 20
     buckets: int = 16
     """Hash directories per compacted input. Size it so that one directory is a
@@ -64,6 +68,8 @@ class Maintainer:
     def __post_init__(self) -> None:
         if self.mode not in ("full", "partial"):
             raise ValueError(f"unknown mode {self.mode!r}")
+        if self.refresh not in ("all", "latest", "none"):
+            raise ValueError(f"unknown refresh {self.refresh!r}")
         fks = tuple(dict.fromkeys(d.fk for d in self.star.dims))
         self.inputs = {
             s.name: LogTable(
@@ -147,10 +153,11 @@ class Maintainer:
         fact = self.star.fact
         legs = [changed[fact.name].select(fact.key)] if fact.name in changed else []
         for dim in self.star.dims:
-            if dim.table.name in changed:
+            if dim.table.name in changed and self.refresh != "none":
                 keys = changed[dim.table.name].select(dim.table.key)
                 facts = self.inputs[fact.name].read_keys(dim.fk, batch_id, keys)
-                legs.append(enrich.affected_facts(facts, None, [(dim, keys)], fact.key, self.policy))
+                hit = enrich.affected_facts(facts, None, [(dim, keys)], fact.key, self.policy)
+                legs.append(hit if self.refresh == "all" else self._newest(hit, dim, keys, batch_id))
         if len(legs) == 1 and fact.name in changed:
             return legs[0].distinct() if self.mode == "partial" else legs[0]
         found = partial.union_legs(*legs).distinct() if legs else self._nothing()
@@ -160,14 +167,29 @@ class Maintainer:
     def _nothing(self) -> DataFrame:
         return self.spark.createDataFrame([], self._affected.schema)
 
-    def _current_facts(self, affected: DataFrame, batch_id: int) -> DataFrame:
-        """Newest row of every affected fact, deletes included."""
+    def _newest(self, hit: DataFrame, dim: Dimension, changed: DataFrame, batch_id: int) -> DataFrame:
+        """Of the facts found for a dimension, the most recent per changed key."""
+        fact = self.star.fact
+        live, _ = self._split(self._read_facts(hit, batch_id))
+        keys = changed.select(F.col(dim.table.key).alias("__key"))
+        still = skew.lookup_join(live, keys, dim.fk, "__key", "left_semi", [fact.key], self.policy)
+        return changelog.latest_per_group(still, dim.fk, [*fact.version, fact.key]).select(fact.key)
+
+    def _read_facts(self, affected: DataFrame, batch_id: int) -> DataFrame:
+        """Newest row of every given fact, deletes included."""
         fact = self.star.fact
         keys = affected.select(F.col(fact.key).alias("__key"))
         log = self.inputs[fact.name].read(batch_id, near=keys)
-        hit = skew.lookup_join(log, keys, fact.key, "__key", "left_semi", [fact.key, BATCH], self.policy)
-        current = changelog.latest_by_key(hit, fact.key, [*fact.version, BATCH])
-        self._touched.write(current, batch_id)
+        policy = self._row_policy(fact, self.mode == "partial")
+        hit = skew.lookup_join(log, keys, fact.key, "__key", "left_semi", [fact.key, BATCH], policy)
+        return changelog.latest_by_key(hit, fact.key, [*fact.version, BATCH])
+
+    def _row_policy(self, spec: TableSpec, uncompacted: bool) -> skew.SkewPolicy | None:
+        """A log that is compacted batch by batch has no heavy keys to look for."""
+        return self.policy if spec.history or uncompacted else None
+
+    def _current_facts(self, affected: DataFrame, batch_id: int) -> DataFrame:
+        self._touched.write(self._read_facts(affected, batch_id), batch_id)
         return self._touched.read_batch(batch_id)
 
     def _needed(self, dim: Dimension, facts: DataFrame, batch_id: int) -> DataFrame:
@@ -176,7 +198,8 @@ class Maintainer:
         wanted = facts.select(F.col(dim.fk).alias("__fk")).where("__fk IS NOT NULL").distinct()
         log = self.inputs[spec.name].read(batch_id, near=wanted)
         narrow = log.select(*self._dimension_columns(dim), BATCH)
-        hit = skew.lookup_join(narrow, wanted, spec.key, "__fk", "left_semi", [spec.key, BATCH], self.policy)
+        policy = self._row_policy(spec, False)
+        hit = skew.lookup_join(narrow, wanted, spec.key, "__fk", "left_semi", [spec.key, BATCH], policy)
         return changelog.latest_by_key(hit, spec.key, [*spec.version, BATCH], spec.op)
 
     @staticmethod

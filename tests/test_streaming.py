@@ -273,3 +273,29 @@ def test_log_reads_as_of_a_batch(spark, tmp_path):
     assert {(r.name, r[BATCH]) for r in log.read().collect()} == {("v1", 1), ("v2", 2)}
     with pytest.raises(ValueError, match="compacted"):
         log.read(0)
+
+
+def test_a_dimension_change_may_reach_the_latest_order_only(spark, feeds, pipe):
+    keep = maintainer(spark, pipe, refresh="latest")
+    feeds.add(orders=[shop.order(1, "p1", "A", 1), shop.order(2, "p1", "A", 2), shop.order(3, "p1", "B", 3)])
+    finish(pipe.run(feeds.stream(), keep, "keep"))
+    feeds.add(customers=[shop.customer("A", "Ann", 1)])
+    finish(pipe.run(feeds.stream(), keep, "keep"))
+    assert names(keep.documents()) == {1: ("", ""), 2: ("Ann", ""), 3: ("", "")}
+
+
+def test_orders_as_a_stream_with_pushed_updates(spark, feeds, pipe):
+    """Orders see the dimensions of their arrival; two more jobs push changes."""
+    keep = maintainer(spark, pipe, refresh="none")
+    sink = ReplaceSink(spark, pipe.path("store"), "order_id", keep.output.schema)
+    push = UpdateMatching(sink, "customer", "customer.id", "id", ["version"], F.struct(*shop.CUSTOMERS.schema.names[:10]))
+    feeds.add(orders=[shop.order(1, "p1", "A", 1)])
+    finish(pipe.run(feeds.stream(), keep, "keep"))
+    finish(pipe.run(keep.output.stream(), sink, "sink"))
+    feeds.add(customers=[shop.customer("A", "Ann", 1)], orders=[shop.order(2, "p1", "A", 1)])
+    finish(pipe.run(feeds.stream(), keep, "keep"))
+    finish(pipe.run(keep.output.stream(), sink, "sink"))
+    assert names(sink.documents()) == {1: ("", ""), 2: ("Ann", "")}
+    people = streams.parquet_stream(spark, f"{feeds.root}/customers", shop.CUSTOMERS.schema)
+    finish(pipe.run(people, push, "push"))
+    assert names(sink.documents()) == {1: ("Ann", ""), 2: ("Ann", "")}
