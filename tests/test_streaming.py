@@ -39,6 +39,18 @@ class Feeds:
         return shop.rows(self.spark, SPECS[name], *self.sent[name])
 
 
+@pytest.fixture(autouse=True)
+def quick_plans(spark):
+    """A few rows per batch: compiling each plan would take longer than running it."""
+    changes = {"spark.sql.codegen.wholeStage": "false", "spark.sql.shuffle.partitions": "2"}
+    before = {k: spark.conf.get(k) for k in changes}
+    for k, v in changes.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
 @pytest.fixture
 def feeds(spark, tmp_path):
     return Feeds(spark, tmp_path / "feeds")
@@ -50,7 +62,7 @@ def pipe(tmp_path):
 
 
 def maintainer(spark, pipe, **options):
-    return Maintainer(spark, shop.STAR, pipe.path("state"), shop.SCHEMAS, **options)
+    return Maintainer(spark, shop.STAR, pipe.path("state"), shop.SCHEMAS, **{"buckets": 3, **options})
 
 
 def names(docs):
