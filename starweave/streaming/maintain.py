@@ -287,3 +287,9 @@ class Maintainer:
         if self.mode == "full":
             key = self.star.fact.key
             self.output.compact(batch_id, lambda rows: changelog.latest_by_key(rows, key, BATCH))
+
+    def vacuum(self, keep: int = 2) -> None:
+        """Delete superseded compactions of the inputs (see ``LogTable.vacuum``).
+        The output log is left alone: sinks may still be reading it."""
+        for log in self.inputs.values():
+            log.vacuum(keep)

@@ -287,6 +287,39 @@ def test_log_reads_as_of_a_batch(spark, tmp_path):
         log.read(0)
 
 
+def test_compacted_log_opens_only_the_directories_it_needs(spark, tmp_path):
+    log = LogTable(spark, str(tmp_path / "log"), shop.ORDERS.schema, "order_id", 8, ("customer_id",))
+    keep = lambda rows: changelog.latest_by_key(rows, "order_id", ["version", BATCH])
+    data = [shop.order(i, "p", f"c{i % 5}", 1) for i in range(40)]
+    log.write(shop.rows(spark, shop.ORDERS, *data), 0)
+    log.compact(0, keep)
+    log.write(shop.rows(spark, shop.ORDERS, shop.order(41, "p", "c1", 1)), 1)
+    near = spark.createDataFrame([(3,)], "order_id INT")
+    found = log.read(near=near)
+    assert 0 < found.count() < 41 and {3, 41} <= {r.order_id for r in found.collect()}
+    by_fk = log.read_keys("customer_id", None, spark.createDataFrame([("c1",)], "customer_id STRING"))
+    want = {i for i in range(40) if i % 5 == 1} | {41}
+    assert {r.order_id for r in by_fk.where("customer_id = 'c1'").collect()} == want
+    assert by_fk.count() < 41
+    for n in (1, 2, 3):
+        log.write(shop.rows(spark, shop.ORDERS, shop.order(50 + n, "p", "c9", 1)), n + 1)
+        log.compact(n + 1, keep)
+    log.vacuum(keep=2)
+    assert len(log._bases()) == 2 and not log.committed(3) and log.committed(4)
+    assert log.read().count() == 44
+
+
+def test_index_may_be_missing(spark, tmp_path):
+    log = LogTable(spark, str(tmp_path / "log"), shop.ORDERS.schema, "order_id", 4, ("customer_id",))
+    log.write(shop.rows(spark, shop.ORDERS, shop.order(1, "p", "c1", 1), shop.order(2, "p", "c2", 1)), 0)
+    log.compact(0, lambda rows: rows)
+    files.delete(spark, log._part("index-customer_id", log.base()))
+    near = spark.createDataFrame([("c1",)], "customer_id STRING")
+    assert {r.order_id for r in log.read_keys("customer_id", None, near).collect()} == {1, 2}
+    log.compact(0, lambda rows: rows)  # completes what is missing
+    assert {r.order_id for r in log.read_keys("customer_id", None, near).collect() if r.customer_id == "c1"} == {1}
+
+
 def test_a_dimension_change_may_reach_the_latest_order_only(spark, feeds, pipe):
     keep = maintainer(spark, pipe, refresh="latest")
     feeds.add(orders=[shop.order(1, "p1", "A", 1), shop.order(2, "p1", "A", 2), shop.order(3, "p1", "B", 3)])
