@@ -41,7 +41,8 @@ def latest_by_key(
     ranking: removing them first would bring back the value they deleted. Rows
     without a key belong to no table.
     """
-    df = df.dropna(how="any", subset=as_list(key))
+    for name in as_list(key):
+        df = df.where(F.col(name).isNotNull())
     newest_first = [c.desc() for c in version_columns(df, version)]
     ranked = Window.partitionBy(*as_list(key)).orderBy(*newest_first)
     latest = df.withColumn("__rank", F.row_number().over(ranked)).where("__rank = 1").drop("__rank")
