@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -30,11 +31,16 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder every executor can reach.
 
     The cluster names its shared folder in ``spark.checkpoint.dir``. A local
-    temporary folder is used only where that setting is missing (tests).
+    temporary folder is used only where that setting is missing and the whole
+    session is one process (tests); elsewhere executors could not see it.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    base = shared.rstrip("/") if shared else tempfile.mkdtemp(prefix="starweave-")
-    return f"{base}/{label}-{uuid.uuid4().hex}"
+    if not shared:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError(f"spark.checkpoint.dir must name a folder shared by all executors of {master}")
+        shared = tempfile.mkdtemp(prefix="starweave-")
+    return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
