@@ -5,8 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starweave.llm import bpe, sharding
-from starweave.llm.tables import documents, text_or_empty
+from starweave.llm import bpe, mixing, pii, quality, sharding
+from starweave.llm.ngram_join import JaccardJoin
+from starweave.llm.tables import documents, table, text_or_empty
+
+
+#: Pseudonyms of the registered query; a real run brings its own secret.
+PSEUDONYM_KEY = "starweave-example-key"
+
+
+def op1_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs.select("doc_id", "text", "source", "lang"), model, F.col("source"), F.col("lang")).select(
+        "doc_id", "p_doc", "host_rate", "path_rate", "posterior", "keep"
+    )
 
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +29,15 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(decoded).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return JaccardJoin(words=4, percent=85).run(documents(spark, sf_dir))[0]
+
+
+def op6_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return pii.pseudonymise(docs, PSEUDONYM_KEY, count="n_private")
+
+
 def op8_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = text_or_empty().cast("binary")
     narrow = documents(spark, sf_dir).select(
@@ -33,9 +55,23 @@ def op8_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = documents(spark, sf_dir).select(
+        "doc_id", "source", mixing.word_count().alias("size"), mixing.clean_words().alias("clean")
+    )
+    quality_ = mixing.quality_weight(F.col("size"), F.col("clean"))
+    return mixing.mix(counted, F.col("size"), quality_, seed="mix").select(
+        "doc_id", "size", "source_size", "target", "taken"
+    )
+
+
 QUERIES = {
+    "op1_site_quality": op1_site_quality,
     "op3_byte_bpe": op3_byte_bpe,
+    "op5_ngram_join": op5_ngram_join,
+    "op6_pseudonyms": op6_pseudonyms,
     "op8_byte_shards": op8_byte_shards,
+    "op9_source_mix": op9_source_mix,
 }
 
 SQL: dict[str, str] = {}

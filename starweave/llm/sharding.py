@@ -13,10 +13,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
+from starweave.llm.prefix import running
 from starweave.llm.tables import free_name
-from starweave.session import stage
 
 
 def shard_by_bytes(df: DataFrame, size: Column, order: Sequence[Column], shards: int) -> DataFrame:
@@ -31,49 +30,21 @@ def shard_by_bytes(df: DataFrame, size: Column, order: Sequence[Column], shards:
     if shards < 1:
         raise ValueError("shards must be at least 1")
     df = df.drop("shard", "slot")
-    bytes_, row, part, upto, nth = free_name(df, "row_bytes", "row_id", "part", "upto", "nth")
-    keys = free_name(df, *(f"order_{i}" for i in range(len(order))))
-    numbered = df.select(
-        "*",
-        F.greatest(F.coalesce(size.cast("long"), F.lit(0)), F.lit(0)).alias(bytes_),
-        *(c.alias(k) for c, k in zip(order, keys, strict=True)),
-        F.monotonically_increasing_id().alias(row),
-    )
-    by = [*(F.col(k).asc_nulls_first() for k in keys), F.col(row)]
-    ranged = numbered.repartitionByRange(*by).withColumn(part, F.spark_partition_id())
-    in_part = Window.partitionBy(part).orderBy(*by)
-    running = in_part.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = stage(
-        ranged.select(
-            *df.columns, bytes_, part, F.sum(bytes_).over(running).alias(upto), F.row_number().over(in_part).alias(nth)
-        ),
-        "shards",
-    )
-    before, rows_before, total = free_name(local, "before", "rows_before", "total")
-    earlier = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
-    totals = (
-        local.groupBy(part)
-        .agg(F.max(upto).alias(upto), F.max(nth).alias(nth))
-        .select(
-            part,
-            F.coalesce(F.sum(upto).over(earlier), F.lit(0)).alias(before),
-            F.coalesce(F.sum(nth).over(earlier), F.lit(0)).alias(rows_before),
-            F.greatest(F.sum(upto).over(Window.partitionBy()), F.lit(1)).alias(total),
-        )
-    )  # one row per partition
-    place, index, first = free_name(local, "place", "index", "first")
-    placed = local.join(F.broadcast(totals), part).select(
-        *df.columns,
+    bytes_, upto, nth, total, place, first = free_name(df, "row_bytes", "upto", "nth", "total", "place", "first_row")
+    sized = df.withColumn(bytes_, F.greatest(F.coalesce(size.cast("long"), F.lit(0)), F.lit(0)))
+    summed = running(sized, F.col(bytes_), order, upto=upto, nth=nth)
+    whole = summed.agg(F.greatest(F.max(upto), F.lit(1)).alias(total))  # one row
+    placed = summed.join(F.broadcast(whole)).withColumn(
+        place,
         F.least(
             F.expr(
-                f"int(cast(2 * ({before} + {upto}) - {bytes_} as decimal(20,0)) * cast({shards} as decimal(10,0))"
-                f" div cast(2 * {total} as decimal(20,0)))"
+                f"int(cast(2 * `{upto}` - `{bytes_}` as decimal(20,0)) * cast({shards} as decimal(10,0))"
+                f" div cast(2 * `{total}` as decimal(20,0)))"
             ),
             F.lit(shards - 1),
-        ).alias(place),
-        (F.col(rows_before) + F.col(nth)).alias(index),
+        ),
     )
-    starts = placed.groupBy(place).agg(F.min(index).alias(first))  # one row per shard
+    starts = placed.groupBy(place).agg(F.min(nth).alias(first))  # one row per shard
     return placed.join(F.broadcast(starts), place).select(
-        *df.columns, F.col(place).alias("shard"), (F.col(index) - F.col(first)).alias("slot")
+        *df.columns, F.col(place).alias("shard"), (F.col(nth) - F.col(first)).alias("slot")
     )
