@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starweave.llm import bpe, mixing, pii, quality, sharding
+from starweave.llm import bpe, language, mixing, neighbours, pii, quality, sharding
 from starweave.llm.ngram_join import JaccardJoin
 from starweave.llm.tables import documents, table, text_or_empty
 
@@ -22,6 +22,19 @@ def op1_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def held_out() -> Column:
+    """Documents that the language models don't learn from; a null id counts as an empty one."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 3 == 1
+
+
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = language.learn(docs.where(~held_out()).select("text", "lang"))
+    return language.predict(docs.select("doc_id", "text", held_out().alias("held_out")), model).select(
+        "doc_id", "held_out", "lang_pred", "score"
+    )
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary, pattern = bpe.default_vocabulary(spark)
     encoded = bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), vocabulary, pattern).drop("text")
@@ -29,6 +42,11 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(decoded).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return neighbours.with_successors(documents(spark, sf_dir), parts)
+
+
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return JaccardJoin(words=4, percent=85).run(documents(spark, sf_dir))[0]
 
@@ -67,7 +85,9 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_site_quality": op1_site_quality,
+    "op2_language": op2_language,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_fingerprints": op4_fingerprints,
     "op5_ngram_join": op5_ngram_join,
     "op6_pseudonyms": op6_pseudonyms,
     "op8_byte_shards": op8_byte_shards,
