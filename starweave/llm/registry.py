@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starweave.llm import bpe, language, mixing, neighbours, pii, quality, sharding
+from starweave.llm import bpe, language, mixing, multi_index, neighbours, pii, quality, sharding
 from starweave.llm.ngram_join import JaccardJoin
 from starweave.llm.tables import documents, table, text_or_empty
 
@@ -56,6 +56,10 @@ def op6_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymise(docs, PSEUDONYM_KEY, count="n_private")
 
 
+def op7_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.search(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, 20)
+
+
 def op8_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = text_or_empty().cast("binary")
     narrow = documents(spark, sf_dir).select(
@@ -90,6 +94,7 @@ QUERIES = {
     "op4_fingerprints": op4_fingerprints,
     "op5_ngram_join": op5_ngram_join,
     "op6_pseudonyms": op6_pseudonyms,
+    "op7_multi_index": op7_multi_index,
     "op8_byte_shards": op8_byte_shards,
     "op9_source_mix": op9_source_mix,
 }
