@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starweave.llm import bpe, language, mixing, multi_index, neighbours, pii, quality, sharding
+from starweave.llm import bpe, language, mixing, multi_index, neighbours, pii, quality, sharding, wrappers
 from starweave.llm.ngram_join import JaccardJoin
 from starweave.llm.tables import documents, table, text_or_empty
 
@@ -87,6 +87,13 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return wrappers.extract(pages).select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars")
+    )
+
+
 QUERIES = {
     "op1_site_quality": op1_site_quality,
     "op2_language": op2_language,
@@ -97,6 +104,7 @@ QUERIES = {
     "op7_multi_index": op7_multi_index,
     "op8_byte_shards": op8_byte_shards,
     "op9_source_mix": op9_source_mix,
+    "op10_main_text": op10_main_text,
 }
 
 SQL: dict[str, str] = {}
