@@ -1,0 +1,70 @@
+import re
+
+from pyspark.sql import functions as F
+
+from starweave.llm import pii
+
+KEEP = ["9807915762804490", "2023-02-29", "000-45-6789", "1.2.3.4.5", "999.1.1.1", "v4.0.", "no", "", "12345", "DE89370400440532013001"]
+CHANGE = [
+    ("4111111111111111", r"4\d{15}"),
+    ("4111 1111 1111 1111", r"4\d{3} \d{4} \d{4} \d{4}"),
+    ("+1 (017) 555-7713", r"\+1 \(\d{3}\) \d{3}-\d{4}"),
+    ("97.51.17.173", r"\d{1,3}(\.\d{1,3}){3}"),
+    ("jo.26@mail7.example.com", r"user-[0-9a-f]{16}@mail7\.example\.com"),
+    ("2024-02-29", r"\d{4}-\d{2}-\d{2}"),
+    ("31/12/1999", r"\d{2}/\d{2}/\d{4}"),
+    ("123-45-6789", r"\d{3}-\d{2}-\d{4}"),
+    ("DE89370400440532013000", r"DE\d{20}"),
+    ("04dbebab91ab85687d33eeaaf9ac699e1188f962", r"[0-9a-f]{40}"),
+]
+
+
+def luhn(s: str) -> bool:
+    d = [int(c) for c in re.sub(r"\D", "", s)][::-1]
+    return (sum(d[::2]) + sum(sum(divmod(2 * x, 10)) for x in d[1::2])) % 10 == 0
+
+
+def run(spark, texts, key="k"):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, text string")
+    return {r["id"]: (r["text"], r["n"]) for r in pii.pseudonymise(df, key, count="n").collect()}
+
+
+def test_kinds_keep_their_format(spark):
+    got = run(spark, [v for v, _ in CHANGE])
+    for i, (old, form) in enumerate(CHANGE):
+        new, n = got[i]
+        assert n == 1 and new != old and re.fullmatch(form, new), (old, new)
+    assert luhn(got[0][0]) and luhn(got[1][0])
+    assert re.sub(" ", "", got[1][0]) == got[0][0]
+    iban = got[8][0]
+    assert int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97 == 1
+    assert run(spark, [CHANGE[0][0]], key="other")[0][0] != got[0][0]
+
+
+def test_what_fails_validation_stays(spark):
+    got = run(spark, [*KEEP, None])
+    assert [got[i] for i in range(len(KEEP))] == [(v, 0) for v in KEEP]
+    assert got[len(KEEP)] == (None, 0)
+
+
+def test_equal_values_stay_linked_inside_long_texts(spark):
+    filler = "word " * 20_000
+    old = "97.51.17.173"
+    got = run(spark, [f"{filler}{old}%%% {old}\n", old, f"({old}) and 4111111111111111."])
+    new = got[1][0]
+    assert got[0] == (f"{filler}{new}%%% {new}\n", 2)
+    assert got[2][0].startswith(f"({new}) and 4") and got[2][1] == 2
+
+
+def test_feistel_is_a_bijection(spark):
+    pairs = spark.range(21 * 10).select((F.col("id") % 21).alias("a"), F.floor(F.col("id") / 21).alias("b"))
+    out = pairs.select(pii.feistel(F.col("a"), F.col("b"), F.lit(21), F.lit(10), "k", F.lit("t")).alias("p")).select("p.*")
+    rows = {tuple(r) for r in out.collect()}
+    assert rows == {(a, b) for a in range(21) for b in range(10)}
+
+
+def test_runs_without_python(spark):
+    df = spark.createDataFrame([("a",)], "text string")
+    plan = pii.pseudonymise(df, "k")._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+    assert pii.pseudonymise(df.limit(0), "k").count() == 0

@@ -1,0 +1,39 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from starweave.llm.sharding import shard_by_bytes
+
+
+def brute(sizes: list[int], shards: int) -> list[int]:
+    total, before, out = max(sum(sizes), 1), 0, []
+    for s in sizes:
+        out.append(min((2 * before + s) * shards // (2 * total), shards - 1))
+        before += s
+    return out
+
+
+@pytest.mark.parametrize("shards", [1, 5])
+def test_equals_brute_force(spark, shards):
+    rnd = random.Random(shards)
+    rows = [(i, rnd.choice([0, 1, 10, 500]), i) for i in range(300)]
+    rnd.shuffle(rows)
+    df = spark.createDataFrame(rows, "id long, n long, shard long").repartition(7)
+    got = shard_by_bytes(df, F.col("n"), [F.col("id")], shards).orderBy("id").collect()
+    assert [r["shard"] for r in got] == brute([r["n"] for r in got], shards)
+    for s in range(shards):
+        slots = [r["slot"] for r in got if r["shard"] == s]
+        assert slots == list(range(len(slots)))
+
+
+def test_hot_key_nulls_and_empty(spark):
+    rows = [(7, 10)] * 90 + [(None, 10), (None, None), (8, -5)]
+    df = spark.createDataFrame(rows, "id long, n long")
+    got = shard_by_bytes(df, F.col("n"), [F.col("id")], 3).collect()
+    assert len(got) == 93
+    sums = [sum(max(r["n"] or 0, 0) for r in got if r["shard"] == s) for s in range(3)]
+    assert max(sums) - min(sums) <= 20
+    assert shard_by_bytes(df.limit(0), F.col("n"), [F.col("id")], 3).count() == 0
+    zero = shard_by_bytes(df.withColumn("n", F.lit(0)), F.col("n"), [F.col("id")], 3)
+    assert zero.where("shard != 0").count() == 0
