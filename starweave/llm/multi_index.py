@@ -79,6 +79,8 @@ def _nearest(vectors: np.ndarray, centroids: np.ndarray) -> np.ndarray:
 
 
 def _centroids(vectors: np.ndarray, k: int, steps: int = 12) -> np.ndarray:
+    if not vectors.shape[1]:
+        return np.zeros((1, 0))
     distinct = np.unique(vectors, axis=0)
     chosen = distinct[np.linspace(0, len(distinct) - 1, min(k, len(distinct))).astype(int)]
     for _ in range(steps):

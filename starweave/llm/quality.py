@@ -112,8 +112,8 @@ def _strength(groups: DataFrame, parent: Column) -> Column:
     """Prior documents by moments: how much group rates vary beyond what their sizes explain."""
     noise = parent * (1 - parent)
     excess = F.sum(F.col("n") * F.pow(F.col("s") / F.col("n") - parent, 2)) - F.sum(noise)
-    between = excess / (F.sum("n") - F.sum(F.col("n") * F.col("n")) / F.sum("n"))
-    prior = F.sum(noise * F.col("n")) / F.sum("n") / between - 1
+    between = F.try_divide(excess, F.sum("n") - F.sum(F.col("n") * F.col("n")) / F.sum("n"))
+    prior = F.try_divide(F.sum(noise * F.col("n")) / F.sum("n"), between) - 1
     low, high = STRENGTH
     return F.when(between > 0, F.greatest(F.least(prior, F.lit(high)), F.lit(low))).otherwise(F.lit(high))
 

@@ -46,6 +46,8 @@ BOILERPLATE_WORDS = frozenset(
 )
 MAIN_WORDS = frozenset("article articlebody main content post entry story text body".split())
 ARTICLE_WORDS = frozenset("articlebody".split())
+#: Elements that hold blocks, so one of them may be the whole article.
+CONTAINERS = frozenset("html body main article section div center table tbody tr td".split())
 
 #: A wrapper part: t tag, k kids, o optional, r repeated, and for slots n pages, c characters, l linked ones, h hash, v varies.
 Part = dict
@@ -169,9 +171,9 @@ def _main_roots(wrapper: Part) -> list[Part]:
             return found
     here = wrapper
     while True:
-        kids = [k for k in here.get("k", ()) if k["t"] != "#" and not _is_boilerplate(k["t"], False)]
+        kids = [k for k in here["k"] if k["t"].split(".")[0] in CONTAINERS and not _is_boilerplate(k["t"], False)]
         best = max(kids, key=_plain, default=None)
-        if best is None or 10 * _plain(best) < 9 * _plain(here) or not best["k"]:
+        if best is None or 10 * _plain(best) < 9 * _plain(here):
             return [here]
         here = best
 
