@@ -1,0 +1,65 @@
+import heapq
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from starweave.llm import multi_index
+from starweave.llm.multi_index import MultiIndex, fit, search
+
+
+def vectors(seed=1, n=600, width=16):
+    rnd = np.random.default_rng(seed)
+    centres = rnd.normal(size=(12, width))
+    v = centres[rnd.integers(0, 12, n)] + 0.6 * rnd.normal(size=(n, width))
+    return v / np.linalg.norm(v, axis=1, keepdims=True)
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, "vec_id long, embedding array<float>, cell int")
+
+
+def test_walk_is_in_order_of_summed_distance():
+    rnd = np.random.default_rng(2)
+    index = MultiIndex(rnd.normal(size=(5, 3)), rnd.normal(size=(4, 3)), 1.0)
+    q = rnd.normal(size=6)
+    got = index.visits(q, np.ones(20, dtype=int), 20)
+    sums = {i * 4 + j: -(index.first[i] @ q[:3]) - (index.second[j] @ q[3:]) for i in range(5) for j in range(4)}
+    assert got == heapq.nsmallest(20, sums, key=sums.get)
+    assert index.visits(q, np.eye(20, dtype=int)[got[3]], 1) == [got[3]]
+
+
+def test_recall_and_scores(spark):
+    v = vectors()
+    df = frame(spark, [(i, list(map(float, x)), 0) for i, x in enumerate(v)]).repartition(5)
+    got = search(df, F.col("id") % 20 == 0, 10).collect()
+    stored = v.astype(np.float32).astype(float)
+    hits = 0
+    for q in range(0, len(v), 20):
+        mine = sorted((r for r in got if r["query_id"] == q), key=lambda r: r["rank"])
+        assert [r["rank"] for r in mine] == list(range(1, 11))
+        scores = stored @ stored[q]
+        assert all(abs(r["score"] - scores[r["vec_id"]]) < 1e-12 for r in mine)
+        scores[q] = -np.inf
+        hits += len({r["vec_id"] for r in mine} & set(np.argsort(-scores)[:10].tolist()))
+    assert hits >= 0.9 * len(got)
+    assert 0 < fit(stored, 10).share <= 1
+
+
+def test_copies_ties_and_odd_rows(spark):
+    one = [1.0, 0.0, 0.0, 0.0]
+    rows = [(i, one, 0) for i in range(200)]
+    rows += [(1000, None, 0), (1001, [0.0] * 4, 0), (1002, [1.0, None, 0.0, 0.0], 0), (1003, [float("nan")] * 4, 0), (1004, [1.0], 0), (None, one, 0)]
+    got = search(frame(spark, rows), F.col("id") % 20 == 0, 5).collect()
+    assert len(got) == 10 * 5
+    for q in range(0, 200, 20):
+        mine = sorted((r["rank"], r["vec_id"]) for r in got if r["query_id"] == q)
+        assert [v for _, v in mine] == [i for i in range(7) if i != q][:5]
+
+
+def test_few_and_no_candidates(spark):
+    rows = [(0, [1.0], 0), (1, [0.5], 0), (2, [-1.0], 0)]
+    got = search(frame(spark, rows), F.col("id") == 0, 5).orderBy("rank").collect()
+    assert [(r["rank"], r["vec_id"], r["score"]) for r in got] == [(1, 1, 0.5), (2, 2, -1.0)]
+    assert search(frame(spark, rows).limit(0), F.col("id") == 0, 5).count() == 0
+    assert search(frame(spark, rows[:1]), F.col("id") == 0, 5).count() == 0
+    assert multi_index.BLOCK > 0
