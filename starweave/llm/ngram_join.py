@@ -5,14 +5,19 @@ Sizes are cut into bands so that linked sets lie in one band or in two next to
 each other. In a band, linked sets differ in at most ``k`` shingles. The shingle
 domain is hashed into more than ``k`` partitions; what a set holds in a partition
 is one of its signatures. As at most ``k`` partitions differ, linked sets share
-at least one signature: nothing is missed.
+at least one signature: nothing is missed. A line or passage that very many
+documents share must not become a signature by itself: a set with more than
+``k`` partitions that hold something rarer needs only those, by the same count.
 
 Equal sets are joined first, by a 128-bit key. Then each signature's sets are
 compared with one pivot set, and only sets that are still in different
-components meet in later rounds; a last round compares what is left pair by
-pair. So a large group of near copies costs about one comparison for each copy,
-and no link between components is lost. Every candidate is verified on its
-whole shingle set.
+components meet in later rounds; a last round compares all that is left. In a
+signature of many sets it does so in blocks, by parity sketches: the parities of
+hashed shingle counts differ in at most as many places as the sets differ in
+shingles, so a pair that differs in too many cannot be linked, and only the
+others leave the task. So a large group of near copies sends out about as many
+pairs as it has copies, and no link between components is lost. Every candidate
+is verified on its whole shingle set.
 """
 
 from __future__ import annotations
@@ -29,8 +34,17 @@ from pyspark.sql.window import Window
 
 from starweave.llm.components import components
 from starweave.llm.shingles import mix, shingle_set
+from starweave.llm.tables import free_name
 from starweave.session import stage
 
+#: One in so many documents is looked at to find frequent shingles, and how often one must be seen there.
+#: These and ``FREQUENT`` only decide which of its signatures a set uses; links do not depend on them.
+SAMPLE_ONE_IN, SEEN = 64, 4
+#: Frequent shingles used at most.
+FREQUENT = 100_000
+FILTER_BITS = 22
+#: Classes of a signature that meet as plain pairs in the last round; more are compared in blocks of ``BLOCK``.
+FEW, BLOCK = 8, 256
 #: Rounds in which every signature's sets are compared with one pivot, before the pairwise round.
 PIVOT_ROUNDS = 2
 
@@ -62,30 +76,37 @@ class Bands:
         """Shingles that may lie in only one of two linked sets of at most ``top`` shingles."""
         return 2 * top * (100 - self.percent) // (100 + self.percent)
 
-    def signatures(self, shingles: np.ndarray) -> np.ndarray:
-        """64-bit signatures of a set of shingle hashes.
+    def signatures(self, shingles: np.ndarray, frequent: np.ndarray | None = None) -> np.ndarray:
+        """64-bit signatures of a set of shingle hashes. ``frequent`` marks hashes by their lowest bits.
 
-        An empty partition agrees with many sets, so it counts only for the rare set with at most ``k``
-        filled partitions: of two linked sets, one with more than ``k`` is sure to share a filled one.
+        Of two linked sets, one with more than ``k`` partitions of a kind that equal content shares (holding
+        something rare; holding anything) is sure to have one of them in common with the other. So a set uses
+        the first kind of which it has more than ``k``: partitions with something rare, filled ones, or all.
         """
         if not len(shingles):
             return np.empty(0, dtype=np.uint64)
         content = mix(shingles, 11)
+        rare = None if frequent is None else ~frequent[shingles & np.uint64(len(frequent) - 1)]
         out = []
         for band, top in self.of(len(shingles)):
             k = self.differ(top)
             parts = k + 3 + k // 16
-            part = ((mix(shingles, 1000 + band) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+            part = (mix(shingles, 1000 + band) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
+            part = part.astype(np.uint16 if parts < 1 << 16 else np.int64)
             order = np.argsort(part, kind="stable")
             ordered = part[order]
-            first = np.flatnonzero(np.diff(ordered, prepend=-1))
-            filled = ordered[first]
+            first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
+            filled = ordered[first].astype(np.uint64)
             held = np.add.reduceat(content[order], first)
+            if rare is not None and len(filled) > k:
+                strong = np.logical_or.reduceat(rare[order], first)
+                if np.count_nonzero(strong) > k:
+                    filled, held = filled[strong], held[strong]
             if len(filled) <= k:
                 every = np.zeros(parts, dtype=np.uint64)
-                every[filled] = held
-                filled, held = np.arange(parts), every
-            out.append(mix(mix(held, 2) + mix(filled.astype(np.uint64), 3 + band)))
+                every[filled.astype(np.int64)] = held
+                filled, held = np.arange(parts, dtype=np.uint64), every
+            out.append(mix(mix(held, 2) + mix(filled, 3 + band)))
         return np.unique(np.concatenate(out))
 
 
@@ -109,45 +130,117 @@ def _keyed(df: DataFrame, text: str, words: int) -> DataFrame:
     return df.withColumn("set", keys(F.col(text)))
 
 
-def _signed(df: DataFrame, text: str, words: int, bands: Bands) -> DataFrame:
-    """``sig, k1, n``: the signatures of every set, once for each task that has it."""
+def _frequent(docs: DataFrame, words: int) -> np.ndarray | None:
+    """Marks of the most frequent shingles of a sample of ``id, text``; at most ``FREQUENT`` reach the driver."""
+    some = docs.where(F.pmod(F.xxhash64("id"), F.lit(SAMPLE_ONE_IN)) == 0)
+    each = _sets(some, "text", words).select(F.explode("shingles").alias("s")).groupBy("s").agg(F.count("*").alias("n"))
+    top = each.where(F.col("n") >= SEEN).orderBy(F.desc("n"), "s").limit(FREQUENT).select("s").toArrow()
+    if not top.num_rows:
+        return None
+    marks = np.zeros(1 << FILTER_BITS, dtype=bool)
+    marks[top.column("s").to_numpy().astype(np.uint64) & np.uint64(len(marks) - 1)] = True
+    return marks
+
+
+def _signed(df: DataFrame, text: str, words: int, bands: Bands, frequent: np.ndarray | None) -> DataFrame:
+    """``sig, k1``: the signatures of every set, once for each task that has it."""
+    shared = df.sparkSession.sparkContext.broadcast(None if frequent is None else np.packbits(frequent))  # 512 KB
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks = None if shared.value is None else np.unpackbits(shared.value).astype(bool)
         done: set[tuple[int, int]] = set()
         for batch in batches:
-            sigs, keys, sizes = [], [], []
-            waiting = 0
+            sigs, keys, waiting = [], [], 0
             for value in batch.column(0):
                 s = shingle_set(value.as_py(), words)
                 key = _key(s)
                 if not len(s) or key in done:
                     continue
                 done.add(key)
-                own = bands.signatures(s)
+                own = bands.signatures(s, marks)
                 sigs.append(own)
                 keys.append(np.full(len(own), key[0], dtype=np.int64))
-                sizes.append(np.full(len(own), len(s), dtype=np.int64))
                 waiting += len(own)
                 if waiting > 1 << 16:
-                    yield _batch(sigs, keys, sizes)
-                    sigs, keys, sizes, waiting = [], [], [], 0
+                    yield _batch(sigs, keys)
+                    sigs, keys, waiting = [], [], 0
             if sigs:
-                yield _batch(sigs, keys, sizes)
+                yield _batch(sigs, keys)
+
+    return df.select(text).mapInArrow(rows, "sig long, k1 long")
+
+
+def _batch(sigs: list[np.ndarray], keys: list[np.ndarray]) -> pa.RecordBatch:
+    columns = (np.concatenate(sigs).astype(np.int64), np.concatenate(keys))
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["sig", "k1"])
 
-    return df.select(text).mapInArrow(rows, "sig long, k1 long, n long")
 
+def sketch(shingles: np.ndarray) -> np.ndarray:
+    """Parity of the number of shingles in each of two or more hashed places a shingle, as 64-bit words.
 
-def _batch(sigs: list, keys: list, sizes: list) -> pa.RecordBatch:
-    columns = (np.concatenate(sigs).astype(np.int64), np.concatenate(keys), np.concatenate(sizes))
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["sig", "k1", "n"])
+    The number of words is a power of two, and halving it by exclusive or gives the smaller sketch.
+    """
+    words = 1
+    while words * 64 < 2 * len(shingles):
+        words *= 2
+    counts = np.bincount((mix(shingles, 31) & np.uint64(words * 64 - 1)).astype(np.int64), minlength=words * 64)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").view("<u8")
+
+
+def _folded(sketches: list[bytes], words: int) -> np.ndarray:
+    rows = []
+    for raw in sketches:
+        one = np.frombuffer(raw, dtype="<u8")
+        while len(one) > words:
+            one = one[: len(one) // 2] ^ one[len(one) // 2 :]
+        rows.append(one)
+    return np.array(rows, dtype=np.uint64).reshape(len(rows), words)
 
 
-def _sets(df: DataFrame, text: str, words: int) -> DataFrame:
+def _sets(df: DataFrame, text: str, words: int, sketched: bool = False) -> DataFrame:
+    """``df`` with ``shingles`` and, if wanted, their ``sketch``."""
+
     @F.arrow_udf("array<long>")
     def hashes(texts: pa.Array) -> pa.Array:
-        return pa.array([shingle_set(t, words).astype(np.int64) for t in texts.to_pylist()], pa.list_(pa.int64()))
+        found = [shingle_set(t.as_py(), words).astype(np.int64) for t in texts]
+        ends = np.cumsum([0, *map(len, found)])
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(found or [ends[:0]])))
+
+    @F.arrow_udf("binary")
+    def sketches(sets: pa.Array) -> pa.Array:
+        return pa.array([sketch(s.values.to_numpy().astype(np.uint64)).tobytes() for s in sets], pa.binary())
 
-    return df.withColumn("shingles", hashes(F.col(text)))
+    out = df.withColumn("shingles", hashes(F.col(text)))
+    return out.withColumn("sketch", sketches(F.col("shingles"))) if sketched else out
+
+
+def _near_pairs(percent: int):
+    """Pairs of two blocks (or of one with itself) in different components whose sketches and sizes allow a link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for one, two, same in zip(*batch.columns, strict=True):
+                x, y = one.values, two.values
+                (v1, n1, l1), (v2, n2, l2) = ([c.field(f).to_numpy() for f in ("v", "n", "label")] for c in (x, y))
+                s1, s2 = (c.field("sketch").to_pylist() for c in (x, y))
+                words = min(map(len, (*s1, *s2))) // 8
+                k1, k2 = _folded(s1, words), _folded(s2, words)
+                left, right = [], []
+                for i in range(len(v1)):
+                    differ = np.bitwise_count(k2 ^ k1[i]).sum(1, dtype=np.int64)
+                    able = differ * (100 + percent) <= (100 - percent) * (n1[i] + n2)
+                    able &= 100 * np.minimum(n1[i], n2) >= percent * np.maximum(n1[i], n2)
+                    able &= l1[i] != l2
+                    at = np.flatnonzero(able)
+                    if same.as_py():
+                        at = at[at > i]
+                    left.append(np.full(len(at), v1[i]))
+                    right.append(v2[at])
+                a, b = np.concatenate(left), np.concatenate(right)
+                pairs = [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))]
+                yield pa.RecordBatch.from_arrays(pairs, names=["a", "b"])
+
+    return run
 
 
 class JaccardJoin:
@@ -166,11 +259,10 @@ class JaccardJoin:
         self.words, self.bands, self.percent = words, Bands(percent), percent
 
     def run(self, df: DataFrame, id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-        """Rows ``id, n_shingles, component_id``, and the verified links ``a, b`` that join the classes."""
+        """Rows ``id, n_shingles, component_id, text_hash``, and the verified links ``a, b`` that join the classes."""
         docs = df.select(F.col(id).alias("id"), F.col(text).alias("text"))
-        keyed = stage(
-            _keyed(docs, "text", self.words).select("id", "set.*"), "shingle-keys"
-        )
+        hashed = docs.withColumn("text_hash", F.xxhash64("text"))
+        keyed = stage(_keyed(hashed, "text", self.words).select("id", "text_hash", "set.*"), "shingle-keys")
         classes = (
             keyed.where((F.col("n") > 0) & F.col("id").isNotNull())
             .groupBy("k1", "k2")
@@ -186,14 +278,34 @@ class JaccardJoin:
             F.when(F.col("n") > 0, F.when(F.col("id").isNotNull(), F.col("component_id")))
             .otherwise(F.col("id"))
             .alias("component_id"),
+            "text_hash",
         )
         return rows, links
 
+    def one_of_each(self, df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+        """``df`` with one row of each component: the smallest id, and of its texts the one with the smallest hash.
+
+        Rows with a null id all stay, and so do texts without words (but only one row of an id and text).
+        """
+        rows, _ = self.run(df, id, text)
+        kept = (
+            rows.where(F.col("component_id").isNotNull())
+            .groupBy("component_id")
+            .agg(F.min(F.struct(F.col(id).alias("id"), F.col("text_hash").alias("hash"))).alias("best"))
+        )
+        kept_id, kept_hash, copy = free_name(df, "kept_id", "kept_hash", "copy")
+        best = kept.select(F.col("best.id").alias(kept_id), F.col("best.hash").alias(kept_hash))
+        hashed = df.where(F.col(id).isNotNull()).withColumn(kept_hash, F.xxhash64(text))
+        once = hashed.withColumn(copy, F.row_number().over(Window.partitionBy(id, kept_hash).orderBy(F.lit(0))))
+        first = once.where(F.col(copy) == 1).withColumn(kept_id, F.col(id))
+        return first.join(best, [kept_id, kept_hash], "left_semi").select(*df.columns).union(df.where(F.col(id).isNull()))
+
     def _hits(self, docs: DataFrame, classes: DataFrame) -> DataFrame:
         """``sig, v, n`` of all signatures that more than one class has."""
         bucket = Window.partitionBy("sig")
+        named = docs.where(F.col("id").isNotNull())
         shared = (
-            _signed(docs.where(F.col("id").isNotNull()), "text", self.words, self.bands)
+            _signed(named, "text", self.words, self.bands, _frequent(named, self.words))
             .withColumn("low", F.min("k1").over(bucket))
             .withColumn("high", F.max("k1").over(bucket))
             .where("low != high")
@@ -204,8 +316,8 @@ class JaccardJoin:
 
     def _hit_sets(self, docs: DataFrame, hits: DataFrame) -> DataFrame:
         wanted = stage(hits.select(F.col("v").alias("id")).distinct(), "wanted")
-        found = _sets(docs.join(wanted, "id"), "text", self.words)
-        return stage(found.select(F.col("id").alias("v"), "shingles").where(F.size("shingles") > 0), "shingle-sets")
+        found = _sets(docs.join(wanted, "id"), "text", self.words, sketched=True)
+        return stage(found.select(F.col("id").alias("v"), "shingles", "sketch"), "shingle-sets")
 
     def _links(self, hits: DataFrame, sets: DataFrame) -> DataFrame:
         links = tried = None
@@ -214,7 +326,7 @@ class JaccardJoin:
             if links is not None:
                 roots = components(links)
                 labelled = hits.join(roots, "v", "left").withColumn("label", F.coalesce("root", "v"))
-            pairs = self._pivoted(labelled, turn) if turn < PIVOT_ROUNDS else self._pairwise(labelled)
+            pairs = self._pivoted(labelled, turn) if turn < PIVOT_ROUNDS else self._pairwise(labelled, sets)
             if tried is not None:
                 pairs = pairs.join(tried, ["a", "b"], "left_anti")
             pairs = stage(pairs, "pairs")
@@ -249,17 +361,30 @@ class JaccardJoin:
             )
         )
 
-    def _pairwise(self, labelled: DataFrame) -> DataFrame:
-        """Every two classes of a signature that are still in different components."""
+    def _pairwise(self, labelled: DataFrame, sets: DataFrame) -> DataFrame:
+        """Every two classes of a signature that are still in different components and may be linked."""
         bucket = Window.partitionBy("sig")
         open_ = (
             labelled.withColumn("low", F.min("label").over(bucket))
             .withColumn("high", F.max("label").over(bucket))
+            .withColumn("m", F.count("*").over(bucket))
             .where("low != high")
         )
-        one = open_.selectExpr("sig", "v v1", "n n1", "label label1")
-        two = open_.selectExpr("sig", "v v2", "n n2", "label label2")
-        return self._comparable(one.join(two, "sig").where("v1 < v2"))
+        open_ = stage(open_.select("sig", "v", "n", "label", "m"), "open-signatures")
+        few = open_.where(F.col("m") <= FEW)
+        one = few.selectExpr("sig", "v v1", "n n1", "label label1")
+        two = few.selectExpr("sig", "v v2", "n n2", "label label2")
+        plain = self._comparable(one.join(two, "sig").where("v1 < v2"))
+        many = open_.where(F.col("m") > FEW).join(sets.select("v", "sketch"), "v")
+        dealt = many.withColumn("block", F.pmod(F.xxhash64("v"), F.ceil(F.col("m") / BLOCK)))
+        blocks = dealt.groupBy("sig", "block").agg(F.collect_list(F.struct("v", "n", "label", "sketch")).alias("rows"))
+        first = blocks.selectExpr("sig", "block block1", "rows rows1")
+        second = blocks.selectExpr("sig", "block block2", "rows rows2")
+        met = first.join(second, "sig").where("block1 <= block2")
+        near = met.selectExpr("rows1", "rows2", "block1 = block2 same").mapInArrow(
+            _near_pairs(self.percent), "a long, b long"
+        )
+        return plain.union(near).distinct()
 
     def _verified(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         one = sets.select(F.col("v").alias("a"), F.col("shingles").alias("s1"))

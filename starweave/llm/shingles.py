@@ -83,5 +83,5 @@ def shingle_set(text: str | None, words: int) -> np.ndarray:
     length = min(n, words)
     combined = np.full(n - length + 1, length, dtype=np.uint64)
     for i in range(length):
-        combined = mix(combined, i + 1) + own[i : n - length + 1 + i]
-    return np.unique(mix(combined, length))
+        combined += own[i : n - length + 1 + i] * np.uint64(_MASK & (2 * i + 1) * _BASE)
+    return np.unique(mix(combined))
