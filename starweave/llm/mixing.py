@@ -4,8 +4,9 @@ Every document gets an exponential key, ``-ln(u) / quality``, with ``u`` from a
 hash of its id, so reruns agree. A source takes as many complete epochs as its
 target holds; for the rest, its documents are taken in key order until their
 running size reaches the budget. Running sizes are exact prefix sums over key
-ranges, so a source with a third of all rows is worked on by many tasks. Only
-DataFrame operations are used.
+ranges, so a source with a third of all rows is worked on by many tasks. They
+give the last key that a source takes, and every row is compared with that, so
+texts are not shuffled. Only DataFrame operations are used.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql.window import Window
 
 from starweave.llm.prefix import running
 from starweave.llm.tables import WORD, free_name
+from starweave.session import stage
 
 #: Least quality weight; keeps every document selectable.
 LEAST_QUALITY = 0.05
@@ -94,25 +96,32 @@ def mix(
     * A null or negative size counts as 0; such rows are taken with the others, for 0. A null, NaN or non-positive
       quality counts as ``LEAST_QUALITY``. A null source is a source of its own, the last one.
     * The document on the budget's edge is taken if at least half of it fits. Equal keys (repeated ids) follow
-      size, then the order of the input.
+      size; rows that are equal in both are taken together.
     * An empty table gives an empty result. Columns of these five names are replaced.
     """
     df = df.withColumn("size", F.greatest(F.coalesce(size.cast("long"), F.lit(0)), F.lit(0)))
     df = df.drop("source_size", "target", "copies", "taken")
-    key, upto, nth, from_ = free_name(df, "es_key", "upto", "nth", "from_source")
+    key, from_, whole, last = free_name(df, "es_key", "from_source", "epochs", "last_key")
     safe = F.when((quality > 0) & ~F.isnan(quality), quality).otherwise(F.lit(LEAST_QUALITY))
-    keyed = df.withColumn(key, -F.log(uniform(seed, F.col(id))) / safe)
-    summed = running(
-        keyed, F.col("size"), [F.col(key), F.col(id), F.col("size")], [F.col(source)], upto=upto, nth=nth
-    )
-    totals = summed.groupBy(F.col(source).alias("source")).agg(F.sum("size").alias("source_size"))
-    plan = targets(totals, cycle, share, most).select(F.col("source").alias(from_), "source_size", "target")
+    keyed = df.withColumn(key, F.struct((-F.log(uniform(seed, F.col(id))) / safe).alias("k"), F.col(id).alias("id"), F.col("size")))
+    narrow = keyed.select(F.col(source).alias("source"), F.col(key).alias("key"), "size")
+    summed = running(narrow, F.col("size"), [F.col("key")], [F.col("source")])
+    totals = summed.groupBy("source").agg(F.sum("size").alias("source_size"))
     epochs = F.floor(F.col("target") / F.greatest("source_size", F.lit(1)))
-    budget = F.col("target") - epochs * F.col("source_size")
-    chosen = F.col(upto) - F.col("size") / 2.0 <= budget
-    copies = (epochs + F.when((budget > 0) & chosen, 1).otherwise(0)).cast("long")
+    goals = targets(totals, cycle, share, most).withColumn("epochs", epochs)
+    goals = goals.withColumn("budget", F.col("target") - F.col("epochs") * F.col("source_size"))
+    chosen = (F.col("budget") > 0) & (F.col("upto") - F.col("size") / 2.0 <= F.col("budget"))
+    edges = (
+        summed.join(goals.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of")))
+        .groupBy("of", "source_size", "target", "epochs")
+        .agg(F.max(F.when(chosen, F.col("key"))).alias("last"))
+    )
+    plan = stage(edges, "mix-plan").select(  # one row per source
+        F.col("of").alias(from_), "source_size", "target", F.col("epochs").alias(whole), F.col("last").alias(last)
+    )
+    copies = (F.col(whole) + F.when(F.col(key) <= F.col(last), 1).otherwise(0)).cast("long")
     return (
-        summed.join(plan, summed[source].eqNullSafe(plan[from_]))
+        keyed.join(plan, keyed[source].eqNullSafe(plan[from_]))
         .select(*df.columns, "source_size", "target", copies.alias("copies"))
         .withColumn("taken", F.col("copies") * F.col("size"))
     )
