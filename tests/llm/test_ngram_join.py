@@ -4,8 +4,9 @@ import re
 import numpy as np
 import pytest
 
+from starweave.llm import ngram_join
 from starweave.llm.components import components
-from starweave.llm.ngram_join import Bands, JaccardJoin
+from starweave.llm.ngram_join import Bands, JaccardJoin, _folded, sketch
 from starweave.llm.shingles import shingle_set, word_hashes
 
 
@@ -95,6 +96,37 @@ def test_equals_brute_force(spark, words, percent):
         assert 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])
 
 
+def test_sketches_never_differ_more_than_the_sets():
+    rnd = np.random.default_rng(4)
+    for _ in range(100):
+        a = np.unique(rnd.integers(0, 1 << 63, rnd.integers(1, 300), dtype=np.uint64))
+        b = np.unique(np.concatenate((a[rnd.random(len(a)) < 0.9], rnd.integers(0, 1 << 63, rnd.integers(0, 40), dtype=np.uint64))))
+        one, two = sketch(a), sketch(b)
+        words = min(len(one), len(two))
+        x, y = _folded([one.tobytes(), two.tobytes()], words)
+        assert np.bitwise_count(x ^ y).sum() <= len(np.setxor1d(a, b))
+
+
+@pytest.mark.parametrize("block", [3, 256])
+def test_groups_near_the_threshold(spark, monkeypatch, block):
+    """Copies with so many edits that some pairs are linked and others not, in signatures of many classes."""
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    monkeypatch.setattr(ngram_join, "FEW", 2)
+    monkeypatch.setattr(ngram_join, "PIVOT_ROUNDS", 1)
+    rnd = random.Random(block)
+    base = [f"w{rnd.randrange(9999)}" for _ in range(80)]
+    rows = []
+    for i in range(60):
+        new = list(base)
+        for _ in range(rnd.randrange(1, 5)):
+            new[rnd.randrange(80)] = f"x{rnd.randrange(9999)}"
+        rows.append((i, " ".join(new)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r["doc_id"]: r["component_id"] for r in JaccardJoin(4, 85).run(df)[0].collect()}
+    assert got == brute(rows, 4, 85)
+    assert len(set(got.values())) > 1
+
+
 def test_one_row_of_each_group_and_odd_rows(spark):
     text = " ".join(map(str, range(50)))
     rows = [(1, text, "a"), (1, text, "a"), (2, text + " x", "b"), (3, None, "c"), (3, None, "c"), (4, "", "d"), (None, text, "e"), (5, "other words here", "f")]
