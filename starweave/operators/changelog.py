@@ -74,10 +74,12 @@ def with_previous(
 ) -> DataFrame:
     """Add struct ``prev``: the given columns of the key's preceding version.
 
-    One task handles one key, unless the key is heavy: then its version range is
+    Rows without a key belong to no table and are left out. One task handles one
+    key, unless the key is heavy: then its version range is
     cut into segments, and the first row of each takes ``prev`` from the last
     row of the nearest non-empty segment before it.
     """
+    df = df.where(F.col(key).isNotNull())
     order = version_columns(df, version)
     payload = F.struct(*columns)
     if policy is None or skew.scan_bytes(df) <= policy.one_task_bytes:

@@ -106,8 +106,9 @@ def stamp(
 
 
 def merge_stamped(stamped: DataFrame, key: str, fields: Sequence[str]) -> DataFrame:
-    """Newest stamp per field. The result is stamped again, so it can be merged on."""
-    return stamped.groupBy(key).agg(
+    """Newest stamp per field. The result is stamped again, so it can be merged on.
+    Rows without a key belong to no document."""
+    return stamped.where(F.col(key).isNotNull()).groupBy(key).agg(
         F.max(LIVE).alias(LIVE),
         F.max(DEAD).alias(DEAD),
         *[F.max_by(f, F.col(f)["at"]).alias(f) for f in fields],
@@ -144,11 +145,15 @@ def merge_fields(
         hold = [key, *([version] if isinstance(version, str) else version), *([op] if op else [])]
         opened = flatten(rows.select(*fields))
         names = opened.columns
-        rows = rows.select(*hold, *[_path(n).alias(n.replace(".", "_")) for n in names])
-        fields = [n.replace(".", "_") for n in names]
+        plain = [n.replace(".", "_") for n in names]
+        twice = sorted({n for n in plain if plain.count(n) + hold.count(n) > 1})
+        if twice:
+            raise ValueError(f"nested fields clash when joined by '_': {twice}")
+        rows = rows.select(*hold, *[_path(n).alias(p) for n, p in zip(names, plain, strict=True)])
+        fields = plain
     if op is None:
         order = F.struct(*version_columns(rows, version))
-        return rows.groupBy(key).agg(
+        return rows.where(F.col(key).isNotNull()).groupBy(key).agg(
             *[F.max_by(f, F.when(F.col(f).isNotNull(), order)).alias(f) for f in fields]
         )
     stamped = stamp(rows, key, fields, version, op)

@@ -27,16 +27,36 @@ def as_records(df: DataFrame, key: str | None = None) -> DataFrame:
     return df.select(named.alias("key"), F.struct(*df.columns).alias("value"))
 
 
+def _field(df: DataFrame, name: str) -> Column | None:
+    """A field of the value; null in records without it, None if no record can have it."""
+    kind = df.schema["value"].dataType
+    if isinstance(kind, T.MapType):
+        return F.try_element_at("value", F.lit(name))
+    return F.col("value")[name] if name in kind.names else None
+
+
 def value_to_key(fields: Sequence[str]) -> Transform:
     """Copy value fields into the key."""
-    picked = F.struct(*[F.col("value")[f].alias(f) for f in fields])
-    return lambda df: df.withColumn("key", picked)
+
+    def apply(df: DataFrame) -> DataFrame:
+        found = {f: _field(df, f) for f in fields}
+        missing = [f for f, c in found.items() if c is None]
+        if missing:
+            raise ValueError(f"the value has no fields {missing}")
+        return df.withColumn("key", F.struct(*[c.alias(f) for f, c in found.items()]))
+
+    return apply
 
 
 def _renamed(column: str, renames: Mapping[str, str]) -> Transform:
     def apply(df: DataFrame) -> DataFrame:
         kind = df.schema[column].dataType
-        return df.withColumn(column, records.rename_fields(F.col(column), kind, renames))
+        if isinstance(kind, T.MapType):
+            names = F.create_map(*[F.lit(n) for pair in renames.items() for n in pair])
+            new = F.transform_keys(column, lambda k, _: F.coalesce(F.try_element_at(names, k), k))
+        else:
+            new = records.rename_fields(F.col(column), kind, renames)
+        return df.withColumn(column, new)
 
     return apply
 
@@ -49,24 +69,53 @@ def rename_value(renames: Mapping[str, str]) -> Transform:
     return _renamed("value", renames)
 
 
-def exclude(fields: Sequence[str]) -> Transform:
-    """Drop value fields; names the value does not have are ignored."""
-
+def _chosen(column: str, fields: Sequence[str], keep: bool) -> Transform:
     def apply(df: DataFrame) -> DataFrame:
-        have = df.schema["value"].dataType.names
-        gone = [f for f in fields if f in have]
-        return df.withColumn("value", F.col("value").dropFields(*gone)) if gone else df
+        kind = df.schema[column].dataType
+        whole = F.col(column)
+        if isinstance(kind, T.MapType):
+            listed = F.array(*[F.lit(f) for f in fields])
+            inside = lambda k: F.array_contains(listed, k)
+            return df.withColumn(column, F.map_filter(whole, lambda k, _: inside(k) if keep else ~inside(k)))
+        if not isinstance(kind, T.StructType):
+            return df  # a key that is not a record yet
+        kept = [n for n in kind.names if (n in fields) == keep]
+        if not kept:
+            raise ValueError(f"no field of the {column} would be left of {kind.names}")
+        if kept == kind.names:
+            return df
+        return df.withColumn(column, F.when(whole.isNotNull(), F.struct(*[whole[n].alias(n) for n in kept])))
 
     return apply
 
 
-def keep_present(field: str) -> Transform:
-    """Keep records whose value has the field; missing or null is excluded."""
+def exclude(fields: Sequence[str], column: str = "value") -> Transform:
+    """Drop fields; names the record does not have are ignored."""
+    return _chosen(column, fields, keep=False)
+
+
+def include(fields: Sequence[str], column: str = "value") -> Transform:
+    """Keep only these fields."""
+    return _chosen(column, fields, keep=True)
+
+
+def keep_present(field: str, otherwise: str = "exclude", drop: bool = False) -> Transform:
+    """Keep (with ``drop``: drop) records whose value has the field.
+
+    ``otherwise`` says what a record gets whose field is missing or null:
+    ``exclude`` drops it, ``include`` keeps it, ``fail`` stops the job.
+    """
+    if otherwise not in ("exclude", "include", "fail"):
+        raise ValueError(f"unknown behaviour {otherwise!r} for a missing field")
 
     def apply(df: DataFrame) -> DataFrame:
-        if field not in df.schema["value"].dataType.names:
-            return df.where(F.lit(False))
-        return df.where(F.col("value")[field].isNotNull())
+        found = _field(df, field)
+        absent = F.lit(True) if found is None else found.isNull()
+        if otherwise == "fail":
+            fallback = F.raise_error(F.lit(f"field {field} is missing or null")).cast("boolean")
+        else:
+            fallback = F.lit(otherwise == "include")
+        return df.where(F.when(absent, fallback).otherwise(F.lit(not drop)))
 
     return apply
 
@@ -108,40 +157,95 @@ def chain(df: DataFrame, steps: Sequence[Transform]) -> DataFrame:
     return df
 
 
+Factory = Callable[[Mapping[str, str]], Transform]
+"""From a transform's own options (without its name) to the transform."""
+
+_REGISTERED: dict[str, Factory] = {}
+
+
+def register_transform(kind: str, factory: Factory) -> None:
+    """Make a transform available to settings under a type name (its last part)."""
+    _REGISTERED[kind] = factory
+
+
 def chain_from_config(config: Mapping[str, str]) -> list[Transform]:
-    """Read a sink connector's ``transforms`` settings, in their named order."""
+    """Read a sink connector's ``transforms`` settings, in their named order.
+
+    An option that a transform does not understand is an error.
+    """
     names = [n.strip() for n in config.get("transforms", "").split(",") if n.strip()]
     return [_step(name, config) for name in names]
 
 
 def _step(name: str, config: Mapping[str, str]) -> Transform:
-    def option(key: str, default: str = "") -> str:
-        return config.get(f"transforms.{name}.{key}", default)
-
-    def listed(key: str) -> list[str]:
-        return [f.strip() for f in option(key).split(",") if f.strip()]
-
-    kind = option("type").rsplit(".", 1)[-1]
-    if kind == "ValueToKey":
-        return value_to_key(listed("fields"))
-    if kind in ("ReplaceField$Key", "ReplaceField$Value"):
-        renames = dict(pair.split(":", 1) for pair in listed("renames"))
-        if kind.endswith("Key"):
-            return rename_key(renames)
-        dropped = listed("exclude")
-        return lambda df: chain(
-            df, [*([exclude(dropped)] if dropped else []), *([rename_value(renames)] if renames else [])]
-        )
-    if kind == "Filter$Value":
-        found = _PRESENT.match(option("filter.condition"))
-        if not found or option("filter.type", "include") != "include":
-            raise ValueError(f"transform {name}: only 'field is present' filters are supported")
-        return keep_present(found.group(1))
-    if kind == "RemoveNullFields":
-        return remove_nulls()
-    if kind == "Flatten$Value":
-        return flatten_value(option("delimiter", "."))
-    raise ValueError(f"transform {name}: unknown type {option('type')!r}")
+    start = f"transforms.{name}."
+    options = {k.removeprefix(start): v for k, v in config.items() if k.startswith(start)}
+    kind = options.pop("type", "").rsplit(".", 1)[-1]
+    if kind not in _REGISTERED:
+        raise ValueError(f"transform {name}: unknown type {config.get(start + 'type')!r}")
+    try:
+        return _REGISTERED[kind](options)
+    except ValueError as e:
+        raise ValueError(f"transform {name}: {e}") from e
+
+
+def _only(options: Mapping[str, str], *known: str) -> None:
+    unknown = sorted(set(options) - set(known))
+    if unknown:
+        raise ValueError(f"options {unknown} are not supported")
+
+
+def _listed(text: str) -> list[str]:
+    return [f.strip() for f in text.split(",") if f.strip()]
+
+
+def _replace_field(column: str) -> Factory:
+    def make(options: Mapping[str, str]) -> Transform:
+        _only(options, "exclude", "include", "renames")
+        dropped, kept = _listed(options.get("exclude", "")), _listed(options.get("include", ""))
+        renames = dict(pair.split(":", 1) for pair in _listed(options.get("renames", "")))
+        steps = [exclude(dropped, column)] if dropped else []
+        steps += [include(kept, column)] if kept else []
+        steps += [_renamed(column, renames)] if renames else []
+        return lambda df: chain(df, steps)
+
+    return make
+
+
+def _filter(options: Mapping[str, str]) -> Transform:
+    _only(options, "filter.condition", "filter.type", "missing.or.null.behavior")
+    found = _PRESENT.match(options.get("filter.condition", ""))
+    kind = options.get("filter.type", "include")
+    if not found or kind not in ("include", "exclude"):
+        raise ValueError("only 'field is present' filters are supported")
+    return keep_present(found.group(1), options.get("missing.or.null.behavior", "fail"), kind == "exclude")
+
+
+def _value_to_key(options: Mapping[str, str]) -> Transform:
+    _only(options, "fields")
+    return value_to_key(_listed(options.get("fields", "")))
+
+
+def _remove_nulls(options: Mapping[str, str]) -> Transform:
+    _only(options)
+    return remove_nulls()
+
+
+def _flatten(options: Mapping[str, str]) -> Transform:
+    _only(options, "delimiter")
+    return flatten_value(options.get("delimiter", "."))
+
+
+# Type names that connector settings use.
+for _kind, _factory in {
+    "ValueToKey": _value_to_key,
+    "ReplaceField$Key": _replace_field("key"),
+    "ReplaceField$Value": _replace_field("value"),
+    "Filter$Value": _filter,
+    "RemoveNullFields": _remove_nulls,
+    "Flatten$Value": _flatten,
+}.items():
+    register_transform(_kind, _factory)
 
 
 def route(kind: Column, routes: Mapping[str, str]) -> Column:

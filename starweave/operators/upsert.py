@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starweave.operators import skew
-from starweave.operators.changelog import latest_by_key
+from starweave.operators.changelog import DELETE, latest_by_key
 
 
 def replace_documents(
@@ -30,14 +30,15 @@ def update_matching(
     value: Column,
     policy: skew.SkewPolicy | None = skew.DEFAULT,
     sample_from: skew.Sample = None,
+    op: str | None = None,
 ) -> DataFrame:
     """Set ``field`` in every document whose ``match`` equals a changed key.
 
     Only the newest change per key counts. Changes without a document insert
-    nothing. ``match`` may be a nested field such as ``customer.id``;
+    nothing; with ``op``, a key whose newest change is a delete changes nothing. ``match`` may be a nested field such as ``customer.id``;
     ``sample_from`` holds the same values in a column ``__match``.
     """
-    newest = latest_by_key(changes, change_key, version).select(
+    newest = latest_by_key(changes, change_key, version, op).select(
         F.col(change_key).alias("__changed"), value.alias("__value")
     )
     keyed = docs.withColumn("__match", F.col(match))
@@ -47,6 +48,10 @@ def update_matching(
     )
 
 
-def only_present(rows: DataFrame, field: str, drop: Sequence[str] = ()) -> DataFrame:
-    """Rows that carry a field, without the fields other sinks are in charge of."""
-    return rows.where(F.col(field).isNotNull()).drop(*drop)
+def only_present(rows: DataFrame, field: str, drop: Sequence[str] = (), op: str | None = None) -> DataFrame:
+    """Rows that carry a field, without the fields other sinks are in charge of.
+    With ``op``, deletes pass as well: every sink has to see them."""
+    wanted = F.col(field).isNotNull()
+    if op is not None:
+        wanted |= F.col(op) == DELETE
+    return rows.where(wanted).drop(*drop)

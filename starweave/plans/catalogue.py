@@ -7,13 +7,15 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starweave.functions.records import strip_null_entries, strip_nulls, text_map
-from starweave.operators import asof, changelog, enrich, partial, transforms, upsert
+from starweave.operators import asof, changelog, enrich, partial, skew, transforms, upsert
 from starweave.plans import sqltables
 from starweave.session import stage
+from starweave.sources import streams
 from starweave.sources import tables as t
-from starweave.specs import Dimension, StarSpec
+from starweave.specs import Dimension, StarSpec, TableSpec
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -226,6 +228,11 @@ def sql_three_way_inner(spark, d):
         customers=t.customer_dim(spark, d),
         products=t.product_dim(spark, d),
     )
+    return opened_maps(docs)
+
+
+def opened_maps(docs: DataFrame) -> DataFrame:
+    """One row per entry of the two maps of an inserted row."""
     named = F.array(
         *[F.struct(F.lit(m).alias("map_name"), F.col(m).alias("entries")) for m in ("product", "customer")]
     )
@@ -239,8 +246,9 @@ def sql_three_way_inner(spark, d):
 @query
 def pk_table_project(spark, d):
     """A keyed table filled by position from a wider log."""
+    target = TableSpec("people", "customer_id", (), T.StructType.fromDDL("customer_id STRING, name STRING"))
     current = changelog.table(t.customer_log(spark, d), t.CUSTOMERS)
-    return spark.sql("SELECT customer_id, name FROM {log}", log=current)
+    return sqltables.insert_select(spark, "people", target, "SELECT customer_id, name FROM {log}", log=current)
 
 
 # --- partial documents --------------------------------------------------------------
@@ -250,6 +258,7 @@ PARTIAL_PRODUCT = Dimension("product", t.PRODUCTS, "product_id", ("product_id",
 
 
 PARTIAL_DIMS = (PARTIAL_CUSTOMER, PARTIAL_PRODUCT)
+FLAT_RATING = 30
 
 
 def partial_legs(spark: SparkSession, d: str) -> list[DataFrame]:
@@ -312,17 +321,27 @@ def sink_customer_only(spark, d):
     return rows.select("order_id", "customer.customer_id", F.col("customer.name").alias("customer_name"))
 
 
-def _merged_legs(spark: SparkSession, d: str, flat: bool) -> DataFrame:
-    rows = partial.wide_rows(
-        t.order_log(spark, d), _dims(spark, d), PARTIAL_DIMS, "order_id", ["ts"], ["version"],
-        samples=t.samples(spark, d),
-    )
-    return partial.merge_fields(rows, "order_id", "version", ["customer", "product", "ts"], flat=flat)
+def _merged_legs(spark: SparkSession, d: str) -> DataFrame:
+    """Per order and sub-document the newest version whose key the dimension has: found on
+    keys and versions alone, so each sub-document is fetched once per order."""
+    rows, tables, samples = t.order_log(spark, d), _dims(spark, d), t.samples(spark, d)
+    found = [F.max_by("ts", F.when(F.col("ts").isNotNull(), F.col("version"))).alias("ts")]
+    for dim in PARTIAL_DIMS:
+        known = tables[dim.name].select(F.col(dim.table.key).alias("__key"))
+        ids = ["order_id", "version"]
+        rows = skew.lookup_join(rows, known, dim.fk, "__key", "left", ids, sample_from=samples[dim.name])
+        rows = rows.withColumnRenamed("__key", f"known_{dim.fk}")
+        held = F.col(f"known_{dim.fk}")
+        found.append(F.max_by(held, F.when(held.isNotNull(), F.col("version"))).alias(dim.fk))
+    docs = rows.groupBy("order_id").agg(*found)
+    for dim in PARTIAL_DIMS:
+        docs = enrich.lookup(docs, tables[dim.name], dim, ["order_id"], sample_from=samples[dim.name])
+    return docs
 
 
 @query
 def partial_merge_converged(spark, d):
-    return _merged_legs(spark, d, flat=False).select(
+    return _merged_legs(spark, d).select(
         "order_id",
         *_customer(),
         *_open("product", ("product_id", "brand", "name"), "product_id"),
@@ -332,7 +351,14 @@ def partial_merge_converged(spark, d):
 
 @query
 def partial_merge_flattened(spark, d):
-    docs = _merged_legs(spark, d, flat=True)
+    # Products of a lower rating have no brand here: a newer one keeps the brand of the one before.
+    tables = _dims(spark, d)
+    brand = F.when(F.col("rating") > FLAT_RATING, F.col("brand"))
+    tables["product"] = tables["product"].withColumn("brand", brand)
+    rows = partial.wide_rows(
+        t.order_log(spark, d), tables, PARTIAL_DIMS, "order_id", ["ts"], ["version"], samples=t.samples(spark, d)
+    )
+    docs = partial.merge_fields(rows, "order_id", "version", ["customer", "product", "ts"], flat=True)
     return docs.select(
         "order_id",
         F.col("customer_customer_id").alias("customer_id"),
@@ -357,15 +383,12 @@ def contract_violations(spark, d):
 
 @query
 def replace_one_converged(spark, d):
-    """Every version is enriched and written; the last one wins with its nulls."""
-    docs, tables, samples = t.order_log(spark, d), _dims(spark, d), t.samples(spark, d)
+    """The last version's document wins with its nulls. It is replaced whole, so
+    orders are compacted first and only the newest version is looked up."""
+    docs, tables, samples = t.orders_latest(spark, d), _dims(spark, d), t.samples(spark, d)
     for dim in (PARTIAL_CUSTOMER, PARTIAL_PRODUCT):
-        docs = enrich.lookup(
-            docs, tables[dim.name], dim, ["order_id", "version"], sample_from=samples[dim.name]
-        )
-    written = docs.select("order_id", "customer", "product", "ts", "version")
-    stored = upsert.replace_documents(written, "order_id", "version")
-    return stored.select(
+        docs = enrich.lookup(docs, tables[dim.name], dim, ["order_id"], sample_from=samples[dim.name])
+    return docs.select(
         "order_id",
         "customer.customer_id",
         F.col("customer.name").alias("customer_name"),
@@ -377,11 +400,14 @@ def replace_one_converged(spark, d):
 
 @query
 def sink_delete_on_null(spark, d):
-    log = t.order_log(spark, d)
-    value = F.when(F.col("op") != changelog.DELETE, F.struct("product_id", "customer_id", "ts"))
-    rows = log.select("order_id", "version", value.alias("value"))
-    marked = rows.withColumn("op", F.when(F.col("value").isNull(), changelog.DELETE).otherwise(changelog.UPSERT))
-    return upsert.replace_documents(marked, "order_id", "version", "op").select("order_id", "value.*")
+    """A message without a body removes its document. Lines are ranked before the customer is attached."""
+    lines = t.order_lines(t.read(spark, d, "lineitem"))
+    body = F.when(F.col("op") != changelog.DELETE, F.struct("product_id", "ts"))
+    rows = lines.select("order_id", "version", body.alias("body"))
+    marked = rows.withColumn("op", F.when(F.col("body").isNull(), changelog.DELETE).otherwise(changelog.UPSERT))
+    stored = upsert.replace_documents(marked, "order_id", "version", "op").select("order_id", "version", "body.*")
+    owned = t.with_customer(stored, t.read(spark, d, "orders"), unique=True)
+    return owned.select("order_id", "product_id", "customer_id", "ts")
 
 
 @query
@@ -444,6 +470,7 @@ def value_to_key_rename(spark, d):
     return keyed.select("key._id", "value.*")
 
 
+# Option and type names of connector settings.
 SINGLE_SINK = {
     "transforms": "copyIdToKey,replaceFieldInKey,removeNullFields",
     "transforms.copyIdToKey.type": "ValueToKey",
@@ -503,5 +530,15 @@ def route_by_record_type(spark, d):
 
 @query
 def decode_json_records(spark, d):
+    """Events as messages with a key, a JSON body and a position; one without a body is a tombstone."""
     events = t.read(spark, d, "events")
-    return events.select("event_id", F.from_json("props", "k BIGINT").alias("v")).select("event_id", "v.k")
+    body = F.when(F.col("event_type") != "error", F.col("props"))
+    messages = events.select(
+        F.col("event_id").alias("key"),
+        body.alias("value"),
+        F.col("ts").alias("timestamp"),
+        F.lit(0).alias("partition"),
+        F.col("event_id").alias("offset"),
+    )
+    decoded = streams.keyed_messages(messages, streams.decode_json(F.col("value"), "k BIGINT"))
+    return decoded.select(F.col("key").cast("long").alias("event_id"), "op", "value.k")

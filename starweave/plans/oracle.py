@@ -102,6 +102,17 @@ _MERGED = f"""
     v="row(o.v_ship, o.line, o.v_part, o.v_supp, o.v_price)"
 )
 
+_FLAT = _MERGED.replace("FILTER (WHERE p.product_id IS NOT NULL) AS product_brand", "FILTER (WHERE p.rating > 30) AS product_brand")
+
+_ROW = "row(o.v_ship, o.line, o.v_part, o.v_supp, o.v_price)"
+_ALIVE = {
+    "dead": f"SELECT o.order_id, max({_ROW}) AS gone FROM order_log o WHERE op = 'delete' GROUP BY o.order_id",
+    "alive": f"""
+        SELECT o.* FROM order_log o LEFT JOIN dead ON dead.order_id = o.order_id
+        WHERE op <> 'delete' AND (gone IS NULL OR {_ROW} > gone)""",
+}
+_MERGED_ALIVE = _MERGED.replace("FROM order_log o", "FROM alive o").replace("customer_dim c", "customer_dim_live c")
+
 _LAG = {
     "versions": f"""
         SELECT *, lag(op) OVER w AS old_op, lag(product_id) OVER w AS old_product
@@ -188,7 +199,7 @@ SQL: dict[str, str] = {
         "SELECT order_id, customer_id, customer_name FROM partials WHERE customer_id IS NOT NULL", _PARTIALS
     ),
     "partial_merge_converged": _sql(_MERGED),
-    "partial_merge_flattened": _sql(_MERGED),
+    "partial_merge_flattened": _sql(_FLAT),
     "contract_violations": _sql(
         """SELECT order_id, 'customer' AS missing_field FROM partials WHERE customer_id IS NULL
            UNION ALL SELECT order_id, 'product' FROM partials WHERE product_id IS NULL
@@ -227,7 +238,36 @@ SQL: dict[str, str] = {
         """SELECT event_id, CASE WHEN event_type IN ('signup', 'error') THEN 'customer' ELSE 'product' END AS route
            FROM events"""
     ),
-    "decode_json_records": _sql("SELECT event_id, CAST(props->>'k' AS BIGINT) AS k FROM events"),
+    "decode_json_records": _sql(
+        """SELECT event_id, CASE WHEN event_type = 'error' THEN 'delete' ELSE 'upsert' END AS op,
+                  CASE WHEN event_type <> 'error' THEN CAST(props->>'k' AS BIGINT) END AS k
+           FROM events"""
+    ),
     "stream_static_lookup": _sql(_STATIC_LOOKUP),
     "stream_enrich_converged": _sql(_FLAGSHIP),
+    "stream_tombstones_converged": _sql(
+        f"""SELECT o.order_id, {_C}, {_P}, o.ts FROM orders_live o
+            LEFT JOIN customer_dim_live c ON c.customer_id = o.customer_id {_LEFT_P}"""
+    ),
+    "stream_two_references": _sql(
+        """SELECT o.order_id, c.name AS buyer_name, s.name AS seller_name
+           FROM orders_now o LEFT JOIN customer_dim c ON c.customer_id = o.customer_id
+           LEFT JOIN customer_dim s ON s.customer_id = CAST(o.v_supp AS VARCHAR)"""
+    ),
+    "stream_partial_converged": _sql(_MERGED_ALIVE, _ALIVE),
+    "stream_fan_out_converged": _sql(
+        f"""SELECT 'ts' AS leg, order_id, NULL AS customer_id, NULL AS product_id, ts FROM ({_MERGED_ALIVE})
+            UNION ALL SELECT 'customer', order_id, customer_id, NULL, NULL FROM ({_MERGED_ALIVE})
+            WHERE customer_id IS NOT NULL
+            UNION ALL SELECT 'product', order_id, NULL, product_id, NULL FROM ({_MERGED_ALIVE})
+            WHERE product_id IS NOT NULL""",
+        _ALIVE,
+    ),
+    "stream_update_many_converged": _sql(
+        """SELECT o.order_id, o.customer_id, coalesce(u.name, b.c_name) AS customer_name,
+                  coalesce(u.acctbal, b.c_acctbal) AS customer_acctbal, o.ts
+           FROM orders_now o JOIN customer b ON CAST(b.c_custkey AS VARCHAR) = o.customer_id
+           LEFT JOIN (SELECT * FROM updates_now WHERE op <> 'delete') u ON u.customer_id = o.customer_id"""
+    ),
 }
+SQL["stream_sql_insert_converged"] = SQL["sql_three_way_inner"]

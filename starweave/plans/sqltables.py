@@ -2,7 +2,7 @@
 
 A primary-key table is the latest-by-key view of a log. ``INSERT INTO t SELECT``
 keeps a table up to date from others; in batch it is the view of the SELECT, in
-a stream the same SELECT runs in every batch (see ``streaming``).
+a stream the same SELECT runs in every batch (``streaming.sinks.InsertSelect``).
 """
 
 from __future__ import annotations
@@ -10,8 +10,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from starweave.operators.changelog import table
+from starweave.operators.sqlinsert import insert_select
 from starweave.specs import TableSpec
 
+__all__ = ["DOCUMENT_SQL", "ENRICH_SQL", "create_table", "insert_select"]
+
 
 def create_table(log: DataFrame, spec: TableSpec, view: str | None = None) -> DataFrame:
     """Register the current contents of a log under a name."""
@@ -20,23 +23,7 @@ def create_table(log: DataFrame, spec: TableSpec, view: str | None = None) -> Da
     return current
 
 
-def insert_select(spark: SparkSession, target: str, spec: TableSpec, select: str, **sources: DataFrame) -> DataFrame:
-    """Rows of ``select`` matched to the target's columns *by position*.
-
-    ``{name}`` in the SQL stands for the DataFrame passed under that name.
-    """
-    if spec.schema is None:
-        raise ValueError(f"table {spec.name} declares no columns")
-    rows = spark.sql(select, **sources)
-    if len(rows.columns) != len(spec.schema.names):
-        raise ValueError(f"{target} has {len(spec.schema.names)} columns, the query gives {len(rows.columns)}")
-    typed = rows.toDF(*spec.schema.names).selectExpr(
-        *[f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in spec.schema.fields]
-    )
-    typed.createOrReplaceTempView(target)
-    return typed
-
-
+# Output columns and map keys.
 ENRICH_SQL = """
 SELECT o.order_id AS id, o.order_id AS order_id,
        map('id', o.product_id, 'brand', p.brand, 'name', p.name,
@@ -48,3 +35,12 @@ FROM {orders} o
 JOIN {customers} c ON o.customer_id = c.customer_id
 JOIN {products} p ON o.product_id = p.product_id
 """
+
+DOCUMENT_SQL = """
+SELECT order_id, order_id,
+       map('id', product_id, 'brand', product.brand, 'name', product.name,
+           'sale_price', CAST(product.sale_price AS string), 'rating', CAST(product.rating AS string)),
+       map('id', customer_id, 'name', customer.name, 'segment', customer.segment),
+       ts
+FROM {rows}
+"""

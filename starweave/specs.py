@@ -48,7 +48,12 @@ class StarSpec:
     columns: tuple[str, ...]
 
     def tables(self) -> list[TableSpec]:
-        return [self.fact, *(d.table for d in self.dims)]
+        """Every table once, also if several foreign keys refer to it."""
+        found: dict[str, TableSpec] = {}
+        for spec in (self.fact, *(d.table for d in self.dims)):
+            if found.setdefault(spec.name, spec) != spec:
+                raise ValueError(f"two different tables are called {spec.name}")
+        return list(found.values())
 
 
 def as_list(names: str | Sequence[str]) -> list[str]:

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starweave.operators import changelog, enrich, partial, skew
+from starweave.sources import files
 from starweave.sources.logs import BATCH, LogTable
 from starweave.sources.streams import TABLE, untag
 from starweave.specs import Dimension, StarSpec, TableSpec
@@ -55,6 +56,9 @@ class Maintainer:
     """Which facts a dimension change reaches: ``all`` that reference it, only the
     ``latest`` one per dimension key, or ``none`` (facts look up the dimensions
     as they are when the fact arrives; see ``sinks.UpdateMatching``)."""
+    versions: bool = False
+    """Add a column ``<dimension>_version`` (a struct, null on a miss) to whole documents,
+    so that changes pushed into them can be ordered against what they hold."""
     compact_every: int = 20
     buckets: int = 16
     """Hash directories per compacted input. Size it so that one directory is a
@@ -70,6 +74,8 @@ class Maintainer:
             raise ValueError(f"unknown mode {self.mode!r}")
         if self.refresh not in ("all", "latest", "none"):
             raise ValueError(f"unknown refresh {self.refresh!r}")
+        if self.versions and self.mode != "full":
+            raise ValueError("only whole documents carry versions")
         fks = tuple(dict.fromkeys(d.fk for d in self.star.dims))
         self.inputs = {
             s.name: LogTable(
@@ -98,6 +104,9 @@ class Maintainer:
                 for c in dim.columns
             ]
             fields.append(T.StructField(dim.name, T.StructType(columns)))
+            if self.versions:
+                kept = T.StructType([T.StructField(c, table[c].dataType) for c in dim.table.version])
+                fields.append(T.StructField(f"{dim.name}_version", kept))
         return T.StructType([*fields, T.StructField(OP, T.StringType())])
 
     # --- one micro-batch ------------------------------------------------------------
@@ -229,7 +238,10 @@ class Maintainer:
         star = self.star
         live, dead = self._split(facts)
         tables = {d.name: self._needed(d, facts, batch_id) for d in star.dims}
-        docs = self._conform(enrich.star_join(live, tables, star, policy=self.policy), changelog.UPSERT)
+        joined = enrich.star_join(live, tables, star, policy=self.policy)
+        if self.versions:
+            joined = self._versioned(joined, live, tables)
+        docs = self._conform(joined, changelog.UPSERT)
         if dead is not None:
             docs = docs.unionByName(self._conform(dead.select(star.fact.key), changelog.DELETE))
         dropping = [d.name for d in star.dims if d.on_miss == "drop"]
@@ -239,6 +251,19 @@ class Maintainer:
             docs = docs.unionByName(self._conform(lost, changelog.DELETE))
         return docs
 
+    def _versioned(self, docs: DataFrame, live: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
+        """Documents with the version of each dimension row that they hold."""
+        key = self.star.fact.key
+        for dim in self.star.dims:
+            spec = dim.table
+            known = tables[dim.name].select(
+                F.col(spec.key).alias("__key"), F.struct(*spec.version).alias(f"{dim.name}_version")
+            )
+            refs = live.select(F.col(key).alias("__fact"), F.col(dim.fk).alias("__fk"))
+            held = skew.lookup_join(refs, known, "__fk", "__key", "left", ["__fact"], self.policy)
+            docs = docs.join(held.select(F.col("__fact").alias(key), f"{dim.name}_version"), key, "left")
+        return docs
+
     def _partial(self, current: DataFrame, arrived: DataFrame | None, batch_id: int) -> DataFrame:
         """One row per leg: for every fact version in the batch, and for the
         current version of facts whose dimension row changed."""
@@ -290,6 +315,16 @@ class Maintainer:
 
     def vacuum(self, keep: int = 2) -> None:
         """Delete superseded compactions of the inputs (see ``LogTable.vacuum``).
-        The output log is left alone: sinks may still be reading it."""
+        The output log is left alone: sinks may still be reading it (see ``trim``)."""
         for log in self.inputs.values():
             log.vacuum(keep)
+
+    def trim(self, upto: int) -> None:
+        """Delete output batches that a compaction covers, up to the last one that the
+        slowest sink has committed. Working tables of these batches go with them."""
+        self.output.trim(upto)
+        covered = self.output.base()
+        for log in (self._affected, self._touched):
+            for b in log.batches():
+                if covered is not None and b <= min(upto, covered[0]):
+                    files.delete(self.spark, f"{log.log_path}/{BATCH}={b}")

@@ -184,22 +184,117 @@ def test_sink_resumes_where_it_stopped(spark, feeds, pipe):
     assert names(sink.documents()) == {3: ("Ann", "")}
 
 
-def test_updates_are_pushed_into_stored_documents(spark, feeds, pipe, tmp_path):
-    keep = maintainer(spark, pipe)
+def pushes(spark, pipe):
+    """A maintained star whose documents know their versions, its sink, and two jobs that push changes."""
+    keep = maintainer(spark, pipe, versions=True, refresh="none")
     sink = ReplaceSink(spark, pipe.path("store"), "order_id", keep.output.schema)
-    people = UpdateMatching(sink, "customer", "customer.id", "id", ["version"], F.struct(*shop.CUSTOMERS.schema.names[:10]))
-    goods = UpdateMatching(sink, "product", "product.id", "id", ["version"], F.struct(*shop.PRODUCTS.schema.names[:5]))
+    people = UpdateMatching(
+        sink, "customer", "customer.id", "id", ["version"], F.struct(*shop.CUSTOMERS.schema.names[:10]),
+        shop.CUSTOMERS.schema, "op", F.col("customer_version"), compact_every=2,
+    )
+    goods = UpdateMatching(
+        sink, "product", "product.id", "id", ["version"], F.struct(*shop.PRODUCTS.schema.names[:5]),
+        shop.PRODUCTS.schema, held=F.col("product_version"),
+    )
+    return keep, sink, people, goods
+
+
+def people_rows(spark, *rows):
+    return shop.rows(spark, shop.CUSTOMERS, *rows)
+
+
+def test_updates_are_pushed_into_stored_documents(spark, feeds, pipe, tmp_path):
+    keep, sink, people, goods = pushes(spark, pipe)
     feeds.add(orders=[shop.order(1, "p1", "A", 1), shop.order(2, "p1", "B", 1)], customers=[shop.customer("A", "Ann", 1)])
     finish(pipe.run(feeds.stream(), keep, "keep"))
     finish(pipe.run(keep.output.stream(), sink, "sink"))
-    people(shop.rows(spark, shop.CUSTOMERS, shop.customer("A", "Anna", 2), shop.customer("Z", "Zed", 1)), 0)
+    people(people_rows(spark, shop.customer("A", "Anna", 2), shop.customer("Z", "Zed", 1)), 0)
     goods(shop.rows(spark, shop.PRODUCTS, shop.product("p1", "boot", 2)), 0)
     assert names(sink.documents()) == {1: ("Anna", "boot"), 2: ("", "boot")}
-    # A replacement that comes later wins over the update.
+    # A replacement made from an older customer does not undo the newer one.
     feeds.add(orders=[shop.order(1, "p1", "A", 2)])
     finish(pipe.run(feeds.stream(), keep, "keep"))
     finish(pipe.run(keep.output.stream(), sink, "sink"))
-    assert names(sink.documents()) == {1: ("Ann", ""), 2: ("", "boot")}
+    assert names(sink.documents()) == {1: ("Anna", "boot"), 2: ("", "boot")}
+
+
+def test_pushed_updates_follow_versions(spark, feeds, pipe):
+    keep, sink, people, _ = pushes(spark, pipe)
+    # A change that is handled before its document is stored is not lost.
+    people(people_rows(spark, shop.customer("B", "Bea", 7)), 0)
+    feeds.add(orders=[shop.order(1, "p1", "A", 1), shop.order(2, "p1", "B", 1)], customers=[shop.customer("A", "v3", 3)])
+    finish(pipe.run(feeds.stream(), keep, "keep"))
+    finish(pipe.run(keep.output.stream(), sink, "sink"))
+    assert names(sink.documents()) == {1: ("v3", ""), 2: ("Bea", "")}
+    people(people_rows(spark, shop.customer("A", "v2", 2)), 1)  # lags behind what the document holds
+    assert names(sink.documents())[1] == ("v3", "")
+    people(people_rows(spark, shop.customer("A", "v5", 5)), 2)
+    people(people_rows(spark, shop.customer("A", "v4", 4)), 3)  # older, in a later batch
+    assert names(sink.documents())[1] == ("v5", "")
+    people(people_rows(spark, shop.customer("A", None, 6, "delete")), 4)  # changes no document
+    assert names(sink.documents())[1] == ("v3", "")
+    assert people.log.base() is not None
+
+
+def test_deletes_reach_every_filtered_sink(spark, feeds, pipe):
+    keep = maintainer(spark, pipe, mode="partial")
+    feeds.add(orders=[shop.order(1, "p1", "A", 1)], customers=[shop.customer("A", "Ann", 1)])
+    finish(pipe.run(feeds.stream(), keep, "keep"))
+    sink = MergeSink(spark, pipe.path("ts"), "order_id", ["ts"], ["version"], keep.output.schema, compact_every=1)
+    out = FanOut([(lambda rows: upsert.only_present(rows, "ts", ["product", "customer"], "op"), sink)])
+    finish(pipe.run(keep.output.stream(), out, "ts"))
+    assert sink.documents().count() == 1
+    feeds.add(orders=[shop.order(1, None, None, 2, "delete")])
+    finish(pipe.run(feeds.stream(), keep, "keep"))
+    finish(pipe.run(keep.output.stream(), out, "ts"))
+    assert sink.documents().count() == 0
+
+
+def test_old_files_are_read(spark, feeds):
+    import os
+
+    feeds.add(customers=[shop.customer("A", "Ann", 1)])
+    feeds.add(customers=[shop.customer("B", "Bob", 1)])
+    folder = f"{feeds.root}/customers"
+    old = sorted(f for f in os.listdir(folder) if f.endswith(".parquet"))[0]
+    os.utime(f"{folder}/{old}", (1, 1))
+    seen = []
+    source = streams.parquet_stream(spark, folder, shop.CUSTOMERS.schema)
+    finish(subscribe(source, lambda rows, n: seen.extend(r.id for r in rows.collect()), f"{feeds.root}/check"))
+    assert sorted(seen) == ["A", "B"]
+
+
+def test_half_written_batches_are_invisible_and_logs_stay_short(spark, tmp_path):
+    log = LogTable(spark, str(tmp_path / "log"), shop.PRODUCTS.schema, "id", 2)
+    log.write(shop.rows(spark, shop.PRODUCTS, shop.product("p", "a", 1)), 0)
+    half = shop.rows(spark, shop.PRODUCTS, shop.product("q", "b", 1))
+    half.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{log.log_path}/{BATCH}=1")
+    assert {r.id for r in log.read().collect()} == {"p"}
+    log.write(half, 1)
+    assert {r.id for r in log.read().collect()} == {"p", "q"}
+    log.trim(1)
+    assert log.batches() == [0, 1]  # nothing covers them yet
+    log.compact(0, lambda rows: rows)
+    log.trim(5)
+    assert log.batches() == [1] and log.read().count() == 2
+
+
+def test_one_table_behind_two_references(spark, feeds, pipe):
+    from dataclasses import replace
+
+    customer, product = shop.STAR.dims
+    both = replace(shop.STAR, dims=(customer, replace(customer, name="other", fk="product_id")))
+    keep = Maintainer(spark, both, pipe.path("state"), shop.SCHEMAS, buckets=2, compact_every=2)
+    assert [s.name for s in both.tables()] == ["orders", "customers"]
+    source = streams.tagged({n: streams.parquet_stream(spark, f"{feeds.root}/{n}", SPECS[n].schema) for n in ("orders", "customers")})
+    feeds.add(orders=[shop.order(1, "B", "A", 1)], customers=[shop.customer("A", "Ann", 1), shop.customer("B", "Bob", 1)])
+    finish(pipe.run(source, keep, "keep"))
+    feeds.add(customers=[shop.customer("B", "Bert", 2)])
+    finish(pipe.run(source, keep, "keep"))
+    got = keep.documents().collect()
+    assert [(r.customer.first_name, r.other.first_name) for r in got] == [("Ann", "Bert")]
+    with pytest.raises(ValueError, match="two different tables"):
+        replace(shop.STAR, dims=(customer, replace(product, table=replace(product.table, name="customers")))).tables()
 
 
 def test_partial_log_into_one_sink_and_into_three(spark, feeds, pipe):
@@ -331,9 +426,7 @@ def test_a_dimension_change_may_reach_the_latest_order_only(spark, feeds, pipe):
 
 def test_orders_as_a_stream_with_pushed_updates(spark, feeds, pipe):
     """Orders see the dimensions of their arrival; two more jobs push changes."""
-    keep = maintainer(spark, pipe, refresh="none")
-    sink = ReplaceSink(spark, pipe.path("store"), "order_id", keep.output.schema)
-    push = UpdateMatching(sink, "customer", "customer.id", "id", ["version"], F.struct(*shop.CUSTOMERS.schema.names[:10]))
+    keep, sink, push, _ = pushes(spark, pipe)
     feeds.add(orders=[shop.order(1, "p1", "A", 1)])
     finish(pipe.run(feeds.stream(), keep, "keep"))
     finish(pipe.run(keep.output.stream(), sink, "sink"))

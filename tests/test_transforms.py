@@ -35,6 +35,7 @@ def test_filtered_sink_chain(spark):
         "transforms.present.type": "Filter$Value",
         "transforms.present.filter.condition": "$.[?(@.product)]",
         "transforms.present.filter.type": "include",
+        "transforms.present.missing.or.null.behavior": "exclude",
         "transforms.noTs.type": "ReplaceField$Value",
         "transforms.noTs.exclude": "ts",
         "transforms.noCustomer.type": "ReplaceField$Value",
@@ -119,3 +120,57 @@ def test_messages_are_decoded(spark):
     got = streams.keyed_messages(raw, decoded).orderBy("version.offset").collect()
     assert [(r.key, r.op) for r in got] == [("1", "upsert"), ("1", "delete"), ("2", "upsert")]
     assert got[0].value.product_id == "p" and got[1].value is None
+
+
+def test_missing_or_null_behaviour(spark):
+    rows = tr.as_records(spark.sql(ROW))
+
+    def run(**options):
+        config = {"transforms": "f", "transforms.f.type": "Filter$Value", "transforms.f.filter.condition": "$[?(@.ts)]"}
+        return tr.chain(rows, tr.chain_from_config({**config, **{f"transforms.f.{k.replace('_', '.')}": v for k, v in options.items()}}))
+
+    assert run(missing_or_null_behavior="include").count() == 1
+    assert run(missing_or_null_behavior="exclude").count() == 0
+    for options in ({"missing_or_null_behavior": "fail"}, {}):
+        with pytest.raises(Exception, match="missing or null"):
+            run(**options).collect()
+    present = tr.chain(rows, [tr.keep_present("order_id", "fail", drop=True)])
+    assert present.count() == 0
+    with pytest.raises(ValueError, match="not supported"):
+        run(negate="true")
+    with pytest.raises(ValueError, match="behaviour"):
+        run(missing_or_null_behavior="maybe")
+
+
+def test_lists_on_key_and_value(spark):
+    rows = tr.chain(tr.as_records(spark.sql(ROW)), [tr.value_to_key(["order_id", "ts"])])
+    config = {
+        "transforms": "k,v",
+        "transforms.k.type": "ReplaceField$Key",
+        "transforms.k.exclude": "ts",
+        "transforms.v.type": "ReplaceField$Value",
+        "transforms.v.include": "order_id,product",
+        "transforms.v.renames": "product:item",
+    }
+    got = tr.chain(rows, tr.chain_from_config(config))
+    assert got.schema["key"].dataType.names == ["order_id"]
+    assert got.schema["value"].dataType.names == ["order_id", "item"]
+
+
+def test_chain_on_maps(spark):
+    rows = spark.sql("SELECT CAST(NULL AS STRING) AS key, map('a', '1', 'b', NULL, 'c', '3') AS value")
+    steps = [tr.value_to_key(["a", "x"]), tr.keep_present("c"), tr.exclude(["c"]), tr.rename_value({"a": "z"}), tr.remove_nulls()]
+    got = tr.chain(rows, steps).collect()[0]
+    assert got.key.asDict() == {"a": "1", "x": None} and got.value == {"z": "1"}
+    assert tr.chain(rows, [tr.keep_present("b")]).count() == 0
+
+
+def test_registered_transform(spark):
+    def upper(options):
+        field = options["field"]
+        return lambda df: df.withColumn("value", F.col("value").withField(field, F.upper(F.col("value")[field])))
+
+    tr.register_transform("Shout", upper)
+    config = {"transforms": "s", "transforms.s.type": "com.acme.Shout", "transforms.s.field": "name"}
+    rows = tr.as_records(spark.sql("SELECT 'x' AS name"))
+    assert tr.chain(rows, tr.chain_from_config(config)).collect()[0].value.name == "X"
