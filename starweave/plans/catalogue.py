@@ -12,7 +12,6 @@ from pyspark.sql import types as T
 from starweave.functions.records import strip_null_entries, strip_nulls, text_map
 from starweave.operators import asof, changelog, enrich, partial, skew, transforms, upsert
 from starweave.plans import sqltables
-from starweave.session import stage
 from starweave.sources import streams
 from starweave.sources import tables as t
 from starweave.specs import Dimension, StarSpec, TableSpec
@@ -111,10 +110,9 @@ def enrich_orders_customer(spark, d):
     return docs.select("order_id", "product_id", *_customer(), "ts")
 
 
-def flagship(spark: SparkSession, d: str, orders: DataFrame | None = None) -> DataFrame:
+def flagship(spark: SparkSession, d: str) -> DataFrame:
     """Current orders with both sub-documents, blanks on a miss."""
-    facts = t.orders_latest(spark, d) if orders is None else orders
-    return enrich.star_join(facts, _dims(spark, d), t.STAR, samples=t.samples(spark, d))
+    return enrich.star_join(t.orders_latest(spark, d), _dims(spark, d), t.STAR, samples=t.samples(spark, d))
 
 
 @query
@@ -163,7 +161,7 @@ def _customer_led(spark: SparkSession, d: str, orders: DataFrame) -> DataFrame:
     people = changelog.table(t.customer_log(spark, d), t.CUSTOMERS)
     led = enrich.dimension_led(people, orders, t.CUSTOMER, ["version", "order_id"])
     return enrich.lookup(
-        led, t.product_dim(spark, d), t.PRODUCT, ["order_id"], sample_from=t.samples(spark, d)["product"]
+        led, t.products_now(spark, d), t.PRODUCT, ["order_id"], sample_from=t.samples(spark, d)["product"]
     )
 
 
@@ -172,7 +170,7 @@ def _product_led(spark: SparkSession, d: str, orders: DataFrame, lookup_by: str
     led = enrich.dimension_led(goods, orders, t.PRODUCT, ["version", "order_id"])
     sample = t.samples(spark, d)["customer"] if lookup_by is None else None
     return enrich.lookup(
-        led, t.customer_dim(spark, d), t.CUSTOMER, ["order_id"], sample_from=sample, lookup_by=lookup_by
+        led, t.customers_now(spark, d), t.CUSTOMER, ["order_id"], sample_from=sample, lookup_by=lookup_by
     )
 
 
@@ -197,11 +195,11 @@ def product_led_as_written(spark, d):
 
 @query
 def three_leg_union(spark, d):
-    """Each leg needs the current orders, so they are compacted once, to a table."""
-    current = t.orders_latest(spark, d).select("order_id", "product_id", "customer_id", "ts", "version")
-    orders = stage(current, "orders")
+    """The three legs over the current orders; their common exchange is reused."""
+    orders = t.orders_latest(spark, d).select("order_id", "product_id", "customer_id", "ts", "version")
+    whole = {"customer": t.customers_now(spark, d), "product": t.products_now(spark, d)}
     legs = {
-        "orders": flagship(spark, d, orders),
+        "orders": enrich.star_join(orders, whole, t.STAR, samples=t.samples(spark, d)),
         "customers": _customer_led(spark, d, orders),
         "products": _product_led(spark, d, orders),
     }
@@ -414,7 +412,7 @@ def sink_delete_on_null(spark, d):
 def update_many_dimension(spark, d):
     docs = enrich.lookup(
         t.orders_latest(spark, d),
-        t.customer_dim(spark, d),
+        t.customers_now(spark, d),
         Dimension("customer", t.CUSTOMERS, "customer_id", ("customer_id", "name", "acctbal"), "default"),
         ["order_id"],
         sample_from=t.samples(spark, d)["customer"],
@@ -491,13 +489,13 @@ def transform_chain(spark, d):
 @query
 def document_projection(spark, d):
     halves = F.split("name", "#")
-    people = t.customer_dim(spark, d).withColumns(
+    people = t.customers_now(spark, d).withColumns(
         {"first_name": F.get(halves, F.lit(0)), "last_name": F.get(halves, F.lit(1))}
     )
     dim = Dimension("customer", t.CUSTOMERS, "customer_id", ("customer_id", "first_name", "last_name", "segment"))
     star = StarSpec(t.ORDERS, (dim, t.PRODUCT), ("order_id", "ts"))
     docs = enrich.star_join(
-        t.orders_latest(spark, d), {"customer": people, "product": t.product_dim(spark, d)}, star,
+        t.orders_latest(spark, d), {"customer": people, "product": t.products_now(spark, d)}, star,
         samples=t.samples(spark, d),
     )
     stored = transforms.document(docs.select("order_id", "customer", "product", "ts"), "order_id")

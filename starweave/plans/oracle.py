@@ -55,12 +55,13 @@ _P = """coalesce(p.product_id, o.product_id) AS product_id, coalesce(p.brand, ''
         coalesce(p.rating, 0) AS product_rating"""
 _LEFT_C = "LEFT JOIN customer_dim c ON c.customer_id = o.customer_id"
 _LEFT_P = "LEFT JOIN product_dim p ON p.product_id = o.product_id"
+_ALL_C, _ALL_P = (j.replace("_dim", "s_now") for j in (_LEFT_C, _LEFT_P))
 
 _FLAGSHIP = f"SELECT o.order_id, {_C}, {_P}, o.ts FROM orders_now o {_LEFT_C} {_LEFT_P}"
 
 _CUSTOMER_LED = f"""
     SELECT o.order_id, c.customer_id, c.name AS customer_name, c.segment AS customer_segment, {_P}, o.ts
-    FROM customers_now c JOIN order_per_customer o ON o.customer_id = c.customer_id {_LEFT_P}"""
+    FROM customers_now c JOIN order_per_customer o ON o.customer_id = c.customer_id {_ALL_P}"""
 
 
 def _product_led(lookup_by: str) -> str:
@@ -68,7 +69,7 @@ def _product_led(lookup_by: str) -> str:
     SELECT o.order_id, {_C}, p.product_id, p.brand AS product_brand, p.name AS product_name,
            p.sale_price AS product_sale_price, p.rating AS product_rating, o.ts
     FROM products_now p JOIN order_per_product o ON o.product_id = p.product_id
-    LEFT JOIN customer_dim c ON c.customer_id = o.{lookup_by}"""
+    LEFT JOIN customers_now c ON c.customer_id = o.{lookup_by}"""
 
 
 _PARTIALS = {
@@ -121,7 +122,7 @@ _LAG = {
 
 _STATIC_LOOKUP = f"""
     SELECT o.order_id, o.ts, CAST(o.line AS BIGINT) AS line, o.customer_id, coalesce(c.name, '') AS customer_name
-    FROM order_log o {_LEFT_C}"""
+    FROM order_log o {_ALL_C}"""
 
 SQL: dict[str, str] = {
     "orders_latest_by_key": _sql("SELECT order_id, product_id, customer_id, ts FROM orders_now"),
@@ -162,7 +163,8 @@ SQL: dict[str, str] = {
     "product_led_enrichment": _sql(_product_led("customer_id")),
     "product_led_as_written": _sql(_product_led("product_id")),
     "three_leg_union": _sql(
-        f"""SELECT 'orders' AS leg, order_id, customer_id, product_id FROM ({_FLAGSHIP})
+        f"""SELECT 'orders' AS leg, o.order_id, {_C.split(' AS')[0]} AS customer_id, {_P.split(' AS')[0]} AS product_id
+            FROM orders_now o {_ALL_C} {_ALL_P}
             UNION ALL SELECT 'customers', order_id, customer_id, product_id FROM ({_CUSTOMER_LED})
             UNION ALL SELECT 'products', order_id, customer_id, product_id
             FROM ({_product_led('customer_id')})"""
@@ -215,7 +217,7 @@ SQL: dict[str, str] = {
         f"""SELECT o.order_id, o.customer_id,
                    coalesce(u.name, c.name, '') AS customer_name,
                    coalesce(u.acctbal, c.acctbal, 0.0) AS customer_acctbal, o.ts
-            FROM orders_now o {_LEFT_C}
+            FROM orders_now o {_ALL_C}
             LEFT JOIN updates_now u ON u.customer_id = o.customer_id"""
     ),
     "remove_null_fields_struct": _sql(f"SELECT order_id, {_DOC} AS doc FROM partials", _PARTIALS),
@@ -232,7 +234,7 @@ SQL: dict[str, str] = {
                    coalesce(split_part(c.name, '#', 1), '') AS "customer_firstName",
                    coalesce(split_part(c.name, '#', 2), '') AS "customer_lastName",
                    coalesce(c.segment, '') AS customer_segment, {_P}, o.ts
-            FROM orders_now o {_LEFT_C} {_LEFT_P}"""
+            FROM orders_now o {_ALL_C} {_ALL_P}"""
     ),
     "route_by_record_type": _sql(
         """SELECT event_id, CASE WHEN event_type IN ('signup', 'error') THEN 'customer' ELSE 'product' END AS route

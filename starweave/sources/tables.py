@@ -157,3 +157,13 @@ def customer_dim(spark: SparkSession, sf_dir: str, deletes: bool = False) -> Dat
 def product_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Current products, small ratings left out so that lookups miss."""
     return latest_by_key(product_log(spark, sf_dir), "product_id", "version").where("rating > 10")
+
+
+def customers_now(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All current customers."""
+    return latest_by_key(customer_log(spark, sf_dir), "customer_id", "version")
+
+
+def products_now(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All current products."""
+    return latest_by_key(product_log(spark, sf_dir), "product_id", "version")

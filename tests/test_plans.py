@@ -73,3 +73,15 @@ def test_whole_stage_codegen_covers_the_lookups(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     joins = [line for line in text.splitlines() if "BroadcastHashJoin" in line]
     assert joins and all("*(" in line for line in joins)
+
+
+@pytest.mark.parametrize("name", ["replace_one_converged", "sink_delete_on_null"])
+def test_versions_are_ranked_before_the_first_shuffle(spark, name):
+    plan = plan_of(contract.queries()[name](spark, SF))
+    assert re.search(r"WindowGroupLimit [^\n]*Final", plan) and re.search(r"WindowGroupLimit [^\n]*Partial", plan)
+
+
+def test_partial_merge_shuffles_keys_and_versions_only(spark):
+    plan = plan_of(contract.queries()["partial_merge_converged"](spark, SF))
+    merged = re.findall(r"max_by\(([^)]*)\)", plan)
+    assert merged and not any("brand" in m or "name" in m or "segment" in m for m in merged)
