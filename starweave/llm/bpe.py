@@ -24,9 +24,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Pre-tokens kept with their ids in a worker; the table is emptied when full.
-CACHED = 1 << 19
+CACHED = 3 << 18
 #: Longer pre-tokens are not kept.
 CACHED_CHARS = 64
+#: At least so many new pre-tokens of a batch share one queue; fewer are merged one by one, with the same ids.
+TOGETHER = 4096
+#: Texts from which a new worker learns the common pre-tokens.
+FIRST = 256
+#: Characters of the texts whose new pre-tokens are merged together; bounds a worker's memory.
+SLICE = 1 << 23
 #: Matches taken at once from a text longer than this many characters.
 BLOCK = 1 << 18
 
@@ -103,6 +109,127 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return ids
 
 
+class PairTable:
+    """Rank of two adjoining tokens, for arrays of them."""
+
+    def __init__(self, ranks: dict[bytes, int]) -> None:
+        keys, merged = [], []
+        for token, rank in ranks.items():
+            for cut in range(1, len(token)):
+                left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
+                if left is not None and right is not None:
+                    keys.append(left << 32 | right)
+                    merged.append(rank)
+        order = np.argsort(np.array(keys, dtype=np.int64))
+        self.keys = np.array([*keys, -1], dtype=np.int64)[np.append(order, len(keys))]
+        self.keys[-1] = np.iinfo(np.int64).max
+        self.merged = np.array([*merged, -1], dtype=np.int64)[np.append(order, len(keys))]
+        self.bytes = np.array([ranks[bytes([i])] for i in range(256)], dtype=np.int64)
+        self.ranks = max(ranks.values()) + 1
+
+    def find(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        key = left << 32 | right
+        at = self.keys.searchsorted(key)
+        return np.where(self.keys[at] == key, self.merged[at], -1)
+
+
+class Queue:
+    """The rank queue for many pre-tokens at once: a bucket holds arrays of positions."""
+
+    def __init__(self, ranks: int) -> None:
+        self.slots: dict[int, list[np.ndarray]] = {}
+        self.low = np.zeros((ranks >> WORD_BITS) + 1 << WORD_BITS, dtype=bool)
+        self.top = np.zeros((ranks >> WORD_BITS) + 1, dtype=bool)
+
+    def push(self, positions: np.ndarray, ranks: np.ndarray) -> None:
+        order = ranks.argsort()
+        positions, ranks = positions[order], ranks[order]
+        starts = np.flatnonzero(ranks[1:] != ranks[:-1]) + 1
+        named = ranks[np.append(0, starts)]
+        self.low[named] = True
+        self.top[named >> WORD_BITS] = True
+        slots, start = self.slots, 0
+        for rank, stop in zip(named.tolist(), [*starts.tolist(), len(ranks)], strict=True):
+            part = positions[start:stop]
+            if rank in slots:
+                slots[rank].append(part)
+            else:
+                slots[rank] = [part]
+            start = stop
+
+    def pop(self) -> tuple[int, np.ndarray] | None:
+        word = int(self.top.argmax())
+        if not self.top[word]:
+            return None
+        bits = self.low[word << WORD_BITS : (word + 1) << WORD_BITS]
+        bit = int(bits.argmax())
+        bits[bit] = False
+        if not bits.any():
+            self.top[word] = False
+        rank = word << WORD_BITS | bit
+        parts = self.slots.pop(rank)
+        return rank, parts[0] if len(parts) == 1 else np.concatenate(parts)
+
+
+def merge_many(pieces: list[bytes], table: PairTable) -> list[bytes]:
+    """Packed ids of many pre-tokens, by one queue over all their positions.
+
+    A bucket's step takes the leftmost open position of each pre-token, so each is merged exactly as alone.
+    """
+    lengths = np.array([len(p) for p in pieces])
+    ends = lengths.cumsum()
+    token = table.bytes[np.frombuffer(b"".join(pieces), dtype=np.uint8)]
+    n = len(token)
+    owner = np.repeat(np.arange(len(pieces), dtype=np.int32), lengths)
+    after, before = np.arange(1, n + 1, dtype=np.int32), np.arange(-1, n - 1, dtype=np.int32)
+    after[ends - 1] = -1
+    before[ends - lengths] = -1
+    pair = np.append(table.find(token[:-1], token[1:]), -1)
+    pair[ends - 1] = -1
+    gone = np.zeros(n, dtype=bool)
+    queue = Queue(table.ranks)
+    open_ = np.flatnonzero(pair >= 0)
+    if len(open_):
+        queue.push(open_, pair[open_])
+    while (found := queue.pop()) is not None:
+        rank, at = found
+        at = at[pair[at] == rank]  # the others are stale
+        if len(at) > 1:
+            at.sort()
+            own = owner[at]
+            later = own[1:] == own[:-1]
+            if later.any():
+                later = np.append(False, later)
+                queue.push(at[later], np.full(int(later.sum()), rank))
+                at = at[~later]
+        elif not len(at):
+            continue
+        middle = after[at]
+        end = after[middle]
+        gone[middle] = True
+        pair[middle] = -1
+        pair[at] = -1
+        token[at] = rank
+        after[at] = end
+        has_end = end >= 0
+        left = before[at]
+        has_left = left >= 0
+        inner, end, left, right = at[has_end], end[has_end], left[has_left], at[has_left]
+        before[end] = inner
+        where = np.concatenate((inner, left))
+        if not len(where):
+            continue
+        new = table.find(token[where], token[np.concatenate((end, right))])
+        pair[where] = new
+        good = new >= 0
+        if good.any():
+            queue.push(where[good], new[good])
+    kept = ~gone
+    packed = token[kept].astype("<u4").tobytes()
+    stops = (np.bincount(owner[kept], minlength=len(pieces)).cumsum() * 4).tolist()
+    return [packed[i:j] for i, j in zip([0, *stops], stops, strict=False)]
+
+
 class Codec(dict):
     """Pre-token -> packed ids; computes what is missing and stays bounded."""
 
@@ -112,16 +239,20 @@ class Codec(dict):
         self.ranks = {base64.b64decode(token): int(rank) for token, rank in lines}
         self.tokens = {rank: token for token, rank in self.ranks.items()}
         self.pattern = regex.compile(pattern)
+        self.table = PairTable(self.ranks)
 
     def __missing__(self, piece: str) -> bytes:
         ids = merge(piece.encode("utf-8"), self.ranks)
         packed = pack(f"<{len(ids)}I", *ids)
         if len(piece) <= CACHED_CHARS:
-            if len(self) >= CACHED:
-                self.clear()
-            self[piece] = packed
+            self._keep({piece: packed})
         return packed
 
+    def _keep(self, new: dict[str, bytes]) -> None:
+        if len(self) + len(new) > CACHED:
+            self.clear()
+        self.update(new)
+
     def encode(self, text: str) -> bytes:
         if len(text) <= BLOCK:
             return b"".join(map(self.__getitem__, self.pattern.findall(text)))
@@ -132,6 +263,61 @@ class Codec(dict):
         while block := [m.group() for m in islice(matches, BLOCK)]:
             yield b"".join(map(self.__getitem__, block))
 
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """As ``encode`` of each; the first texts fill an empty table with what is common."""
+        out: list[bytes] = []
+        start, chars = 0, 0
+        for stop, text in enumerate(texts, 1):
+            chars += len(text)
+            if chars > SLICE or stop == len(texts) or (not self and stop - start == FIRST):
+                out += self._together(texts[start:stop])
+                start, chars = stop, 0
+        return out
+
+    def _together(self, texts: list[str]) -> list[bytes]:
+        """New pre-tokens of ordinary length are merged together."""
+        out: list[bytes] = []
+        parts: dict[int, list[bytes | None]] = {}
+        holes: list[tuple[int, int, str]] = []
+        new: dict[str, bytes] = {}
+        known = self.get
+        for text in texts:
+            if len(text) > BLOCK:
+                out.append(self.encode(text))
+                continue
+            found = self.pattern.findall(text)
+            got = list(map(known, found))
+            if None in got:
+                at = len(out)
+                parts[at] = got
+                holes += [(at, i, found[i]) for i, ids in enumerate(got) if ids is None]
+                out.append(b"")
+            else:
+                out.append(b"".join(got))
+        missing = {piece for _, _, piece in holes}
+        for piece in missing:
+            raw = piece.encode("utf-8")
+            whole = self.ranks.get(raw)
+            if whole is not None:
+                new[piece] = pack("<I", whole)
+            elif len(piece) > CACHED_CHARS:
+                parts_ids = merge(raw, self.ranks)
+                new[piece] = pack(f"<{len(parts_ids)}I", *parts_ids)
+        left = [p for p in missing if p not in new]
+        if len(left) >= TOGETHER:
+            raws = [p.encode("utf-8") for p in left]
+            new.update(zip(left, merge_many(raws, self.table), strict=True))
+        else:
+            for piece in left:
+                ids = merge(piece.encode("utf-8"), self.ranks)
+                new[piece] = pack(f"<{len(ids)}I", *ids)
+        for at, i, piece in holes:
+            parts[at][i] = new[piece]
+        for at, got in parts.items():
+            out[at] = b"".join(got)
+        self._keep({p: ids for p, ids in new.items() if len(p) <= CACHED_CHARS})
+        return out
+
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
 
@@ -171,7 +357,7 @@ def encode(df: DataFrame, vocabulary: bytes, pattern: str, text: str = "text", i
     @F.arrow_udf("binary")
     def encode_texts(texts: pa.Array) -> pa.Array:
         own = codec(vocabulary, pattern)
-        return pa.array([own.encode(t or "") for t in texts.to_pylist()], pa.binary())
+        return pa.array(own.encode_all([t or "" for t in texts.to_pylist()]), pa.binary())
 
     return df.withColumn(ids, encode_texts(F.col(text)))
 
