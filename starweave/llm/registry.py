@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starweave.llm import bpe, language, mixing, multi_index, neighbours, pii, quality, sharding, wrappers
+from starweave.llm import bpe, language, mixing, multi_index, neighbours, oracle, pii, quality, sharding, wrappers
 from starweave.llm.ngram_join import JaccardJoin
 from starweave.llm.tables import documents, table, text_or_empty
 
@@ -48,7 +48,7 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return JaccardJoin(words=4, percent=85).run(documents(spark, sf_dir))[0]
+    return JaccardJoin(words=4, percent=85).run(documents(spark, sf_dir))[0].drop("text_hash")
 
 
 def op6_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,4 +107,4 @@ QUERIES = {
     "op10_main_text": op10_main_text,
 }
 
-SQL: dict[str, str] = {}
+SQL = oracle.SQL
