@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 
 _SAMPLES_PER_SHARE = 32
 """Sampled rows that stand for one share; more gives steadier estimates."""
+_SEARCH_STEPS = 18
+"""Halvings of the search in a key's cut points, of which there are at most as many as sampled rows."""
 
 
 @dataclass(frozen=True)
@@ -31,6 +33,10 @@ class SkewPolicy:
     one_task_bytes: int = 64 << 20
     """Inputs below this fit in a single task, so no key in them can be too big."""
 
+    def __post_init__(self) -> None:
+        if not 1 <= self.parts * _SAMPLES_PER_SHARE < 1 << _SEARCH_STEPS:
+            raise ValueError(f"parts must be between 1 and {((1 << _SEARCH_STEPS) - 1) // _SAMPLES_PER_SHARE}")
+
 
 DEFAULT = SkewPolicy()
 
@@ -162,7 +168,7 @@ def with_segments(rows: DataFrame, key: str, order: Column, points: DataFrame) -
 
     Binary search in the key's points; rows of other keys are in segment 0.
     """
-    steps = F.array(*[F.lit(1 << i) for i in range(16, -1, -1)])
+    steps = F.array(*[F.lit(1 << i) for i in range(_SEARCH_STEPS - 1, -1, -1)])
 
     def narrow(at: Column, step: Column) -> Column:
         reached = F.get("__points", at + step - 1)["at"] <= order

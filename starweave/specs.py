@@ -22,8 +22,6 @@ class TableSpec:
     version: tuple[str, ...]
     schema: T.StructType | None = None
     op: str | None = None
-    history: bool = False
-    """Keep every version when the log is compacted (needed for as-of lookups)."""
 
 
 @dataclass(frozen=True)

@@ -130,9 +130,8 @@ class Maintainer:
     def _append_inputs(self, batch: DataFrame, batch_id: int) -> dict[str, DataFrame]:
         """Store the batch, table by table, and return the changes of those that have any.
 
-        Only the newest change per key is kept, except where older ones matter:
-        for as-of history, and for partial facts, whose older versions may set
-        fields the newest leaves null.
+        Only the newest change per key is kept, except for partial facts, whose
+        older versions may set fields the newest leaves null.
         """
         rows = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
@@ -141,8 +140,7 @@ class Maintainer:
 
             def append(spec: TableSpec) -> None:
                 changes = untag(rows, spec.name)
-                whole = spec.history or (self.mode == "partial" and spec is self.star.fact)
-                if not whole:
+                if self.mode == "full" or spec is not self.star.fact:
                     changes = changelog.latest_by_key(changes, spec.key, spec.version)
                 self.inputs[spec.name].write(changes, batch_id)
 
@@ -189,13 +187,13 @@ class Maintainer:
         fact = self.star.fact
         keys = affected.select(F.col(fact.key).alias("__key"))
         log = self.inputs[fact.name].read(batch_id, near=keys)
-        policy = self._row_policy(fact, self.mode == "partial")
+        policy = self._row_policy(self.mode == "partial")
         hit = skew.lookup_join(log, keys, fact.key, "__key", "left_semi", [fact.key, BATCH], policy)
         return changelog.latest_by_key(hit, fact.key, [*fact.version, BATCH])
 
-    def _row_policy(self, spec: TableSpec, uncompacted: bool) -> skew.SkewPolicy | None:
+    def _row_policy(self, uncompacted: bool) -> skew.SkewPolicy | None:
         """A log that is compacted batch by batch has no heavy keys to look for."""
-        return self.policy if spec.history or uncompacted else None
+        return self.policy if uncompacted else None
 
     def _current_facts(self, affected: DataFrame, batch_id: int) -> DataFrame:
         self._touched.write(self._read_facts(affected, batch_id), batch_id)
@@ -207,7 +205,7 @@ class Maintainer:
         wanted = facts.select(F.col(dim.fk).alias("__fk")).where("__fk IS NOT NULL").distinct()
         log = self.inputs[spec.name].read(batch_id, near=wanted)
         narrow = log.select(*self._dimension_columns(dim), BATCH)
-        policy = self._row_policy(spec, False)
+        policy = self._row_policy(False)
         hit = skew.lookup_join(narrow, wanted, spec.key, "__fk", "left_semi", [spec.key, BATCH], policy)
         return changelog.latest_by_key(hit, spec.key, [*spec.version, BATCH], spec.op)
 
@@ -304,11 +302,10 @@ class Maintainer:
         Deletes are kept as rows: an older version may still arrive and must lose.
         """
         for spec in self.star.tables():
-            if not spec.history:
-                order = [*spec.version, BATCH]
-                self.inputs[spec.name].compact(
-                    batch_id, lambda rows, s=spec, o=order: changelog.latest_by_key(rows, s.key, o)
-                )
+            order = [*spec.version, BATCH]
+            self.inputs[spec.name].compact(
+                batch_id, lambda rows, s=spec, o=order: changelog.latest_by_key(rows, s.key, o)
+            )
         if self.mode == "full":
             key = self.star.fact.key
             self.output.compact(batch_id, lambda rows: changelog.latest_by_key(rows, key, BATCH))
