@@ -9,7 +9,10 @@ vectors that finds ``RECALL`` of the true neighbours.
 
 Queries and vectors of a cell meet in blocks of bounded size, so a crowded cell
 is many small products. Identical vectors need only their ``k + 1`` smallest
-ids, as ties go to these; identical queries are searched once.
+ids, as ties go to these; identical queries are searched once. The nearest cells
+are searched first; of the others only vectors that beat what was found there
+leave a task, so a query sends out a number of rows that does not depend on the
+size of the table or the number of tasks.
 """
 
 from __future__ import annotations
@@ -33,6 +36,8 @@ CENTROIDS = 16
 RECALL = 0.97
 #: Sampled queries for that measurement.
 TRIALS = 256
+#: Share of a query's visited vectors that is searched first, and how many times ``k`` it has at least.
+NEAREST_SHARE, NEAREST_TIMES = 1 / 16, 8
 #: Vectors, and queries, in a block.
 BLOCK = 256
 
@@ -54,24 +59,25 @@ class MultiIndex:
         near = [_nearest(v, c) for v, c in ((vectors[:, :cut], self.first), (vectors[:, cut:], self.second))]
         return near[0] * len(self.second) + near[1]
 
-    def visits(self, query: np.ndarray, counts: np.ndarray, enough: float) -> list[int]:
-        """Cells with vectors, nearest first, until they hold ``enough``."""
+    def visits(self, query: np.ndarray, counts: np.ndarray, enough: float, first: float = 0) -> tuple[list[int], int]:
+        """Cells with vectors, nearest first, until they hold ``enough``; and how many hold ``first``."""
         cut = self.first.shape[1]
         one, two = -(self.first @ query[:cut]), -(self.second @ query[cut:])
         by_one, by_two = np.argsort(one, kind="stable"), np.argsort(two, kind="stable")
         one, two = one[by_one], two[by_two]
-        heap, seen, found, held = [(one[0] + two[0], 0, 0)], {(0, 0)}, [], 0
+        heap, seen, found, held, near = [(one[0] + two[0], 0, 0)], {(0, 0)}, [], 0, 0
         while heap and held < enough:
             _, i, j = heapq.heappop(heap)
             cell = int(by_one[i]) * len(two) + int(by_two[j])
             if counts[cell]:
+                near += held < first
                 found.append(cell)
                 held += int(counts[cell])
             for a, b in ((i + 1, j), (i, j + 1)):
                 if a < len(one) and b < len(two) and (a, b) not in seen:
                     seen.add((a, b))
                     heapq.heappush(heap, (one[a] + two[b], a, b))
-        return found
+        return found, near
 
 
 def _nearest(vectors: np.ndarray, centroids: np.ndarray) -> np.ndarray:
@@ -104,7 +110,7 @@ def fit(sample: np.ndarray, k: int, centroids: int = CENTROIDS, recall: float =
         scores = sample @ sample[t]
         scores[t] = -np.inf
         best = np.argsort(-scores, kind="stable")[: min(k, len(sample) - 1)]
-        order = index.visits(sample[t], counts, len(sample))
+        order, _ = index.visits(sample[t], counts, len(sample))
         held = np.zeros(index.size, dtype=np.int64)
         held[order] = counts[order].cumsum()
         depths.append(held[cells[best]])
@@ -155,7 +161,8 @@ def search(df: DataFrame, is_query: Column, k: int, id: str = "vec_id", vector:
     counts = np.zeros(index.size, dtype=np.int64)
     for row in placed.groupBy("cell").count().collect():  # at most a row for each cell
         counts[row["cell"]] = row["count"]
-    enough = max(index.share * counts.sum(), min(BLOCK, counts.sum()))
+    enough = float(max(index.share * counts.sum(), min(BLOCK, counts.sum())))
+    first = max(enough * NEAREST_SHARE, float(NEAREST_TIMES * (k + 1)))
     filled = spark.sparkContext.broadcast(counts)
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,21 +171,35 @@ def search(df: DataFrame, is_query: Column, k: int, id: str = "vec_id", vector:
                 continue
             vectors = _matrix(batch.column(1), width)
             for start in range(0, len(vectors), BLOCK):
-                visits = [shared.value.visits(q, filled.value, enough) for q in vectors[start : start + BLOCK]]
-                rows_ = np.repeat(np.arange(len(visits)) + start, [len(v) for v in visits])
-                cells = np.concatenate([np.array(v, dtype=np.int64) for v in visits])
-                taken = pa.array(rows_)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(taken), batch.column(1).take(taken), pa.array(cells)], names=["id", "v", "cell"]
-                )
+                visits = [shared.value.visits(q, filled.value, enough, first) for q in vectors[start : start + BLOCK]]
+                taken = pa.array(np.repeat(np.arange(len(visits)) + start, [len(v) for v, _ in visits]))
+                cells = pa.array(np.concatenate([np.array(v, dtype=np.int64) for v, _ in visits]))
+                near = pa.array(np.concatenate([np.arange(len(v)) < n for v, n in visits]))
+                columns = [batch.column(0).take(taken), batch.column(1).take(taken), cells, near]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "v", "cell", "near"])
 
     asked = rows.where(is_query)
     distinct = stage(asked.groupBy("v").agg(F.min("id").alias("id")).select("id", "v"), "queries")
-    queries = distinct.repartition(F.col("id")).mapInArrow(walk, "id long, v array<double>, cell long")
-    found = _blocks(queries, "q").join(_blocks(placed, "x"), "cell").select("q_id", "q_v", "x_id", "x_v")
-    best = found.mapInArrow(_products(width, k + 1), "asked long, vec_id long, score double")
-    nearest = Window.partitionBy("asked").orderBy(F.desc("score"), "vec_id")
-    top = stage(best.withColumn("r", F.row_number().over(nearest)).where(F.col("r") <= k + 1), "nearest")
+    walked = distinct.repartition(F.col("id")).mapInArrow(walk, "id long, v array<double>, cell long, near boolean")
+    queries = stage(walked, "visits")
+    vectors = _blocks(placed, "x", "id", "v")
+
+    def searched(rows: DataFrame) -> DataFrame:
+        """The ``k + 1`` best of the vectors in the cells of ``id, v, cell, floor`` that reach the floor."""
+        met = _blocks(rows, "q", "id", "v", "floor").join(vectors, "cell").select("q_id", "q_v", "q_floor", "x_id", "x_v")
+        return met.mapInArrow(_products(width, k + 1), "asked long, vec_id long, score double")
+
+    def best(rows: DataFrame) -> DataFrame:
+        nearest = Window.partitionBy("asked").orderBy(F.desc("score"), "vec_id")
+        return rows.withColumn("r", F.row_number().over(nearest)).where(F.col("r") <= k + 1)
+
+    lowest = F.lit(float("-inf"))
+    near = stage(best(searched(queries.where("near").withColumn("floor", lowest))), "nearest-cells").drop("r")
+    floors = near.groupBy(F.col("asked").alias("id")).agg(
+        F.when(F.count("*") > k, F.min("score")).otherwise(lowest).alias("floor")
+    )
+    far = searched(queries.where(~F.col("near")).join(floors, "id"))
+    top = stage(best(near.union(far)), "nearest")
     named = asked.join(distinct.withColumnRenamed("id", "asked"), "v").select(F.col("id").alias("query_id"), "asked")
     own = Window.partitionBy("query_id").orderBy("r")
     return (
@@ -191,29 +212,31 @@ def search(df: DataFrame, is_query: Column, k: int, id: str = "vec_id", vector:
     )
 
 
-def _blocks(rows: DataFrame, name: str) -> DataFrame:
-    """Rows ``id, v, cell`` packed into one row for about ``BLOCK`` of a cell."""
+def _blocks(rows: DataFrame, name: str, *columns: str) -> DataFrame:
+    """Rows of a cell packed into one row for about ``BLOCK`` of them; vectors are laid end to end."""
     sizes = rows.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
     dealt = rows.join(sizes, "cell").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
-    packed = dealt.groupBy("cell", "block").agg(F.collect_list(F.struct("id", "v")).alias("rows"))
-    return packed.select("cell", F.col("rows.id").alias(f"{name}_id"), F.flatten("rows.v").alias(f"{name}_v"))
+    packed = dealt.groupBy("cell", "block").agg(F.collect_list(F.struct(*columns)).alias("rows"))
+    field = lambda c: F.flatten("rows.v") if c == "v" else F.col(f"rows.{c}")
+    return packed.select("cell", *(field(c).alias(f"{name}_{c}") for c in columns))
 
 
 def _products(width: int, k: int):
-    """Exact inner products of block pairs; of each query and block the ``k`` largest, unless the task has ``k`` better."""
+    """Exact inner products of block pairs; of each query and block the ``k`` largest that reach the query's floor,
+    unless the task has ``k`` better."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: dict[int, np.ndarray] = {}
         for batch in batches:
             for i in range(batch.num_rows):
-                q_id, x_id = (batch.column(c)[i].values.to_numpy() for c in (0, 2))
-                q, x = (batch.column(c)[i].values.to_numpy().reshape(-1, width) for c in (1, 3))
+                q_id, floors, x_id = (batch.column(c)[i].values.to_numpy() for c in (0, 2, 3))
+                q, x = (batch.column(c)[i].values.to_numpy().reshape(-1, width) for c in (1, 4))
                 order = np.argsort(x_id, kind="stable")
                 x_id, scores = x_id[order], q @ x[order].T
                 out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-                for query, row in zip(q_id.tolist(), scores, strict=True):
+                for query, floor, row in zip(q_id.tolist(), floors.tolist(), scores, strict=True):
                     old = kept.get(query)
-                    least = -np.inf if old is None or len(old) < k else old[0]
+                    least = floor if old is None or len(old) < k else max(floor, old[0])
                     at = np.flatnonzero(row >= least)
                     if len(at) > k:
                         at = at[np.argsort(-row[at], kind="stable")[:k]]

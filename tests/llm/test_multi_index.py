@@ -22,10 +22,11 @@ def test_walk_is_in_order_of_summed_distance():
     rnd = np.random.default_rng(2)
     index = MultiIndex(rnd.normal(size=(5, 3)), rnd.normal(size=(4, 3)), 1.0)
     q = rnd.normal(size=6)
-    got = index.visits(q, np.ones(20, dtype=int), 20)
+    got, near = index.visits(q, np.ones(20, dtype=int), 20, 7)
     sums = {i * 4 + j: -(index.first[i] @ q[:3]) - (index.second[j] @ q[3:]) for i in range(5) for j in range(4)}
     assert got == heapq.nsmallest(20, sums, key=sums.get)
-    assert index.visits(q, np.eye(20, dtype=int)[got[3]], 1) == [got[3]]
+    assert near == 7
+    assert index.visits(q, np.eye(20, dtype=int)[got[3]], 1, 1) == ([got[3]], 1)
 
 
 def test_recall_and_scores(spark):
