@@ -28,7 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -214,6 +214,22 @@ def _sets(df: DataFrame, text: str, words: int, sketched: bool = False) -> DataF
     return out.withColumn("sketch", sketches(F.col("shingles"))) if sketched else out
 
 
+def _near(percent: int):
+    """Whether two sketches of sets of known sizes differ in few enough places for a link."""
+
+    @F.arrow_udf("boolean")
+    def near(one: pa.Array, two: pa.Array, n1: pa.Array, n2: pa.Array) -> pa.Array:
+        sizes = n1.to_numpy() + n2.to_numpy()
+        out = np.zeros(len(sizes), dtype=bool)
+        for i, (x, y) in enumerate(zip(one, two, strict=True)):
+            pair = [x.as_py(), y.as_py()]
+            k = _folded(pair, min(map(len, pair)) // 8)
+            out[i] = int(np.bitwise_count(k[0] ^ k[1]).sum()) * (100 + percent) <= (100 - percent) * sizes[i]
+        return pa.array(out)
+
+    return near
+
+
 def _near_pairs(percent: int):
     """Pairs of two blocks (or of one with itself) in different components whose sketches and sizes allow a link."""
 
@@ -317,7 +333,8 @@ class JaccardJoin:
     def _hit_sets(self, docs: DataFrame, hits: DataFrame) -> DataFrame:
         wanted = stage(hits.select(F.col("v").alias("id")).distinct(), "wanted")
         found = _sets(docs.join(wanted, "id"), "text", self.words, sketched=True)
-        return stage(found.select(F.col("id").alias("v"), "shingles", "sketch"), "shingle-sets")
+        columns = (F.col("id").alias("v"), "shingles", "sketch", F.size("shingles").cast("long").alias("n"))
+        return stage(found.select(*columns), "shingle-sets")
 
     def _links(self, hits: DataFrame, sets: DataFrame) -> DataFrame:
         links = tried = None
@@ -341,25 +358,23 @@ class JaccardJoin:
             links = new if links is None else links.union(new)
         return links
 
-    def _comparable(self, pairs: DataFrame) -> DataFrame:
-        """Distinct pairs whose sizes allow a link."""
-        return (
-            pairs.where(F.col("label1") != F.col("label2"))
-            .where(100 * F.least("n1", "n2") >= self.percent * F.greatest("n1", "n2"))
-            .select(F.least("v1", "v2").alias("a"), F.greatest("v1", "v2").alias("b"))
-            .distinct()
-        )
+    def _may_link(self) -> Column:
+        """In different components, and of sizes that allow a link."""
+        sizes = 100 * F.least("n1", "n2") >= self.percent * F.greatest("n1", "n2")
+        return (F.col("label1") != F.col("label2")) & sizes
 
     def _pivoted(self, labelled: DataFrame, turn: int) -> DataFrame:
-        """Every class of a signature with the signature's first one, by id or, later, by a hash."""
+        """Every class with one pivot: of the first classes of its signatures (by id or, later, by a hash), the one
+        that it shares most signatures with."""
         first = F.col("v") if turn == 0 else F.xxhash64("sig", "v", F.lit(turn))
         order = Window.partitionBy("sig").orderBy(first, "v")
-        pivot = F.first(F.struct("v", "n", "label")).over(order)
-        return self._comparable(
-            labelled.withColumn("pivot", pivot).selectExpr(
-                "v v1", "n n1", "label label1", "pivot.v v2", "pivot.n n2", "pivot.label label2"
-            )
+        met = labelled.withColumn("pivot", F.first(F.struct("v", "n", "label")).over(order)).selectExpr(
+            "v v1", "n n1", "label label1", "pivot.v v2", "pivot.n n2", "pivot.label label2"
         )
+        shared = met.where(self._may_link()).groupBy("v1", "v2").agg(F.count("*").alias("c"))
+        best = shared.groupBy("v1").agg(F.max(F.struct("c", -F.col("v2"))).alias("best"))
+        other = -F.col("best.col2")
+        return best.select(F.least("v1", other).alias("a"), F.greatest("v1", other).alias("b")).distinct()
 
     def _pairwise(self, labelled: DataFrame, sets: DataFrame) -> DataFrame:
         """Every two classes of a signature that are still in different components and may be linked."""
@@ -374,7 +389,7 @@ class JaccardJoin:
         few = open_.where(F.col("m") <= FEW)
         one = few.selectExpr("sig", "v v1", "n n1", "label label1")
         two = few.selectExpr("sig", "v v2", "n n2", "label label2")
-        plain = self._comparable(one.join(two, "sig").where("v1 < v2"))
+        plain = one.join(two, "sig").where("v1 < v2").where(self._may_link()).selectExpr("v1 a", "v2 b")
         many = open_.where(F.col("m") > FEW).join(sets.select("v", "sketch"), "v")
         dealt = many.withColumn("block", F.pmod(F.xxhash64("v"), F.ceil(F.col("m") / BLOCK)))
         blocks = dealt.groupBy("sig", "block").agg(F.collect_list(F.struct("v", "n", "label", "sketch")).alias("rows"))
@@ -387,9 +402,12 @@ class JaccardJoin:
         return plain.union(near).distinct()
 
     def _verified(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
-        one = sets.select(F.col("v").alias("a"), F.col("shingles").alias("s1"))
-        two = sets.select(F.col("v").alias("b"), F.col("shingles").alias("s2"))
-        both = pairs.join(one, "a").join(two, "b")
-        common = F.size(F.array_intersect("s1", "s2"))
-        union = F.size("s1") + F.size("s2") - common
+        """Pairs that are linked. Whole sets are fetched only for pairs whose sketches, a 32nd as large, allow it."""
+        near = _near(self.percent)
+        part = lambda v, *columns: sets.select(F.col("v").alias(v), *(F.col(c).alias(f"{c}_{v}") for c in columns))
+        sketched = pairs.join(part("a", "sketch", "n"), "a").join(part("b", "sketch", "n"), "b")
+        maybe = stage(sketched.where(near("sketch_a", "sketch_b", "n_a", "n_b")).select("a", "b"), "candidates")
+        both = maybe.join(part("a", "shingles"), "a").join(part("b", "shingles"), "b")
+        common = F.size(F.array_intersect("shingles_a", "shingles_b"))
+        union = F.size("shingles_a") + F.size("shingles_b") - common
         return both.where(100 * common >= self.percent * union).select("a", "b").distinct()
