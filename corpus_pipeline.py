@@ -48,7 +48,7 @@ def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, source, lang, n_tokens, ids`` (little-endian unsigned 32-bit) and whether they decode to the text."""
     vocabulary, pattern = bpe.default_vocabulary(spark)
     named = docs.select("doc_id", "source", "lang", "text")
-    decoded = bpe.decode(bpe.encode(named, vocabulary, pattern), vocabulary, pattern)
+    decoded = bpe.round_trip(named, vocabulary, pattern)
     exact = F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")
     return decoded.select(
         "doc_id", "source", "lang", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids", exact.alias("exact")

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from heapq import heappop, heappush
 from itertools import islice
@@ -23,8 +23,10 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starweave.llm.tables import free_name
+
 #: Pre-tokens kept with their ids in a worker; the table is emptied when full.
-CACHED = 3 << 18
+CACHED = 3 << 17
 #: Longer pre-tokens are not kept.
 CACHED_CHARS = 64
 #: At least so many new pre-tokens of a batch share one queue; fewer are merged one by one, with the same ids.
@@ -32,7 +34,9 @@ TOGETHER = 4096
 #: Texts from which a new worker learns the common pre-tokens.
 FIRST = 256
 #: Characters of the texts whose new pre-tokens are merged together; bounds a worker's memory.
-SLICE = 1 << 23
+SLICE = 1 << 22
+#: Rows decoded at once.
+ROWS = 512
 #: Matches taken at once from a text longer than this many characters.
 BLOCK = 1 << 18
 
@@ -237,7 +241,11 @@ class Codec(dict):
         super().__init__()
         lines = (line.split() for line in vocabulary.splitlines() if line.strip())
         self.ranks = {base64.b64decode(token): int(rank) for token, rank in lines}
-        self.tokens = {rank: token for token, rank in self.ranks.items()}
+        tokens = {rank: token for token, rank in self.ranks.items()}
+        ordered = [tokens.get(i, b"") for i in range(max(tokens) + 1)]
+        self.flat = np.frombuffer(b"".join(ordered), dtype=np.uint8)
+        self.lengths = np.array([len(t) for t in ordered])
+        self.starts = self.lengths.cumsum() - self.lengths
         self.pattern = regex.compile(pattern)
         self.table = PairTable(self.ranks)
 
@@ -263,16 +271,18 @@ class Codec(dict):
         while block := [m.group() for m in islice(matches, BLOCK)]:
             yield b"".join(map(self.__getitem__, block))
 
-    def encode_all(self, texts: list[str]) -> list[bytes]:
-        """As ``encode`` of each; the first texts fill an empty table with what is common."""
-        out: list[bytes] = []
-        start, chars = 0, 0
-        for stop, text in enumerate(texts, 1):
+    def encode_all(self, texts: Iterable[str]) -> Iterator[list[bytes]]:
+        """As ``encode`` of each, in slices; the first texts fill an empty table with what is common."""
+        waiting: list[str] = []
+        chars = 0
+        for text in texts:
+            waiting.append(text)
             chars += len(text)
-            if chars > SLICE or stop == len(texts) or (not self and stop - start == FIRST):
-                out += self._together(texts[start:stop])
-                start, chars = stop, 0
-        return out
+            if chars > SLICE or (not self and len(waiting) == FIRST):
+                yield self._together(waiting)
+                waiting, chars = [], 0
+        if waiting:
+            yield self._together(waiting)
 
     def _together(self, texts: list[str]) -> list[bytes]:
         """New pre-tokens of ordinary length are merged together."""
@@ -287,13 +297,13 @@ class Codec(dict):
                 continue
             found = self.pattern.findall(text)
             got = list(map(known, found))
-            if None in got:
+            try:
+                out.append(b"".join(got))
+            except TypeError:  # some are not known yet
                 at = len(out)
                 parts[at] = got
                 holes += [(at, i, found[i]) for i, ids in enumerate(got) if ids is None]
                 out.append(b"")
-            else:
-                out.append(b"".join(got))
         missing = {piece for _, _, piece in holes}
         for piece in missing:
             raw = piece.encode("utf-8")
@@ -319,7 +329,14 @@ class Codec(dict):
         return out
 
     def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
+        whole = np.frombuffer(ids, dtype="<u4")
+        return b"".join(self._decoded(whole[i : i + BLOCK]) for i in range(0, len(whole), BLOCK))
+
+    def _decoded(self, ids: np.ndarray) -> bytes:
+        lengths = self.lengths[ids]
+        ends = lengths.cumsum()
+        shift = self.starts[ids] - ends + lengths
+        return self.flat[np.repeat(shift, lengths) + np.arange(ends[-1])].tobytes()
 
 
 @lru_cache(maxsize=2)
@@ -355,9 +372,11 @@ def encode(df: DataFrame, vocabulary: bytes, pattern: str, text: str = "text", i
     """
 
     @F.arrow_udf("binary")
-    def encode_texts(texts: pa.Array) -> pa.Array:
+    def encode_texts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = codec(vocabulary, pattern)
-        return pa.array(own.encode_all([t or "" for t in texts.to_pylist()]), pa.binary())
+        for texts in batches:
+            for packed in own.encode_all(t.as_py() or "" for t in texts):
+                yield pa.array(packed, pa.binary())
 
     return df.withColumn(ids, encode_texts(F.col(text)))
 
@@ -366,13 +385,36 @@ def decode(df: DataFrame, vocabulary: bytes, pattern: str, ids: str = "ids", dec
     """``df`` with the bytes that the packed ids stand for; null ids count as none."""
 
     @F.arrow_udf("binary")
-    def decode_ids(packed: pa.Array) -> pa.Array:
+    def decode_ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = codec(vocabulary, pattern)
-        return pa.array([own.decode(x or b"") for x in packed.to_pylist()], pa.binary())
+        for packed in batches:
+            for start in range(0, len(packed), ROWS):
+                part = packed[start : start + ROWS]
+                yield pa.array([own.decode(x.as_py() or b"") for x in part], pa.binary())
 
     return df.withColumn(decoded, decode_ids(F.col(ids)))
 
 
+def round_trip(
+    df: DataFrame, vocabulary: bytes, pattern: str, text: str = "text", ids: str = "ids", decoded: str = "decoded"
+) -> DataFrame:
+    """``encode`` and ``decode`` in one pass over the texts, so that one worker does both."""
+    kind = pa.struct([("ids", pa.binary()), ("decoded", pa.binary())])
+
+    @F.arrow_udf("struct<ids: binary, decoded: binary>")
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        own = codec(vocabulary, pattern)
+        for texts in batches:
+            for packed in own.encode_all(t.as_py() or "" for t in texts):
+                columns = [pa.array(packed, pa.binary()), pa.array(map(own.decode, packed), pa.binary())]
+                yield pa.StructArray.from_arrays(columns, fields=list(kind))
+
+    (raw,) = free_name(df, "round_trip")
+    kept = [c for c in df.columns if c not in (ids, decoded)]
+    made = df.withColumn(raw, both(F.col(text)))
+    return made.select(*kept, F.col(raw)["ids"].alias(ids), F.col(raw)["decoded"].alias(decoded))
+
+
 def digests(df: DataFrame, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """Count and digests of encoded and decoded columns."""
     return df.withColumns(

@@ -37,9 +37,8 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary, pattern = bpe.default_vocabulary(spark)
-    encoded = bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), vocabulary, pattern).drop("text")
-    decoded = bpe.decode(encoded, vocabulary, pattern)
-    return bpe.digests(decoded).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    both = bpe.round_trip(documents(spark, sf_dir).select("doc_id", "text"), vocabulary, pattern)
+    return bpe.digests(both).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

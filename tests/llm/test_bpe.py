@@ -56,7 +56,7 @@ def test_blocks_of_a_long_text(vocabulary, reference, monkeypatch):
     monkeypatch.setattr(bpe, "BLOCK", 100)
     own = bpe.codec(*vocabulary)
     assert own.encode(text) == packed(reference, text)
-    assert own.encode_all([text, "", "a"]) == [packed(reference, t) for t in (text, "", "a")]
+    assert sum(own.encode_all([text, "", "a"]), []) == [packed(reference, t) for t in (text, "", "a")]
 
 
 def test_frames(spark, vocabulary):
@@ -66,4 +66,8 @@ def test_frames(spark, vocabulary):
     assert len(out) == 5
     assert all(bytes(r["decoded"]) == (r["text"] or "").encode() for r in out)
     assert {r["n_tokens"] for r in out if not r["text"]} == {0}
-    assert bpe.encode(df.limit(0), *vocabulary).count() == 0
+    once = bpe.round_trip(df, *vocabulary)
+    assert once.columns == ["doc_id", "text", "ids", "decoded"]
+    key = lambda r: (r["text"] or "", bytes(r["ids"]), bytes(r["decoded"]))
+    assert sorted(map(key, once.collect())) == sorted(map(key, out))
+    assert bpe.encode(df.limit(0), *vocabulary).count() == bpe.round_trip(df.limit(0), *vocabulary).count() == 0
