@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from starweave.llm.tables import free_name
 
 #: Pre-tokens kept with their ids in a worker; the table is emptied when full.
-CACHED = 3 << 17
+CACHED = 1 << 18
 #: Longer pre-tokens are not kept.
 CACHED_CHARS = 64
 #: At least so many new pre-tokens of a batch share one queue; fewer are merged one by one, with the same ids.
@@ -34,7 +34,7 @@ TOGETHER = 4096
 #: Texts from which a new worker learns the common pre-tokens.
 FIRST = 256
 #: Characters of the texts whose new pre-tokens are merged together; bounds a worker's memory.
-SLICE = 1 << 22
+SLICE = 1 << 21
 #: Rows decoded at once.
 ROWS = 512
 #: Matches taken at once from a text longer than this many characters.
