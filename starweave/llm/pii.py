@@ -8,8 +8,9 @@ map is a bijection of ``A * B`` values and the same value has the same pseudonym
 in every document. Mail names and secrets, which are not numbers, are replaced
 by a keyed hash in their own alphabet.
 
-Everything runs as DataFrame expressions: a text is split at its matches, the
-matches are replaced, and the pieces are joined again.
+Everything runs as DataFrame expressions: a text is cut where candidates start,
+also inside each other. The first one that is valid is replaced, a rejected one
+hides nothing that starts inside it, and the pieces are joined again.
 """
 
 from __future__ import annotations
@@ -19,13 +20,18 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starweave.llm.tables import free_name
+
 ROUNDS = 10
 
 _EDGE, _END = r"(?<![0-9A-Za-z])", r"(?![0-9A-Za-z])"
+_LOCAL = "[A-Za-z0-9._%+-]"
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
+_CARD = r"[0-9]{13,19}|[0-9]{4}(?:-[0-9]{4}){3}|[0-9]{4} [0-9]{6} [0-9]{5}"
 #: One pattern for each kind of candidate, in the order in which they are tried.
 PATTERNS = {
-    "mail": r"[A-Za-z0-9._%+-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}",
+    # From the start of a name, or from where a value before it may end.
+    "mail": rf"(?:(?<!{_LOCAL})|(?<=[0-9A-Za-z])(?=[._%+-])){_LOCAL}++@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{{2,}}",
     "key": rf"{_EDGE}(?:AKIA|ASIA)[0-9A-Z]{{15,16}}{_END}",
     "hex": rf"{_EDGE}(?=[0-9]{{0,63}}[a-fA-F])[0-9a-fA-F]{{32,64}}{_END}",
     "iban": rf"{_EDGE}[A-Z]{{2}}[0-9]{{2}}(?:[0-9A-Z]{{11,30}}|(?: [0-9A-Z]{{4}}){{2,7}}(?: [0-9A-Z]{{1,3}})?){_END}",
@@ -34,12 +40,37 @@ PATTERNS = {
     "slash": rf"{_EDGE}[0-9]{{2}}/[0-9]{{2}}/[0-9]{{4}}{_END}",
     "dot": rf"{_EDGE}[0-9]{{2}}\.[0-9]{{2}}\.[0-9]{{4}}{_END}",
     "ssn": rf"{_EDGE}[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}(?![0-9A-Za-z]|-[0-9])",
-    "card": rf"{_EDGE}(?:[0-9]{{13,19}}|[0-9]{{4}}(?: [0-9]{{4}}){{3}}|[0-9]{{4}}(?:-[0-9]{{4}}){{3}}"
-    rf"|[0-9]{{4}} [0-9]{{6}} [0-9]{{5}}){_END}",
-    "phone": rf"(?<![0-9A-Za-z+])(?:\+[0-9]{{1,3}}[ .-]?(?:\([0-9]{{1,4}}\)[ .-]?)?[0-9]{{2,4}}(?:[ .-]?[0-9]{{2,4}}){{1,4}}"
-    rf"|(?:\([0-9]{{3}}\) ?|[0-9]{{3}}[.-])[0-9]{{3}}[.-][0-9]{{4}}){_END}",
+    "card": rf"{_EDGE}(?:{_CARD}|[0-9]{{4}}(?: [0-9]{{4}}){{3}}){_END}",
 }
-ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+_LOCAL_PHONE = rf"(?<![0-9A-Za-z+])(?:\([0-9]{{3}}\) ?|[0-9]{{3}}[.-])[0-9]{{3}}[.-][0-9]{{4}}{_END}"
+#: Behind a sign, 7 to 15 digits up to here; Java looks behind for nested options, but not for repeated groups.
+_MORE = r"[ .()-]{0,2}[0-9]"
+_ENOUGH = rf"(?<=\+[0-9]{_MORE * 6}{f'(?:{_MORE}' * 8}{')?' * 8})"
+#: A number that is long enough does not go on, behind a space, into a value of another form. Cards in groups of
+#: four begin where the groups up to the end of their row are whole cards.
+_CARDS = rf"(?:{_CARD}|[0-9]{{4}}(?: [0-9]{{4}}){{3}}(?:(?: [0-9]{{4}}){{4}})*(?! [0-9]{{4}}(?![0-9A-Za-z-]))){_END}"
+_NEXT_VALUE = "|".join(f"(?:{p})" for p in (*(PATTERNS | {"card": _CARDS}).values(), _LOCAL_PHONE))
+PATTERNS["phone"] = (
+    r"(?<![0-9A-Za-z+])(?:\+1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}"
+    r"|\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}"
+    rf"(?:(?!{_ENOUGH} (?:{_NEXT_VALUE}))[ .-]?[0-9]{{2,4}}){{1,4}}{_ENOUGH}){_END}|{_LOCAL_PHONE}"
+)
+#: No kind starts inside a word; this is tested first.
+ANY = rf"(?:{_EDGE}|(?=[._%+-]))(?:{'|'.join(f'(?:{p})' for p in PATTERNS.values())})"
+#: Candidates that are worked on in one go.
+SLICE = 256
+
+#: Lengths of account numbers by country.
+_IBAN_LENGTHS = {
+    country: n
+    for n, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FO GL NL", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+        26: "IS TR", 27: "FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU",
+        31: "MT SC", 32: "LC",
+    }.items()
+    for country in countries.split()
+}
 
 #: Days of one full cycle of the calendar, 1800 to 2199: 146097 = 189 * 773.
 _FIRST_DAY, _DAYS_A, _DAYS_B = "1800-01-01", 189, 773
@@ -140,6 +171,7 @@ def _card(m: Column, key: str) -> Column:
 
 
 def _iban(m: Column, key: str) -> Column:
+    """Pseudonym of a whole account number."""
     packed = F.replace(m, F.lit(" "), F.lit(""))
     country, body = F.left(packed, F.lit(2)), F.substring(packed, F.lit(5), F.length(packed))
     valid = (_mod97(F.concat(body, F.left(packed, F.lit(4)))) == 1) & F.length(packed).between(15, 34)
@@ -149,6 +181,15 @@ def _iban(m: Column, key: str) -> Column:
     return F.when(valid, F.coalesce(spaced, F.concat(country, check, new)))
 
 
+def _iban_tries(m: Column) -> Column:
+    """An account number in groups may run into groups behind it: the length of its country, then all, longest first."""
+    groups = F.split(m, " ")
+    heads = F.transform(F.sequence(F.size(groups), F.least(F.size(groups), F.lit(3)), F.lit(-1)), lambda n: F.array_join(F.slice(groups, 1, n), " "))
+    known = F.create_map(*(F.lit(x) for pair in _IBAN_LENGTHS.items() for x in pair))
+    size = F.try_element_at(known, F.left(m, F.lit(2)))
+    return F.concat(F.filter(heads, lambda h: F.length(F.replace(h, F.lit(" "), F.lit(""))) == size), heads)
+
+
 def _ip(m: Column, key: str) -> Column:
     part = lambda i: F.split(m, r"\.")[i].cast("long")
     half, size = F.lit(256), F.lit(65536)
@@ -221,28 +262,78 @@ _MAKERS: dict[str, Callable[[Column, str], Column]] = {
 }
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def pseudonym(m: Column, key: str) -> Column:
-    """Pseudonym of one candidate: by the first kind whose form it has and whose validation it passes; else null."""
-    tries = [F.when(m.rlike(f"^(?:{PATTERNS[kind]})$"), make(m, key)) for kind, make in _MAKERS.items()]
-    return F.coalesce(*tries)
+    """Struct ``size, new``: pseudonym of the first characters of a candidate, by the first kind whose form it has and
+    whose validation it passes; else null. Only account numbers in groups may be shorter than the candidate."""
+
+    def made(old: Column, new: Column) -> Column:
+        return F.when(new.isNotNull(), F.struct(F.length(old).alias("size"), new.alias("new")))
+
+    def one(kind: str, make: Callable[[Column, str], Column]) -> Column:
+        if kind != "iban":
+            return _let(make(m, key), lambda new: made(m, new))
+        tries = F.transform(_iban_tries(m), lambda t: _let(make(t, key), lambda new: made(t, new)))
+        return F.get(F.filter(tries, lambda t: t.isNotNull()), F.lit(0))
+
+    return F.coalesce(*(F.when(m.rlike(f"^(?:{PATTERNS[kind]})$"), one(kind, make)) for kind, make in _MAKERS.items()))
+
+
+def _replaced(whole: Column, found: Column, key: str) -> Column:
+    """Struct ``text, n`` of a text with the candidates ``found``, one for each place where one starts."""
+    cut = F.split(whole, f"(?={ANY})", -1)
+    start = F.struct(F.lit(0).alias("over"), F.lit(0).alias("n"), F.array().cast("array<string>").alias("out"))
+
+    def put(state: Column, c: Column) -> Column:
+        """``over``: how far the last value that was replaced reaches into the pieces behind it."""
+        taken = (state["over"] == 0) & c["hit"].isNotNull()
+        gone = F.when(taken, c["hit"]["size"]).otherwise(state["over"])
+        rest = F.substring(c["piece"], gone + 1, F.length(c["piece"]))
+        return F.struct(
+            F.greatest(F.lit(0), gone - F.length(c["piece"])).alias("over"),
+            (state["n"] + taken.cast("int")).alias("n"),
+            F.concat(state["out"], F.array(F.when(taken, F.concat(c["hit"]["new"], rest)).otherwise(rest))).alias("out"),
+        )
+
+    def put_slice(state: Column, part: Column) -> Column:
+        empty = F.struct(state["over"].alias("over"), state["n"].alias("n"), F.array().cast("array<string>").alias("out"))
+        joined = lambda s: F.concat(state["out"], F.array(F.array_join(s["out"], "")))
+        return F.aggregate(part, empty, put, lambda s: F.struct(s["over"], s["n"], joined(s).alias("out")))
+
+    def build(pieces: Column) -> Column:
+        hits = F.transform(found, lambda m, i: F.struct(pseudonym(m, key).alias("hit"), F.get(pieces, i + 1).alias("piece")))
+        slices = lambda c: F.transform(
+            F.sequence(F.lit(1), F.size(c), F.lit(SLICE)), lambda i: F.slice(c, i, F.lit(SLICE))
+        )
+        done = _let(hits, lambda c: F.aggregate(slices(c), start, put_slice))
+        return _let(
+            done,
+            lambda s: F.struct(F.concat(F.get(pieces, F.lit(0)), F.array_join(s["out"], "")).alias("text"), s["n"].alias("n")),
+        )
+
+    # A candidate at the very start has no piece before it.
+    return _let(cut, lambda p: _let(F.when(F.size(p) == F.size(found), F.concat(F.array(F.lit("")), p)).otherwise(p), build))
 
 
 def pseudonymise(df: DataFrame, key: str, text: str = "text", count: str | None = None) -> DataFrame:
     """``df`` with private values in ``text`` replaced, and their number in ``count`` if named.
 
     * Candidates that fail validation (a card's check digit, an account's checksum, a date that does not
-      exist) stay as they are. Everything else of the text is kept, white space included.
+      exist) stay as they are, but valid values that start inside them are replaced. Everything else of the
+      text is kept, white space included.
     * Null stays null with a count of 0; empty texts and texts without candidates are unchanged.
     * Equal values have equal pseudonyms under one key, in all rows and documents.
     """
     whole = F.col(text)
-    hit = whole.rlike("[0-9@]|[0-9a-fA-F]{32}")
-    found = F.regexp_extract_all(whole, F.lit(ANY), F.lit(0))
-    gaps = F.split(whole, ANY, -1)
-    new = F.transform(found, lambda m: F.struct(m.alias("old"), pseudonym(m, key).alias("new")))
-    pieces = F.transform(new, lambda p, i: F.concat(F.coalesce(p["new"], p["old"]), F.get(gaps, i + 1)))
-    replaced = F.concat(F.get(gaps, F.lit(0)), F.array_join(pieces, ""))
-    out = {text: F.when(hit & (F.size(found) > 0), replaced).otherwise(whole)}
+    found = F.regexp_extract_all(whole, F.lit(f"(?=({ANY}))"), F.lit(1))
+    same = F.struct(whole.alias("text"), F.lit(0).alias("n"))
+    (made,) = free_name(df, "pseudonymised")
+    done = df.withColumn(made, _let(found, lambda f: F.when(F.size(f) > 0, _replaced(whole, f, key)).otherwise(same)))
+    out = {text: F.col(made)["text"]}
     if count is not None:
-        out[count] = F.when(hit, F.size(F.filter(new, lambda p: p["new"].isNotNull()))).otherwise(F.lit(0))
-    return df.withColumns(out)
+        out[count] = F.col(made)["n"]
+    return done.withColumns(out).drop(made)
