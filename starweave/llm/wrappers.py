@@ -7,7 +7,8 @@ that only one side has become optional, texts fill slots. Wrappers of parts of a
 host are aligned with each other in the same way. Each slot sums what its texts
 were like on all pages: how long, how much inside links, and whether they vary.
 
-Slots are then main text or not, once for the whole host: by the elements around
+Slots are then main text or not, once for the whole host and each choice of the
+article's parts, of which a page takes the first one that it has text in: by the elements around
 them, by the links in them, and by whether a short text is the same on every page.
 """
 
@@ -158,42 +159,50 @@ def _find(part: Part, wanted) -> list[Part]:
     return [p for kid in part["k"] if not _is_boilerplate(kid["t"], False) for p in _find(kid, wanted)]
 
 
-def _main_roots(wrapper: Part) -> list[Part]:
-    """The parts that hold the article: by element, else by name, else by where the text is."""
+def _main_roots(wrapper: Part) -> list[list[Part]]:
+    """The parts that hold the article, by element, else by name, else by where the text is; and what comes next for
+    pages of other templates, which have nothing there."""
     total = _plain(wrapper)
-    for wanted in (
+    rules = (
         lambda t: t.split(".")[0] == "article" or "articlebody" in t.split("."),
         lambda t: t.split(".")[0] == "main" or "main" in t.split(".")[1:],
         lambda t: bool(MAIN_WORDS & set(t.split(".")[1:])),
-    ):
-        found = [p for p in _find(wrapper, wanted) if _plain(p)]
-        if found and 2 * sum(map(_plain, found)) >= total:
-            return found
+    )
+    named = [found for r in rules if (found := [p for p in _find(wrapper, r) if _plain(p)])]
+    half = lambda roots: 2 * sum(map(_plain, roots)) >= total
     here = wrapper
     while True:
         kids = [k for k in here["k"] if k["t"].split(".")[0] in CONTAINERS and not _is_boilerplate(k["t"], False)]
         best = max(kids, key=_plain, default=None)
         if best is None or 10 * _plain(best) < 9 * _plain(here):
-            return [here]
+            break
         here = best
+    first = next((found for found in named if half(found)), None)
+    if first is not None:
+        return [first, *(found for found in named if found is not first), [here], [wrapper]]
+    together = half(_find(wrapper, lambda t: any(r(t) for r in rules)))
+    return [*named, [here], [wrapper]] if together else [[here], *named, [wrapper]]
 
 
 def label(wrapper: Part) -> Part:
-    """``wrapper`` with ``m`` set on the slots that are main text."""
-    main = _main_roots(wrapper)
-    slots = [s for root in main for s in _slots(root)]
-    varied = any(s["v"] for s in slots)
-    for s in slots:
-        menu = s["l"] > LINKED * s["c"]
-        layout = varied and not s["v"] and s["n"] >= SAME_PAGES and s["c"] <= SAME_CHARS * s["n"]
-        if not menu and not layout:
-            s["m"] = 1
+    """``wrapper`` with ``m`` set on slots: for each choice of the article's parts, 1 if inside and 2 if main text."""
+    choices = _main_roots(wrapper)
+    for i, roots in enumerate(choices):
+        slots = [s for root in roots for s in _slots(root)]
+        varied = any(s["v"] for s in slots)
+        for s in slots:
+            menu = s["l"] > LINKED * s["c"]
+            layout = varied and not s["v"] and s["n"] >= SAME_PAGES and s["c"] <= SAME_CHARS * s["n"]
+            s.setdefault("m", [0] * len(choices))[i] = 1 if menu or layout else 2
     return wrapper
 
 
 def main_text(page: Block, wrapper: Part) -> str:
-    """Texts of the page in main slots of its host's labelled wrapper, joined by one space."""
-    out: list[str] = []
+    """Texts of the page in main slots of its host's labelled wrapper, joined by one space.
+
+    Of the choices of the article's parts, the first one that the page has text in.
+    """
+    out: list[tuple[list[int], str]] = []
 
     def walk(block: Block, part: Part) -> None:
         at = 0
@@ -205,8 +214,8 @@ def main_text(page: Block, wrapper: Part) -> str:
                 continue
             at = found
             if isinstance(kid, Text):
-                if items[found].get("m"):
-                    out.append(kid.value)
+                if "m" in items[found]:
+                    out.append((items[found]["m"], kid.value))
                 if not items[found]["r"]:
                     at += 1
             else:
@@ -215,7 +224,8 @@ def main_text(page: Block, wrapper: Part) -> str:
                     at += 1
 
     walk(page, wrapper)
-    return " ".join(out)
+    best = min((next(i for i, x in enumerate(m) if x) for m, _ in out), default=0)
+    return " ".join(value for m, value in out if m[best] == 2)
 
 
 def host(url: Column) -> Column:

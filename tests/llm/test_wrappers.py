@@ -62,3 +62,15 @@ def test_odd_rows(spark):
     got = sorted((r["page_id"], len(r["text"])) for r in wrappers.extract(frame(spark, rows)).collect())
     assert got == [(1, 0), (2, 0), (3, 10), (3, 10), (4, 249_999)]
     assert wrappers.extract(frame(spark, rows).limit(0)).count() == 0
+
+
+def test_two_templates(spark):
+    rows, want = [], {}
+    for n in range(20):
+        long = " ".join(random.Random(n).choices("some words of a longer paragraph".split(), k=60))
+        main = f"<article><p>{long} {n}</p></article>" if n % 5 < 3 else f"<div id=main><p>{long} {n}</p></div>"
+        for at, url in ((0, f"http://two.example/{n}"), (100, None)):
+            rows.append((at + n, url, PAGE.format(main=main, n=n), "w"))
+            want[at + n] = f"{long} {n}"
+    got = wrappers.extract(frame(spark, rows).repartition(3))
+    assert {r["page_id"]: r["text"] for r in got.collect()} == want
