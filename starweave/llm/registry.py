@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starweave.llm import bpe, language, mixing, multi_index, neighbours, oracle, pii, quality, sharding, wrappers
+from starweave.llm import (
+    bpe,
+    collocations,
+    language,
+    merkle,
+    mixing,
+    multi_index,
+    neighbours,
+    oracle,
+    pieces,
+    pii,
+    quality,
+    sharding,
+    wrappers,
+)
 from starweave.llm.ngram_join import JaccardJoin
 from starweave.llm.tables import documents, table, text_or_empty
 
@@ -93,6 +107,33 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "source", "lang", "n_chars", "text")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+
+    def fields(n_chars: Column) -> list[Column]:
+        return [F.col("doc_id"), F.col("source"), F.col("lang"), n_chars, F.col("text")]
+
+    claimed = F.when(tampered, merkle.leaf_digest(*fields(F.col("n_chars") + 1)))
+    made = merkle.manifest(docs, fields(F.col("n_chars")), [F.col("doc_id")], F.col("lang"), ["doc_id"], claimed)
+    return made.prove()
+
+
+def op12_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    both = pieces.round_trip(documents(spark, sf_dir).select("doc_id", "text"), pieces.default_model(spark))
+    return both.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        "agrees",
+    )
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(documents(spark, sf_dir).select("lang", "text"))
+
+
 QUERIES = {
     "op1_site_quality": op1_site_quality,
     "op2_language": op2_language,
@@ -104,6 +145,9 @@ QUERIES = {
     "op8_byte_shards": op8_byte_shards,
     "op9_source_mix": op9_source_mix,
     "op10_main_text": op10_main_text,
+    "op11_merkle": op11_merkle,
+    "op12_pieces": op12_pieces,
+    "op13_collocations": op13_collocations,
 }
 
 SQL = oracle.SQL

@@ -1,0 +1,123 @@
+import hashlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from starweave.llm import merkle
+
+FIELDS = ("doc_id", "lang", "text")
+
+
+def sha(*parts: str) -> str:
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def leaf_of(row) -> str:
+    return sha(*("-" if v is None else f"{len(str(v).encode())}:{v}" for v in row))
+
+
+def levels_of(leaves: list[str]) -> list[list[str]]:
+    out = [leaves]
+    while len(out[-1]) > 1:
+        out.append([sha(*out[-1][i : i + 2]) for i in range(0, len(out[-1]), 2)])
+    return out
+
+
+def path_of(levels: list[list[str]], i: int) -> list[tuple[bool, str | None]]:
+    out = []
+    for level in levels[:-1]:
+        out.append((bool(i & 1), level[i ^ 1] if i ^ 1 < len(level) else None))
+        i >>= 1
+    return out
+
+
+def brute(rows, tampered=lambda row: row) -> list[tuple]:
+    """Every row's id, leaf, subroot, root, proof and folded root."""
+    groups = {}
+    for row in rows:
+        groups.setdefault(row[1], []).append(row)
+    names = sorted(groups, key=lambda g: (g is not None, (g or "").encode()))
+    trees = []
+    for name in names:
+        own = sorted(groups[name], key=lambda r: (r[0] is not None, r[0] or 0, leaf_of(r)))
+        trees.append((own, levels_of([leaf_of(r) for r in own])))
+    top = levels_of([levels[-1][0] for _, levels in trees])
+    out = []
+    for g, (own, levels) in enumerate(trees):
+        for i, row in enumerate(own):
+            path = path_of(levels, i) + path_of(top, g)
+            now = leaf_of(tampered(row))
+            for right, sibling in path:
+                now = sha(now) if sibling is None else sha(sibling, now) if right else sha(now, sibling)
+            proof = sha(*(s for _, s in path if s is not None))
+            out.append((row[0], leaf_of(row), levels[-1][0], top[-1][0], proof, now, now == top[-1][0]))
+    return sorted(out, key=str)
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, lang string, text string")
+
+
+def manifest(df, height, claimed=None):
+    return merkle.manifest(df, [F.col(c) for c in FIELDS], [F.col("doc_id")], F.col("lang"), ["doc_id"], claimed, height)
+
+
+def proofs(made) -> list[tuple]:
+    return sorted((tuple(r) for r in made.prove().collect()), key=str)
+
+
+def test_address_splits_at_half_height():
+    for levels in range(1, 9):
+        places = np.concatenate([merkle.address(levels, d, np.arange(1 << d)) for d in range(levels)])
+        assert sorted(places.tolist()) == list(range((1 << levels) - 1))
+    # Four levels: the upper two, then four subtrees of two levels each.
+    assert merkle.address(4, 1, np.arange(2)).tolist() == [1, 2]
+    assert merkle.address(4, 2, np.arange(4)).tolist() == [3, 6, 9, 12]
+    assert merkle.address(4, 3, np.arange(8)).tolist() == [4, 5, 7, 8, 10, 11, 13, 14]
+
+
+@pytest.mark.parametrize("count", [1, 2, 3, 5, 8, 13])
+def test_subtree_and_steps(count):
+    leaves = [sha(str(i)) for i in range(count)]
+    height = (count - 1).bit_length()
+    nodes = merkle.subtree([bytes.fromhex(x) for x in leaves], height)
+    levels = levels_of(leaves)
+    assert nodes[0].tobytes().hex() == levels[-1][0]
+    for i, own in enumerate(merkle.steps(nodes, height, count)):
+        path = merkle.siblings(own.tobytes())
+        assert [d if s != merkle.ALONE else None for s, d in path] == [s for _, s in path_of(levels, i)]
+        assert merkle.fold(leaves[i], path) == levels[-1][0]
+
+
+@pytest.mark.parametrize("height", [2, 11])
+def test_equals_brute_force_over_several_blocks(spark, height):
+    rows = [(i * 3 % 101, ["de", "en", None, "é", ""][(i * i) % 5 if i % 3 else 1], f"text {i}") for i in range(101)]
+    assert proofs(manifest(frame(spark, rows).repartition(5), height)) == brute(rows)
+
+
+def test_nulls_ties_repeated_rows_and_claims(spark):
+    rows = [(None, None, None), (None, None, None), (1, None, ""), (1, None, "a"), (1, None, "a"), (7, "x", "Ä" * 1000), (8, "y", None)]
+    claimed = F.when(F.col("doc_id") == 7, merkle.leaf_digest(F.col("doc_id"), F.col("lang"), F.lit("other")))
+    made = manifest(frame(spark, rows), 2, claimed)
+    got = proofs(made)
+    assert got == brute(rows, lambda r: (r[0], r[1], "other") if r[0] == 7 else r)
+    assert [r[0] for r in got if not r[-1]] == [7]
+    assert made.root() == got[0][3]
+
+
+def test_empty_table_and_clashing_names(spark):
+    df = frame(spark, [(1, "a", "x"), (2, "a", "y")])
+    empty = manifest(df.limit(0), 2)
+    assert empty.root() is None and empty.prove().count() == 0
+    clashing = df.withColumns({"tree": F.lit("t"), "LEAF": F.lit(0), "pos": F.lit(9), "claimed": F.lit("c"), "nth": F.lit(5)})
+    assert proofs(manifest(clashing, 2)) == proofs(manifest(df, 2))
+
+
+def test_siblings_are_returned_on_request(spark):
+    rows = [(i, "a", str(i)) for i in range(7)]
+    made = manifest(frame(spark, rows), 1)
+    for r in made.prove(keep_siblings=True).collect():
+        path = [(s["side"], s["digest"]) for s in r["siblings"]]
+        assert merkle.fold(r["leaf"], path) == r["root"]
+        assert sha(*(d for _, d in path if d)) == r["proof_sha256"]

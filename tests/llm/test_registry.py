@@ -10,6 +10,9 @@ SMALL = "/root/testdata/sf0.001"
 def test_query_returns_a_row_for_each_input_row(spark, name):
     df = registry.QUERIES[name](spark, SMALL)
     rows = df.count()
+    if name == "op13_collocations":  # one row for each phrase
+        assert 0 < rows <= 2000 * df.select("lang").distinct().count()
+        return
     table = {"op7_multi_index": None, "op10_main_text": "pages"}.get(name, "documents")
     if table:
         assert rows == spark.read.parquet(f"{SMALL}/{table}.parquet").count()
