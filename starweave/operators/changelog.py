@@ -111,22 +111,22 @@ def with_previous(
     )
 
 
-def to_changelog(
+def paired(
     df: DataFrame,
     key: str,
     version: str | Sequence[str],
     columns: Sequence[str],
     op: str | None = None,
     policy: skew.SkewPolicy | None = skew.DEFAULT,
+    carry: str | None = None,
 ) -> DataFrame:
-    """Turn a versioned table into its change stream.
+    """Every version with its ``change`` (insert / update / delete, empty: none) and structs ``old`` and ``new``.
 
-    Adds ``change`` (insert / update / delete) and structs ``old`` and ``new``.
-    Deleting an absent key is no change and yields no row.
+    ``carry`` names a column that the preceding version lends as ``__prev_<name>`` (underscores stripped).
     """
     dead = F.col(op) == DELETE if op else F.lit(False)
     marked = df.withColumn("__dead", dead)
-    rows = with_previous(marked, key, version, [*columns, "__dead"], policy)
+    rows = with_previous(marked, key, version, [*columns, "__dead", *([carry] if carry else [])], policy)
     had = F.col("prev").isNotNull() & ~F.col("prev.__dead")
     old = F.when(had, F.struct(*[F.col(f"prev.{c}").alias(c) for c in columns]))
     new = F.when(~F.col("__dead"), F.struct(*columns))
@@ -135,11 +135,26 @@ def to_changelog(
         .when(~F.col("__dead") & had, "update")
         .when(F.col("__dead") & had, DELETE)
     )
-    return (
-        rows.withColumns({"change": F.coalesce(change, F.lit("")), "old": old, "new": new})
-        .where("change <> ''")
-        .drop("prev", "__dead")
-    )
+    made = {"change": F.coalesce(change, F.lit("")), "old": old, "new": new}
+    if carry:
+        made[f"__prev_{carry.strip('_')}"] = F.col(f"prev.{carry}")
+    return rows.withColumns(made).drop("prev", "__dead")
+
+
+def to_changelog(
+    df: DataFrame,
+    key: str,
+    version: str | Sequence[str],
+    columns: Sequence[str],
+    op: str | None = None,
+    policy: skew.SkewPolicy | None = skew.DEFAULT,
+) -> DataFrame:
+    """Turn a versioned table into its change stream.
+
+    Adds ``change`` (insert / update / delete) and structs ``old`` and ``new``.
+    Deleting an absent key is no change and yields no row.
+    """
+    return paired(df, key, version, columns, op, policy).where("change <> ''")
 
 
 def key_switches(

@@ -273,3 +273,27 @@ SQL: dict[str, str] = {
     ),
 }
 SQL["stream_sql_insert_converged"] = SQL["sql_three_way_inner"]
+
+_MOVED = {
+    "moved": "SELECT * REPLACE (CAST(v_supp AS VARCHAR) AS customer_id) FROM orders_live",
+    "heads": f"SELECT * FROM moved {_LATEST.format(key='customer_id', order=_ORDER_VERSION + ', order_id DESC')}",
+}
+_HOPS = {
+    "nations_now": """
+        SELECT n_nationkey AS nation_id, n_name || ', ' || r_name AS name FROM nation JOIN region ON n_regionkey = r_regionkey""",
+    "settled": """
+        SELECT c.customer_id, c.name, n.name AS nation_name
+        FROM customers_now c JOIN customer h ON CAST(h.c_custkey AS VARCHAR) = c.customer_id
+        LEFT JOIN nations_now n ON n.nation_id = (h.c_nationkey + c.seq + 1) % 25
+        WHERE c.op <> 'delete'""",
+}
+SQL["stream_changes_converged"] = SQL["table_to_changelog"]
+SQL["stream_latest_per_customer"] = _sql("SELECT customer_id, order_id, product_id, ts FROM heads", _MOVED)
+SQL["stream_asof_converged"] = SQL["stream_table_left_asof"]
+SQL["enrich_two_hops"] = _sql(
+    """SELECT o.order_id, s.name AS customer_name, s.nation_name, o.ts
+       FROM orders_now o LEFT JOIN settled s ON s.customer_id = o.customer_id""",
+    _HOPS,
+)
+SQL["stream_two_hops_converged"] = SQL["enrich_two_hops"]
+SQL["stream_customer_led_converged"] = _sql(_CUSTOMER_LED.replace("order_per_customer", "heads"), _MOVED)
