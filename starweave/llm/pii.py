@@ -26,12 +26,15 @@ ROUNDS = 10
 
 _EDGE, _END = r"(?<![0-9A-Za-z])", r"(?![0-9A-Za-z])"
 _LOCAL = "[A-Za-z0-9._%+-]"
+_LABEL = "[A-Za-z0-9-]"
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 _CARD = r"[0-9]{13,19}|[0-9]{4}(?:-[0-9]{4}){3}|[0-9]{4} [0-9]{6} [0-9]{5}"
 #: One pattern for each kind of candidate, in the order in which they are tried.
 PATTERNS = {
-    # From the start of a name, or from where a value before it may end.
-    "mail": rf"(?:(?<!{_LOCAL})|(?<=[0-9A-Za-z])(?=[._%+-])){_LOCAL}++@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{{2,}}",
+    # From the start of a name, however long, or from where a value before it may end, 64 characters before the sign
+    # at most. Every character is looked at a bounded number of times, and nothing is given back, so no address is
+    # too long. Where the name of the host ends is found by its maker.
+    "mail": rf"(?:(?<!{_LOCAL}){_LOCAL}++|(?<=[0-9A-Za-z])(?=[._%+-]){_LOCAL}{{1,64}}+)@{_LABEL}++(?:\.{_LABEL}++)++",
     "key": rf"{_EDGE}(?:AKIA|ASIA)[0-9A-Z]{{15,16}}{_END}",
     "hex": rf"{_EDGE}(?=[0-9]{{0,63}}[a-fA-F])[0-9a-fA-F]{{32,64}}{_END}",
     "iban": rf"{_EDGE}[A-Z]{{2}}[0-9]{{2}}(?:[0-9A-Z]{{11,30}}|(?: [0-9A-Z]{{4}}){{2,7}}(?: [0-9A-Z]{{1,3}})?){_END}",
@@ -234,6 +237,12 @@ def _hashed_digits(value: Column, key: str, kind: str) -> Column:
     return F.sha2(F.concat_ws("|", F.lit(key), F.lit(kind), value), 256)
 
 
+def _mail_tries(m: Column) -> Column:
+    """An address ends with the last label that begins with two letters or more, behind these letters."""
+    whole = F.regexp_extract(m, r"^[^@]*+@.*\.[A-Za-z]{2,}", 0)
+    return F.filter(F.array(whole), lambda t: t != "")
+
+
 def _mail(m: Column, key: str) -> Column:
     name = F.concat(F.lit("user-"), F.substring(_hashed_digits(F.lower(m), key, "mail"), 1, 16))
     return F.concat(name, F.regexp_extract(m, "@.*$", 0))
@@ -261,6 +270,9 @@ _MAKERS: dict[str, Callable[[Column, str], Column]] = {
     "phone": _phone,
 }
 
+#: Kinds of which a part of the candidate may be the value: what to try, in order.
+_TRIES = {"iban": _iban_tries, "mail": _mail_tries}
+
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is worked out once."""
@@ -269,15 +281,15 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def pseudonym(m: Column, key: str) -> Column:
     """Struct ``size, new``: pseudonym of the first characters of a candidate, by the first kind whose form it has and
-    whose validation it passes; else null. Only account numbers in groups may be shorter than the candidate."""
+    whose validation it passes; else null. Only addresses and account numbers in groups may be shorter than the candidate."""
 
     def made(old: Column, new: Column) -> Column:
         return F.when(new.isNotNull(), F.struct(F.length(old).alias("size"), new.alias("new")))
 
     def one(kind: str, make: Callable[[Column, str], Column]) -> Column:
-        if kind != "iban":
+        if kind not in _TRIES:
             return _let(make(m, key), lambda new: made(m, new))
-        tries = F.transform(_iban_tries(m), lambda t: _let(make(t, key), lambda new: made(t, new)))
+        tries = F.transform(_TRIES[kind](m), lambda t: _let(make(t, key), lambda new: made(t, new)))
         return F.get(F.filter(tries, lambda t: t.isNotNull()), F.lit(0))
 
     return F.coalesce(*(F.when(m.rlike(f"^(?:{PATTERNS[kind]})$"), one(kind, make)) for kind, make in _MAKERS.items()))

@@ -98,3 +98,29 @@ def test_values_inside_or_behind_what_is_rejected(spark):
 def test_many_values_in_one_text(spark):
     got = run(spark, ["97.51.17.173", "97.51.17.173 " * 1000])
     assert got[1] == (f"{got[0][0]} " * 1000, 1000)
+
+
+def test_long_addresses_and_runs_are_linear(spark):
+    import time
+
+    labels = "a." * 20_000
+    texts = [f"x@{labels}com, {labels}", "a.b" * 50_000, "a.b" * 50_000 + "@x.org", "a@" * 50_000, f"x@{labels}"]
+    start = time.time()
+    got = run(spark, texts)
+    assert time.time() - start < 60
+    assert re.fullmatch(rf"user-[0-9a-f]{{16}}@{re.escape(labels)}com, {re.escape(labels)}", got[0][0]) and got[0][1] == 1
+    assert got[1] == (texts[1], 0)
+    assert re.fullmatch(r"user-[0-9a-f]{16}@x\.org", got[2][0]) and got[2][1] == 1
+    assert got[3] == (texts[3], 0) and got[4] == (texts[4], 0)
+
+
+def test_where_an_address_ends(spark):
+    texts = ["a@b.com.", "a@b.co1", "a@b.c9", "a@bb.cc.d9", "a.bc@x", "a@b..com", "a@b.c.de-f", "(97.51.17.173-jo@x.org)"]
+    ends = ["@b.com.", "@b.co1", None, "@bb.cc.d9", None, None, "@b.c.de-f"]
+    got = run(spark, texts)
+    for i, end in enumerate(ends):
+        if end is None:
+            assert got[i] == (texts[i], 0)
+        else:
+            assert re.fullmatch(rf"user-[0-9a-f]{{16}}{re.escape(end)}", got[i][0]), got[i]
+    assert got[7][1] == 1  # a name may hold what looks like an address of another kind
