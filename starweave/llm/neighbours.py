@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starweave.llm.syncmers import fingerprint, likeness, parsed
+from starweave.llm.syncmers import Print, likeness, print_of
 
 SCHEMA = (
     "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
@@ -34,6 +34,8 @@ _ARROW = pa.schema(
 )
 #: Rows given out at once.
 ROWS = 512
+#: Rows are given out earlier after so many characters: fingerprints grow with the texts.
+CHARS = 1 << 21
 
 
 def edited(text: str, following: str) -> str:
@@ -93,26 +95,26 @@ def with_successors(df: DataFrame, parts: int) -> DataFrame:
     return dealt.sortWithinPartitions("part", "is_next", "doc_id", "text").mapInArrow(_pairs, SCHEMA)
 
 
-def _row(doc_id: int | None, text: str, print_: str, following: tuple[str, str] | None) -> dict:
-    own = parsed(print_)
+def _row(doc_id: int | None, text: str, own: Print, following: tuple[str, Print] | None) -> dict:
     changed = edited(text, following[0] if following else "")
-    print_edited = print_ if changed == text else fingerprint(changed)
+    print_edited = own if changed == text else print_of(changed)
     return {
         "doc_id": doc_id,
         "n_chars": len(text),
         "edited_sha256": hashlib.sha256(changed.encode("utf-8")).hexdigest(),
-        "fingerprint": print_,
-        "edited_fingerprint": print_edited,
-        "near_edited": 1.0 if print_edited == print_ else likeness(own, parsed(print_edited)),
-        "near_next": likeness(own, parsed(following[1])) if following else None,
+        "fingerprint": str(own),
+        "edited_fingerprint": str(print_edited),
+        "near_edited": likeness(own, print_edited),
+        "near_next": likeness(own, following[1]) if following else None,
     }
 
 
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    waiting: tuple[int | None, str, str] | None = None
+    waiting: tuple[int | None, str, Print] | None = None
     part: int | None = None
     ended = False
     rows: list[dict] = []
+    chars = 0
     for batch in batches:
         for i in range(batch.num_rows):
             here, is_next, doc_id, text = (c[i].as_py() for c in batch.columns)
@@ -120,14 +122,15 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 part, waiting, ended = here, None, False
             if ended:
                 continue  # further rows with the successor's id
-            print_ = fingerprint(text)
+            print_ = print_of(text)
             if part < 0:
                 rows.append(_row(doc_id, text, print_, None))
             else:
                 if waiting is not None:
                     rows.append(_row(*waiting, (text, print_)))
                 waiting, ended = (doc_id, text, print_), is_next
-            if len(rows) >= ROWS:
+            chars += len(text)
+            if len(rows) >= ROWS or chars > CHARS:
                 yield pa.RecordBatch.from_pylist(rows, _ARROW)
-                rows = []
+                rows, chars = [], 0
     yield pa.RecordBatch.from_pylist(rows, _ARROW)

@@ -2,23 +2,28 @@
 
 A run of ``K`` characters is an anchor if the smallest of its inner runs of ``S``
 characters, by hash, is the first or the last one. Whether a run is an anchor
-depends on nothing around it, so an edit moves only anchors that it touches. A
-fingerprint holds the ``SIZE`` anchors with the smallest hashes and their first
-positions. Two fingerprints are compared by the anchors that they share in the
-same order.
+depends on nothing around it, so an edit moves only anchors that it touches.
+About every fourth place of a text is one. A fingerprint holds the distinct anchors
+in the order of their first positions: all of them, or of a text with more than
+``WHOLE`` those in the lower half of the hashes. Two fingerprints are compared by
+the anchors that they share in the same order, over all that both could hold.
 """
 
 from __future__ import annotations
 
+import base64
 from bisect import bisect_left
+from dataclasses import dataclass
 
 import numpy as np
 
 from starweave.llm.shingles import _powers, mix
 
 K, S = 12, 5
-#: Anchors in a fingerprint.
-SIZE = 48
+#: Distinct anchors of a text up to which a fingerprint holds them all; of more, it holds a half.
+WHOLE = 2048
+#: 32-bit hashes of the lower half.
+HALF = 1 << 31
 #: Characters worked on at once.
 BLOCK = 1 << 18
 
@@ -54,44 +59,74 @@ def anchors(text: str) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(hashes), np.concatenate(places)
 
 
-def fingerprint(text: str | None) -> str:
-    """Anchors as ``hash:position`` in hexadecimal, smallest hash first; empty for a null or empty text.
+@dataclass(frozen=True)
+class Print:
+    """32-bit hashes of distinct anchors in text order, and whether these are all or the lower half."""
 
-    Equal texts have equal fingerprints. A text with no anchor at all (only possible for a few characters
-    more than ``K``) is represented by the hash of the whole text.
-    """
-    hashes, places = anchors(text or "")
-    if not len(hashes):
-        if not text:
+    whole: bool
+    hashes: np.ndarray
+
+    def lower(self) -> np.ndarray:
+        return self.hashes[self.hashes < HALF] if self.whole else self.hashes
+
+    def __str__(self) -> str:
+        if not len(self.hashes) and self.whole:
             return ""
+        return ("a" if self.whole else "h") + base64.b64encode(self.hashes.astype("<u4").tobytes()).decode()
+
+
+def print_of(text: str | None) -> Print:
+    """The fingerprint of a text; no anchors for a null or empty text.
+
+    A text with no anchor at all (only possible for a few characters more than ``K``) is represented by the
+    hash of the whole text.
+    """
+    hashes, _ = anchors(text or "")
+    if not len(hashes) and text:
         codes = np.frombuffer(text.encode("utf-32-le"), dtype="<u4").astype(np.uint64) + np.uint64(1)
-        hashes, places = mix(_run_hashes(codes, len(codes)), len(codes)), np.zeros(1, dtype=np.int64)
-    short = hashes >> np.uint64(24)  # 40 bits
-    if len(short) > SIZE * 8:
-        bound = np.partition(short, SIZE * 4)[SIZE * 4]
-        few = short <= bound
-        if len(set(short[few].tolist())) >= SIZE:
-            short, places = short[few], places[few]
+        hashes = mix(_run_hashes(codes, len(codes)), len(codes))
+    short = (hashes >> np.uint64(32)).astype(np.uint32)
     distinct, first = np.unique(short, return_index=True)
-    pairs = zip(distinct[:SIZE].tolist(), places[first[:SIZE]].tolist(), strict=True)
-    return " ".join(f"{h:010x}:{p:x}" for h, p in pairs)
+    whole = len(distinct) <= WHOLE
+    if not whole:
+        first = first[distinct < HALF]
+    return Print(whole, short[np.sort(first)])
 
 
-def parsed(print_: str) -> dict[int, int]:
-    return {int(h, 16): int(p, 16) for h, p in (x.split(":") for x in print_.split())}
+def fingerprint(text: str | None) -> str:
+    """The fingerprint as text: ``a`` (all anchors) or ``h`` (lower half), then the hashes in text order, base64 of
+    little-endian 32-bit integers; empty for a null or empty text. Equal texts have equal fingerprints.
 
+    It is as long as about 1.4 times the characters of a text, 0.7 times beyond ``WHOLE`` anchors.
+    """
+    return str(print_of(text))
 
-def likeness(one: dict[int, int], two: dict[int, int]) -> float:
-    """Share of the ``SIZE`` smallest anchors of both texts together that they share in the same order.
 
-    1 for equal texts, two empty ones included; 0 if only one is empty.
-    """
-    if not one or not two:
-        return float(not one and not two)
-    union = sorted(one.keys() | two.keys())[:SIZE]
-    shared = sorted((one[h], two[h]) for h in union if h in one and h in two)
+def parsed(print_: str) -> Print:
+    hashes = np.frombuffer(base64.b64decode(print_[1:]), dtype="<u4")
+    return Print(print_[:1] != "h", hashes.astype(np.uint32))
+
+
+def in_order(places: np.ndarray) -> int:
+    """Length of the longest increasing subsequence."""
+    if (places[1:] > places[:-1]).all():
+        return len(places)
     tails: list[int] = []
-    for _, place in shared:
+    for place in places.tolist():
         at = bisect_left(tails, place)
         tails[at : at + 1] = [place]
-    return len(tails) / len(union)
+    return len(tails)
+
+
+def likeness(one: Print, two: Print) -> float:
+    """Of the anchors of both texts together, the share that they have in common in the same order.
+
+    Where one fingerprint holds the lower half only, the lower halves are compared. 1 for equal texts, two empty ones
+    included; 0 if only one is empty.
+    """
+    both_whole = one.whole and two.whole
+    a, b = (one.hashes, two.hashes) if both_whole else (one.lower(), two.lower())
+    if not len(a) or not len(b):
+        return float(len(a) == len(b))
+    shared, at, there = np.intersect1d(a, b, assume_unique=True, return_indices=True)
+    return in_order(there[np.argsort(at)]) / (len(a) + len(b) - len(shared))

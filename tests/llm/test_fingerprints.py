@@ -47,7 +47,61 @@ def test_likeness():
     near = likeness(parsed(fingerprint(a)), parsed(fingerprint(edited(a, b))))
     assert 0.35 < near < 0.85
     assert fingerprint(None) == fingerprint("") == "" and fingerprint("ab") == fingerprint("ab") != fingerprint("ac")
-    assert likeness({}, {}) == 1.0 and likeness({}, {1: 1}) == 0.0
+    none = parsed("")
+    assert likeness(none, none) == 1.0 and likeness(none, parsed(fingerprint("ab"))) == 0.0
+
+
+def brute_likeness(one: str, two: str) -> float:
+    """Over the full anchor sets, by quadratic search for the longest common order."""
+    sides = []
+    for text in (one, two):
+        seen: dict[int, int] = {}
+        for h, p in zip(*(x.tolist() for x in anchors(text)), strict=True):
+            seen.setdefault(h, p)
+        sides.append(seen or ({text: 0} if text else {}))  # a short text may have no anchor
+    a, b = sides
+    if not a or not b:
+        return float(a == b)
+    places = [b[h] for h in sorted(a, key=a.get) if h in b]
+    longest: list[int] = []
+    for i, p in enumerate(places):
+        longest.append(1 + max((longest[j] for j in range(i) if places[j] < p), default=0))
+    return max(longest, default=0) / len(a.keys() | b.keys())
+
+
+def test_likeness_equals_brute_force_on_full_sets():
+    rnd = random.Random(8)
+    texts = [prose(i, rnd.randrange(1, 60)) for i in range(12)]
+    texts += [texts[0] + texts[1], texts[1] + " " + texts[0], texts[2] * 3, "", "a" * 300, "abcdefghijkl"]
+    for a in texts:
+        for b in texts:
+            assert likeness(parsed(fingerprint(a)), parsed(fingerprint(b))) == brute_likeness(a, b)
+
+
+def test_long_texts_are_compared_over_all_their_anchors():
+    rnd = random.Random(9)
+    words = ["".join(rnd.choices("abcdefgh", k=rnd.randrange(3, 8))) for _ in range(3000)]
+    text = " ".join(rnd.choices(words, k=20_000))
+    assert len(text) > 100_000 and fingerprint(text)[0] == "h"
+    few = text.split(" ")
+    for i in rnd.sample(range(len(few)), 20):
+        few[i] = "changed"
+    passage = text[40_000:43_000]
+    other = " ".join(rnd.choices(["".join(rnd.choices("stuvwxyz", k=6)) for _ in range(3000)], k=20_000))
+
+    def exact(a: str, b: str) -> float:
+        sides = [dict(reversed([*zip(*(x.tolist() for x in anchors(t)), strict=True)])) for t in (a, b)]
+        one, two = sides
+        places = np.array([two[h] for h in sorted(one, key=one.get) if h in two])
+        return syncmers.in_order(places) / len(one.keys() | two.keys())
+
+    for a, b in ((text, " ".join(few)), (text, text[25_000:]), (text, other[:50_000] + passage + other[50_000:]), (text, other)):
+        near = likeness(parsed(fingerprint(a)), parsed(fingerprint(b)))
+        assert abs(near - exact(a, b)) < 0.01
+    assert likeness(parsed(fingerprint(text)), parsed(fingerprint(" ".join(few)))) < 1
+    assert likeness(parsed(fingerprint(text)), parsed(fingerprint(other[:50_000] + passage + other[50_000:]))) > 0.005
+    short = text[:3000]  # all its anchors against a half
+    assert abs(likeness(parsed(fingerprint(short)), parsed(fingerprint(text))) - exact(short, text)) < 0.01
 
 
 def test_successors_equal_brute_force(spark):
@@ -62,9 +116,11 @@ def test_successors_equal_brute_force(spark):
         want = []
         for n, (i, t) in enumerate(order):
             following = order[(n + 1) % len(order)][1]
-            want.append((i, len(t), hashlib.sha256(edited(t, following).encode()).hexdigest(), fingerprint(t)))
-        assert sorted(tuple(r)[:4] for r in got) == sorted(want)
-        assert all(0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1 for r in got)
+            changed = edited(t, following)
+            digest = hashlib.sha256(changed.encode()).hexdigest()
+            near = (brute_likeness(t, changed), brute_likeness(t, following))
+            want.append((i, len(t), digest, fingerprint(t), fingerprint(changed), *near))
+        assert sorted(tuple(r) for r in got) == sorted(want)
 
 
 def test_lone_null_and_no_documents(spark):
