@@ -120,7 +120,7 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op12_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    both = pieces.round_trip(documents(spark, sf_dir).select("doc_id", "text"), pieces.default_model(spark))
+    both = pieces.round_trip(documents(spark, sf_dir).select("doc_id", "text"), pieces.default_model(spark), every=16)
     return both.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
