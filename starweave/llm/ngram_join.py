@@ -24,6 +24,7 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,7 +36,7 @@ from pyspark.sql.window import Window
 from starweave.llm.components import components
 from starweave.llm.shingles import mix, shingle_set
 from starweave.llm.tables import free_name
-from starweave.session import stage
+from starweave.session import scratch_dir, stage
 
 #: One in so many documents is looked at to find frequent shingles, and how often one must be seen there.
 #: These and ``FREQUENT`` only decide which of its signatures a set uses; links do not depend on them.
@@ -45,6 +46,8 @@ FREQUENT = 100_000
 FILTER_BITS = 22
 #: Classes of a signature that meet as plain pairs in the last round; more are compared in blocks of ``BLOCK``.
 FEW, BLOCK = 8, 256
+#: Sets that a task describes at once.
+ROWS = 256
 #: Rounds in which every signature's sets are compared with one pivot, before the pairwise round.
 PIVOT_ROUNDS = 2
 
@@ -198,7 +201,7 @@ def _folded(sketches: list[bytes], words: int) -> np.ndarray:
 
 
 def _sets(df: DataFrame, text: str, words: int, sketched: bool = False) -> DataFrame:
-    """``df`` with ``shingles`` and, if wanted, their ``sketch``."""
+    """``df`` with ``shingles`` and, if wanted, their ``sketch`` and ``key``."""
 
     @F.arrow_udf("array<long>")
     def hashes(texts: pa.Array) -> pa.Array:
@@ -206,12 +209,30 @@ def _sets(df: DataFrame, text: str, words: int, sketched: bool = False) -> DataF
         ends = np.cumsum([0, *map(len, found)])
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(found or [ends[:0]])))
 
-    @F.arrow_udf("binary")
-    def sketches(sets: pa.Array) -> pa.Array:
-        return pa.array([sketch(s.values.to_numpy().astype(np.uint64)).tobytes() for s in sets], pa.binary())
+    kind = pa.struct(
+        [
+            ("shingles", pa.list_(pa.int64())),
+            ("sketch", pa.binary()),
+            ("key", pa.struct([("k1", pa.int64()), ("k2", pa.int64())])),
+        ]
+    )
 
-    out = df.withColumn("shingles", hashes(F.col(text)))
-    return out.withColumn("sketch", sketches(F.col("shingles"))) if sketched else out
+    @F.arrow_udf("struct<shingles: array<long>, sketch: binary, key: struct<k1: long, k2: long>>")
+    def described(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            for start in range(0, len(batch), ROWS):
+                found = [shingle_set(t.as_py(), words) for t in batch[start : start + ROWS]]
+                ends = np.cumsum([0, *map(len, found)])
+                lists = pa.ListArray.from_arrays(
+                    pa.array(ends, pa.int32()), pa.array(np.concatenate(found).astype(np.int64), pa.int64())
+                )
+                keys = [dict(zip(("k1", "k2"), _key(s), strict=True)) for s in found]
+                columns = [lists, pa.array([sketch(s).tobytes() for s in found], pa.binary()), pa.array(keys, kind["key"].type)]
+                yield pa.StructArray.from_arrays(columns, fields=list(kind))
+
+    if not sketched:
+        return df.withColumn("shingles", hashes(F.col(text)))
+    return df.withColumn("described", described(F.col(text))).select("*", "described.*").drop("described")
 
 
 def _near(percent: int):
@@ -275,19 +296,33 @@ class JaccardJoin:
         self.words, self.bands, self.percent = words, Bands(percent), percent
 
     def run(self, df: DataFrame, id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-        """Rows ``id, n_shingles, component_id, text_hash``, and the verified links ``a, b`` that join the classes."""
+        """Rows ``id, n_shingles, component_id, text_hash``, and the verified links ``a, b`` that join the classes.
+
+        ``a`` and ``b`` are the smallest ids of two classes. Links within a component that others already span are
+        not among them.
+        """
+        rows, links, classes = self._run(df, id, text)
+        name = lambda v: classes.select(F.col("v").alias(v), F.col("id").alias(f"id_{v}"))
+        named = links.join(name("a"), "a").join(name("b"), "b")
+        return rows.drop("root"), named.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b"))
+
+    def _run(self, df: DataFrame, id: str, text: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """Rows with the class that names their component (``root``, null without words), links of classes, and the
+        classes: ``k1, k2`` name a set, ``v`` is its number, ``id`` its smallest id."""
         docs = df.select(F.col(id).alias("id"), F.col(text).alias("text"))
         hashed = docs.withColumn("text_hash", F.xxhash64("text"))
         keyed = stage(_keyed(hashed, "text", self.words).select("id", "text_hash", "set.*"), "shingle-keys")
-        classes = (
-            keyed.where((F.col("n") > 0) & F.col("id").isNotNull())
-            .groupBy("k1", "k2")
-            .agg(F.min("id").alias("v"), F.first("n").alias("n"))
-        )
+        sets = keyed.where((F.col("n") > 0) & F.col("id").isNotNull()).groupBy("k1", "k2")
+        numbered = sets.agg(F.min("id").alias("id"), F.first("n").alias("n"))
+        # Written before it is used, so every reader sees the same numbers.
+        classes = stage(numbered.withColumn("v", F.monotonically_increasing_id()), "classes")
         hits = self._hits(docs, classes)
-        links = self._links(hits, self._hit_sets(docs, hits))
+        with self._hit_sets(docs, hits, classes) as hit_sets:
+            links = self._links(hits, hit_sets)
         roots = components(links)
-        named = classes.join(roots, "v", "left").select("k1", "k2", F.coalesce("root", "v").alias("component_id"))
+        labelled = classes.join(roots, "v", "left").select("k1", "k2", "id", F.coalesce("root", "v").alias("root"))
+        smallest = labelled.groupBy("root").agg(F.min("id").alias("component_id"))
+        named = labelled.drop("id").join(smallest, "root")
         rows = keyed.join(named, ["k1", "k2"], "left").select(
             F.col("id").alias(id),
             F.col("n").alias("n_shingles"),
@@ -295,26 +330,27 @@ class JaccardJoin:
             .otherwise(F.col("id"))
             .alias("component_id"),
             "text_hash",
+            F.when(F.col("id").isNotNull(), F.col("root")).alias("root"),
         )
-        return rows, links
+        return rows, links, classes
 
     def one_of_each(self, df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
         """``df`` with one row of each component: the smallest id, and of its texts the one with the smallest hash.
 
         Rows with a null id all stay, and so do texts without words (but only one row of an id and text).
         """
-        rows, _ = self.run(df, id, text)
-        kept = (
-            rows.where(F.col("component_id").isNotNull())
-            .groupBy("component_id")
-            .agg(F.min(F.struct(F.col(id).alias("id"), F.col("text_hash").alias("hash"))).alias("best"))
-        )
+        rows, _, _ = self._run(df, id, text)
+        worded = rows.where(F.col("root").isNotNull()).groupBy("root")
+        best = worded.agg(F.min(F.struct(F.col(id).alias("id"), F.col("text_hash").alias("hash"))).alias("best")).select("best.*")
+        wordless = rows.where((F.col("n_shingles") == 0) & F.col(id).isNotNull())
+        kept = best.union(wordless.select(id, "text_hash").distinct())
         kept_id, kept_hash, copy = free_name(df, "kept_id", "kept_hash", "copy")
-        best = kept.select(F.col("best.id").alias(kept_id), F.col("best.hash").alias(kept_hash))
+        best = kept.toDF(kept_id, kept_hash)
         hashed = df.where(F.col(id).isNotNull()).withColumn(kept_hash, F.xxhash64(text))
         once = hashed.withColumn(copy, F.row_number().over(Window.partitionBy(id, kept_hash).orderBy(F.lit(0))))
         first = once.where(F.col(copy) == 1).withColumn(kept_id, F.col(id))
-        return first.join(best, [kept_id, kept_hash], "left_semi").select(*df.columns).union(df.where(F.col(id).isNull()))
+        same = (first[kept_id] == best[kept_id]) & first[kept_hash].eqNullSafe(best[kept_hash])
+        return first.join(best, same, "left_semi").select(*df.columns).union(df.where(F.col(id).isNull()))
 
     def _hits(self, docs: DataFrame, classes: DataFrame) -> DataFrame:
         """``sig, v, n`` of all signatures that more than one class has."""
@@ -330,11 +366,26 @@ class JaccardJoin:
         )
         return stage(shared.join(classes.select("k1", "v", "n"), "k1").select("sig", "v", "n"), "shared-signatures")
 
-    def _hit_sets(self, docs: DataFrame, hits: DataFrame) -> DataFrame:
-        wanted = stage(hits.select(F.col("v").alias("id")).distinct(), "wanted")
+    @contextmanager
+    def _hit_sets(self, docs: DataFrame, hits: DataFrame, classes: DataFrame) -> Iterator[DataFrame]:
+        """``v, n, shingles, sketch`` of every class with a shared signature, in a table bucketed by class: the rounds
+        join it as it lies. The table is only a name for files in the shared folder and goes at the end."""
+        spark = docs.sparkSession
+        wanted = stage(hits.select("v").distinct().join(classes, "v").select("v", "id", "k1", "k2"), "wanted")
         found = _sets(docs.join(wanted, "id"), "text", self.words, sketched=True)
-        columns = (F.col("id").alias("v"), "shingles", "sketch", F.size("shingles").cast("long").alias("n"))
-        return stage(found.select(*columns), "shingle-sets")
+        # An id may come with other texts than the one of this class.
+        own = found.where((F.col("key.k1") == F.col("k1")) & (F.col("key.k2") == F.col("k2")))
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        columns = ("v", F.size("shingles").cast("long").alias("n"), "shingles", "sketch")
+        copy = F.row_number().over(Window.partitionBy("v").orderBy("id"))
+        once = own.repartition(buckets, "v").withColumn("copy", copy).where("copy = 1").select(*columns)
+        path = scratch_dir(spark, "shingle-sets")
+        name = "shingle_sets_" + path[-32:]
+        once.write.bucketBy(buckets, "v").sortBy("v").option("path", path).saveAsTable(name)
+        try:
+            yield spark.table(name)
+        finally:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
 
     def _links(self, hits: DataFrame, sets: DataFrame) -> DataFrame:
         links = tried = None

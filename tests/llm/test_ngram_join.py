@@ -137,6 +137,17 @@ def test_one_row_of_each_group_and_odd_rows(spark):
     assert JaccardJoin(5, 80).run(df.limit(0))[0].count() == 0
 
 
+def test_other_texts_under_one_id_stay(spark):
+    one, two, three = (" ".join(f"{c}{i}" for i in range(40)) for c in "abc")
+    rows = [(1, one), (1, two), (2, one), (2, one + " x"), (3, two + " y"), (5, three), (5, None), (5, ""), (5, " ")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = sorted((r["doc_id"], r["text"] or "") for r in JaccardJoin(5, 80).one_of_each(df).collect())
+    assert kept == [(1, one), (1, two), (5, ""), (5, ""), (5, " "), (5, three)]
+    got = JaccardJoin(5, 80).run(df)[0].collect()
+    assert all(r["component_id"] == (1 if r["n_shingles"] and r["doc_id"] < 4 else r["doc_id"]) for r in got)
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("shingle_sets")]
+
+
 def test_components_of_a_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(1, 40)] + [(100, i) for i in range(101, 150)] + [(7, 7)]
     got = dict(components(spark.createDataFrame(edges, "a long, b long")).collect())
