@@ -31,10 +31,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starweave.operators import changelog, enrich, partial, skew
-from starweave.sources import files
 from starweave.sources.logs import BATCH, LogTable
 from starweave.sources.streams import TABLE, untag
 from starweave.specs import Dimension, StarSpec, TableSpec
+from starweave.streaming.sinks import MergeSink
 
 Tap = Callable[[DataFrame, int], None]
 
@@ -90,6 +90,17 @@ class Maintainer:
         self._touched = LogTable(self.spark, f"{self.root}/touched", fact)
         self.output = LogTable(self.spark, f"{self.root}/out", self._output_schema())
         self.output.ensure()
+        #: In partial mode, the documents of all batches up to the last compaction, stamped field by field.
+        self.folded = None
+        if self.mode == "partial":
+            self.folded = MergeSink(
+                self.spark, f"{self.root}/folded", self.star.fact.key, self._fields(), self.star.fact.version,
+                self.output.schema, OP, compact_every=1, buckets=self.buckets,
+            )
+
+    def _fields(self) -> list[str]:
+        """Fields of a document besides its key."""
+        return [*[c for c in self.star.columns if c != self.star.fact.key], *[d.name for d in self.star.dims]]
 
     def _output_schema(self) -> T.StructType:
         """Key, fact columns and sub-documents; in partial mode also the version."""
@@ -283,12 +294,15 @@ class Maintainer:
 
     def documents(self) -> DataFrame:
         """Converged documents according to the output log."""
-        star, key = self.star, self.star.fact.key
-        rows = self.output.read()
-        if self.mode == "full":
-            return changelog.latest_by_key(rows, key, BATCH, OP).drop(BATCH, OP)
-        fields = [*[c for c in star.columns if c != key], *[d.name for d in star.dims]]
-        return partial.merge_fields(rows, key, [*star.fact.version, BATCH], fields, OP)
+        key = self.star.fact.key
+        if self.folded is None:
+            return changelog.latest_by_key(self.output.read(), key, BATCH, OP).drop(BATCH, OP)
+        return self.folded.documents(self.output.read_batches(self._unfolded()))
+
+    def _unfolded(self, upto: int | None = None) -> list[int]:
+        """Output batches that came after the last fold."""
+        done = self.folded.docs.base()
+        return [b for b in self.output.commits() if (done is None or b > done[0]) and (upto is None or b <= upto)]
 
     def register(self, view: str) -> DataFrame:
         """Make the current documents queryable under a name, also mid-stream."""
@@ -309,19 +323,26 @@ class Maintainer:
         if self.mode == "full":
             key = self.star.fact.key
             self.output.compact(batch_id, lambda rows: changelog.latest_by_key(rows, key, BATCH))
+        else:
+            self.folded(self.output.read_batches(self._unfolded(batch_id)), batch_id)
 
     def vacuum(self, keep: int = 2) -> None:
-        """Delete superseded compactions of the inputs (see ``LogTable.vacuum``).
-        The output log is left alone: sinks may still be reading it (see ``trim``)."""
-        for log in self.inputs.values():
+        """Delete superseded compactions of the inputs and of what the output was folded to (see
+        ``LogTable.vacuum``). The output log is left alone: sinks may still be reading it (see ``trim``)."""
+        for log in (*self.inputs.values(), *([self.folded.docs] if self.folded else [])):
             log.vacuum(keep)
 
-    def trim(self, upto: int) -> None:
-        """Delete output batches that a compaction covers, up to the last one that the
-        slowest sink has committed. Working tables of these batches go with them."""
-        self.output.trim(upto)
-        covered = self.output.base()
+    def trim(self, upto: int | None = None) -> None:
+        """Delete output batches that a compaction covers, up to the last one that every follower is done with
+        (``upto`` sets it by hand), and bases that two newer ones supersede. Working tables of these batches go with them. In partial mode the rows were
+        folded field by field before, so nothing is lost."""
+        covered = (self.folded.docs if self.folded else self.output).base()
+        if covered is None:
+            return
+        self.output.trim(upto, covered[0])
+        self.output.drop_bases()
+        left = min(self.output.batches(), default=covered[0] + 1)
         for log in (self._affected, self._touched):
             for b in log.batches():
-                if covered is not None and b <= min(upto, covered[0]):
-                    files.delete(self.spark, f"{log.log_path}/{BATCH}={b}")
+                if b < min(left, covered[0] + 1):
+                    log.drop(b)

@@ -158,11 +158,13 @@ class MergeSink:
         if (batch_id + 1) % self.compact_every == 0:
             self.compact(batch_id)
 
-    def documents(self) -> DataFrame:
+    def documents(self, more: DataFrame | None = None) -> DataFrame:
+        """Documents as stored, with the rows of ``more`` (not stored yet) merged in."""
         fields = list(self.fields)
-        return partial.unstamp(
-            partial.merge_stamped(self.docs.read(), self.key, fields), self.key, fields
-        )
+        rows = self.docs.read().drop(BATCH)
+        if more is not None:
+            rows = rows.unionByName(self._stamped(more))
+        return partial.unstamp(partial.merge_stamped(rows, self.key, fields), self.key, fields)
 
     def compact(self, batch_id: int) -> None:
         last = F.lit(batch_id).cast("long")

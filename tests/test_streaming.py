@@ -437,3 +437,65 @@ def test_orders_as_a_stream_with_pushed_updates(spark, feeds, pipe):
     people = streams.parquet_stream(spark, f"{feeds.root}/customers", shop.CUSTOMERS.schema)
     finish(pipe.run(people, push, "push"))
     assert names(sink.documents()) == {1: ("Ann", ""), 2: ("Ann", "")}
+
+
+@pytest.mark.parametrize("mode", ["full", "partial"])
+def test_logs_stay_bounded_over_many_batches(spark, pipe, mode):
+    """Followers note how far they are; what is compacted and no longer needed goes, in both modes."""
+    keep = maintainer(spark, pipe, mode=mode, compact_every=4)
+    fields = ["ts", "customer", "product"]
+    if mode == "full":
+        sink = ReplaceSink(spark, pipe.path("store"), "order_id", keep.output.schema, compact_every=2)
+    else:
+        sink = MergeSink(spark, pipe.path("store"), "order_id", fields, ["version"], keep.output.schema, compact_every=2)
+    slow = keep.output.follower("slow", lambda rows, n: None)
+    sizes, n = [], 0
+    for turn in range(5):
+        for _ in range(4):
+            orders = [shop.order(n % 7, "p1", "A", n), shop.order(100 + n, "p1", "B", n)]
+            people = [shop.customer("A", f"Ann{n}", n)]
+            batch = {"orders": shop.rows(spark, shop.ORDERS, *orders), "customers": shop.rows(spark, shop.CUSTOMERS, *people)}
+            keep(streams.tagged({**batch, "products": shop.rows(spark, shop.PRODUCTS)}), n)
+            n += 1
+        if turn == 1:
+            keep.trim()
+            assert keep.output.batches() == list(range(8))  # one follower has read nothing yet
+        finish(pipe.follow(keep.output, sink, "sink"))
+        slow(spark.createDataFrame([(n - 1,)], "batch_id long"), turn)
+        keep.trim()
+        keep.vacuum(1)
+        logs = [keep.output, keep._affected, keep._touched, *keep.inputs.values(), *([keep.folded.docs] if keep.folded else [])]
+        sizes.append(sum(len(log.batches()) + len(log.commits()) + len(log._bases()) for log in logs))
+    assert sizes[2:] == [sizes[2]] * 3
+    want = {i: f"Ann{n - 1}" for i in range(7)}
+    got = {r.order_id: r.customer.first_name for r in keep.documents().where("order_id < 100").collect()}
+    assert got == want and keep.documents().count() == 7 + n
+    assert {r.order_id: r.customer.first_name for r in sink.documents().where("order_id < 100").collect()} == want
+
+
+def test_followers_see_committed_batches_only(spark, tmp_path):
+    log = LogTable(spark, str(tmp_path / "log"), shop.PRODUCTS.schema, "id", 2)
+    pipe, seen = Pipeline.open(str(tmp_path / "run")), []
+
+    def handler(rows, n):
+        seen.append((n, sorted((r.id, r[BATCH]) for r in rows.collect())))
+
+    log.write(shop.rows(spark, shop.PRODUCTS, shop.product("p", "a", 1)), 0)
+    half = shop.rows(spark, shop.PRODUCTS, shop.product("q", "b", 1))
+    half.write.parquet(f"{log.log_path}/{BATCH}=1")  # complete, but not in the manifest
+    finish(pipe.follow(log, handler, "f"))
+    assert seen == [(0, [("p", 0)])] and log.needed_from() == 0
+    log.write(half, 1)
+    log.write(shop.rows(spark, shop.PRODUCTS, shop.product("r", "c", 1)), 2)
+    log.write(shop.rows(spark, shop.PRODUCTS), 3)
+    finish(pipe.follow(log, handler, "f", max_batches=2))
+    assert [rows for _, rows in seen[1:]] == [[("q", 1), ("r", 2)], []]
+    assert log.needed_from() == 3
+    log.follower("late", handler)
+    assert log.needed_from() == 0
+    log.compact(3, lambda rows: rows)
+    log.trim()
+    assert log.batches() == [0, 1, 2, 3]
+    log.follower("late", handler)(spark.createDataFrame([(2,), (3,)], f"{BATCH} long"), 0)
+    log.trim()
+    assert log.batches() == log.commits() == [2, 3] and log.read().count() == 3
