@@ -27,6 +27,24 @@ SIBLINGS = {
     "tbody": ("thead tbody tr td th", ("table",)),
     "tfoot": ("thead tbody tr td th", ("table",)),
 }
+#: Elements that group blocks, whose class, role or id may say what they are for.
+GROUPS = frozenset("div section ul ol dl table center header footer aside nav form main article figure details".split())
+# Words that class, role and id of a group are made of. A value is understood if it has no others.
+BOILERPLATE_WORDS = frozenset(
+    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr "
+    "notice notices alert sidebar side rail menu nav navbar navigation breadcrumb breadcrumbs footer header masthead "
+    "comment comments commentlist reply replies respond disqus discussion share sharing social related recommended popular "
+    "newsletter subscribe subscription signup login register search popup modal overlay pagination pager widget toolbar "
+    "complementary contentinfo skip hidden copyright tags trending".split()
+)
+MAIN_WORDS = frozenset("article articlebody main content post entry story text body".split())
+NEUTRAL_WORDS = frozenset(
+    "site page top bottom left right box list bar block blocks container wrapper wrap inner outer section area item items "
+    "links unit slot panel row column col group global primary secondary sticky fixed form posts articles stories".split()
+)
+KNOWN_WORDS = BOILERPLATE_WORDS | MAIN_WORDS | NEUTRAL_WORDS
+#: Elements inside each other that become blocks of their own; what lies deeper belongs to the last of them.
+DEPTH = 150
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -36,14 +54,18 @@ _TOKEN = re.compile(
     r"|<(?P<end2>/?)(?P<name2>[A-Za-z][A-Za-z0-9:-]*)(?P<rest2>[^>]*+)(?:>|\Z)",
     re.S,
 )
-_HINT = re.compile(r"\b(?:class|id|role|itemprop|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_HINT = re.compile(r"(?<![\w-])(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WORD = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
 @dataclass
 class Block:
-    """An element: its name, the words of its class, id and role, and its blocks and texts in page order."""
+    """An element: its name, hints from its class, id and role, and its blocks and texts in page order.
+
+    Hints are words of values that are understood, and ``~`` with the first class that is not. What differs from page
+    to page, as an id made of a title does, is none.
+    """
 
     name: str
     hints: tuple[str, ...] = ()
@@ -63,14 +85,20 @@ class Text:
     tag: str = "#"
 
 
-def _hints(rest: str) -> tuple[str, ...]:
-    if "=" not in rest:
+def _hints(name: str, rest: str) -> tuple[str, ...]:
+    if "=" not in rest or name not in GROUPS:
         return ()
     found: dict[str, None] = {}
+    other = None
     for m in _HINT.finditer(rest):
-        value = _CAMEL.sub("-", next(g for g in m.groups() if g is not None))
-        found.update(dict.fromkeys(_WORD.findall(value.lower())))
-    return tuple(found)
+        kind, *values = m.groups()
+        for value in next(v for v in values if v is not None).split():
+            words = _WORD.findall(_CAMEL.sub("-", value).lower())
+            if words and KNOWN_WORDS.issuperset(words):
+                found.update(dict.fromkeys(words))
+            elif words and kind.lower() == "class" and other is None:
+                other = "~" + "-".join(words)
+    return (*found, other) if other else tuple(found)
 
 
 def parse(html: str) -> Block:
@@ -81,6 +109,7 @@ def parse(html: str) -> Block:
     linked = 0
     in_link = 0
     at = 0
+    deep: list[str] = []  # open elements beyond the last block
 
     def flush() -> None:
         nonlocal linked
@@ -124,7 +153,15 @@ def parse(html: str) -> Block:
             if name == "br":
                 pieces.append(" ")
             elif name not in INLINE and name not in VOID:
+                if name in deep:
+                    flush()
+                    while deep.pop() != name:
+                        pass
+                    continue
+                before = len(stack)
                 close((name,), ())
+                if len(stack) < before:
+                    deep.clear()
             continue
         rest = m["rest"] or m["rest2"] or ""
         if name in RAW:
@@ -146,6 +183,10 @@ def parse(html: str) -> Block:
                 in_link = 1
             continue
         flush()
+        if len(stack) > DEPTH:
+            if name not in ("p", "li", "dt", "dd", "tr", "td", "th") and not rest.rstrip().endswith("/"):
+                deep.append(name)
+            continue
         close(("p",), ("table", "td", "th", "li", "div", "section", "article", "main", "body"))
         if name in SIBLINGS:
             names, within = SIBLINGS[name]
@@ -154,7 +195,7 @@ def parse(html: str) -> Block:
             continue
         if name == "body":
             close(("head",), ())
-        block = Block(name, _hints(rest))
+        block = Block(name, _hints(name, rest))
         stack[-1].kids.append(block)
         if not (rest.rstrip().endswith("/") and name not in ("p", "div")):
             stack.append(block)

@@ -7,9 +7,15 @@ that only one side has become optional, texts fill slots. Wrappers of parts of a
 host are aligned with each other in the same way. Each slot sums what its texts
 were like on all pages: how long, how much inside links, and whether they vary.
 
+A wrapper is bounded by the layout: elements are told apart by name and by what
+their class says of their purpose, and a list that grows beyond ``WIDE`` parts
+becomes a bag, with one part for each kind of element in any order.
+
 Slots are then main text or not, once for the whole host and each choice of the
-article's parts, of which a page takes the first one that it has text in: by the elements around
-them, by the links in them, and by whether a short text is the same on every page.
+article's parts, of which a page takes the first one that it has text in. Inside an
+element that says that it is the article, everything is main text but for elements
+that say that they are something else. Elsewhere the slots' statistics decide as well:
+links, and short texts that are the same wherever they occur while others vary.
 """
 
 from __future__ import annotations
@@ -23,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starweave.llm.html_tree import Block, Text, parse
+from starweave.llm.html_tree import BOILERPLATE_WORDS, MAIN_WORDS, Block, Text, parse
 from starweave.llm.tables import free_name
 from starweave.session import stage
 
@@ -31,26 +37,20 @@ from starweave.session import stage
 PERIOD = 4
 #: Hosts whose wrappers a task holds before it passes them on.
 HELD = 1024
-#: A text that is the same on at least so many pages of a host, and at most so long, belongs to the layout.
-SAME_PAGES, SAME_CHARS = 8, 120
-#: A slot with more of its characters inside links is a menu.
+#: Parts side by side at most; more become a bag.
+WIDE = 64
+#: Outside an article, a text that is the same on all pages, two or more, and at most so long belongs to the layout.
+SAME_PAGES, SAME_CHARS = 2, 120
+#: Outside an article, a slot with more of its characters inside links is a menu.
 LINKED = 0.7
 
-# Names that pages give to what is and is not their article.
+# Elements that are not part of an article.
 BOILERPLATE_ELEMENTS = frozenset("nav header footer aside form dialog menu head button fieldset legend".split())
-BOILERPLATE_WORDS = frozenset(
-    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr "
-    "notice notices alert sidebar side rail menu nav navbar navigation breadcrumb breadcrumbs footer header masthead "
-    "comment comments commentlist reply replies respond disqus discussion share sharing social related recommended popular "
-    "newsletter subscribe subscription signup login register search popup modal overlay pagination pager widget toolbar "
-    "complementary contentinfo skip hidden copyright tags trending".split()
-)
-MAIN_WORDS = frozenset("article articlebody main content post entry story text body".split())
-ARTICLE_WORDS = frozenset("articlebody".split())
+ARTICLE_WORDS = frozenset(["articlebody"])
 #: Elements that hold blocks, so one of them may be the whole article.
 CONTAINERS = frozenset("html body main article section div center table tbody tr td".split())
 
-#: A wrapper part: t tag, k kids, o optional, r repeated, and for slots n pages, c characters, l linked ones, h hash, v varies.
+#: A wrapper part: t tag, k kids, b 1 if these are a bag, o optional, r repeated, and for slots n pages, c characters, l linked ones, h hash, v varies.
 Part = dict
 
 
@@ -61,7 +61,32 @@ def _slot(text: Text) -> Part:
 def of_page(block: Block) -> Part:
     """The wrapper of one page, with its repeated parts folded."""
     kids = [_slot(k) if isinstance(k, Text) else of_page(k) for k in block.kids]
-    return {"t": block.tag, "k": _fold(kids), "o": 0, "r": 0}
+    return _bounded({"t": block.tag, "o": 0, "r": 0}, _fold(kids))
+
+
+def _bounded(part: Part, kids: list[Part], bag: bool = False) -> Part:
+    if bag or len(kids) > WIDE:
+        return part | {"k": _bag(kids), "b": 1}
+    return part | {"k": kids}
+
+
+def _plain_tag(tag: str) -> str:
+    """A tag without what a class says that is not understood."""
+    return tag.split(".~")[0]
+
+
+def _bag(kids: list[Part]) -> list[Part]:
+    """One part for each kind of element, in the order in which they first occur."""
+    found: dict[str, Part] = {}
+    for kid in kids:
+        tag = _plain_tag(kid["t"])
+        part = kid | {"t": tag, "o": 1, "r": 1}
+        if tag in found:
+            part = merge(found[tag], part)
+            if tag == "#":
+                part["v"] = 1
+        found[tag] = part
+    return list(found.values())
 
 
 def merge(one: Part, two: Part) -> Part:
@@ -70,7 +95,9 @@ def merge(one: Part, two: Part) -> Part:
     if one["t"] == "#":
         varies = one["v"] | two["v"] | (one["h"] != two["h"])
         return out | {"n": one["n"] + two["n"], "c": one["c"] + two["c"], "l": one["l"] + two["l"], "h": one["h"], "v": int(varies)}
-    return out | {"k": _align(one["k"], two["k"])}
+    if "b" in one or "b" in two:
+        return _bounded(out, one["k"] + two["k"], bag=True)
+    return _bounded(out, _align(one["k"], two["k"]))
 
 
 def _repeat(parts: list[Part]) -> Part:
@@ -132,7 +159,7 @@ def _is_boilerplate(tag: str, in_article: bool) -> bool:
     name, *hints = tag.split(".")
     if name in BOILERPLATE_ELEMENTS and not (name == "header" and in_article):
         return True
-    return name not in ("html", "body", "main") and bool(BOILERPLATE_WORDS & set(hints)) and not ARTICLE_WORDS & set(hints)
+    return name not in ("main", "article") and not BOILERPLATE_WORDS.isdisjoint(hints) and ARTICLE_WORDS.isdisjoint(hints)
 
 
 def _slots(part: Part) -> Iterator[Part]:
@@ -159,16 +186,16 @@ def _find(part: Part, wanted) -> list[Part]:
     return [p for kid in part["k"] if not _is_boilerplate(kid["t"], False) for p in _find(kid, wanted)]
 
 
-def _main_roots(wrapper: Part) -> list[list[Part]]:
+def _main_roots(wrapper: Part) -> list[tuple[list[Part], bool]]:
     """The parts that hold the article, by element, else by name, else by where the text is; and what comes next for
-    pages of other templates, which have nothing there."""
+    pages of other templates, which have nothing there. With each, whether it says itself that it is the article."""
     total = _plain(wrapper)
     rules = (
-        lambda t: t.split(".")[0] == "article" or "articlebody" in t.split("."),
-        lambda t: t.split(".")[0] == "main" or "main" in t.split(".")[1:],
-        lambda t: bool(MAIN_WORDS & set(t.split(".")[1:])),
+        (lambda t: t.split(".")[0] == "article" or "articlebody" in t.split("."), True),
+        (lambda t: t.split(".")[0] == "main" or "main" in t.split(".")[1:], True),
+        (lambda t: bool(MAIN_WORDS & set(t.split(".")[1:])), False),
     )
-    named = [found for r in rules if (found := [p for p in _find(wrapper, r) if _plain(p)])]
+    named = [(found, sure) for r, sure in rules if (found := [p for p in _find(wrapper, r) if _plain(p)])]
     half = lambda roots: 2 * sum(map(_plain, roots)) >= total
     here = wrapper
     while True:
@@ -177,23 +204,24 @@ def _main_roots(wrapper: Part) -> list[list[Part]]:
         if best is None or 10 * _plain(best) < 9 * _plain(here):
             break
         here = best
-    first = next((found for found in named if half(found)), None)
+    rest = [([here], False), ([wrapper], False)]
+    first = next((choice for choice in named if half(choice[0])), None)
     if first is not None:
-        return [first, *(found for found in named if found is not first), [here], [wrapper]]
-    together = half(_find(wrapper, lambda t: any(r(t) for r in rules)))
-    return [*named, [here], [wrapper]] if together else [[here], *named, [wrapper]]
+        return [first, *(choice for choice in named if choice is not first), *rest]
+    together = half(_find(wrapper, lambda t: any(r(t) for r, _ in rules)))
+    return [*named, *rest] if together else [rest[0], *named, rest[1]]
 
 
 def label(wrapper: Part) -> Part:
     """``wrapper`` with ``m`` set on slots: for each choice of the article's parts, 1 if inside and 2 if main text."""
     choices = _main_roots(wrapper)
-    for i, roots in enumerate(choices):
+    for i, (roots, sure) in enumerate(choices):
         slots = [s for root in roots for s in _slots(root)]
         varied = any(s["v"] for s in slots)
         for s in slots:
             menu = s["l"] > LINKED * s["c"]
             layout = varied and not s["v"] and s["n"] >= SAME_PAGES and s["c"] <= SAME_CHARS * s["n"]
-            s.setdefault("m", [0] * len(choices))[i] = 1 if menu or layout else 2
+            s.setdefault("m", [0] * len(choices))[i] = 1 if not sure and (menu or layout) else 2
     return wrapper
 
 
@@ -208,8 +236,9 @@ def main_text(page: Block, wrapper: Part) -> str:
         at = 0
         items = part["k"]
         for kid in block.kids:
+            tag = _plain_tag(kid.tag) if "b" in part else kid.tag
             order = (*range(at, len(items)), *range(at))  # onwards, else the next round of a repeated group
-            found = next((i for i in order if items[i]["t"] == kid.tag), None)
+            found = next((i for i in order if items[i]["t"] == tag), None)
             if found is None:
                 continue
             at = found

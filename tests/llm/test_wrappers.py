@@ -74,3 +74,70 @@ def test_two_templates(spark):
             want[at + n] = f"{long} {n}"
     got = wrappers.extract(frame(spark, rows).repartition(3))
     assert {r["page_id"]: r["text"] for r in got.collect()} == want
+
+
+def extracted(pages: list[str]) -> list[str]:
+    """The main text of pages of one host."""
+    trees = [parse(p) for p in pages]
+    whole = wrappers.of_page(trees[0])
+    for tree in trees[1:]:
+        whole = wrappers.merge(whole, wrappers.of_page(tree))
+    labelled = wrappers.label(whole)
+    return [wrappers.main_text(t, labelled) for t in trees]
+
+
+def test_nothing_inside_an_article_goes_by_pages_links_or_single_words():
+    inside = (
+        "<h2>Summary</h2><h2 id='discussion'>D {n}</h2><h2 id='related-work'>R {n}</h2><section id='search-results'><p>S {n}</p></section>"
+        "<p class='notice'>N {n}</p><p class='share-price'>P {n}</p><ul><li><a href=x>one {n}</a><li><a href=y>two</a></ul>"
+    )
+    want = "T {n} Summary D {n} R {n} S {n} N {n} P {n} one {n} two"
+    for count in (1, 2, 7, 8, 30):
+        pages = [PAGE.format(main=f"<article><h1>T {n}</h1>{inside.format(n=n)}</article>", n=n) for n in range(count)]
+        assert extracted(pages) == [want.format(n=n) for n in range(count)]
+
+
+def test_groups_that_say_what_they_are_go():
+    inside = (
+        "<div class='share-buttons'>Share</div><div class='social-share'>Share</div><div id='comments'>C {n}</div>"
+        "<div class='ad-slot x1'>Buy {n}</div><section class='related-articles'>More</section><div class='post-footer'>F</div>"
+    )
+    pages = [PAGE.format(main=f"<article><p>Text {n}</p>{inside.format(n=n)}<p>End</p></article>", n=n) for n in range(3)]
+    assert extracted(pages) == [f"Text {n} Share End" for n in range(3)]  # "buttons" is a word of no known purpose
+
+
+def test_deeply_nested_pages(spark):
+    deep = "<div>" * 5000 + "<p>deep {n}</p>" + "</div>" * 5000
+    rows = [(n, "http://d.example/", f"<article><p>Start {n}</p>{deep.format(n=n)}<p>End</p></article>tail", None) for n in range(3)]
+    rows.append((3, "http://d.example/", "<div>" * 3000 + "<span>x</div>" * 2000, None))
+    got = {r["page_id"]: r["text"] for r in wrappers.extract(frame(spark, rows)).collect()}
+    assert {n: got[n] for n in range(3)} == {n: f"Start {n} deep {n} End" for n in range(3)}
+
+
+def size(part: wrappers.Part) -> int:
+    return 1 + sum(size(k) for k in part.get("k", ()))
+
+
+def test_wrappers_are_bounded_by_the_layout():
+    import time
+
+    def page(n: int) -> str:
+        rnd = random.Random(n)
+        slugs = "".join(f"<section id='{rnd.choice('abc')}-word-{n}' class='s{n}'><h2 id='t{n}-{i}-slug'>H {n}</h2></section>" for i in range(8))
+        mixed = "".join(f"<{t}>{t} {n}</{t}>" for t in rnd.choices(["h2", "p", "blockquote", "pre", "h3", "table", "ul"], k=40))
+        letters = "abcdefghijklmnopqrst"
+        classes = "".join(f"<div class='{''.join(rnd.choices(letters, k=6))}'>x {n}</div>" for _ in range(10))
+        return PAGE.format(main=f"<article><h1>T {n}</h1>{slugs}{mixed}{classes}</article>", n=n)
+
+    sizes, seconds = {}, {}
+    whole, start = None, time.time()
+    for n in range(2000):
+        own = wrappers.of_page(parse(page(n)))
+        whole = own if whole is None else wrappers.merge(whole, own)
+        if n + 1 in (500, 1000, 2000):
+            sizes[n + 1], seconds[n + 1] = size(whole), time.time() - start
+    assert sizes[2000] <= 1.1 * sizes[500] and sizes[2000] < 500
+    assert seconds[2000] - seconds[1000] < 3 * (seconds[1000] - seconds[500]) + 2
+    labelled = wrappers.label(whole)
+    text = wrappers.main_text(parse(page(7)), labelled)
+    assert text.count("H 7") == 8 and text.count("x 7") == 10 and text.startswith("T 7")
