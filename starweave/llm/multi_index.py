@@ -232,18 +232,26 @@ def _products(width: int, k: int):
                 q_id, floors, x_id = (batch.column(c)[i].values.to_numpy() for c in (0, 2, 3))
                 q, x = (batch.column(c)[i].values.to_numpy().reshape(-1, width) for c in (1, 4))
                 order = np.argsort(x_id, kind="stable")
-                x_id, scores = x_id[order], q @ x[order].T
+                x_id, x = x_id[order], x[order]
+                rough = q @ x.T
+                # A block product's last bits depend on the block: it only chooses what is summed in one fixed order.
+                slack = 1e-10 * np.linalg.norm(q, axis=1) * np.linalg.norm(x, axis=1).max(initial=0.0)
                 out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-                for query, floor, row in zip(q_id.tolist(), floors.tolist(), scores, strict=True):
-                    old = kept.get(query)
+                for j, (query, floor) in enumerate(zip(q_id.tolist(), floors.tolist(), strict=True)):
+                    row, loose, old = rough[j], slack[j], kept.get(query)
                     least = floor if old is None or len(old) < k else max(floor, old[0])
-                    at = np.flatnonzero(row >= least)
+                    at = np.flatnonzero(row >= least - loose)
                     if len(at) > k:
-                        at = at[np.argsort(-row[at], kind="stable")[:k]]
+                        at = at[row[at] >= np.partition(row[at], -k)[-k] - 2 * loose]
                     if len(at):
-                        both = row[at] if old is None else np.concatenate((old, row[at]))
+                        exact = (q[j] * x[at]).sum(axis=1)
+                        first = np.argsort(-exact, kind="stable")[:k]  # equal scores by id
+                        first = first[exact[first] >= least]
+                        at, exact = at[first], exact[first]
+                    if len(at):
+                        both = exact if old is None else np.concatenate((old, exact))
                         kept[query] = np.sort(both)[-k:]
-                        out.append((np.full(len(at), query), x_id[at], row[at]))
+                        out.append((np.full(len(at), query), x_id[at], exact))
                 if len(kept) > 1 << 17:
                     kept.clear()
                 if out:

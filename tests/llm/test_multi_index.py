@@ -64,3 +64,36 @@ def test_few_and_no_candidates(spark):
     assert search(frame(spark, rows).limit(0), F.col("id") == 0, 5).count() == 0
     assert search(frame(spark, rows[:1]), F.col("id") == 0, 5).count() == 0
     assert multi_index.BLOCK > 0
+
+
+def test_equal_scores_in_several_blocks_go_by_id(spark):
+    """600 copies of one vector among others: blocks are cut by a hash of the id, scores don't depend on them."""
+    rnd = np.random.default_rng(5)
+    same, others = rnd.normal(size=33).astype(np.float32), rnd.normal(size=(300, 33)).astype(np.float32)
+    asked = (same + 0.1 * rnd.normal(size=33)).astype(np.float32)
+    rows = [(1000 + i, same.tolist(), 0) for i in range(600)] + [(i + 1, v.tolist(), 0) for i, v in enumerate(others)]
+    rows.append((0, asked.tolist(), 0))
+    assert multi_index.BLOCK < 600
+    got = search(frame(spark, rows).repartition(7), F.col("id") == 0, 20).orderBy("rank").collect()
+    assert [r["vec_id"] for r in got] == list(range(1000, 1020))
+    assert {r["score"] for r in got} == {float((asked.astype(float) * same.astype(float)).sum())}
+
+
+def test_products_do_not_depend_on_the_block():
+    import pyarrow as pa
+
+    rnd = np.random.default_rng(6)
+    q, x = rnd.normal(size=(9, 50)), rnd.normal(size=(400, 50))
+
+    def run(size):
+        out = {}
+        for s in range(0, 400, size):
+            part = x[s : s + size]
+            columns = [[0, 1], q[:2].ravel().tolist(), [-np.inf] * 2, list(range(s, s + len(part))), part.ravel().tolist()]
+            batch = pa.RecordBatch.from_arrays([pa.array([c]) for c in columns], names=["q", "qv", "f", "x", "xv"])
+            for found in multi_index._products(50, 400)(iter([batch])):
+                for asked, vec, score in zip(*(c.to_pylist() for c in found.columns), strict=True):
+                    out[asked, vec] = score
+        return out
+
+    assert run(400) == run(1) == run(37) and len(run(400)) == 800
