@@ -76,10 +76,12 @@ class Languages:
             for other in np.argsort(-everyone, kind="stable"):
                 if other in chosen:
                     continue
+                if everyone[other] * total < 1:
+                    break  # less than one trigram's worth, and so are all behind it
                 trial = [*chosen, int(other)]
                 new_shares, likelihood = _proportions(chance[trial], weight, total)
                 if (likelihood - best) / OVERLAP <= penalty / OVERLAP + np.log(len(self.names)):
-                    break
+                    continue  # a relative of a chosen language may stand before one that is really there
                 chosen, shares, best = trial, new_shares, likelihood
         ranked = sorted(zip((self.names[i] for i in chosen), shares.tolist(), strict=True), key=lambda x: (-x[1], x[0]))
         return ranked

@@ -63,3 +63,22 @@ def test_odd_rows(spark):
     assert language.predict(df.limit(0), model).count() == 0
     nothing = language.learn(spark.createDataFrame([], "text string, lang string"))
     assert language.predict(df, nothing).where("lang_pred != 'und'").count() == 0
+
+
+def test_a_refused_relative_does_not_end_the_search(monkeypatch):
+    """Shares of all languages put a relative of the first one before another that is there; a trace is not tried."""
+    chance = np.full((4, language.BUCKETS), 1.0 / language.BUCKETS, dtype=np.float32)
+    chance[0] *= 1.5
+    tried = []
+
+    def stub(rows, weight, total):
+        if len(rows) == 4:
+            return np.array([0.6, 0.25, 0.15 - 1e-9, 1e-9]), 0.0
+        tried.append(len(rows))
+        likes = {1: -1e9, 2: 1e9}
+        return np.full(len(rows), 1 / len(rows)), likes[len(tried)]
+
+    monkeypatch.setattr(language, "_proportions", stub)
+    model = language.Languages(("a", "a2", "b", "c"), chance)
+    assert [name for name, _ in model.mixture("words of some length " * 9)] == ["a", "b"]
+    assert tried == [2, 2]
