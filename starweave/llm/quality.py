@@ -139,17 +139,24 @@ def site_rates(scored: DataFrame) -> DataFrame:
 
 
 def score(
-    df: DataFrame, model: Evidence, host: Column, path: Column, text: str = "text", least: float = 0.5
+    df: DataFrame,
+    model: Evidence,
+    host: Column,
+    path: Column,
+    text: str = "text",
+    least: float = 0.5,
+    log_odds: Column | None = None,
 ) -> DataFrame:
     """``df`` with ``p_doc``, ``host_rate``, ``path_rate``, ``posterior`` and ``keep`` (posterior at least ``least``).
 
     * A null host or path is a site of its own. A null or empty text is judged as a text of no words.
     * Equal rows have equal results. An empty table gives an empty result.
     * Columns of these five names are replaced; all other columns are kept.
+    * ``log_odds`` gives the documents' evidence where it is known; texts are then not read, else twice.
     """
     df = df.drop("p_doc", "host_rate", "path_rate", "posterior", "keep")
     odds, of_host, of_path = free_name(df, "log_odds", "own_host", "own_path")
-    own = model.log_odds(text)
+    own = model.log_odds(text) if log_odds is None else log_odds
     scored = df.select(host.alias("host"), path.alias("path"), (1 / (1 + F.exp(-own))).alias("p"))
     rates = site_rates(scored)
     names = {c: n for c, n in zip(rates.columns, free_name(df, *(f"site_{c}" for c in rates.columns)), strict=True)}

@@ -22,6 +22,7 @@ from starweave.llm import (
 )
 from starweave.llm.ngram_join import JaccardJoin
 from starweave.llm.tables import documents, table, text_or_empty
+from starweave.session import stage
 
 
 #: Pseudonyms of the registered query; a real run brings its own secret.
@@ -31,9 +32,10 @@ PSEUDONYM_KEY = "starweave-example-key"
 def op1_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
-    return quality.score(docs.select("doc_id", "text", "source", "lang"), model, F.col("source"), F.col("lang")).select(
-        "doc_id", "p_doc", "host_rate", "path_rate", "posterior", "keep"
-    )
+    # The texts are read once; sums and results come from this narrow table.
+    known = stage(docs.select("doc_id", "source", "lang", model.log_odds("text").alias("odds")), "evidence")
+    scored = quality.score(known, model, F.col("source"), F.col("lang"), log_odds=F.col("odds"))
+    return scored.select("doc_id", "p_doc", "host_rate", "path_rate", "posterior", "keep")
 
 
 def held_out() -> Column:
@@ -91,9 +93,10 @@ def op8_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counted = documents(spark, sf_dir).select(
+    words = documents(spark, sf_dir).select(
         "doc_id", "source", mixing.word_count().alias("size"), mixing.clean_words().alias("clean")
     )
+    counted = stage(words, "counted")  # the mix looks at it several times
     quality_ = mixing.quality_weight(F.col("size"), F.col("clean"))
     return mixing.mix(counted, F.col("size"), quality_, seed="mix").select(
         "doc_id", "size", "source_size", "target", "taken"
