@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -28,11 +29,17 @@ from starweave.llm.shingles import mix, word_hashes
 from starweave.session import stage
 
 #: Bytes of text counted at once; a longer text is cut at a separator, with the words before the cut as context.
-SLICE = 1 << 22
+SLICE = 1 << 20
+#: Rows of an Arrow batch that a task hands over.
+ROWS = 1 << 15
 #: Bits of a filter: at least, at most (8 MB), and for each phrase in between.
 LEAST_BITS, MOST_BITS, BITS_EACH = 16, 26, 16
 #: Share of the rows in the sample, and how often the sample must hold what it proposes.
 SHARE, SAMPLE_COUNT = 0.25, 2
+#: A phrase that a slice holds so often is summed over a task's slices, in a table of so many phrases.
+OFTEN, HELD = 8, 1 << 16
+#: Shares in which a language is ranked before its best phrases meet in one task.
+SHARES = 16
 
 #: What separates pieces, and words inside a piece.
 BREAKS = b".,;:!?\x0a\x0b\x0c\x0d"
@@ -217,8 +224,48 @@ def _count(buffer: bytes, known: int, lang: str, generations: Sequence[Generatio
     return out
 
 
+def _batches(lang: str, k: int, phrases: pa.Array, times: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for start in range(0, len(times), ROWS):
+        part = times[start : start + ROWS]
+        columns = [
+            pa.repeat(lang, len(part)),
+            pa.repeat(pa.scalar(k, pa.int32()), len(part)),
+            phrases.slice(start, ROWS).cast(pa.string()),
+            pa.array(part, pa.int64()),
+        ]
+        yield pa.RecordBatch.from_arrays(columns, names=["lang", "k", "phrase", "f"])
+
+
+class Often:
+    """Counts of phrases that many slices of a task hold, so that the task hands over one row for them."""
+
+    def __init__(self) -> None:
+        self.counts: dict[tuple[str, int], Counter[bytes]] = {}
+        self.held = 0
+
+    def take(self, lang: str, k: int, phrases: pa.Array, times: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Rows of the rarer phrases; and what is held so far, if that is too much."""
+        often = times >= OFTEN
+        own = self.counts.setdefault((lang, k), Counter())
+        before = len(own)
+        for phrase, n in zip(phrases.filter(pa.array(often)).to_pylist(), times[often].tolist(), strict=True):
+            own[phrase] += n
+        self.held += len(own) - before
+        if not often.all():
+            yield from _batches(lang, k, phrases.filter(pa.array(~often)), times[~often])
+        if self.held > HELD:
+            yield from self.rest()
+
+    def rest(self) -> Iterator[pa.RecordBatch]:
+        for (lang, k), own in self.counts.items():
+            if own:
+                yield from _batches(lang, k, pa.array(list(own), pa.binary()), np.array(list(own.values())))
+        self.counts, self.held = {}, 0
+
+
 def _counts_of(generations: Sequence[Generation], longest: int):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        often = Often()
         for batch in batches:
             langs = batch["lang"].dictionary_encode()
             texts = batch["text"].cast(pa.binary())
@@ -227,13 +274,8 @@ def _counts_of(generations: Sequence[Generation], longest: int):
                 lowered = (t.as_py().translate(_LOWER) for t in own)
                 for buffer, known in _gathered(lowered, longest - 1):
                     for k, phrases, times in _count(buffer, known, lang, generations, longest):
-                        columns = [
-                            pa.array([lang] * len(times), pa.string()),
-                            pa.array([k] * len(times), pa.int32()),
-                            phrases.cast(pa.string()),
-                            pa.array(times, pa.int64()),
-                        ]
-                        yield pa.RecordBatch.from_arrays(columns, names=["lang", "k", "phrase", "f"])
+                        yield from often.take(lang, k, phrases, times)
+        yield from often.rest()
 
     return count
 
@@ -241,7 +283,10 @@ def _counts_of(generations: Sequence[Generation], longest: int):
 def _pass(docs: DataFrame, generations: Sequence[Generation], longest: int, least: int) -> DataFrame:
     """Counts of at least ``least``, in the shared folder; ``k`` 0 holds the number of words."""
     counted = docs.mapInArrow(_counts_of(generations, longest), _COUNTS)
-    total = counted.groupBy("lang", "k", "phrase").agg(F.sum("f").alias("f"))
+    # Tasks have summed what is frequent. The rest is mostly unique: to look for repeats before the shuffle would cost
+    # a large table in every task and find few.
+    dealt = counted.repartition("lang", "k", "phrase")
+    total = dealt.groupBy("lang", "k", "phrase").agg(F.sum("f").alias("f"))
     return stage(total.where((F.col("f") >= least) | (F.col("k") == 0)), "phrases")
 
 
@@ -358,7 +403,11 @@ def collocations(
     counts = frequent(docs, least, longest)
     ranked = scored(counts).join(_covered(counts, longest), ["lang", "phrase"], "left")
     kept = ranked.where(F.col("inside").isNull() | (F.col("inside") * 100 < F.col("a") * covered_percent))
-    order = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), "phrase")
-    best = kept.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    order = (F.col("score").desc(), F.col("a").desc(), "phrase")
+    # The best of each share of a language first: the last task then sees SHARES * top rows of a language, whatever its size.
+    share = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(SHARES))).orderBy(*order)
+    leading = kept.withColumn("rank", F.row_number().over(share)).where(F.col("rank") <= top)
+    whole = Window.partitionBy("lang").orderBy(*order)
+    best = leading.withColumn("rank", F.row_number().over(whole)).where(F.col("rank") <= top)
     sizes = counts.where("k = 0").select("lang", F.col("f").alias("n"))
     return best.join(sizes, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")

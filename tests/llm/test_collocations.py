@@ -96,7 +96,9 @@ def test_a_long_text_is_counted_in_parts(spark, monkeypatch):
     counts, sizes = brute_counts([("x", text), ("y", "a b"), ("x", text[:50])])
     assert whole["x", 0, ""] == sizes["x"] and whole["y", 0, ""] == 2
     assert {k: f for k, f in whole.items() if k[1]} == {(g, len(p), " ".join(p)): f for g, own in counts.items() for p, f in own.items()}
-    for size in (1, 7, 64, 5000):
+    for size, held in ((1, 3), (7, 1 << 16), (64, 0), (5000, 5)):
+        monkeypatch.setattr(c, "HELD", held)
+        monkeypatch.setattr(c, "OFTEN", 2)
         assert counted(size) == whole, size
 
 
