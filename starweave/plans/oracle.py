@@ -297,3 +297,10 @@ SQL["enrich_two_hops"] = _sql(
 )
 SQL["stream_two_hops_converged"] = SQL["enrich_two_hops"]
 SQL["stream_customer_led_converged"] = _sql(_CUSTOMER_LED.replace("order_per_customer", "heads"), _MOVED)
+SQL["stream_contract_converged"] = _sql(
+    f"""SELECT o.order_id, o.ts,
+               CAST(c.name IS NULL AS BIGINT) + CAST(p.name IS NULL AS BIGINT) AS faults,
+               concat_ws(',', CASE WHEN c.name IS NULL THEN 'customer.name' END,
+                         CASE WHEN p.name IS NULL THEN 'product.name' END) AS broken
+        FROM orders_live o LEFT JOIN customer_dim_live c ON c.customer_id = o.customer_id {_LEFT_P}"""
+)

@@ -9,6 +9,7 @@ from starweave.operators import asof, changelog, enrich
 from starweave.sources import streams
 from starweave.specs import Dimension, StarSpec, TableSpec
 from starweave.streaming.cascade import AT, Cascade, Step, emitted_schema
+from starweave.streaming.contract import Contract, ContractBroken
 from starweave.streaming.feed import ChangeFeed
 from starweave.streaming.intervals import AsOfDocuments
 from starweave.streaming.latest import LatestPerGroup
@@ -286,3 +287,54 @@ def test_a_head_that_moves_away_re_emits_the_document_it_leaves(spark, tmp_path)
     assert send(3, [], [("b", "BB", 0, 1)]) == [("b", 2, "BB")]
     assert send(4, [(1, "c", "", 1, "upsert", 2)]) == [("b", 2, "BB")]  # no row for c yet
     assert send(5, [], [("c", "C", 0, 0)]) == [("b", 2, "BB"), ("c", 1, "C")]
+
+
+# --- contracts ------------------------------------------------------------------------
+
+
+def test_a_contract_splits_a_batch_in_one_pass(spark, tmp_path):
+    schema = spark.createDataFrame([], FACT).schema
+    rules = {"early": F.col("at") < 10, "short": F.length("note") < 3}
+    contract = Contract(spark, str(tmp_path), "id", schema, ["grp"], rules, "op", most=0.8, compact_every=2, buckets=2)
+    first = [(1, "a", "x", 1, "upsert", 0), (2, None, "long", 99, "upsert", 0), (3, "a", None, 5, "upsert", 0), (4, None, None, None, "delete", 0)]
+    contract(spark.createDataFrame(first, FACT), 0)
+    assert sorted(r.id for r in contract.accepted.read().collect()) == [1, 4]
+    assert {r.id: list(r.broken) for r in contract.rejected.read().collect()} == {2: ["grp", "early", "short"], 3: ["short"]}
+    contract(spark.createDataFrame([(2, "b", "y", 2, "upsert", 1), (1, "a", "x", 50, "upsert", 1), (5, "c", "", 0, "upsert", 0)], FACT), 1)
+    assert contract.accepted.base() and {r.id: list(r.broken) for r in contract.current().collect()} == {1: ["early"], 2: [], 3: ["short"], 5: []}
+
+
+def test_too_many_broken_rows_stop_the_batch(spark, tmp_path):
+    schema = spark.createDataFrame([], FACT).schema
+    contract = Contract(spark, str(tmp_path), "id", schema, ["grp"], most=0.5)
+    bad = spark.createDataFrame([(1, None, "", 0, "upsert", 0), (2, None, "", 0, "upsert", 0), (3, "a", "", 0, "upsert", 0)], FACT)
+    with pytest.raises(ContractBroken, match="2 of 3"):
+        contract(bad, 0)
+    assert contract.accepted.commits() == contract.rejected.commits() == [] and contract.current().count() == 0
+    mended = bad.withColumn("grp", F.when(F.col("id") == 1, F.lit(None)).otherwise(F.lit("a")))
+    contract(mended, 0)
+    contract(mended, 0)
+    assert {r.id: len(r.broken) for r in contract.current().collect()} == {1: 1, 2: 0, 3: 0}
+    contract(spark.createDataFrame([], FACT), 1)
+    assert contract.rejected.read_batch(1).count() == 0
+    with pytest.raises(ValueError):
+        Contract(spark, str(tmp_path), "id", schema, most=2)
+
+
+def test_a_batch_that_stopped_between_the_two_logs_goes_on(spark, tmp_path, monkeypatch):
+    schema = spark.createDataFrame([], FACT).schema
+    contract = Contract(spark, str(tmp_path), "id", schema, ["grp"])
+    rows = spark.createDataFrame([(1, None, "", 0, "upsert", 0), (2, "a", "", 0, "upsert", 0)], FACT)
+    write = type(contract.accepted).write
+
+    def fails(log, frame, n):
+        if log.path.endswith("accepted"):
+            raise OSError("lost")
+        return write(log, frame, n)
+
+    monkeypatch.setattr(type(contract.accepted), "write", fails)
+    with pytest.raises(OSError):
+        contract(rows, 0)
+    monkeypatch.undo()
+    contract(rows, 0)
+    assert {r.id: len(r.broken) for r in contract.current().collect()} == {1: 1, 2: 0}
