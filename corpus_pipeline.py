@@ -6,7 +6,7 @@ Each stage reads what the one before has written and keeps the columns of
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starweave.llm import bpe, mixing, pii, quality, registry
@@ -14,15 +14,31 @@ from starweave.llm.ngram_join import JaccardJoin
 from starweave.llm.tables import documents, free_name, table
 from starweave.session import scratch_dir
 
+#: Columns of documents.
+KNOWN = ("doc_id", "text", "lang", "source", "n_chars")
 #: Near duplicates share at least this percentage of their runs of this many words.
 WORDS, PERCENT = 5, 80
 
 
+def _aside(docs: DataFrame) -> tuple[DataFrame, list[Column]]:
+    """``docs`` with columns that the operators know nothing of packed into one, and how to get all of them back.
+
+    So an extra column may have any name, those of the operators' results included.
+    """
+    extra = [c for c in docs.columns if c not in KNOWN]
+    if not extra:
+        return docs, [F.col(c) for c in docs.columns]
+    (kept,) = free_name(docs, "set_aside")
+    packed = docs.select(*(c for c in docs.columns if c in KNOWN), F.struct(*(F.col(f"`{c}`") for c in extra)).alias(kept))
+    return packed, [F.col(c) if c in KNOWN else F.col(kept)[c].alias(c) for c in docs.columns]
+
+
 def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose posterior quality is at least one half."""
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
-    scored = quality.score(docs, model, F.col("source"), F.col("lang"))
-    return scored.where("keep").select(*docs.columns)
+    packed, back = _aside(docs)
+    scored = quality.score(packed, model, F.col("source"), F.col("lang"))
+    return scored.where("keep").select(*back)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,11 +53,12 @@ def replace_private_values(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row for every time that the mix takes a document."""
-    size, clean = free_name(docs, "n_words", "n_clean")
-    counted = docs.withColumns({size: mixing.word_count(), clean: mixing.clean_words()})
+    packed, back = _aside(docs)
+    size, clean = free_name(packed, "n_words", "n_clean")
+    counted = packed.withColumns({size: mixing.word_count(), clean: mixing.clean_words()})
     weight = mixing.quality_weight(F.col(size), F.col(clean))
     mixed = mixing.mix(counted, F.col(size), weight, seed="mix")
-    return mixed.withColumn(size, F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))).select(*docs.columns)
+    return mixed.withColumn(size, F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))).select(*back)
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
