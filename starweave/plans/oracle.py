@@ -253,8 +253,8 @@ SQL: dict[str, str] = {
     ),
     "stream_two_references": _sql(
         """SELECT o.order_id, c.name AS buyer_name, s.name AS seller_name
-           FROM orders_now o LEFT JOIN customer_dim c ON c.customer_id = o.customer_id
-           LEFT JOIN customer_dim s ON s.customer_id = CAST(o.v_supp AS VARCHAR)"""
+           FROM orders_now o LEFT JOIN customers_now c ON c.customer_id = o.customer_id
+           LEFT JOIN customers_now s ON s.customer_id = CAST(o.v_supp AS VARCHAR)"""
     ),
     "stream_partial_converged": _sql(_MERGED_ALIVE, _ALIVE),
     "stream_fan_out_converged": _sql(

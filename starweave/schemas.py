@@ -20,26 +20,7 @@ CUSTOMER = _record(
 )
 ORDER = _record(order_id=_I, product_id=_S, customer_id=_S, ts=_TS)
 PRODUCT = _record(id=_S, brand=_S, name=_S, sale_price=_I, rating=_D)
-ORDER_CUSTOMER = _record(order_id=_I, product_id=_S, customer=CUSTOMER, ts=_TS)
-ORDER_PRODUCT = _record(order_id=_I, product=PRODUCT, customer_id=_S, ts=_TS)
 ORDER_DOCUMENT = _record(order_id=_I, product=PRODUCT, customer=CUSTOMER, ts=_TS)
-PARTIAL_ORDER_DOCUMENT = T.StructType(
-    [
-        T.StructField("order_id", _I, False),
-        T.StructField("product", PRODUCT, True),
-        T.StructField("customer", CUSTOMER, True),
-        T.StructField("ts", _TS, True),
-    ]
-)
-ORDER_MAPS = T.StructType(
-    [
-        T.StructField("id", _I, False),
-        T.StructField("order_id", _I),
-        T.StructField("product", T.MapType(_S, _S)),
-        T.StructField("customer", T.MapType(_S, _S)),
-        T.StructField("ts", _TS),
-    ]
-)
 
 
 def to_millis(df: DataFrame, *columns: str) -> DataFrame:
