@@ -491,11 +491,16 @@ def test_followers_see_committed_batches_only(spark, tmp_path):
     finish(pipe.follow(log, handler, "f", max_batches=2))
     assert [rows for _, rows in seen[1:]] == [[("q", 1), ("r", 2)], []]
     assert log.needed_from() == 3
-    log.follower("late", handler)
+    late = log.follower("late", handler)
     assert log.needed_from() == 0
+    # Batch 1 is listed behind batch 2: it is needed until it was handed over.
+    for n, (number, needed) in enumerate([(0, 0), (2, 1), (1, 1), (3, 3)]):
+        late(spark.createDataFrame([(number,)], f"{BATCH} long"), n)
+        assert log.needed_from() == needed
+    log.follower("later", handler)
     log.compact(3, lambda rows: rows)
     log.trim()
     assert log.batches() == [0, 1, 2, 3]
-    log.follower("late", handler)(spark.createDataFrame([(2,), (3,)], f"{BATCH} long"), 0)
+    log.follower("later", handler)(spark.createDataFrame([(2,), (3,)], f"{BATCH} long"), 0)
     log.trim()
     assert log.batches() == log.commits() == [2, 3] and log.read().count() == 3
