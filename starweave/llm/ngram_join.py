@@ -318,8 +318,7 @@ class JaccardJoin:
         classes = stage(numbered.withColumn("v", F.monotonically_increasing_id()), "classes")
         hits = self._hits(docs, classes)
         with self._hit_sets(docs, hits, classes) as hit_sets:
-            links = self._links(hits, hit_sets)
-        roots = components(links)
+            links, roots = self._links(hits, hit_sets)
         labelled = classes.join(roots, "v", "left").select("k1", "k2", "id", F.coalesce("root", "v").alias("root"))
         smallest = labelled.groupBy("root").agg(F.min("id").alias("component_id"))
         named = labelled.drop("id").join(smallest, "root")
@@ -387,12 +386,12 @@ class JaccardJoin:
         finally:
             spark.sql(f"DROP TABLE IF EXISTS {name}")
 
-    def _links(self, hits: DataFrame, sets: DataFrame) -> DataFrame:
-        links = tried = None
+    def _links(self, hits: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Links that span the components, and the components of all classes that have a link."""
+        links = tried = roots = None
         for turn in range(PIVOT_ROUNDS + 1):
             labelled = hits.withColumn("label", F.col("v"))
-            if links is not None:
-                roots = components(links)
+            if roots is not None:
                 labelled = hits.join(roots, "v", "left").withColumn("label", F.coalesce("root", "v"))
             pairs = self._pivoted(labelled, turn) if turn < PIVOT_ROUNDS else self._pairwise(labelled, sets)
             if tried is not None:
@@ -407,7 +406,8 @@ class JaccardJoin:
             tried = pairs if tried is None else tried.union(pairs)
             new = stage(self._verified(pairs, sets), "links")
             links = new if links is None else links.union(new)
-        return links
+            roots = components(new, roots)
+        return links, components(links) if roots is None else roots
 
     def _may_link(self) -> Column:
         """In different components, and of sizes that allow a link."""
