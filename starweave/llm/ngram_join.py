@@ -3,11 +3,14 @@
 Sets of word shingles link when their Jaccard similarity reaches a percentage.
 Sizes are cut into bands so that linked sets lie in one band or in two next to
 each other. In a band, linked sets differ in at most ``k`` shingles. The shingle
-domain is hashed into more than ``k`` partitions; what a set holds in a partition
-is one of its signatures. As at most ``k`` partitions differ, linked sets share
-at least one signature: nothing is missed. A line or passage that very many
-documents share must not become a signature by itself: a set with more than
-``k`` partitions that hold something rarer needs only those, by the same count.
+domain is hashed into ``n1`` partitions and each of them into ``n2``. If
+``n1 * (k2 + 1) > k``, some partition has at most ``k2`` second-level partitions that
+differ, so linked sets agree on ``n2 - k2`` of them: what a set holds in every such
+subset is one of its signatures, and nothing is missed. Bands with few differing
+shingles take ``k2 = 1`` of ``n2 = 3``, so a signature is two thirds of a partition twice
+as large; longer texts take ``n2 = 1, k2 = 0`` with ``n1 > k``. A line or passage that very many
+documents share must not become a signature by itself: a set with enough
+partitions that hold something rarer needs only those, by the same count.
 
 Equal sets are joined first, by a 128-bit key. Then each signature's sets are
 compared with one pivot set, and only sets that are still in different
@@ -44,6 +47,10 @@ SAMPLE_ONE_IN, SEEN = 64, 4
 #: Frequent shingles used at most.
 FREQUENT = 100_000
 FILTER_BITS = 22
+#: Second-level partitions of each first-level one, and how many of them may differ, in bands of at most ``SUBSETS_UP_TO``
+#: differing shingles. Beyond it a signature already holds several shingles of a long text and the second level is one
+#: partition: there are as many first-level partitions as shingles may differ, and some more.
+N2, K2, SUBSETS_UP_TO = 3, 1, 32
 #: Classes of a signature that meet as plain pairs in the last round; more are compared in blocks of ``BLOCK``.
 FEW, BLOCK = 8, 256
 #: Sets that a task describes at once.
@@ -82,9 +89,9 @@ class Bands:
     def signatures(self, shingles: np.ndarray, frequent: np.ndarray | None = None) -> np.ndarray:
         """64-bit signatures of a set of shingle hashes. ``frequent`` marks hashes by their lowest bits.
 
-        Of two linked sets, one with more than ``k`` partitions of a kind that equal content shares (holding
-        something rare; holding anything) is sure to have one of them in common with the other. So a set uses
-        the first kind of which it has more than ``k``: partitions with something rare, filled ones, or all.
+        Of two linked sets, one with more than ``k / (K2 + 1)`` partitions of a kind that equal content shares
+        (holding something rare; holding anything) is sure to have a subset of one of them in common with the other.
+        So a set uses the first kind of which it has so many: something rare, anything, or all partitions.
         """
         if not len(shingles):
             return np.empty(0, dtype=np.uint64)
@@ -93,26 +100,58 @@ class Bands:
         out = []
         for band, top in self.of(len(shingles)):
             k = self.differ(top)
-            parts = k + 3 + k // 16
-            part = (mix(shingles, 1000 + band) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
-            part = part.astype(np.uint16 if parts < 1 << 16 else np.int64)
-            order = np.argsort(part, kind="stable")
-            ordered = part[order]
-            first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
-            filled = ordered[first].astype(np.uint64)
-            held = np.add.reduceat(content[order], first)
-            if rare is not None and len(filled) > k:
-                strong = np.logical_or.reduceat(rare[order], first)
-                if np.count_nonzero(strong) > k:
-                    filled, held = filled[strong], held[strong]
-            if len(filled) <= k:
-                every = np.zeros(parts, dtype=np.uint64)
-                every[filled.astype(np.int64)] = held
-                filled, held = np.arange(parts, dtype=np.uint64), every
-            out.append(mix(mix(held, 2) + mix(filled, 3 + band)))
+            place = mix(shingles, 1000 + band) >> np.uint64(32)
+            numbers, held = (_subsets if 0 < k <= SUBSETS_UP_TO else _partitions)(place, content, rare, k)
+            out.append(mix(mix(held, 2) + mix(numbers, 3 + band)))
         return np.unique(np.concatenate(out))
 
 
+def _subsets(place: np.ndarray, content: np.ndarray, rare: np.ndarray | None, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Number and content of every subset of ``N2 - K2`` second-level partitions that is used.
+
+    If 2 m > k, some of any m first-level partitions has at most one second-level partition that differs (``K2``);
+    the subset without it is the same in both sets. A partition counts for a kind if all its subsets are of that
+    kind, and every subset of that kind is used, so the other set has it whatever kinds it uses.
+    """
+    first = k // (K2 + 1) + 2 + k // 16
+    cell = (place * np.uint64(first * N2) >> np.uint64(32)).astype(np.int64)
+    held = np.zeros(first * N2, dtype=np.uint64)
+    np.add.at(held, cell, content)
+    held = held.reshape(first, N2)
+    without = held.sum(1, keepdims=True, dtype=np.uint64) - held
+    numbers = np.arange(first * N2, dtype=np.uint64)
+    for chosen in (cell if rare is None else cell[rare], cell):
+        kind = np.zeros(first * N2, dtype=bool)
+        kind[chosen] = True
+        kind = kind.reshape(first, N2)
+        inside = kind.sum(1, keepdims=True)
+        if (K2 + 1) * np.count_nonzero(inside > K2) > k:
+            used = (inside > kind).ravel()
+            return numbers[used], without.ravel()[used]
+    return numbers, without.ravel()
+
+
+def _partitions(place: np.ndarray, content: np.ndarray, rare: np.ndarray | None, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Number and content of the partitions that are used, where the second level is one partition."""
+    parts = k + 3 + k // 16
+    part = place * np.uint64(parts) >> np.uint64(32)
+    part = part.astype(np.uint16 if parts < 1 << 16 else np.int64)
+    order = np.argsort(part, kind="stable")
+    ordered = part[order]
+    first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
+    filled = ordered[first].astype(np.uint64)
+    held = np.add.reduceat(content[order], first)
+    if rare is not None and len(filled) > k:
+        strong = np.logical_or.reduceat(rare[order], first)
+        if np.count_nonzero(strong) > k:
+            filled, held = filled[strong], held[strong]
+    if len(filled) <= k:
+        every = np.zeros(parts, dtype=np.uint64)
+        every[filled.astype(np.int64)] = held
+        filled, held = np.arange(parts, dtype=np.uint64), every
+    return filled, held
+
+
 def _key(shingles: np.ndarray) -> tuple[int, int]:
     """Two independent 64-bit sums that name a set."""
     return tuple(int(np.add.reduce(mix(shingles, s)).astype(np.int64)) if len(shingles) else 0 for s in (21, 22))

@@ -6,7 +6,7 @@ import pytest
 
 from starweave.llm import ngram_join
 from starweave.llm.components import components
-from starweave.llm.ngram_join import Bands, JaccardJoin, _folded, sketch
+from starweave.llm.ngram_join import SUBSETS_UP_TO, Bands, JaccardJoin, _folded, sketch
 from starweave.llm.shingles import shingle_set, word_hashes
 
 
@@ -153,3 +153,28 @@ def test_components_of_a_path_and_a_star(spark):
     got = dict(components(spark.createDataFrame(edges, "a long, b long")).collect())
     assert got == {**{i: 1 for i in range(1, 41)}, **{i: 100 for i in range(100, 150)}}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_linked_sets_share_a_signature_in_bands_with_subsets_and_beyond(percent):
+    rng, bands, linked, beyond = np.random.default_rng(percent), Bands(percent), 0, 0
+    for trial in range(4000):
+        one = np.unique(rng.integers(0, 1 << 63, int(rng.integers(1, 260)), dtype=np.uint64))
+        k = bands.differ(len(one))
+        gone = int(rng.integers(0, k + 1))
+        more = rng.integers(0, 1 << 63, int(rng.integers(0, k + 1 - gone)), dtype=np.uint64)
+        two = np.unique(np.concatenate([one[rng.permutation(len(one))[gone:]], more]))
+        common = len(np.intersect1d(one, two))
+        if not len(two) or 100 * common < percent * (len(one) + len(two) - common):
+            continue
+        # Any share of the shingles may be frequent: none, few or nearly all.
+        marks = rng.random(1 << 12) < rng.random() if trial % 3 else None
+        assert np.intersect1d(bands.signatures(one, marks), bands.signatures(two, marks)).size
+        linked, beyond = linked + 1, beyond + (k > SUBSETS_UP_TO)
+    assert linked > 2000 and beyond > 100
+
+
+def test_known_components_go_on_with_new_links(spark):
+    old = components(spark.createDataFrame([(1, 2), (2, 3), (7, 8)], "a long, b long"))
+    both = components(spark.createDataFrame([(3, 8), (20, 21)], "a long, b long"), old)
+    assert dict(both.collect()) == {1: 1, 2: 1, 3: 1, 7: 1, 8: 1, 20: 20, 21: 20} and both.count() == 7
