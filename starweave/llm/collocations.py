@@ -173,10 +173,15 @@ def _words_in(buffer: bytes) -> tuple[np.ndarray, pa.Array, np.ndarray]:
     return words.indices.to_numpy().astype(np.int64), words.dictionary, piece
 
 
-def _admitted(generations: Sequence[Generation], shorter: int, hashes: np.ndarray, here: np.ndarray) -> np.ndarray:
-    """For each generation, which of the phrases at the positions ``here`` its filter holds."""
+def _admitted(generations: Sequence[Generation], shorter: int, hashes: np.ndarray, built: np.ndarray) -> np.ndarray:
+    """For each generation, which of the phrases that it has ``built`` its filter holds.
+
+    A filter may hold a phrase by mistake whose own parts its generation lacks. Only a later pass comes to such a
+    phrase, so it must not count as one that the earlier pass went on from.
+    """
     out = np.zeros((len(generations), len(hashes)), dtype=bool)
     for g, generation in enumerate(generations):
+        here = np.flatnonzero(built[g])
         if shorter in generation.filters:
             out[g, here] = generation.filters[shorter].holds(hashes[here])
     return out
@@ -199,14 +204,13 @@ def _count(buffer: bytes, known: int, lang: str, generations: Sequence[Generatio
         out.append((1, distinct.take(pa.array(seen)), times[seen]))
     words = word_hashes(b" ".join(distinct.to_pylist()).decode("utf-8"))[ids]
     hashes = mix(words ^ _salt(lang))
-    where = np.arange(n)
+    both = np.ones((len(generations), n), dtype=bool)
     for k in range(2, longest + 1):
-        holds = _admitted(generations, k - 1, hashes, where)
+        holds = _admitted(generations, k - 1, hashes, both)
         both = holds[:, : n - k + 1] & holds[:, 1 : n - k + 2]
         inside = piece[: n - k + 1] == piece[k - 1 :]
         both &= inside
         hashes = _extend(hashes[: n - k + 1], words[k - 1 :])
-        where = np.flatnonzero(both.any(axis=0))
         fresh = both[-1] & ~both[:-1].any(axis=0)
         fresh[: max(known - k + 1, 0)] = False
         at = np.flatnonzero(fresh)

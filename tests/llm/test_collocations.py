@@ -132,3 +132,14 @@ def test_empty_tables_ties_and_other_columns(spark):
     got = result(c.collocations(wide, top=2))
     assert got == brute(rows, top=2)
     assert [(r[0], r[1], r[2]) for r in got] == [("en", 1, "d c"), ("en", 2, "a b"), ("und", 1, "z y")]
+
+
+def test_a_filter_that_errs_hides_no_longer_phrase():
+    """The first filter holds pairs whose words it lacks: the second pass counts the triples behind them."""
+    nothing = c.Bloom(c.np.zeros(1, dtype=c.np.uint64))
+    erring = c.Generation({1: nothing, 2: c._everything()})
+    later = c.Generation({1: c._everything(), 2: c._everything()})
+    counted = [{(k, p): n for k, found, times in c._count(b"x y z", 0, "en", passes, 3) for p, n in zip(found.to_pylist(), times)}
+               for passes in ([erring], [erring, later])]
+    assert [p for k, p in counted[0] if k > 1] == []
+    assert counted[1] == {(2, b"x y"): 1, (2, b"y z"): 1, (3, b"x y z"): 1}
