@@ -96,3 +96,8 @@ def test_query_against_the_library(spark, model):
         want[r["doc_id"]] = (len(ids), *digests)
     got = {r["doc_id"]: (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for r in registry.op12_pieces(spark, sf).collect()}
     assert got == want
+
+
+def test_query_shows_every_row_to_the_library(spark):
+    out = registry.op12_pieces(spark, "/root/testdata/sf0.001").coalesce(1)
+    assert out.where("agrees").count() == out.count() > 16
