@@ -125,13 +125,13 @@ class Maintainer:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         if not self.output.committed(batch_id):
             changed = self._append_inputs(batch, batch_id)
-            affected = self._find_affected(changed, batch_id)
-            facts = self._current_facts(affected, batch_id)
-            rows = (
-                self._full(facts, batch_id)
-                if self.mode == "full"
-                else self._partial(facts, changed.get(self.star.fact.name), batch_id)
-            )
+            arrived = changed.get(self.star.fact.name)
+            if self.mode == "partial" and set(changed) == {self.star.fact.name}:
+                # No dimension changed: what was emitted for the versions before still holds.
+                rows = self._partial(None, arrived, batch_id)
+            else:
+                facts = self._current_facts(self._find_affected(changed, batch_id), batch_id)
+                rows = self._full(facts, batch_id) if self.mode == "full" else self._partial(facts, arrived, batch_id)
             self.output.write(rows, batch_id)
         if self.tap is not None:
             self.tap(self.output.read_batch(batch_id), batch_id)
@@ -247,7 +247,8 @@ class Maintainer:
         star = self.star
         live, dead = self._split(facts)
         tables = {d.name: self._needed(d, facts, batch_id) for d in star.dims}
-        joined = enrich.star_join(live, tables, star, policy=self.policy)
+        # Heavy keys are looked for in the stored facts, not in what the joins before have made of them.
+        joined = enrich.star_join(live, tables, star, policy=self.policy, samples={d.name: live for d in star.dims})
         if self.versions:
             joined = self._versioned(joined, live, tables)
         docs = self._conform(joined, changelog.UPSERT)
@@ -273,18 +274,19 @@ class Maintainer:
             docs = docs.join(held.select(F.col("__fact").alias(key), f"{dim.name}_version"), key, "left")
         return docs
 
-    def _partial(self, current: DataFrame, arrived: DataFrame | None, batch_id: int) -> DataFrame:
+    def _partial(self, current: DataFrame | None, arrived: DataFrame | None, batch_id: int) -> DataFrame:
         """One row per leg: for every fact version in the batch, and for the
         current version of facts whose dimension row changed."""
         star, fact = self.star, self.star.fact
-        every = (current if arrived is None else current.unionByName(arrived)).drop(BATCH)
-        every = every.dropDuplicates([fact.key, *fact.version])
+        legs = [rows for rows in (current, arrived) if rows is not None]
+        stored = partial.union_legs(*legs).drop(BATCH)
+        every = stored.dropDuplicates([fact.key, *fact.version])
         live, dead = self._split(every)
         keep = list(fact.version)
         legs = [partial.main_leg(live, fact.key, [c for c in star.columns if c not in (fact.key, *keep)], keep)]
         for dim in star.dims:
-            rows = self._needed(dim, live, batch_id)
-            legs.append(partial.dimension_leg(live, rows, dim, fact.key, keep, self.policy))
+            rows = self._needed(dim, stored, batch_id)
+            legs.append(partial.dimension_leg(live, rows, dim, fact.key, keep, self.policy, stored))
         rows = self._conform(partial.union_legs(*legs), changelog.UPSERT)
         if dead is not None:
             rows = rows.unionByName(self._conform(dead.select(fact.key, *keep), changelog.DELETE))

@@ -504,3 +504,18 @@ def test_followers_see_committed_batches_only(spark, tmp_path):
     log.follower("later", handler)(spark.createDataFrame([(2,), (3,)], f"{BATCH} long"), 0)
     log.trim()
     assert log.batches() == log.commits() == [2, 3] and log.read().count() == 3
+
+
+def test_partial_facts_alone_emit_only_what_arrived(spark, pipe):
+    """Without a change of a dimension, the rows of the versions before are not looked up and emitted again."""
+    keep = maintainer(spark, pipe, mode="partial")
+    first = {
+        "orders": shop.rows(spark, shop.ORDERS, shop.order(1, "p1", "A", 2)),
+        "customers": shop.rows(spark, shop.CUSTOMERS, shop.customer("A", "Ann", 1)),
+        "products": shop.rows(spark, shop.PRODUCTS),
+    }
+    keep(streams.tagged(first), 0)
+    before = keep.documents().collect()
+    keep(streams.tagged({"orders": shop.rows(spark, shop.ORDERS, shop.order(1, "p2", "A", 1))}), 1)
+    assert keep.output.read_batch(1).count() == 3
+    assert keep.documents().collect() == before
