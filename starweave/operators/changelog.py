@@ -71,13 +71,15 @@ def with_previous(
     version: str | Sequence[str],
     columns: Sequence[str],
     policy: skew.SkewPolicy | None = skew.DEFAULT,
+    sample_from: DataFrame | None = None,
 ) -> DataFrame:
     """Add struct ``prev``: the given columns of the key's preceding version.
 
     Rows without a key belong to no table and are left out. One task handles one
     key, unless the key is heavy: then its version range is
     cut into segments, and the first row of each takes ``prev`` from the last
-    row of the nearest non-empty segment before it.
+    row of the nearest non-empty segment before it. ``sample_from`` is a stored table with
+    the key and version of about these rows, in which heavy keys are looked for.
     """
     df = df.where(F.col(key).isNotNull())
     order = version_columns(df, version)
@@ -88,7 +90,8 @@ def with_previous(
 
     position = F.struct(*[c.alias(f"v{i}") for i, c in enumerate(order)])
     located = df.withColumn("__pos", position)
-    drawn = skew.draw(located, [key, "__pos"], skew.rows_per_share([df], policy))
+    known = df if sample_from is None else sample_from
+    drawn = skew.draw(known.withColumn("__pos", position), [key, "__pos"], skew.rows_per_share([known], policy))
     points = skew.split_points(drawn, key, F.col("__pos"))
     rows = skew.with_segments(located, key, F.col("__pos"), points)
     ends = (
@@ -119,6 +122,7 @@ def paired(
     op: str | None = None,
     policy: skew.SkewPolicy | None = skew.DEFAULT,
     carry: str | None = None,
+    sample_from: DataFrame | None = None,
 ) -> DataFrame:
     """Every version with its ``change`` (insert / update / delete, empty: none) and structs ``old`` and ``new``.
 
@@ -126,7 +130,7 @@ def paired(
     """
     dead = F.col(op) == DELETE if op else F.lit(False)
     marked = df.withColumn("__dead", dead)
-    rows = with_previous(marked, key, version, [*columns, "__dead", *([carry] if carry else [])], policy)
+    rows = with_previous(marked, key, version, [*columns, "__dead", *([carry] if carry else [])], policy, sample_from)
     had = F.col("prev").isNotNull() & ~F.col("prev.__dead")
     old = F.when(had, F.struct(*[F.col(f"prev.{c}").alias(c) for c in columns]))
     new = F.when(~F.col("__dead"), F.struct(*columns))

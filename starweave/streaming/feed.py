@@ -68,7 +68,7 @@ class ChangeFeed:
         spec = self.table
         history = self._first_arrivals(rows_of(self.versions, keys, batch_id, self.policy))
         marked = history.withColumn("__fresh", F.col(BATCH) == batch_id)
-        pairs = changelog.paired(marked, spec.key, spec.version, self.columns, spec.op, self.policy, carry="__fresh")
+        pairs = changelog.paired(marked, spec.key, spec.version, self.columns, spec.op, self.policy, "__fresh", self.versions.read(batch_id))
         return pairs.where("__fresh OR coalesce(__prev_fresh, false)")
 
     def _first_arrivals(self, rows: DataFrame) -> DataFrame:
