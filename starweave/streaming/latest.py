@@ -96,7 +96,8 @@ class LatestPerGroup:
         """``enters`` or ``leaves`` a ``grp``: one or two rows for each fact that this batch changes."""
         spec = self.table
         arrived = self.facts.read_batch(batch_id)
-        stored = rows_of(self.facts, arrived.select(spec.key), batch_id - 1, self.policy)
+        # Each batch holds a fact once, so none of them is heavy in the log.
+        stored = rows_of(self.facts, arrived.select(spec.key), batch_id - 1)
         before = changelog.latest_by_key(stored, spec.key, [*spec.version, BATCH])
         version = F.struct(*[c.alias(f"v{i}") for i, c in enumerate(changelog.version_columns(arrived, spec.version))])
         kept = (F.col("key"), F.col("at"), F.col("row"), F.col("grp"), F.col("alive"))
@@ -171,7 +172,7 @@ class LatestPerGroup:
             return lists.limit(0)
         pairs = self.facts.read_keys(self.group, batch_id, wanted)
         keys = skew.lookup_join(pairs, wanted, self.group, "__grp", "left_semi", [spec.key], self.policy).select(spec.key).distinct()
-        rows = rows_of(self.facts, settle(self.facts, "refill", keys, batch_id), batch_id, self.policy)
+        rows = rows_of(self.facts, settle(self.facts, "refill", keys, batch_id), batch_id)
         live = changelog.latest_by_key(rows, spec.key, [*spec.version, BATCH]).where(self._alive())
         members = skew.lookup_join(live, wanted, self.group, "__grp", "left_semi", [spec.key], self.policy)
         made = self._ranked(members.select(self.group, self._at().alias("at"), self._row().alias("row")))
