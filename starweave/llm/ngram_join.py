@@ -14,13 +14,16 @@ partitions that hold something rarer needs only those, by the same count.
 
 Equal sets are joined first, by a 128-bit key. Then each signature's sets are
 compared with one pivot set, and only sets that are still in different
-components meet in later rounds; a last round compares all that is left. In a
-signature of many sets it does so in blocks, by parity sketches: the parities of
-hashed shingle counts differ in at most as many places as the sets differ in
-shingles, so a pair that differs in too many cannot be linked, and only the
-others leave the task. So a large group of near copies sends out about as many
-pairs as it has copies, and no link between components is lost. Every candidate
-is verified on its whole shingle set.
+components meet in later rounds. In a signature of many sets they do so in
+blocks, by parity sketches: the parities of hashed shingle counts differ in at
+most as many places as the sets differ in shingles, so a pair that differs in too
+many cannot be linked. Of the others only so many leave the task that they connect
+what all of them connect, fewer than the blocks have sets, and are verified on whole
+shingle sets. Where a pair fails, others may still link what it was to connect: the
+last round brings the whole sets that are left to the blocks, compares all of their
+pairs that sketches allow, and sends out links that connect what all connect. So a
+large group of near copies sends out about as many pairs as it has copies for each
+signature, and no link between components is lost.
 """
 
 from __future__ import annotations
@@ -51,12 +54,14 @@ FILTER_BITS = 22
 #: differing shingles. Beyond it a signature already holds several shingles of a long text and the second level is one
 #: partition: there are as many first-level partitions as shingles may differ, and some more.
 N2, K2, SUBSETS_UP_TO = 3, 1, 32
-#: Classes of a signature that meet as plain pairs in the last round; more are compared in blocks of ``BLOCK``.
-FEW, BLOCK = 8, 256
+#: Classes of a signature that meet as plain pairs; more are compared in blocks of ``BLOCK``, of about so many shingles
+#: where whole sets meet.
+FEW, BLOCK, BLOCK_SHINGLES = 8, 256, 1 << 19
 #: Sets that a task describes at once.
 ROWS = 256
-#: Rounds in which every signature's sets are compared with one pivot, before the pairwise round.
-PIVOT_ROUNDS = 2
+#: Rounds in which every signature's sets are compared with one pivot, then rounds in which blocks send out pairs that
+#: connect all that may be linked, before the round on whole sets.
+PIVOT_ROUNDS, SPANNING_ROUNDS = 2, 1
 
 
 @dataclass(frozen=True)
@@ -290,31 +295,106 @@ def _near(percent: int):
     return near
 
 
-def _near_pairs(percent: int):
-    """Pairs of two blocks (or of one with itself) in different components whose sketches and sizes allow a link."""
+class _Met:
+    """Two blocks of classes of a signature (or one with itself) and which of their pairs sketches and sizes allow."""
+
+    def __init__(self, one: pa.Array, two: pa.Array, same: bool, percent: int) -> None:
+        (self.v1, self.n1, l1), (self.v2, self.n2, l2) = (
+            [c.field(f).to_numpy() for f in ("v", "n", "label")] for c in (one, two)
+        )
+        s1, s2 = (c.field("sketch").to_pylist() for c in (one, two))
+        words = min(map(len, (*s1, *s2))) // 8
+        self.k1, self.k2 = _folded(s1, words), _folded(s2, words)
+        self.same, self.percent = same, percent
+        #: Components of the labels as far as they are known here.
+        numbers = np.unique(np.concatenate((l1, l2)), return_inverse=True)[1]
+        self.part1, self.part2 = numbers[: len(l1)], numbers[len(l1) :]
+
+    def near(self, i: int) -> np.ndarray:
+        """Places in the second block that row ``i`` of the first may be linked with, in other components."""
+        differ = np.bitwise_count(self.k2 ^ self.k1[i]).sum(1, dtype=np.int64)
+        able = differ * (100 + self.percent) <= (100 - self.percent) * (self.n1[i] + self.n2)
+        able &= 100 * np.minimum(self.n1[i], self.n2) >= self.percent * np.maximum(self.n1[i], self.n2)
+        able &= self.part1[i] != self.part2
+        at = np.flatnonzero(able)
+        return at[at > i] if self.same else at
+
+    def join(self, i: int, j: int) -> None:
+        keep, gone = self.part1[i], self.part2[j]
+        self.part1[self.part1 == gone] = keep
+        self.part2[self.part2 == gone] = keep
+
+
+def _pair_batch(v1: list[int], v2: list[int]) -> pa.RecordBatch:
+    a, b = np.array(v1, dtype=np.int64), np.array(v2, dtype=np.int64)
+    pairs = [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))]
+    return pa.RecordBatch.from_arrays(pairs, names=["a", "b"])
+
+
+def _near_pairs(percent: int, turn: int):
+    """Of the pairs of two blocks that may be linked, so many that they connect what all of them connect.
+
+    Each row goes to one class of every component that it may join, in an order that depends on ``turn``. So two
+    blocks give fewer pairs than they have rows, however many of them are alike.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for one, two, same in zip(*batch.columns, strict=True):
-                x, y = one.values, two.values
-                (v1, n1, l1), (v2, n2, l2) = ([c.field(f).to_numpy() for f in ("v", "n", "label")] for c in (x, y))
-                s1, s2 = (c.field("sketch").to_pylist() for c in (x, y))
-                words = min(map(len, (*s1, *s2))) // 8
-                k1, k2 = _folded(s1, words), _folded(s2, words)
+                met = _Met(one.values, two.values, same.as_py(), percent)
                 left, right = [], []
-                for i in range(len(v1)):
-                    differ = np.bitwise_count(k2 ^ k1[i]).sum(1, dtype=np.int64)
-                    able = differ * (100 + percent) <= (100 - percent) * (n1[i] + n2)
-                    able &= 100 * np.minimum(n1[i], n2) >= percent * np.maximum(n1[i], n2)
-                    able &= l1[i] != l2
-                    at = np.flatnonzero(able)
-                    if same.as_py():
-                        at = at[at > i]
-                    left.append(np.full(len(at), v1[i]))
-                    right.append(v2[at])
-                a, b = np.concatenate(left), np.concatenate(right)
-                pairs = [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))]
-                yield pa.RecordBatch.from_arrays(pairs, names=["a", "b"])
+                for i in range(len(met.v1)):
+                    at = met.near(i)
+                    if not len(at):
+                        continue
+                    at = at[np.argsort(mix(met.v2[at].astype(np.uint64) ^ mix(met.v1[i : i + 1].astype(np.uint64)), turn))]
+                    for j in at[np.unique(met.part2[at], return_index=True)[1]]:
+                        left.append(met.v1[i])
+                        right.append(met.v2[j])
+                        met.join(i, j)
+                yield _pair_batch(left, right)
+
+    return run
+
+
+def _near_classes(percent: int):
+    """Classes of two blocks that may be linked with one of another component, with their signature."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for sig, one, two, same in zip(*batch.columns, strict=True):
+                met = _Met(one.values, two.values, same.as_py(), percent)
+                first, second = np.zeros(len(met.v1), dtype=bool), np.zeros(len(met.v2), dtype=bool)
+                for i in range(len(met.v1)):
+                    at = met.near(i)
+                    first[i] |= len(at) > 0
+                    second[at] = True
+                found = pa.array(np.unique(np.concatenate((met.v1[first], met.v2[second]))))
+                yield pa.RecordBatch.from_arrays([pa.repeat(sig, len(found)), found], names=["sig", "v"])
+
+    return run
+
+
+def _linked_pairs(percent: int):
+    """Of the pairs of two blocks that are linked, by their whole sets, so many that they connect what all connect."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for one, two, same in zip(*batch.columns, strict=True):
+                met = _Met(one.values, two.values, same.as_py(), percent)
+                sets1, sets2 = (c.field("shingles") for c in (one.values, two.values))
+                left, right = [], []
+                for i in range(len(met.v1)):
+                    own = sets1[i].values.to_numpy()
+                    for j in met.near(i):
+                        if met.part1[i] == met.part2[j]:
+                            continue
+                        common = len(np.intersect1d(own, sets2[j].values.to_numpy(), assume_unique=True))
+                        if 100 * common >= percent * (met.n1[i] + met.n2[j] - common):
+                            left.append(met.v1[i])
+                            right.append(met.v2[j])
+                            met.join(i, j)
+                yield _pair_batch(left, right)
 
     return run
 
@@ -428,24 +508,29 @@ class JaccardJoin:
     def _links(self, hits: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Links that span the components, and the components of all classes that have a link."""
         links = tried = roots = None
-        for turn in range(PIVOT_ROUNDS + 1):
+        last = PIVOT_ROUNDS + SPANNING_ROUNDS
+        for turn in range(last + 1):
             labelled = hits.withColumn("label", F.col("v"))
             if roots is not None:
                 labelled = hits.join(roots, "v", "left").withColumn("label", F.coalesce("root", "v"))
-            pairs = self._pivoted(labelled, turn) if turn < PIVOT_ROUNDS else self._pairwise(labelled, sets)
-            if tried is not None:
+            if turn < PIVOT_ROUNDS:
+                pairs = self._pivoted(labelled, turn)
+            elif turn < last:
+                pairs = self._spanning(labelled, sets, turn, plain=turn == PIVOT_ROUNDS)
+            else:
+                pairs = self._exact(labelled, sets)
+            if tried is not None and turn < last:
                 pairs = pairs.join(tried, ["a", "b"], "left_anti")
             pairs = stage(pairs, "pairs")
             if pairs.isEmpty():
                 if links is None:
                     links = pairs
-                if turn < PIVOT_ROUNDS:
-                    continue
-                break
+                continue
             tried = pairs if tried is None else tried.union(pairs)
             new = stage(self._verified(pairs, sets), "links")
             links = new if links is None else links.union(new)
-            roots = components(new, roots)
+            if not new.isEmpty():
+                roots = components(new, roots)
         return links, components(links) if roots is None else roots
 
     def _may_link(self) -> Column:
@@ -466,8 +551,9 @@ class JaccardJoin:
         other = -F.col("best.col2")
         return best.select(F.least("v1", other).alias("a"), F.greatest("v1", other).alias("b")).distinct()
 
-    def _pairwise(self, labelled: DataFrame, sets: DataFrame) -> DataFrame:
-        """Every two classes of a signature that are still in different components and may be linked."""
+    def _open(self, labelled: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """``sig, v, n, label, m`` of the signatures whose classes are still in different components, those of few
+        classes (``m``) and those of many, the latter with sketches."""
         bucket = Window.partitionBy("sig")
         open_ = (
             labelled.withColumn("low", F.min("label").over(bucket))
@@ -476,20 +562,46 @@ class JaccardJoin:
             .where("low != high")
         )
         open_ = stage(open_.select("sig", "v", "n", "label", "m"), "open-signatures")
-        few = open_.where(F.col("m") <= FEW)
-        one = few.selectExpr("sig", "v v1", "n n1", "label label1")
-        two = few.selectExpr("sig", "v v2", "n n2", "label label2")
-        plain = one.join(two, "sig").where("v1 < v2").where(self._may_link()).selectExpr("v1 a", "v2 b")
-        many = open_.where(F.col("m") > FEW).join(sets.select("v", "sketch"), "v")
-        dealt = many.withColumn("block", F.pmod(F.xxhash64("v"), F.ceil(F.col("m") / BLOCK)))
-        blocks = dealt.groupBy("sig", "block").agg(F.collect_list(F.struct("v", "n", "label", "sketch")).alias("rows"))
-        first = blocks.selectExpr("sig", "block block1", "rows rows1")
-        second = blocks.selectExpr("sig", "block block2", "rows rows2")
+        return open_.where(F.col("m") <= FEW), open_.where(F.col("m") > FEW).join(sets.select("v", "sketch"), "v")
+
+    def _blocks(self, many: DataFrame, blocks: Column, *columns: str) -> DataFrame:
+        """Every two blocks of a signature, and each with itself: ``sig, rows1, rows2, same``."""
+        dealt = many.withColumn("block", F.pmod(F.xxhash64("v"), blocks))
+        kept = F.struct("v", "n", "label", "sketch", *columns)
+        rows = dealt.groupBy("sig", "block").agg(F.collect_list(kept).alias("rows"))
+        first = rows.selectExpr("sig", "block block1", "rows rows1")
+        second = rows.selectExpr("sig", "block block2", "rows rows2")
         met = first.join(second, "sig").where("block1 <= block2")
-        near = met.selectExpr("rows1", "rows2", "block1 = block2 same").mapInArrow(
-            _near_pairs(self.percent), "a long, b long"
-        )
-        return plain.union(near).distinct()
+        return met.selectExpr("sig", "rows1", "rows2", "block1 = block2 same")
+
+    def _spanning(self, labelled: DataFrame, sets: DataFrame, turn: int, plain: bool) -> DataFrame:
+        """Pairs of classes that may be linked and connect all that may be, by signature and block; of signatures of
+        few classes all pairs, if they are wanted."""
+        few, many = self._open(labelled, sets)
+        met = self._blocks(many, F.ceil(F.col("m") / BLOCK)).drop("sig")
+        near = met.mapInArrow(_near_pairs(self.percent, turn), "a long, b long")
+        if plain:
+            one = few.selectExpr("sig", "v v1", "n n1", "label label1")
+            two = few.selectExpr("sig", "v v2", "n n2", "label label2")
+            met = one.join(two, "sig").where("v1 < v2").where(self._may_link())
+            near = met.selectExpr("v1 a", "v2 b").union(near)
+        return near.distinct()
+
+    def _exact(self, labelled: DataFrame, sets: DataFrame) -> DataFrame:
+        """Links that connect all that is linked and not yet in one component, found on whole sets.
+
+        Signatures of few classes were compared to the end before. Of the others only classes that may be linked
+        with one of another component bring their sets, in blocks of bounded size.
+        """
+        _, many = self._open(labelled, sets)
+        met = self._blocks(many, F.ceil(F.col("m") / BLOCK))
+        able = stage(met.mapInArrow(_near_classes(self.percent), "sig long, v long").distinct(), "near-classes")
+        bucket = Window.partitionBy("sig")
+        sized = many.join(able, ["sig", "v"]).withColumn("m", F.count("*").over(bucket)).withColumn("total", F.sum("n").over(bucket))
+        whole = sized.join(sets.select("v", "shingles"), "v")
+        wide = F.greatest(F.ceil(F.col("m") / BLOCK), F.ceil(F.col("total") / BLOCK_SHINGLES))
+        met = self._blocks(whole, wide, "shingles").drop("sig")
+        return met.mapInArrow(_linked_pairs(self.percent), "a long, b long").distinct()
 
     def _verified(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         """Pairs that are linked. Whole sets are fetched only for pairs whose sketches, a 32nd as large, allow it."""

@@ -178,3 +178,43 @@ def test_known_components_go_on_with_new_links(spark):
     old = components(spark.createDataFrame([(1, 2), (2, 3), (7, 8)], "a long, b long"))
     both = components(spark.createDataFrame([(3, 8), (20, 21)], "a long, b long"), old)
     assert dict(both.collect()) == {1: 1, 2: 1, 3: 1, 7: 1, 8: 1, 20: 20, 21: 20} and both.count() == 7
+
+
+def test_a_large_group_sends_out_about_as_many_pairs_as_it_has_members(spark, monkeypatch):
+    """All members are nearly alike: some pairs are linked, many are just below, and no pivot joins them before."""
+    sent = []
+
+    def counted(df, label, stage=ngram_join.stage):
+        out = stage(df, label)
+        if label == "pairs":
+            sent.append(out.count())
+        return out
+
+    monkeypatch.setattr(ngram_join, "stage", counted)
+    monkeypatch.setattr(ngram_join, "PIVOT_ROUNDS", 0)
+    monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", 800)
+    rnd = random.Random(8)
+    base = [f"w{i}" for i in range(200)]
+    rows = []
+    for i in range(150):
+        new = list(base)
+        for at in rnd.sample(range(200), 3 if i % 3 else 2):
+            new[at] = f"x{rnd.randrange(9999)}"
+        rows.append((i, " ".join(new)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r["doc_id"]: r["component_id"] for r in JaccardJoin(4, 85).run(df)[0].collect()}
+    assert got == brute(rows, 4, 85)
+    assert sum(sent) < 150 * 149 // 8, sent
+
+
+@pytest.mark.parametrize("spanning", [0, 1])
+def test_links_behind_failed_pairs_are_found(spark, monkeypatch, spanning):
+    """Where sketches allow pairs that are not linked, the last round still finds the links beside them."""
+    monkeypatch.setattr(ngram_join, "FEW", 2)
+    monkeypatch.setattr(ngram_join, "PIVOT_ROUNDS", 0)
+    monkeypatch.setattr(ngram_join, "SPANNING_ROUNDS", spanning)
+    monkeypatch.setattr(ngram_join, "sketch", lambda s: np.zeros(1, dtype=np.uint64))
+    rows = corpus(7, groups=6, copies=15)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r["doc_id"]: r["component_id"] for r in JaccardJoin(4, 85).run(df)[0].collect()}
+    assert got == brute(rows, 4, 85)
