@@ -29,7 +29,7 @@ from starweave.llm.shingles import mix, word_hashes
 from starweave.session import stage
 
 #: Bytes of text counted at once; a longer text is cut at a separator, with the words before the cut as context.
-SLICE = 1 << 20
+SLICE = 1 << 21
 #: Rows of an Arrow batch that a task hands over.
 ROWS = 1 << 15
 #: Bits of a filter: at least, at most (8 MB), and for each phrase in between.
