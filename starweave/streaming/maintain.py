@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -39,6 +39,9 @@ from starweave.streaming.sinks import MergeSink
 Tap = Callable[[DataFrame, int], None]
 
 OP = "op"
+VERSION = "__version"
+REACHED = "reached"
+"""Of an affected fact: whether a dimension change reaches it, so that its document may change even if its newest version is an old one."""
 
 
 @dataclass
@@ -85,9 +88,10 @@ class Maintainer:
             for s in self.star.tables()
         }
         fact = self.schemas[self.star.fact.name]
-        key = T.StructType([fact[self.star.fact.key]])
+        key = T.StructType([fact[self.star.fact.key], T.StructField(REACHED, T.BooleanType())])
         self._affected = LogTable(self.spark, f"{self.root}/affected", key)
-        self._touched = LogTable(self.spark, f"{self.root}/touched", fact)
+        touched = fact if self.mode == "partial" else T.StructType([fact[c] for c in self._document_columns()])
+        self._touched = LogTable(self.spark, f"{self.root}/touched", touched)
         self.output = LogTable(self.spark, f"{self.root}/out", self._output_schema())
         self.output.ensure()
         #: In partial mode, the documents of all batches up to the last compaction, stamped field by field.
@@ -102,6 +106,12 @@ class Maintainer:
         """Fields of a document besides its key."""
         return [*[c for c in self.star.columns if c != self.star.fact.key], *[d.name for d in self.star.dims]]
 
+    def _document_columns(self) -> list[str]:
+        """Columns of a fact that its whole document is made of: its version has done its work once the newest is known."""
+        spec = self.star.fact
+        op = [spec.op] if spec.op else []
+        return list(dict.fromkeys([spec.key, *self.star.columns, *[d.fk for d in self.star.dims], *op]))
+
     def _output_schema(self) -> T.StructType:
         """Key, fact columns and sub-documents; in partial mode also the version."""
         star, fact = self.star, self.schemas[self.star.fact.name]
@@ -163,24 +173,41 @@ class Maintainer:
         return {s.name: self.inputs[s.name].read_batch(batch_id) for s in specs}
 
     def _find_affected(self, changed: Mapping[str, DataFrame], batch_id: int) -> DataFrame:
-        """Keys of the facts to recompute.
+        """Keys of the facts to recompute, and whether a dimension change reaches them.
 
         References in outdated fact versions are included: recomputing a
         document needlessly is harmless, and it saves compacting the log first.
         """
         fact = self.star.fact
-        legs = [changed[fact.name].select(fact.key)] if fact.name in changed else []
+        legs = [changed[fact.name].select(fact.key, F.lit(False).alias(REACHED))] if fact.name in changed else []
         for dim in self.star.dims:
             if dim.table.name in changed and self.refresh != "none":
-                keys = changed[dim.table.name].select(dim.table.key)
-                facts = self.inputs[fact.name].read_keys(dim.fk, batch_id, keys)
-                hit = enrich.affected_facts(facts, None, [(dim, keys)], fact.key, self.policy)
-                legs.append(hit if self.refresh == "all" else self._newest(hit, dim, keys, batch_id))
+                # Facts that arrived in this batch are in the first leg.
+                before = batch_id - 1 if fact.name in changed and self.refresh == "all" else batch_id
+                keys = self._winning(dim, changed[dim.table.name], batch_id).select(dim.table.key)
+                facts = self.inputs[fact.name].read_keys(dim.fk, before, keys)
+                hit = skew.lookup_join(
+                    facts.where(F.col(dim.fk).isNotNull()), keys.select(F.col(dim.table.key).alias("__key")),
+                    dim.fk, "__key", "left_semi", [fact.key], self.policy,
+                ).select(fact.key)
+                hit = hit if self.refresh == "all" else self._newest(hit.distinct(), dim, keys, batch_id)
+                legs.append(hit.withColumn(REACHED, F.lit(True)))
         if len(legs) == 1 and fact.name in changed:
             return legs[0].distinct() if self.mode == "partial" else legs[0]
-        found = partial.union_legs(*legs).distinct() if legs else self._nothing()
-        self._affected.write(found, batch_id)
-        return self._affected.read_batch(batch_id).select(fact.key)
+        found = partial.union_legs(*legs) if legs else self._nothing()
+        self._affected.write(found.groupBy(fact.key).agg(F.max(REACHED).alias(REACHED)), batch_id)
+        return self._affected.read_batch(batch_id).select(fact.key, REACHED)
+
+    def _winning(self, dim: Dimension, changes: DataFrame, batch_id: int) -> DataFrame:
+        """Changes of a dimension, deletes included, that are the newest of their keys: an older version that arrives
+        late changes no document. Which fact is the ``latest`` one is looked up for every change."""
+        spec = dim.table
+        if self.refresh != "all":
+            return changes
+        keys = changes.select(F.col(spec.key).alias("__key"))
+        log = self.inputs[spec.name].read(batch_id, near=keys).select(spec.key, *spec.version, BATCH)
+        hit = skew.lookup_join(log, keys, spec.key, "__key", "left_semi", [spec.key, BATCH], self._row_policy(False))
+        return changelog.latest_by_key(hit, spec.key, [*spec.version, BATCH]).where(F.col(BATCH) == batch_id)
 
     def _nothing(self) -> DataFrame:
         return self.spark.createDataFrame([], self._affected.schema)
@@ -193,32 +220,41 @@ class Maintainer:
         still = skew.lookup_join(live, keys, dim.fk, "__key", "left_semi", [fact.key], self.policy)
         return changelog.latest_per_group(still, dim.fk, [*fact.version, fact.key]).select(fact.key)
 
-    def _read_facts(self, affected: DataFrame, batch_id: int) -> DataFrame:
-        """Newest row of every given fact, deletes included."""
+    def _read_facts(self, affected: DataFrame, batch_id: int, changing: bool = False) -> DataFrame:
+        """Newest row of every given fact, deletes included. ``changing`` (keys are given once) leaves out facts that no
+        dimension change reaches and whose newest row came in an earlier batch: their documents stand."""
         fact = self.star.fact
-        keys = affected.select(F.col(fact.key).alias("__key"))
+        keys = affected.select(F.col(fact.key).alias("__key"), *([REACHED] if changing else []))
         log = self.inputs[fact.name].read(batch_id, near=keys)
         policy = self._row_policy(self.mode == "partial")
-        hit = skew.lookup_join(log, keys, fact.key, "__key", "left_semi", [fact.key, BATCH], policy)
-        return changelog.latest_by_key(hit, fact.key, [*fact.version, BATCH])
+        how = "inner" if changing else "left_semi"
+        hit = skew.lookup_join(log, keys, fact.key, "__key", how, [fact.key, BATCH], policy)
+        newest = changelog.latest_by_key(hit, fact.key, [*fact.version, BATCH])
+        if not changing:
+            return newest
+        return newest.where((F.col(BATCH) == batch_id) | F.coalesce(REACHED, F.lit(True))).drop("__key", REACHED)
 
     def _row_policy(self, uncompacted: bool) -> skew.SkewPolicy | None:
         """A log that is compacted batch by batch has no heavy keys to look for."""
         return self.policy if uncompacted else None
 
     def _current_facts(self, affected: DataFrame, batch_id: int) -> DataFrame:
-        self._touched.write(self._read_facts(affected, batch_id), batch_id)
+        changing = self.mode == "full" and self.refresh == "all"
+        self._touched.write(self._read_facts(affected, batch_id, changing), batch_id)
         return self._touched.read_batch(batch_id)
 
     def _needed(self, dim: Dimension, facts: DataFrame, batch_id: int) -> DataFrame:
-        """Current dimension rows that these facts reference."""
+        """Current dimension rows, at least those that these facts reference."""
         spec = dim.table
         wanted = facts.select(F.col(dim.fk).alias("__fk")).where("__fk IS NOT NULL").distinct()
         log = self.inputs[spec.name].read(batch_id, near=wanted)
         narrow = log.select(*self._dimension_columns(dim), BATCH)
-        policy = self._row_policy(False)
-        hit = skew.lookup_join(narrow, wanted, spec.key, "__fk", "left_semi", [spec.key, BATCH], policy)
-        return changelog.latest_by_key(hit, spec.key, [*spec.version, BATCH], spec.op)
+        size = skew.scan_bytes(facts)
+        if size <= skew.broadcast_limit(facts) or size < skew.scan_bytes(log):
+            policy = self._row_policy(False)
+            narrow = skew.lookup_join(narrow, wanted, spec.key, "__fk", "left_semi", [spec.key, BATCH], policy)
+        # Otherwise the keys of the facts would be more to shuffle than the rows they could spare.
+        return changelog.latest_by_key(narrow, spec.key, [*spec.version, BATCH], spec.op)
 
     @staticmethod
     def _dimension_columns(dim: Dimension) -> list[str]:
@@ -247,10 +283,12 @@ class Maintainer:
         star = self.star
         live, dead = self._split(facts)
         tables = {d.name: self._needed(d, facts, batch_id) for d in star.dims}
+        if self.versions:
+            star, tables = self._versioned(tables)
         # Heavy keys are looked for in the stored facts, not in what the joins before have made of them.
         joined = enrich.star_join(live, tables, star, policy=self.policy, samples={d.name: live for d in star.dims})
         if self.versions:
-            joined = self._versioned(joined, live, tables)
+            joined = self._versions_apart(joined)
         docs = self._conform(joined, changelog.UPSERT)
         if dead is not None:
             docs = docs.unionByName(self._conform(dead.select(star.fact.key), changelog.DELETE))
@@ -261,17 +299,20 @@ class Maintainer:
             docs = docs.unionByName(self._conform(lost, changelog.DELETE))
         return docs
 
-    def _versioned(self, docs: DataFrame, live: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
-        """Documents with the version of each dimension row that they hold."""
-        key = self.star.fact.key
+    def _versioned(self, tables: Mapping[str, DataFrame]) -> tuple[StarSpec, dict[str, DataFrame]]:
+        """The star and its tables with the version of each dimension row inside its record, so that one lookup gives both."""
+        dims = tuple(replace(d, columns=(*d.columns, VERSION)) for d in self.star.dims)
+        held = {
+            d.name: tables[d.name].withColumn(VERSION, F.struct(F.lit(True).alias("hit"), *d.table.version)) for d in dims
+        }
+        return replace(self.star, dims=dims), held
+
+    def _versions_apart(self, docs: DataFrame) -> DataFrame:
+        """Documents with ``<dimension>_version`` beside the record instead of inside it; null on a miss."""
         for dim in self.star.dims:
-            spec = dim.table
-            known = tables[dim.name].select(
-                F.col(spec.key).alias("__key"), F.struct(*spec.version).alias(f"{dim.name}_version")
-            )
-            refs = live.select(F.col(key).alias("__fact"), F.col(dim.fk).alias("__fk"))
-            held = skew.lookup_join(refs, known, "__fk", "__key", "left", ["__fact"], self.policy)
-            docs = docs.join(held.select(F.col("__fact").alias(key), f"{dim.name}_version"), key, "left")
+            inside = F.col(dim.name)[VERSION]
+            version = F.when(inside["hit"], F.struct(*[inside[c].alias(c) for c in dim.table.version]))
+            docs = docs.withColumns({f"{dim.name}_version": version, dim.name: F.col(dim.name).dropFields(VERSION)})
         return docs
 
     def _partial(self, current: DataFrame | None, arrived: DataFrame | None, batch_id: int) -> DataFrame:

@@ -1,0 +1,93 @@
+"""Streams shuffle and write no more than changed: batches, versions and stored logs."""
+
+from dataclasses import replace
+
+import pytest
+from pyspark.sql import functions as F
+
+from starweave.plans.streams import split_log
+from starweave.sources import streams
+from starweave.sources import tables as t
+from starweave.streaming.maintain import Maintainer
+from tests import shop
+
+
+@pytest.fixture(autouse=True)
+def quick_plans(spark):
+    """A few rows per batch: compiling each plan would take longer than running it."""
+    before = spark.conf.get("spark.sql.codegen.wholeStage")
+    spark.conf.set("spark.sql.codegen.wholeStage", "false")
+    yield
+    spark.conf.set("spark.sql.codegen.wholeStage", before)
+
+
+@pytest.fixture
+def shuffled_joins(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def keep_and_send(spark, tmp_path, **options):
+    keep = Maintainer(spark, shop.STAR, str(tmp_path / "state"), shop.SCHEMAS, buckets=2, **options)
+
+    def send(n, **tables):
+        specs = {s.name: s for s in shop.STAR.tables()}
+        keep(streams.tagged({k: shop.rows(spark, specs[k], *tables.get(k, [])) for k in specs}), n)
+        return sorted(r.order_id for r in keep.output.read_batch(n).collect())
+
+    return keep, send
+
+
+def test_only_documents_that_may_change_are_emitted(spark, tmp_path):
+    keep, send = keep_and_send(spark, tmp_path, compact_every=2)
+    orders = [shop.order(1, "p1", "A", 5), shop.order(2, "p1", "B", 5)]
+    assert send(0, orders=orders, customers=[shop.customer("A", "Ann", 5)]) == [1, 2]
+    assert send(1, customers=[shop.customer("A", "Old", 3), shop.customer("B", "Bob", 3)]) == [2]
+    # An older version of a fact changes nothing by itself, but what a dimension reaches is still recomputed.
+    assert send(2, orders=[shop.order(1, "p2", "B", 4)]) == []
+    assert send(3, orders=[shop.order(1, "p2", "B", 3)], customers=[shop.customer("A", "Anna", 6)]) == [1]
+    assert send(4, customers=[shop.customer("A", None, 7, "delete")], orders=[shop.order(3, "p1", "A", 1)]) == [1, 3]
+    got = {r.order_id: r.customer.first_name for r in keep.documents().collect()}
+    assert got == {1: "", 2: "Bob", 3: ""}
+
+
+def test_versions_come_with_the_lookup(spark, tmp_path, shuffled_joins):
+    dims = tuple(replace(d, on_miss=m) for d, m in zip(shop.STAR.dims, ("default", "null"), strict=True))
+    star = replace(shop.STAR, dims=dims)
+    keep = Maintainer(spark, star, str(tmp_path / "state"), shop.SCHEMAS, versions=True)
+    specs = {s.name: s for s in star.tables()}
+    data = {
+        "orders": [shop.order(1, "p1", "A", 1), shop.order(2, "p9", None, 1), shop.order(3, None, "Z", 1)],
+        "customers": [shop.customer("A", "Ann", 7)],
+        "products": [shop.product("p1", None, 8)],
+    }
+    keep(streams.tagged({k: shop.rows(spark, specs[k], *v) for k, v in data.items()}), 0)
+    got = {r.order_id: r for r in keep.documents().collect()}
+    assert {k: r.customer_version and r.customer_version.version for k, r in got.items()} == {1: 7, 2: None, 3: None}
+    assert {k: r.product_version and r.product_version.version for k, r in got.items()} == {1: 8, 2: None, 3: None}
+    assert (got[3].customer.id, got[3].customer.first_name, got[2].product) == ("Z", "", None)
+    assert got[1].product.name is None and "__version" not in got[1].customer.asDict()
+    plan = keep._full(keep._touched.read_batch(0), 0)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftOuter") == 2  # one lookup for each dimension
+
+
+def test_orders_are_dealt_by_the_join(spark, tmp_path, shuffled_joins):
+    for name, rows in {
+        "lineitem": [(o, (o or 0) * 3, 4, n, 1.0, 5.0, 0.0, 0.0, "RN"[n % 2], "O", shop.TS) for o in (*range(200), None) for n in range(8)] * 2,
+        "orders": [(o, None if o == 5 else o % 7, "O", 1.0, shop.TS, "1") for o in range(0, 190)],
+    }.items():
+        spark.createDataFrame(rows, t.SCHEMAS[name]).write.parquet(f"{tmp_path}/{name}.parquet")
+    plain, dealt = t.order_log(spark, str(tmp_path)), t.dealt_order_log(spark, str(tmp_path), 4)
+    assert dealt.schema.names == plain.schema.names and plain.count() == 190 * 16
+    assert plain.exceptAll(dealt.select(*plain.columns)).isEmpty() and dealt.exceptAll(plain).isEmpty()
+    assert dealt._jdf.queryExecution().sparkPlan().toString().count("SortMergeJoin") == 1
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        lie = dealt.withColumn("at", F.spark_partition_id()).groupBy("order_id").agg(F.countDistinct("at").alias("n"))
+        assert lie.where("n > 1").count() > 150
+        stored, per_batch = split_log(plain, f"{tmp_path}/few", dealt=dealt.coalesce(1))
+        assert per_batch >= 1 and stored.count() == plain.count() and len(stored.inputFiles()) >= 4
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
