@@ -35,10 +35,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from starweave.llm.collocations import Bloom
 from starweave.llm.components import components
 from starweave.llm.shingles import mix, shingle_set
 from starweave.llm.tables import free_name
@@ -57,8 +58,11 @@ N2, K2, SUBSETS_UP_TO = 3, 1, 32
 #: Classes of a signature that meet as plain pairs; more are compared in blocks of ``BLOCK``, of about so many shingles
 #: where whole sets meet.
 FEW, BLOCK, BLOCK_SHINGLES = 8, 256, 1 << 19
-#: Sets that a task describes at once.
-ROWS = 256
+#: Rows and bytes that Spark hands to a task's Python at once; a row can be two blocks.
+ROWS, BATCH_BYTES = 1024, 4 << 20
+#: Bits for each document whose text is fetched again, and the least and most bits (in powers of two) of their filter.
+#: Beyond the most it lets more texts pass than are wanted; the join behind it drops them.
+BITS_EACH, LEAST_BITS, MOST_BITS = 16, 10, 26
 #: Rounds in which every signature's sets are compared with one pivot, then rounds in which blocks send out pairs that
 #: connect all that may be linked, before the round on whole sets.
 PIVOT_ROUNDS, SPANNING_ROUNDS = 2, 1
@@ -163,16 +167,13 @@ def _key(shingles: np.ndarray) -> tuple[int, int]:
 
 
 def _keyed(df: DataFrame, text: str, words: int) -> DataFrame:
-    kind = pa.struct([("n", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64())])
-
     @F.arrow_udf("struct<n: long, k1: long, k2: long>")
     def keys(texts: pa.Array) -> pa.Array:
-        rows = []
-        for t in texts.to_pylist():
-            s = shingle_set(t, words)
-            k1, k2 = _key(s)
-            rows.append({"n": len(s), "k1": k1, "k2": k2})
-        return pa.array(rows, kind)
+        rows = np.empty((len(texts), 3), dtype=np.int64)
+        for i, t in enumerate(texts):
+            s = shingle_set(t.as_py(), words)
+            rows[i] = len(s), *_key(s)
+        return pa.StructArray.from_arrays([pa.array(c) for c in rows.T.copy()], names=["n", "k1", "k2"])
 
     return df.withColumn("set", keys(F.col(text)))
 
@@ -244,39 +245,76 @@ def _folded(sketches: list[bytes], words: int) -> np.ndarray:
     return np.array(rows, dtype=np.uint64).reshape(len(rows), words)
 
 
-def _sets(df: DataFrame, text: str, words: int, sketched: bool = False) -> DataFrame:
-    """``df`` with ``shingles`` and, if wanted, their ``sketch`` and ``key``."""
+def _sets(df: DataFrame, text: str, words: int) -> DataFrame:
+    """``df`` with ``shingles``."""
 
     @F.arrow_udf("array<long>")
     def hashes(texts: pa.Array) -> pa.Array:
-        found = [shingle_set(t.as_py(), words).astype(np.int64) for t in texts]
-        ends = np.cumsum([0, *map(len, found)])
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(found or [ends[:0]])))
-
-    kind = pa.struct(
-        [
-            ("shingles", pa.list_(pa.int64())),
-            ("sketch", pa.binary()),
-            ("key", pa.struct([("k1", pa.int64()), ("k2", pa.int64())])),
-        ]
-    )
-
-    @F.arrow_udf("struct<shingles: array<long>, sketch: binary, key: struct<k1: long, k2: long>>")
-    def described(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return _lists([shingle_set(t.as_py(), words) for t in texts])
+
+    return df.withColumn("shingles", hashes(F.col(text)))
+
+
+def _lists(sets: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, sets)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(sets or [ends[:0]]).astype(np.int64)))
+
+
+def _described(df: DataFrame, words: int) -> DataFrame:
+    """``v, n, shingles, sketch`` of the rows ``v, text, k1, k2`` whose text has the set that the key names.
+
+    The rows pass through Python as they are, so Spark can't describe texts before it knows which ones are wanted.
+    """
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [(v, shingle_set(t.as_py(), words), k) for v, t, *k in zip(*batch.columns, strict=True)]
+            own = [(v.as_py(), s) for v, s, k in found if _key(s) == tuple(x.as_py() for x in k)]
+            sets = [s for _, s in own]
+            columns = [
+                pa.array([v for v, _ in own], pa.int64()),
+                pa.array([len(s) for s in sets], pa.int64()),
+                _lists(sets),
+                pa.array([sketch(s).tobytes() for s in sets], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["v", "n", "shingles", "sketch"])
+
+    return df.select("v", "text", "k1", "k2").mapInArrow(rows, "v long, n long, shingles array<long>, sketch binary")
+
+
+def _hash(ids: Column) -> Column:
+    return F.xxhash64(ids, F.lit("wanted"))
+
+
+def _bloom(wanted: DataFrame) -> Bloom:
+    """A filter over the column ``id``. Spark combines its words; at most ``2 ** (MOST_BITS - 6)`` reach the driver."""
+    bits = min(max((wanted.count() * BITS_EACH).bit_length(), LEAST_BITS), MOST_BITS)
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bloom = Bloom(np.zeros(1 << bits - 6, dtype=np.uint64))
         for batch in batches:
-            for start in range(0, len(batch), ROWS):
-                found = [shingle_set(t.as_py(), words) for t in batch[start : start + ROWS]]
-                ends = np.cumsum([0, *map(len, found)])
-                lists = pa.ListArray.from_arrays(
-                    pa.array(ends, pa.int32()), pa.array(np.concatenate(found).astype(np.int64), pa.int64())
-                )
-                keys = [dict(zip(("k1", "k2"), _key(s), strict=True)) for s in found]
-                columns = [lists, pa.array([sketch(s).tobytes() for s in found], pa.binary()), pa.array(keys, kind["key"].type)]
-                yield pa.StructArray.from_arrays(columns, fields=list(kind))
+            for at in bloom.places(batch.column(0).to_numpy().view(np.uint64)):
+                np.bitwise_or.at(bloom.words, at >> np.uint64(6), np.uint64(1) << (at & np.uint64(63)))
+        filled = np.flatnonzero(bloom.words)
+        values = bloom.words[filled].view(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(filled, pa.int64()), pa.array(values)], names=["at", "bits"])
+
+    filled = wanted.select(_hash(F.col("id"))).mapInArrow(fill, "at long, bits long")
+    rows = filled.groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow()
+    words = np.zeros(1 << bits - 6, dtype=np.uint64)
+    words[rows["at"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
+    return Bloom(words)
+
+
+def _may_be_wanted(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows whose ``id`` may be among the wanted ones: all that are, and few others."""
+    shared = docs.sparkSession.sparkContext.broadcast(_bloom(wanted).words)  # 8 MB at most
+
+    @F.arrow_udf("boolean")
+    def holds(hashes: pa.Array) -> pa.Array:
+        return pa.array(Bloom(shared.value).holds(hashes.to_numpy().view(np.uint64)))
 
-    if not sketched:
-        return df.withColumn("shingles", hashes(F.col(text)))
-    return df.withColumn("described", described(F.col(text))).select("*", "described.*").drop("described")
+    return docs.where(holds(_hash(F.col("id"))))
 
 
 def _near(percent: int):
@@ -299,6 +337,7 @@ class _Met:
     """Two blocks of classes of a signature (or one with itself) and which of their pairs sketches and sizes allow."""
 
     def __init__(self, one: pa.Array, two: pa.Array, same: bool, percent: int) -> None:
+        """``two`` is ``one`` if a block meets itself."""
         (self.v1, self.n1, l1), (self.v2, self.n2, l2) = (
             [c.field(f).to_numpy() for f in ("v", "n", "label")] for c in (one, two)
         )
@@ -325,6 +364,11 @@ class _Met:
         self.part2[self.part2 == gone] = keep
 
 
+def _met(one: pa.ListScalar, two: pa.ListScalar, percent: int) -> _Met:
+    """A row of blocks; without a second one, the first meets itself."""
+    return _Met(one.values, two.values if two.is_valid else one.values, not two.is_valid, percent)
+
+
 def _pair_batch(v1: list[int], v2: list[int]) -> pa.RecordBatch:
     a, b = np.array(v1, dtype=np.int64), np.array(v2, dtype=np.int64)
     pairs = [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))]
@@ -340,8 +384,8 @@ def _near_pairs(percent: int, turn: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for one, two, same in zip(*batch.columns, strict=True):
-                met = _Met(one.values, two.values, same.as_py(), percent)
+            for one, two in zip(*batch.columns, strict=True):
+                met = _met(one, two, percent)
                 left, right = [], []
                 for i in range(len(met.v1)):
                     at = met.near(i)
@@ -362,8 +406,8 @@ def _near_classes(percent: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for sig, one, two, same in zip(*batch.columns, strict=True):
-                met = _Met(one.values, two.values, same.as_py(), percent)
+            for sig, one, two in zip(*batch.columns, strict=True):
+                met = _met(one, two, percent)
                 first, second = np.zeros(len(met.v1), dtype=bool), np.zeros(len(met.v2), dtype=bool)
                 for i in range(len(met.v1)):
                     at = met.near(i)
@@ -380,9 +424,9 @@ def _linked_pairs(percent: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for one, two, same in zip(*batch.columns, strict=True):
-                met = _Met(one.values, two.values, same.as_py(), percent)
-                sets1, sets2 = (c.field("shingles") for c in (one.values, two.values))
+            for one, two in zip(*batch.columns, strict=True):
+                met = _met(one, two, percent)
+                sets1, sets2 = (c.field("shingles") for c in (one.values, two.values if two.is_valid else one.values))
                 left, right = [], []
                 for i in range(len(met.v1)):
                     own = sets1[i].values.to_numpy()
@@ -399,6 +443,20 @@ def _linked_pairs(percent: int):
     return run
 
 
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """Everything that is run inside hands rows to Python in small batches; Spark's own may hold thousands of blocks."""
+    wanted = {"maxRecordsPerBatch": ROWS, "maxBytesPerBatch": BATCH_BYTES}
+    before = {f"spark.sql.execution.arrow.{k}": spark.conf.get(f"spark.sql.execution.arrow.{k}") for k in wanted}
+    try:
+        for name, value in zip(before, wanted.values(), strict=True):
+            spark.conf.set(name, str(value))
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 class JaccardJoin:
     """Links and components of documents by word-shingle similarity.
 
@@ -420,7 +478,8 @@ class JaccardJoin:
         ``a`` and ``b`` are the smallest ids of two classes. Links within a component that others already span are
         not among them.
         """
-        rows, links, classes = self._run(df, id, text)
+        with _small_batches(df.sparkSession):
+            rows, links, classes = self._run(df, id, text)
         name = lambda v: classes.select(F.col("v").alias(v), F.col("id").alias(f"id_{v}"))
         named = links.join(name("a"), "a").join(name("b"), "b")
         return rows.drop("root"), named.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b"))
@@ -457,7 +516,8 @@ class JaccardJoin:
 
         Rows with a null id all stay, and so do texts without words (but only one row of an id and text).
         """
-        rows, _, _ = self._run(df, id, text)
+        with _small_batches(df.sparkSession):
+            rows, _, _ = self._run(df, id, text)
         worded = rows.where(F.col("root").isNotNull()).groupBy("root")
         best = worded.agg(F.min(F.struct(F.col(id).alias("id"), F.col("text_hash").alias("hash"))).alias("best")).select("best.*")
         wordless = rows.where((F.col("n_shingles") == 0) & F.col(id).isNotNull())
@@ -490,13 +550,11 @@ class JaccardJoin:
         join it as it lies. The table is only a name for files in the shared folder and goes at the end."""
         spark = docs.sparkSession
         wanted = stage(hits.select("v").distinct().join(classes, "v").select("v", "id", "k1", "k2"), "wanted")
-        found = _sets(docs.join(wanted, "id"), "text", self.words, sketched=True)
         # An id may come with other texts than the one of this class.
-        own = found.where((F.col("key.k1") == F.col("k1")) & (F.col("key.k2") == F.col("k2")))
+        own = _described(_may_be_wanted(docs, wanted).join(wanted, "id"), self.words)
         buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        columns = ("v", F.size("shingles").cast("long").alias("n"), "shingles", "sketch")
-        copy = F.row_number().over(Window.partitionBy("v").orderBy("id"))
-        once = own.repartition(buckets, "v").withColumn("copy", copy).where("copy = 1").select(*columns)
+        copy = F.row_number().over(Window.partitionBy("v").orderBy(F.lit(0)))
+        once = own.repartition(buckets, "v").withColumn("copy", copy).where("copy = 1").drop("copy")
         path = scratch_dir(spark, "shingle-sets")
         name = "shingle_sets_" + path[-32:]
         once.write.bucketBy(buckets, "v").sortBy("v").option("path", path).saveAsTable(name)
@@ -551,9 +609,9 @@ class JaccardJoin:
         other = -F.col("best.col2")
         return best.select(F.least("v1", other).alias("a"), F.greatest("v1", other).alias("b")).distinct()
 
-    def _open(self, labelled: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    def _open(self, labelled: DataFrame) -> tuple[DataFrame, DataFrame]:
         """``sig, v, n, label, m`` of the signatures whose classes are still in different components, those of few
-        classes (``m``) and those of many, the latter with sketches."""
+        classes (``m``) and those of many."""
         bucket = Window.partitionBy("sig")
         open_ = (
             labelled.withColumn("low", F.min("label").over(bucket))
@@ -562,23 +620,30 @@ class JaccardJoin:
             .where("low != high")
         )
         open_ = stage(open_.select("sig", "v", "n", "label", "m"), "open-signatures")
-        return open_.where(F.col("m") <= FEW), open_.where(F.col("m") > FEW).join(sets.select("v", "sketch"), "v")
+        return open_.where(F.col("m") <= FEW), open_.where(F.col("m") > FEW)
 
-    def _blocks(self, many: DataFrame, blocks: Column, *columns: str) -> DataFrame:
-        """Every two blocks of a signature, and each with itself: ``sig, rows1, rows2, same``."""
-        dealt = many.withColumn("block", F.pmod(F.xxhash64("v"), blocks))
+    def _blocks(self, many: DataFrame, blocks: Column, sets: DataFrame, *columns: str) -> DataFrame:
+        """Each block of a signature with itself, and every two blocks: ``sig, rows1, rows2``; the latter is null where
+        a block meets itself, so a signature of one block, as most are, is not shuffled again."""
         kept = F.struct("v", "n", "label", "sketch", *columns)
-        rows = dealt.groupBy("sig", "block").agg(F.collect_list(kept).alias("rows"))
+        dealt = many.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("v"), F.col("blocks")))
+
+        def gathered(some: DataFrame) -> DataFrame:
+            described = some.join(sets.select("v", "sketch", *columns), "v")
+            return described.groupBy("sig", "block").agg(F.collect_list(kept).alias("rows"))
+
+        alone = gathered(dealt)
+        alone = alone.select("sig", F.col("rows").alias("rows1"), F.lit(None).cast(alone.schema["rows"].dataType).alias("rows2"))
+        rows = gathered(dealt.where(F.col("blocks") > 1))
         first = rows.selectExpr("sig", "block block1", "rows rows1")
         second = rows.selectExpr("sig", "block block2", "rows rows2")
-        met = first.join(second, "sig").where("block1 <= block2")
-        return met.selectExpr("sig", "rows1", "rows2", "block1 = block2 same")
+        return alone.union(first.join(second, "sig").where("block1 < block2").select("sig", "rows1", "rows2"))
 
     def _spanning(self, labelled: DataFrame, sets: DataFrame, turn: int, plain: bool) -> DataFrame:
         """Pairs of classes that may be linked and connect all that may be, by signature and block; of signatures of
         few classes all pairs, if they are wanted."""
-        few, many = self._open(labelled, sets)
-        met = self._blocks(many, F.ceil(F.col("m") / BLOCK)).drop("sig")
+        few, many = self._open(labelled)
+        met = self._blocks(many, F.ceil(F.col("m") / BLOCK), sets).drop("sig")
         near = met.mapInArrow(_near_pairs(self.percent, turn), "a long, b long")
         if plain:
             one = few.selectExpr("sig", "v v1", "n n1", "label label1")
@@ -593,14 +658,14 @@ class JaccardJoin:
         Signatures of few classes were compared to the end before. Of the others only classes that may be linked
         with one of another component bring their sets, in blocks of bounded size.
         """
-        _, many = self._open(labelled, sets)
-        met = self._blocks(many, F.ceil(F.col("m") / BLOCK))
+        _, many = self._open(labelled)
+        met = self._blocks(many, F.ceil(F.col("m") / BLOCK), sets)
         able = stage(met.mapInArrow(_near_classes(self.percent), "sig long, v long").distinct(), "near-classes")
         bucket = Window.partitionBy("sig")
         sized = many.join(able, ["sig", "v"]).withColumn("m", F.count("*").over(bucket)).withColumn("total", F.sum("n").over(bucket))
-        whole = sized.join(sets.select("v", "shingles"), "v")
+        sized = stage(sized, "near-sizes")
         wide = F.greatest(F.ceil(F.col("m") / BLOCK), F.ceil(F.col("total") / BLOCK_SHINGLES))
-        met = self._blocks(whole, wide, "shingles").drop("sig")
+        met = self._blocks(sized, wide, sets, "shingles").drop("sig")
         return met.mapInArrow(_linked_pairs(self.percent), "a long, b long").distinct()
 
     def _verified(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:

@@ -1,8 +1,10 @@
 import random
 import re
+import uuid
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from starweave.llm import ngram_join
 from starweave.llm.components import components
@@ -218,3 +220,49 @@ def test_links_behind_failed_pairs_are_found(spark, monkeypatch, spanning):
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     got = {r["doc_id"]: r["component_id"] for r in JaccardJoin(4, 85).run(df)[0].collect()}
     assert got == brute(rows, 4, 85)
+
+
+def test_only_texts_that_share_a_signature_are_described(spark, monkeypatch, tmp_path):
+    """The join that fetches texts again must not compute, or shuffle, the sets of all documents first."""
+
+    def marked(shingles, kept=ngram_join.sketch, at=str(tmp_path)):
+        open(f"{at}/{uuid.uuid4().hex}", "w").close()
+        return kept(shingles)
+
+    monkeypatch.setattr(ngram_join, "sketch", marked)
+    rnd = random.Random(3)
+    rows = [(i, " ".join(f"w{rnd.randrange(10**9)}" for _ in range(20))) for i in range(300)]
+    rows += [(300, rows[7][1] + " x"), (301, rows[9][1]), (None, rows[9][1])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r["component_id"] for r in JaccardJoin(4, 85).run(df)[0].collect()}
+    assert got == {None: None} | {i: i for i in range(300)} | {300: 7, 301: 9}
+    assert 2 <= len(list(tmp_path.iterdir())) <= 12
+
+
+def test_python_gets_small_batches_and_the_setting_returns(spark, monkeypatch):
+    """One row can be two blocks of whole sets: Spark's own 10,000 rows of them are no bounded batch."""
+    names = [f"spark.sql.execution.arrow.{x}" for x in ("maxRecordsPerBatch", "maxBytesPerBatch")]
+    before, seen = [spark.conf.get(x) for x in names], []
+
+    def spied(df, label, stage=ngram_join.stage):
+        seen.append([int(spark.conf.get(x)) for x in names])
+        return stage(df, label)
+
+    monkeypatch.setattr(ngram_join, "stage", spied)
+    df = spark.createDataFrame([(1, "a b c d e"), (2, "a b c d e")], "doc_id long, text string")
+    for run in (lambda: JaccardJoin(4, 85).run(df)[0], lambda: JaccardJoin(4, 85).one_of_each(df)):
+        run().collect()
+        assert [spark.conf.get(x) for x in names] == before
+    assert seen and all(rows <= 1024 and size <= 4 << 20 for rows, size in seen)
+
+
+def test_a_signature_of_one_block_meets_itself_without_a_second_copy(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK", 10)
+    made = [(s, s * 100 + i, 5, s * 100 + i, m) for s, m in ((1, 9), (2, 35)) for i in range(m)]
+    many = spark.createDataFrame(made, "sig long, v long, n long, label long, m long")
+    sets = many.selectExpr("v", "cast('12345678' as binary) sketch")
+    met = JaccardJoin()._blocks(many, F.ceil(F.col("m") / 10), sets).collect()
+    alone = [r for r in met if r["rows2"] is None]
+    assert [len(r["rows1"]) for r in alone if r["sig"] == 1] == [9] and not any(r["sig"] == 1 for r in met if r["rows2"])
+    pairs = [frozenset((a["v"], b["v"])) for r in met for a in r["rows1"] for b in r["rows2"] or r["rows1"] if a != b]
+    assert len(set(pairs)) == 9 * 8 // 2 + 35 * 34 // 2
