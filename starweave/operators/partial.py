@@ -17,7 +17,7 @@ from starweave.functions.records import flatten
 from starweave.operators import skew
 from starweave.operators.changelog import DELETE, version_columns
 from starweave.operators.enrich import lookup
-from starweave.specs import Dimension
+from starweave.specs import Dimension, as_list
 
 LIVE, DEAD = "__live", "__dead"
 
@@ -105,10 +105,12 @@ def stamp(
     )
 
 
-def merge_stamped(stamped: DataFrame, key: str, fields: Sequence[str]) -> DataFrame:
+def merge_stamped(stamped: DataFrame, key: str | Sequence[str], fields: Sequence[str]) -> DataFrame:
     """Newest stamp per field. The result is stamped again, so it can be merged on.
     Rows without a key belong to no document."""
-    return stamped.where(F.col(key).isNotNull()).groupBy(key).agg(
+    for name in as_list(key):
+        stamped = stamped.where(F.col(name).isNotNull())
+    return stamped.groupBy(*as_list(key)).agg(
         F.max(LIVE).alias(LIVE),
         F.max(DEAD).alias(DEAD),
         *[F.max_by(f, F.col(f)["at"]).alias(f) for f in fields],

@@ -152,24 +152,32 @@ class Maintainer:
         """Store the batch, table by table, and return the changes of those that have any.
 
         Only the newest change per key is kept, except for partial facts, whose
-        older versions may set fields the newest leaves null.
+        older versions may set fields the newest leaves null. A batch that can hold
+        one table alone is read once, so it is not kept for that.
         """
-        rows = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        can_hold = [s for s in self.star.tables() if s.name in batch.columns]
+        rows = batch if len(can_hold) == 1 else batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            present = {r[TABLE] for r in rows.select(TABLE).distinct().collect()}
-            specs = [s for s in self.star.tables() if s.name in present]
+            if len(can_hold) == 1:
+                specs = [] if rows.where(F.col(TABLE) == can_hold[0].name).isEmpty() else can_hold
+            else:
+                present = {r[TABLE] for r in rows.select(TABLE).distinct().collect()}
+                specs = [s for s in can_hold if s.name in present]
 
             def append(spec: TableSpec) -> None:
                 changes = untag(rows, spec.name)
                 if self.mode == "full" or spec is not self.star.fact:
                     changes = changelog.latest_by_key(changes, spec.key, spec.version)
+                else:
+                    changes = changes.dropDuplicates([spec.key, *spec.version])
                 self.inputs[spec.name].write(changes, batch_id)
 
             # Independent writes to different tables: let their jobs overlap.
             with ThreadPoolExecutor(max(1, len(specs))) as pool:
                 list(pool.map(inheritable_thread_target(self.spark)(append), specs))
         finally:
-            rows.unpersist()
+            if len(can_hold) > 1:
+                rows.unpersist()
         return {s.name: self.inputs[s.name].read_batch(batch_id) for s in specs}
 
     def _find_affected(self, changed: Mapping[str, DataFrame], batch_id: int) -> DataFrame:
@@ -321,14 +329,15 @@ class Maintainer:
         star, fact = self.star, self.star.fact
         legs = [rows for rows in (current, arrived) if rows is not None]
         stored = partial.union_legs(*legs).drop(BATCH)
-        every = stored.dropDuplicates([fact.key, *fact.version])
+        # A batch holds a version once, and each of its facts has one current version.
+        every = stored.dropDuplicates([fact.key, *fact.version]) if len(legs) > 1 else stored
         live, dead = self._split(every)
         keep = list(fact.version)
-        legs = [partial.main_leg(live, fact.key, [c for c in star.columns if c not in (fact.key, *keep)], keep)]
-        for dim in star.dims:
-            rows = self._needed(dim, stored, batch_id)
-            legs.append(partial.dimension_leg(live, rows, dim, fact.key, keep, self.policy, stored))
-        rows = self._conform(partial.union_legs(*legs), changelog.UPSERT)
+        columns = [c for c in star.columns if c not in (fact.key, *keep)]
+        tables = {d.name: self._needed(d, stored, batch_id) for d in star.dims}
+        # The legs of a version lie together, so a sink merges them before it shuffles.
+        wide = partial.wide_rows(live, tables, star.dims, fact.key, columns, keep, self.policy, {d.name: stored for d in star.dims})
+        rows = self._conform(partial.stacked_legs(wide, fact.key, [columns, *[[d.name] for d in star.dims]], keep), changelog.UPSERT)
         if dead is not None:
             rows = rows.unionByName(self._conform(dead.select(fact.key, *keep), changelog.DELETE))
         return rows

@@ -137,6 +137,8 @@ class MergeSink:
     op: str | None = "op"
     compact_every: int = 20
     buckets: int = 16
+    settled: bool = False
+    """A new base replaces what it covers at once: only where no one else reads meanwhile."""
     docs: LogTable = field(init=False)
 
     def __post_init__(self) -> None:
@@ -151,10 +153,11 @@ class MergeSink:
         return partial.merge_stamped(stamped, self.key, present)
 
     def __call__(self, rows: DataFrame, batch_id: int) -> None:
-        merged = self._stamped(rows)
-        kinds = {f.name: f.dataType for f in self.docs.schema.fields}
-        absent = {n: F.lit(None).cast(k) for n, k in kinds.items() if n not in merged.columns}
-        self.docs.write(merged.withColumns(absent) if absent else merged, batch_id)
+        if not self.docs.holds(batch_id):
+            merged = self._stamped(rows)
+            kinds = {f.name: f.dataType for f in self.docs.schema.fields}
+            absent = {n: F.lit(None).cast(k) for n, k in kinds.items() if n not in merged.columns}
+            self.docs.write(merged.withColumns(absent) if absent else merged, batch_id)
         if (batch_id + 1) % self.compact_every == 0:
             self.compact(batch_id)
 
@@ -168,10 +171,13 @@ class MergeSink:
 
     def compact(self, batch_id: int) -> None:
         last = F.lit(batch_id).cast("long")
-        self.docs.compact(
+        self.docs.compact_dealt(
             batch_id,
-            lambda rows: partial.merge_stamped(rows, self.key, list(self.fields)).withColumn(BATCH, last),
+            [self.key],
+            lambda rows, by: partial.merge_stamped(rows, by, list(self.fields)).withColumn(BATCH, last),
         )
+        if self.settled:
+            self.docs.settle_base()
 
 
 @dataclass

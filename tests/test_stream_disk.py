@@ -5,14 +5,16 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from starweave.operators import changelog, skew, upsert
+from starweave.operators import changelog, skew
 from starweave.plans import incremental
 from starweave.plans.streams import followed
 from starweave.sources import streams
 from starweave.specs import TableSpec
 from starweave.streaming.feed import ChangeFeed
 from starweave.streaming.intervals import AsOfDocuments
+from starweave.streaming.maintain import Maintainer
 from starweave.streaming.pipeline import finish, subscribe
+from starweave.streaming.sinks import MergeSink
 from tests import shop
 
 FACTS = TableSpec("facts", "id", ("version",), op="op")
@@ -116,6 +118,48 @@ def test_a_feed_shuffles_its_history_once(spark, tmp_path, shuffled_joins, polic
         assert plan.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in plan
 
 
+def partial_keep(spark, tmp_path):
+    keep = Maintainer(spark, shop.STAR, str(tmp_path / "state"), shop.SCHEMAS, mode="partial", buckets=2)
+    keep(streams.tagged({"customers": shop.rows(spark, shop.CUSTOMERS, shop.customer("A", "Ann", 1))}), 0)
+    keep(streams.tagged({"products": shop.rows(spark, shop.PRODUCTS, shop.product("p1", "shoe", 1))}), 1)
+    return keep
+
+
+def test_partial_rows_of_facts_alone(spark, tmp_path, shuffled_joins, monkeypatch):
+    keep = partial_keep(spark, tmp_path)
+    monkeypatch.setattr(type(spark.range(1)), "persist", lambda *a, **k: pytest.fail("the batch was kept"))
+    orders = [shop.order(1, "p1", "A", 1), shop.order(1, "p1", "A", 1), shop.order(1, "p9", None, 2), shop.order(2, None, None, 1, "delete")]
+    keep(streams.tagged({"orders": shop.rows(spark, shop.ORDERS, *orders)}), 2)
+    got = [(r.order_id, r.version, r.ts is not None, r.customer and r.customer.first_name, r.product and r.product.name, r.op)
+           for r in keep.output.read_batch(2).collect()]
+    none, up = (False, None, None, "upsert"), "upsert"
+    want = [(1, 1, True, None, None, up), (1, 1, False, "Ann", None, up), (1, 1, False, None, "shoe", up),
+            (1, 2, True, None, None, up), (1, 2, *none), (1, 2, *none), (2, 1, False, None, None, "delete")]
+    assert sorted(map(str, got)) == sorted(map(str, want))
+    assert keep.inputs["orders"].read_batch(2).count() == 3  # a version that came twice is stored once
+    rows = keep._partial(None, keep.inputs["orders"].read_batch(2), 2)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftOuter") == 2 and plan.count("Generate explode") == 1  # legs lie together
+    monkeypatch.undo()
+    keep(streams.tagged({"orders": shop.rows(spark, shop.ORDERS)}), 3)
+    assert keep.output.read_batch(3).count() == 0
+
+
+def test_merge_sink_settles_its_documents(spark, tmp_path):
+    keep = partial_keep(spark, tmp_path)
+    sink = MergeSink(
+        spark, str(tmp_path / "store"), "order_id", ["ts", "customer", "product"], ["version"], keep.output.schema,
+        compact_every=2, buckets=2, settled=True,
+    )
+    for n, order in enumerate([shop.order(1, "p1", None, 1), shop.order(1, None, "A", 2), shop.order(None, None, "A", 2)]):
+        keep(streams.tagged({"orders": shop.rows(spark, shop.ORDERS, order)}), n + 2)
+        sink(keep.output.read_batches([n + 2]), n)
+    sink(keep.output.read_batches([3]), 1)  # replayed behind its compaction
+    assert sink.docs.batches() == [2] and sink.docs.base() == (1, 2)
+    [doc] = sink.documents().collect()
+    assert (doc.order_id, doc.customer.first_name, doc.product.name) == (1, "Ann", "shoe")
+
+
 def test_line_ids_are_made_when_lines_are_read(spark, tmp_path, monkeypatch):
     stored = {}
 
