@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -223,15 +222,12 @@ class InsertSelect:
 
 @dataclass
 class FanOut:
-    """One log, several sinks with different filters, read once per batch. Filters have
+    """One log, several sinks with different filters. Each sink reads the rows of the log itself, and of them the columns
+    it stores: nothing is held in memory between them. Filters have
     to let deletes pass (``only_present`` with ``op``), or a sink keeps what is gone."""
 
     legs: Sequence[tuple[Callable[[DataFrame], DataFrame], Callable[[DataFrame, int], None]]]
 
     def __call__(self, rows: DataFrame, batch_id: int) -> None:
-        shared = rows.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            for choose, sink in self.legs:
-                sink(choose(shared), batch_id)
-        finally:
-            shared.unpersist()
+        for choose, sink in self.legs:
+            sink(choose(rows), batch_id)

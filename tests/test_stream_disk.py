@@ -5,7 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from starweave.operators import changelog, skew
+from starweave.operators import changelog, skew, upsert
 from starweave.plans import incremental
 from starweave.plans.streams import followed
 from starweave.sources import streams
@@ -14,7 +14,7 @@ from starweave.streaming.feed import ChangeFeed
 from starweave.streaming.intervals import AsOfDocuments
 from starweave.streaming.maintain import Maintainer
 from starweave.streaming.pipeline import finish, subscribe
-from starweave.streaming.sinks import MergeSink
+from starweave.streaming.sinks import FanOut, MergeSink
 from tests import shop
 
 FACTS = TableSpec("facts", "id", ("version",), op="op")
@@ -160,6 +160,23 @@ def test_merge_sink_settles_its_documents(spark, tmp_path):
     assert (doc.order_id, doc.customer.first_name, doc.product.name) == (1, "Ann", "shoe")
 
 
+def test_fan_out_holds_nothing_in_memory(spark, tmp_path):
+    keep = partial_keep(spark, tmp_path)
+    keep(streams.tagged({"orders": shop.rows(spark, shop.ORDERS, shop.order(1, "p1", "A", 1), shop.order(2, None, None, 1, "delete"))}), 2)
+    before, during, got = held(spark), [], {}
+
+    def sink(name):
+        def run(rows, n):
+            during.append(held(spark))
+            got[name] = sorted((r.order_id, r.op) for r in rows.collect())
+        return run
+
+    legs = [(lambda rows, f=f: upsert.only_present(rows, f, [], "op"), sink(f)) for f in ("ts", "customer")]
+    FanOut(legs)(keep.output.read_batches([0, 1, 2]), 0)
+    assert during == [before, before]
+    assert got == dict.fromkeys(("ts", "customer"), [(1, "upsert"), (2, "delete")])
+
+
 def test_line_ids_are_made_when_lines_are_read(spark, tmp_path, monkeypatch):
     stored = {}
 
